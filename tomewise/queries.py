@@ -127,3 +127,262 @@ ORDER BY md5(concat('7', ':', CAST(review_id AS VARCHAR))), review_id LIMIT 20""
 def q_seeded_shuffle_head(spark, sf):
     """SL4: head of a repeatable permutation of the processed corpus."""
     return seeded_head(P.processed(spark, sf).select("review_id", "rating"), 20, seed=7)
+
+
+# --- Step 2/3: joins, splits, EDA on the train split ------------------------
+
+from tomewise.operators import splits as S  # noqa: E402
+
+_SPLIT_ROWS = "SELECT review_id, book_id, split FROM splitted"
+
+
+@query("group_split_exact", O.with_chain("split", body=_SPLIT_ROWS))
+def q_group_split_exact(spark, sf):
+    """SP2 exact: floor(0.8 G) then floor(0.75 G1) groups by seeded rank."""
+    return S.group_split_exact(P.processed(spark, sf)).select("review_id", "book_id", "split")
+
+
+@query("group_split_hash", O.with_chain("processed", body="""
+SELECT review_id, book_id,
+       CASE WHEN substr(md5(concat('42', ':', CAST(book_id AS VARCHAR))), 1, 8) >= 'cccccccc' THEN 'test'
+            WHEN substr(md5(concat('43', ':', CAST(book_id AS VARCHAR))), 1, 8) >= 'c0000000' THEN 'valid'
+            ELSE 'train' END AS split
+FROM processed"""))
+def q_group_split_hash(spark, sf):
+    """SP2 hash mode: the split is a function of the group key alone."""
+    return S.group_split_hash(P.processed(spark, sf)).select("review_id", "book_id", "split")
+
+
+@query("split_leakage_check", O.with_chain("split", body="""
+SELECT book_id, count(DISTINCT split) AS n_splits FROM splitted GROUP BY book_id
+HAVING count(DISTINCT split) > 1"""))
+def q_split_leakage_check(spark, sf):
+    """SO3: books in more than one split (none)."""
+    return S.split_leakage(P.split_processed(spark, sf))
+
+
+@query("split_proportions", O.with_chain("split", body="""
+SELECT split, n_rows, n_groups, n_rows / sum(n_rows) OVER () AS row_share,
+       n_groups / sum(n_groups) OVER () AS group_share
+FROM (SELECT split, count(*) AS n_rows, count(DISTINCT book_id) AS n_groups
+      FROM splitted GROUP BY split)"""))
+def q_split_proportions(spark, sf):
+    """AG10: row and group shares of each split."""
+    return S.split_proportions(P.split_processed(spark, sf))
+
+
+@query("split_class_mix", O.with_chain("split", body="""
+SELECT split, rating, n_rows, n_rows / sum(n_rows) OVER (PARTITION BY split) AS share
+FROM (SELECT split, rating, count(*) AS n_rows FROM splitted GROUP BY split, rating)"""))
+def q_split_class_mix(spark, sf):
+    """SP5: class mix per split."""
+    return S.split_class_mix(P.split_processed(spark, sf), "rating")
+
+
+C_USER_N = """
+user_n AS (SELECT user_id, count(*) AS n FROM reviews WHERE user_id IS NOT NULL GROUP BY user_id)"""
+
+
+@query("user_activity_split", O.with_chain("reviews", C_USER_N, body="""
+SELECT user_id, n, CASE WHEN n >= 5 THEN 'active' ELSE 'casual' END AS tier FROM user_n"""))
+def q_user_activity_split(spark, sf):
+    """PF6: users by review count, split at 5 (HAVING)."""
+    n = eda.value_counts(fixtures.reviews(spark, sf), "user_id", "n")
+    return n.withColumn("tier", F.when(F.col("n") >= 5, "active").otherwise("casual"))
+
+
+@query("active_user_reviews", O.with_chain("reviews", C_USER_N, body="""
+SELECT review_id, user_id, rating FROM reviews
+WHERE user_id IN (SELECT user_id FROM user_n WHERE n >= 5)"""))
+def q_active_user_reviews(spark, sf):
+    """J1: reviews of users with at least 5 reviews (left-semi)."""
+    return S.restrict_to_active(fixtures.reviews(spark, sf)).select("review_id", "user_id", "rating")
+
+
+@query("casual_user_reviews", O.with_chain("reviews", C_USER_N, body="""
+SELECT review_id, user_id, rating FROM reviews
+WHERE user_id NOT IN (SELECT user_id FROM user_n WHERE n >= 5)"""))
+def q_casual_user_reviews(spark, sf):
+    """J2: reviews of the other users (left-anti)."""
+    return S.restrict_to_casual(fixtures.reviews(spark, sf)).select("review_id", "user_id", "rating")
+
+
+@query("active_user_rating_counts", O.with_chain("reviews", C_USER_N, body="""
+SELECT rating, count(*) AS count FROM reviews
+WHERE user_id IN (SELECT user_id FROM user_n WHERE n >= 5) AND rating IS NOT NULL GROUP BY rating"""))
+def q_active_user_rating_counts(spark, sf):
+    """AG1 over the active users' reviews."""
+    return eda.value_counts(S.restrict_to_active(fixtures.reviews(spark, sf)), "rating")
+
+
+@query("reviews_per_book_hist", O.with_chain(
+    "split", "book_n AS (SELECT book_id, count(*) AS n FROM train GROUP BY book_id)",
+    body=O.sql_histogram("book_n", "n", 0.0, 40.0, 20)))
+def q_reviews_per_book_hist(spark, sf):
+    """AG5: 20 bins on [0, 40] of reviews per book (train split)."""
+    per_book = eda.value_counts(P.train_rows(spark, sf), "book_id", "n")
+    return eda.histogram(per_book, "n", 0.0, 40.0, 20)
+
+
+_UC = "uc AS (SELECT user_id, count(*) AS n FROM processed WHERE user_id IS NOT NULL GROUP BY user_id)"
+
+
+@query("user_activity_hist", O.with_chain("processed", _UC, """
+rng AS (SELECT CASE WHEN min(n) = max(n) THEN CAST(min(n) AS DOUBLE) - 0.5 ELSE CAST(min(n) AS DOUBLE) END AS lo_,
+               CASE WHEN min(n) = max(n) THEN CAST(max(n) AS DOUBLE) + 0.5 ELSE CAST(max(n) AS DOUBLE) END AS hi_
+        FROM uc)""", body="""
+SELECT b.bin, (SELECT lo_ FROM rng) + b.bin * (((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng)) / 50.0) AS lo,
+       (SELECT lo_ FROM rng) + (b.bin + 1) * (((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng)) / 50.0) AS hi,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b
+LEFT JOIN (SELECT least(CAST(floor((CAST(n AS DOUBLE) - (SELECT lo_ FROM rng)) * 50.0
+                                   / ((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng))) AS INTEGER), 49) AS bin,
+                  count(*) AS n
+           FROM uc GROUP BY 1) c USING (bin)"""))
+def q_user_activity_hist(spark, sf):
+    """AG6: 50 equal bins over the range of reviews per user."""
+    return eda.histogram_over_range(eda.value_counts(P.processed(spark, sf), "user_id", "n"), "n", 50)
+
+
+@query("user_activity_describe", O.with_chain("processed", _UC, body="""
+SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS DOUBLE) AS min,
+       CAST(quantile_cont(n, 0.25) AS DOUBLE) AS q25, CAST(quantile_cont(n, 0.5) AS DOUBLE) AS q50,
+       CAST(quantile_cont(n, 0.75) AS DOUBLE) AS q75, CAST(max(n) AS DOUBLE) AS max FROM uc"""))
+def q_user_activity_describe(spark, sf):
+    """AG7: summary of reviews per user."""
+    return eda.describe(eda.value_counts(P.processed(spark, sf), "user_id", "n"), "n")
+
+
+@query("length_freq_by_rating", O.with_chain("split", body="""
+SELECT rating, full_length, count(*) AS n FROM train
+WHERE full_length >= 0 AND full_length <= 400 GROUP BY rating, full_length"""))
+def q_length_freq_by_rating(spark, sf):
+    """AG8: per rating, frequency of each review length on 0..400 (train)."""
+    return eda.value_freq_by_group(P.train_rows(spark, sf), "rating", "full_length", 0, 400)
+
+
+def _sql_boxplot(src: str, g: str, v: str) -> str:
+    return f"""
+vals AS (SELECT {g} AS g, CAST({v} AS DOUBLE) AS v FROM {src}
+         WHERE {v} IS NOT NULL AND NOT isnan(CAST({v} AS DOUBLE))),
+st AS (SELECT g, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+              quantile_cont(v, 0.75) AS q3 FROM vals GROUP BY g),
+fz AS (SELECT g, q1, q3, q3 + 1.5 * (q3 - q1) AS hi_, q1 - 1.5 * (q3 - q1) AS lo_ FROM st),
+wk AS (SELECT vals.g,
+              max(CASE WHEN v <= hi_ THEN v END) AS mx, min(CASE WHEN v >= lo_ THEN v END) AS mn,
+              any_value(fz.q1) AS q1, any_value(fz.q3) AS q3
+       FROM vals JOIN fz USING (g) GROUP BY vals.g),
+wk2 AS (SELECT g, CASE WHEN mn IS NULL OR mn > q1 THEN q1 ELSE mn END AS whisker_lo,
+                  CASE WHEN mx IS NULL OR mx < q3 THEN q3 ELSE mx END AS whisker_hi FROM wk),
+ol AS (SELECT vals.g, count(*) FILTER (WHERE v < whisker_lo OR v > whisker_hi) AS n_outliers
+       FROM vals JOIN wk2 USING (g) GROUP BY vals.g)"""
+
+
+@query("length_boxplot_by_rating", O.with_chain("split", _sql_boxplot("train", "rating", "full_length"), body="""
+SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
+FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
+def q_length_boxplot_by_rating(spark, sf):
+    """AG9: box-plot figures of review length per rating (train)."""
+    return eda.boxplot_stats(P.train_rows(spark, sf), "rating", "full_length")
+
+
+def _sql_spearman(src: str, cols: list[str]) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, CAST(1.0 AS DOUBLE) AS rho")
+                continue
+            ranked = f"""(SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+                        rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
+                 FROM (SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM {src}
+                       WHERE {a} IS NOT NULL AND {b} IS NOT NULL
+                         AND NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))))"""
+            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, corr(rx, ry) AS rho FROM {ranked}")
+            parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, corr(rx, ry) AS rho FROM {ranked}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_SPEARMAN_COLS = ["rating", "full_length", "mean_word_length"]
+
+
+@query("spearman_matrix", O.with_chain("split", body=_sql_spearman("train", _SPEARMAN_COLS)))
+def q_spearman_matrix(spark, sf):
+    """AG11: Spearman matrix of rating, length and mean word length (train)."""
+    return eda.spearman_matrix(P.train_rows(spark, sf), _SPEARMAN_COLS)
+
+
+@query("phrase_filter_hist", O.with_chain("split", body=O.sql_histogram(
+    "train", "rating", -0.5, 5.5, 6, where="contains(review_text, ' the ')")))
+def q_phrase_filter_hist(spark, sf):
+    """PF4 + AG4: rating histogram of reviews containing a phrase (train)."""
+    return eda.histogram(eda.with_phrase(P.train_rows(spark, sf), " the "), "rating", -0.5, 5.5, 6)
+
+
+def _sql_deal(src: str, k: int, seed: int, name: str) -> str:
+    return f"""
+{name}_m AS (SELECT book_id, user_id, count(*) AS m FROM {src} GROUP BY book_id, user_id),
+{name}_s AS (SELECT book_id, user_id AS stratum FROM (
+    SELECT book_id, user_id, row_number() OVER (PARTITION BY book_id ORDER BY m DESC, user_id) AS rn
+    FROM {name}_m) WHERE rn = 1),
+{name}_n AS (SELECT book_id, CAST(sum(m) AS BIGINT) AS n_rows FROM {name}_m GROUP BY book_id),
+{name} AS (SELECT book_id, stratum, n_rows,
+    CAST((row_number() OVER (PARTITION BY stratum ORDER BY n_rows DESC,
+            md5(concat('{seed}', ':', CAST(book_id AS VARCHAR))), book_id) - 1
+          + CAST(('0x' || substr(md5(concat('{seed}', ':', stratum)), 1, 8)) AS BIGINT)) % {k} AS INTEGER) AS fold
+  FROM {name}_n JOIN {name}_s USING (book_id))"""
+
+
+@query("stratified_deal_folds", O.with_chain("processed", _sql_deal("processed", 5, 42, "d5"), body="""
+SELECT book_id, stratum, n_rows, fold FROM d5"""))
+def q_stratified_deal_folds(spark, sf):
+    """SP3 dealt: the fold of every book over 5 folds, strata = main user."""
+    return S.deal_groups(P.processed(spark, sf), 5, "book_id", "user_id", 42)
+
+
+_DEALT_SPLIT = [
+    _sql_deal("processed", 5, 42, "d5"),
+    "rest AS (SELECT * FROM processed WHERE book_id IN (SELECT book_id FROM d5 WHERE fold <> 0))",
+    _sql_deal("rest", 4, 43, "d4"),
+    """dsplit AS (SELECT p.*, CASE WHEN d5.fold = 0 THEN 'test' WHEN d4.fold = 0 THEN 'valid' ELSE 'train' END AS split
+       FROM processed p JOIN d5 USING (book_id) LEFT JOIN d4 USING (book_id))""",
+]
+
+
+@query("stratified_deal_split", O.with_chain("processed", *_DEALT_SPLIT, body="""
+SELECT review_id, book_id, user_id, split FROM dsplit"""))
+def q_stratified_deal_split(spark, sf):
+    """SP3 dealt: test = fold 0 of 5, valid = fold 0 of 4 over the rest."""
+    return S.stratified_deal_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
+
+
+@query("stratified_fold_balance", O.with_chain("processed", *_DEALT_SPLIT, body="""
+SELECT split, n_rows, n_groups, n_users, n_rows / sum(n_rows) OVER () AS row_share
+FROM (SELECT split, count(*) AS n_rows, count(DISTINCT book_id) AS n_groups,
+             count(DISTINCT user_id) AS n_users FROM dsplit GROUP BY split)"""))
+def q_stratified_fold_balance(spark, sf):
+    """Rows, books and users per split of the dealt stratified split."""
+    d = S.stratified_deal_split(P.processed(spark, sf))
+    per = d.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("book_id").alias("n_groups"),
+                                 F.countDistinct("user_id").alias("n_users"))
+    from pyspark.sql import Window
+    return per.withColumn("row_share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()))
+
+
+@query("active_user_folds", O.with_chain(
+    "processed",
+    "pu AS (SELECT user_id FROM processed GROUP BY user_id HAVING count(*) >= 5)",
+    "act AS (SELECT * FROM processed WHERE user_id IN (SELECT user_id FROM pu))",
+    _sql_deal("act", 5, 42, "da"),
+    body="""
+SELECT a.review_id, a.book_id, a.user_id, CASE WHEN da.fold = 0 THEN 'test' ELSE 'train' END AS split
+FROM act a JOIN da USING (book_id)"""))
+def q_active_user_folds(spark, sf):
+    """SP4: active users only (>= 5 reviews), then fold 0 of 5 dealt folds is test."""
+    return S.active_user_dealt_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
+
+
+@query("stratified_group_folds")
+def q_stratified_group_folds(spark, sf):
+    """SP3 balanced (batched greedy): test / valid / train with books intact."""
+    return S.stratified_greedy_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
