@@ -386,3 +386,173 @@ def q_active_user_folds(spark, sf):
 def q_stratified_group_folds(spark, sf):
     """SP3 balanced (batched greedy): test / valid / train with books intact."""
     return S.stratified_greedy_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
+
+
+# --- Step 4: text cleaning, n-grams, polarity --------------------------------
+
+from tomewise.functions.constants import CONTRACTIONS  # noqa: E402
+from tomewise.operators import ngrams as NG  # noqa: E402
+from tomewise.operators import sentiment as SE  # noqa: E402
+
+
+@query("clean_text", O.with_chain("deduped", body=f"""
+SELECT review_id, {O.sql_tokenize_filtered('review_text')} AS tok_review FROM deduped"""))
+def q_clean_text(spark, sf):
+    """TX5-TX13: digits, tags, quotes, non-ASCII, URLs, punctuation,
+    contractions and stop words, on the deduplicated corpus."""
+    return P.deduped(spark, sf).select("review_id", tx.tokenize_filtered("review_text").alias("tok_review"))
+
+
+@query("strip_html_pages", O.with_chain("reviews", body="""
+SELECT page_id, regexp_replace(html, '<[^\\n]*?>', '', 'g') AS text FROM pages"""))
+def q_strip_html_pages(spark, sf):
+    """TX6 on raw web pages."""
+    return fixtures.table(spark, sf, "pages").select("page_id", tx.strip_html("html").alias("text"))
+
+
+@query("strip_urls", O.with_chain("reviews", body="""
+SELECT page_id, regexp_replace(concat('see ', url, ' now'), 'http[^\\x09-\\x0d\\x1c-\\x20]+', '', 'g') AS text
+FROM pages"""))
+def q_strip_urls(spark, sf):
+    """TX9 on text holding a URL."""
+    p = fixtures.table(spark, sf, "pages")
+    return p.select("page_id", tx.strip_urls(F.concat(F.lit("see "), F.col("url"), F.lit(" now"))).alias("text"))
+
+
+@query("clean_pages", O.with_chain("reviews", body=f"""
+SELECT page_id, {O.sql_tokenize_filtered("concat(html, ' see ', url, ' now')")} AS tok_page FROM pages"""))
+def q_clean_pages(spark, sf):
+    """TX5-TX13 on whole HTML pages with their URL appended."""
+    p = fixtures.table(spark, sf, "pages")
+    src = F.concat(F.col("html"), F.lit(" see "), F.col("url"), F.lit(" now"))
+    return p.select("page_id", tx.tokenize_filtered(src).alias("tok_page"))
+
+
+_DECORATED = "concat(review_text, ' couldna it''s don''t the a')"
+
+
+@query("expand_contractions", O.with_chain("deduped", body=f"""
+SELECT review_id, {O.sql_tokenize_filtered(_DECORATED)} AS tok_review FROM deduped"""))
+def q_expand_contractions(spark, sf):
+    """TX11 in the original order (after cleaning), on decorated texts."""
+    src = F.concat(F.col("review_text"), F.lit(" couldna it's don't the a"))
+    return P.deduped(spark, sf).select("review_id", tx.tokenize_filtered(src).alias("tok_review"))
+
+
+def _sql_token_contractions(x: str) -> str:
+    cases = " ".join(f"WHEN {O._q(k.lower())} THEN {O._q(v.lower())}" for k, v in CONTRACTIONS.items())
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: CASE w {cases} ELSE w END), ' ')")
+
+
+@query("expand_contractions_tokens", O.with_chain("deduped", body=f"""
+SELECT review_id, {_sql_token_contractions(O.sql_collapse("lower(" + _DECORATED + ")"))} AS expanded FROM deduped"""))
+def q_expand_contractions_tokens(spark, sf):
+    """TX11, whole-token mode with lower-cased keys (before cleaning)."""
+    src = tx.collapse_whitespace(F.lower(F.concat(F.col("review_text"), F.lit(" couldna it's don't the a"))))
+    return P.deduped(spark, sf).select("review_id", tx.expand_contractions(src, mode="tokens").alias("expanded"))
+
+
+@query("remove_stopwords", O.with_chain("deduped", body=f"""
+SELECT review_id, {O.sql_remove_stopwords('review_text')} AS text FROM deduped"""))
+def q_remove_stopwords(spark, sf):
+    """TX12 on the normalised texts."""
+    return P.deduped(spark, sf).select("review_id", tx.remove_stopwords("review_text").alias("text"))
+
+
+_CLEANED = f"cleaned AS (SELECT review_id, rating, {O.sql_tokenize_filtered('review_text')} AS tok FROM train)"
+
+
+def _cleaned_train(spark, sf):
+    return P.train_rows(spark, sf).select("review_id", "rating", tx.tokenize_filtered("review_text").alias("tok"))
+
+
+def _sql_top_ngrams(n: int, k: int) -> str:
+    return f"""
+SELECT rating, ngram, n, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT rating, ngram, n, row_number() OVER (PARTITION BY rating ORDER BY n DESC, ngram) AS rank
+  FROM (SELECT rating, ngram, count(*) AS n FROM (
+          SELECT rating, unnest(list_transform(range(1, len(t) - {n} + 2),
+                                lambda i: array_to_string(t[i:i + {n - 1}], ' '))) AS ngram
+          FROM (SELECT rating, regexp_extract_all(lower(tok), '\\b\\w\\w+\\b') AS t FROM cleaned))
+        GROUP BY rating, ngram))
+WHERE rank <= {k}"""
+
+
+@query("top_bigrams", O.with_chain("split", _CLEANED, body=_sql_top_ngrams(2, 10)))
+def q_top_bigrams(spark, sf):
+    """AG12: the 10 most frequent bigrams per rating (train, cleaned text)."""
+    return NG.top_ngrams(_cleaned_train(spark, sf), "tok", 2, "rating", 10)
+
+
+@query("top_trigrams", O.with_chain("split", _CLEANED, body=_sql_top_ngrams(3, 10)))
+def q_top_trigrams(spark, sf):
+    """AG12: the 10 most frequent trigrams per rating (train, cleaned text)."""
+    return NG.top_ngrams(_cleaned_train(spark, sf), "tok", 3, "rating", 10)
+
+
+@query("top_words", O.with_chain("split", _CLEANED, body="""
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split(tok, ' ')) AS word FROM cleaned)
+WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 200"""))
+def q_top_words(spark, sf):
+    """AG13: the 200 most frequent cleaned words (train)."""
+    return NG.top_words(_cleaned_train(spark, sf), "tok", 200)
+
+
+# Query parameters: a small lexicon on words that occur in the test corpus,
+# plus negators and intensifiers, standing in for a user-supplied lexicon.
+LEXICON = [("de", 0.1), ("la", 0.3), ("der", -0.2), ("und", 0.5), ("que", -0.4), ("ment", 0.6),
+           ("ing", -0.7), ("tion", 0.25), ("ble", 0.8), ("elle", -0.5), ("est", 0.9), ("ein", -0.9),
+           ("les", 0.35), ("die", -0.15), ("ly", 0.45)]
+NEGATORS = ["nicht", "kein", "pas", "ne", "no", "never"]
+INTENSIFIERS = {"sehr": 1.3, "tres": 1.3, "tre": 1.5, "very": 1.3, "ou": 2.0}
+
+
+def _lexicon_df(spark):
+    return spark.createDataFrame(LEXICON, "word string, polarity double")
+
+
+def _sql_lexicon() -> str:
+    vals = ", ".join(f"({O._q(w)}, CAST({p!r} AS DOUBLE))" for w, p in LEXICON)
+    return f"lex AS (SELECT * FROM (VALUES {vals}) t(word, pol))"
+
+
+def _sql_polarity(negated: bool) -> str:
+    s = "pol"
+    if negated:
+        neg = ", ".join(O._q(w) for w in NEGATORS)
+        s = f"CASE WHEN prev IN ({neg}) THEN pol * -0.5 ELSE pol END"
+        cases = " ".join(f"WHEN {O._q(k)} THEN CAST({v!r} AS DOUBLE)" for k, v in INTENSIFIERS.items())
+        s = f"greatest(-1.0, least(1.0, ({s}) * coalesce(CASE prev {cases} END, 1.0)))"
+    return f"""
+pairs AS (SELECT review_id, rating, unnest(t) AS word, unnest(list_prepend(NULL, t[1:len(t) - 1])) AS prev
+          FROM (SELECT review_id, rating, string_split(tok, ' ') AS t FROM cleaned)),
+pol AS (SELECT review_id, rating, coalesce(avg({s}), 0.0) AS polarity
+        FROM pairs LEFT JOIN lex USING (word) GROUP BY review_id, rating)"""
+
+
+@query("polarity", O.with_chain("split", _CLEANED, _sql_lexicon(), _sql_polarity(False), body="""
+SELECT review_id, rating, round(polarity, 6) AS polarity FROM pol"""))
+def q_polarity(spark, sf):
+    """TX16: mean lexicon score of the cleaned tokens (train)."""
+    p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
+    return p.select("review_id", "rating", F.round("polarity", 6).alias("polarity"))
+
+
+@query("polarity_negated", O.with_chain("split", _CLEANED, _sql_lexicon(), _sql_polarity(True), body="""
+SELECT review_id, rating, round(polarity, 6) AS polarity FROM pol"""))
+def q_polarity_negated(spark, sf):
+    """TX17: polarity with negation and intensifier context (train)."""
+    p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"],
+                    negators=NEGATORS, intensifiers=INTENSIFIERS)
+    return p.select("review_id", "rating", F.round("polarity", 6).alias("polarity"))
+
+
+@query("polarity_boxplot_by_rating", O.with_chain(
+    "split", _CLEANED, _sql_lexicon(), _sql_polarity(False), _sql_boxplot("pol", "rating", "polarity"), body="""
+SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
+FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
+def q_polarity_boxplot_by_rating(spark, sf):
+    """AG9 on polarity per rating (train)."""
+    p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
+    return eda.boxplot_stats(p, "rating", "polarity")
