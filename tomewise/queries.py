@@ -556,3 +556,237 @@ def q_polarity_boxplot_by_rating(spark, sf):
     """AG9 on polarity per rating (train)."""
     p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
     return eda.boxplot_stats(p, "rating", "polarity")
+
+
+# --- Step 5: scoring and evaluation on the logits fixture, vocabulary -------
+
+from tomewise.functions import logits as LG  # noqa: E402
+from tomewise.operators import metrics as M  # noqa: E402
+from tomewise.operators import vocab as V  # noqa: E402
+
+
+def _sql_scored(first: int = 1) -> str:
+    return f"""
+lg AS (SELECT vec_id AS review_id,
+              CASE WHEN vec_id % 5 = 0 THEN 'test' WHEN vec_id % 5 = 1 THEN 'valid' ELSE 'train' END AS split,
+              CAST(label AS INTEGER) AS label, embedding[{first}:{first + 9}] AS logits FROM embeddings),
+scored AS (SELECT review_id, split, label, logits,
+                  CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS prediction,
+                  CAST(list_max(logits) AS DOUBLE) AS mx FROM lg)"""
+
+
+def _scored(spark, sf, model: int = 0):
+    lg = fixtures.logits(spark, sf, model)
+    return lg.withColumn("prediction", LG.argmax("logits"))
+
+
+@query("argmax_logits", O.with_chain("reviews", _sql_scored(), body="""
+SELECT review_id, prediction FROM scored"""))
+def q_argmax_logits(spark, sf):
+    """ML8: first index of the maximum logit."""
+    return _scored(spark, sf).select("review_id", "prediction")
+
+
+_SQL_CONF = "1.0 / list_sum(list_transform(logits, lambda x: exp(CAST(x AS DOUBLE) - mx)))"
+
+
+@query("softmax_confidence", O.with_chain("reviews", _sql_scored(), body=f"""
+SELECT review_id, prediction, round({_SQL_CONF}, 6) AS confidence FROM scored"""))
+def q_softmax_confidence(spark, sf):
+    """ML9: probability of the predicted class (stable softmax)."""
+    s = _scored(spark, sf)
+    return s.select("review_id", "prediction", F.round(LG.confidence("logits"), 6).alias("confidence"))
+
+
+@query("label_to_rating", O.with_chain("reviews", _sql_scored(), body="""
+SELECT review_id, concat('LABEL_', CAST(prediction AS VARCHAR)) AS label_name,
+       CAST(split_part(concat('LABEL_', CAST(prediction AS VARCHAR)), '_', -1) AS INTEGER) AS rating
+FROM scored"""))
+def q_label_to_rating(spark, sf):
+    """ML10: service labels ``LABEL_i`` to integer classes."""
+    s = _scored(spark, sf).withColumn("label_name", LG.label_name("prediction"))
+    return s.select("review_id", "label_name", LG.label_to_rating("label_name").alias("rating"))
+
+
+def _model_long(spark, sf):
+    parts = []
+    for model, name in ((0, "A"), (1, "B")):
+        s = _scored(spark, sf, model)
+        parts.append(s.select("review_id", F.lit(name).alias("model_name"),
+                              LG.label_to_rating(LG.label_name("prediction")).alias("label"),
+                              F.round(LG.confidence("logits"), 6).alias("score")))
+    return parts[0].unionByName(parts[1])
+
+
+_SQL_MODELS = [
+    _sql_scored(1).replace("lg AS", "lga AS").replace("FROM lg)", "FROM lga)").replace("scored AS", "sa AS"),
+    _sql_scored(11).replace("lg AS", "lgb AS").replace("FROM lg)", "FROM lgb)").replace("scored AS", "sb AS"),
+    f"""mlong AS (SELECT review_id, 'A' AS model_name, prediction AS label, round({_SQL_CONF}, 6) AS score FROM sa
+              UNION ALL
+              SELECT review_id, 'B', prediction, round({_SQL_CONF}, 6) FROM sb)""",
+]
+
+
+@query("model_comparison", O.with_chain("reviews", *_SQL_MODELS, body="""
+SELECT review_id, model_name, label, score FROM mlong"""))
+def q_model_comparison(spark, sf):
+    """ML11: two models on the same texts, long form (model, label, score)."""
+    return _model_long(spark, sf)
+
+
+@query("model_agreement", O.with_chain("reviews", *_SQL_MODELS, body="""
+SELECT count(*) AS n, CAST(count_if(a = b) AS BIGINT) AS n_agree, avg(CAST(a = b AS DOUBLE)) AS agreement
+FROM (SELECT review_id, max(label) FILTER (WHERE model_name = 'A') AS a,
+             max(label) FILTER (WHERE model_name = 'B') AS b FROM mlong GROUP BY review_id)"""))
+def q_model_agreement(spark, sf):
+    """ML11: agreement rate of the two models (pivot by model)."""
+    wide = _model_long(spark, sf).groupBy("review_id").pivot("model_name", ["A", "B"]).agg(F.first("label"))
+    return wide.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("A") == F.col("B")).alias("n_agree"),
+                    F.avg((F.col("A") == F.col("B")).cast("double")).alias("agreement"))
+
+
+@query("eval_by_split", O.with_chain("reviews", _sql_scored(), body="""
+SELECT review_id, split, label, prediction FROM scored"""))
+def q_eval_by_split(spark, sf):
+    """SO2: per-split predictions appended into one table."""
+    s = _scored(spark, sf).select("review_id", "split", "label", "prediction")
+    out = None
+    for name in ("train", "valid", "test"):
+        part = s.where(F.col("split") == name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("accuracy_by_split", O.with_chain("reviews", _sql_scored(), body="""
+SELECT split, count(*) AS n, avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM scored GROUP BY split"""))
+def q_accuracy_by_split(spark, sf):
+    """ML12: accuracy of each split."""
+    return M.accuracy(_scored(spark, sf))
+
+
+@query("micro_metrics", O.with_chain("reviews", _sql_scored(), body="""
+SELECT split, tp / total AS precision_micro, tp / total AS recall_micro,
+       CASE WHEN tp > 0 THEN tp / total ELSE 0.0 END AS f1_micro
+FROM (SELECT split, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS tp, count(*) AS total
+      FROM scored GROUP BY split)"""))
+def q_micro_metrics(spark, sf):
+    """ML13: micro precision, recall and F1 per split."""
+    return M.micro_metrics(_scored(spark, sf))
+
+
+@query("f1_per_class", O.with_chain("reviews", _sql_scored(), """
+t AS (SELECT * FROM scored WHERE split = 'test'),
+grid AS (SELECT CAST(range AS INTEGER) AS label FROM range(10)),
+tp AS (SELECT label, count(*) AS tp FROM t WHERE label = prediction GROUP BY label),
+nt AS (SELECT label, count(*) AS n_true FROM t GROUP BY label),
+np_ AS (SELECT prediction AS label, count(*) AS n_pred FROM t GROUP BY prediction)""", body="""
+SELECT label, CASE WHEN coalesce(n_true, 0) + coalesce(n_pred, 0) > 0
+                   THEN 2.0 * coalesce(tp, 0) / (coalesce(n_true, 0) + coalesce(n_pred, 0)) ELSE 0.0 END AS f1
+FROM grid LEFT JOIN tp USING (label) LEFT JOIN nt USING (label) LEFT JOIN np_ USING (label)"""))
+def q_f1_per_class(spark, sf):
+    """ML14: F1 of every class on the test split (0 where undefined)."""
+    s = _scored(spark, sf).where(F.col("split") == "test")
+    return M.f1_per_class(s, list(range(10)))
+
+
+@query("confusion_matrix", O.with_chain("reviews", _sql_scored(), """
+cnt AS (SELECT split, label, prediction, count(*) AS n FROM scored GROUP BY split, label, prediction),
+seen AS (SELECT split, label AS c FROM cnt UNION SELECT split, prediction FROM cnt)""", body="""
+SELECT a.split, a.c AS label, b.c AS prediction, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+FROM seen a JOIN seen b USING (split)
+LEFT JOIN cnt ON cnt.split = a.split AND cnt.label = a.c AND cnt.prediction = b.c"""))
+def q_confusion_matrix(spark, sf):
+    """ML15: dense confusion matrix per split."""
+    return M.confusion_matrix(_scored(spark, sf))
+
+
+@query("adjacent_confusion_rate", O.with_chain("reviews", _sql_scored(), body="""
+SELECT split, count(*) AS n_errors, CAST(count_if(abs(label - prediction) = 1) AS BIGINT) AS n_adjacent,
+       count_if(abs(label - prediction) = 1) / count(*) AS adjacent_rate
+FROM scored WHERE label <> prediction GROUP BY split"""))
+def q_adjacent_confusion_rate(spark, sf):
+    """ML16: share of errors on a neighbouring class."""
+    return M.adjacent_confusion_rate(_scored(spark, sf))
+
+
+@query("worst_confusions", O.with_chain("normalised", _sql_scored(), body="""
+SELECT s.split, s.review_id, n.review_text, s.label FROM scored s JOIN normalised n USING (review_id)
+WHERE s.split IN ('valid', 'test') AND s.label = 0 AND s.prediction = 5"""))
+def q_worst_confusions(spark, sf):
+    """ML17: true 0 predicted 5 on valid and test, with the review text."""
+    s = _scored(spark, sf).where(F.col("split").isin("valid", "test"))
+    texts = P.normalised(spark, sf).select("review_id", "review_text")
+    return M.worst_confusions(s, texts, 0, 5).select("split", "review_id", "review_text", "label")
+
+
+VOCAB_SIZE = 2000
+MAX_LEN = 512
+
+_SQL_VOCAB = f"""
+vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) + 3 AS INTEGER) AS id, n
+          FROM (SELECT word, count(*) AS n FROM (
+                  SELECT unnest(list_filter(string_split(review_text, ' '), lambda w: w <> '')) AS word FROM train)
+                GROUP BY word)
+          ORDER BY n DESC, word LIMIT {VOCAB_SIZE})"""
+
+_SQL_ENCODE = f"""
+tk AS (SELECT review_id, split, rating,
+              list_filter(string_split(review_text, ' '), lambda w: w <> '')[1:{MAX_LEN - 2}] AS t FROM splitted),
+ex AS (SELECT review_id, unnest(t) AS word, unnest(range(1, len(t) + 1)) AS pos FROM tk),
+ids AS (SELECT ex.review_id, list(coalesce(v.id, 1) ORDER BY pos) AS ids
+        FROM ex LEFT JOIN vocab v USING (word) GROUP BY ex.review_id),
+core AS (SELECT tk.review_id, tk.split, tk.rating, list_concat([2], coalesce(ids.ids, []), [3]) AS c
+         FROM tk LEFT JOIN ids USING (review_id)),
+enc AS (SELECT review_id, split, rating,
+               list_concat(c, list_transform(range({MAX_LEN} - len(c)), lambda x: 0)) AS input_ids,
+               list_concat(list_transform(range(len(c)), lambda x: 1),
+                           list_transform(range({MAX_LEN} - len(c)), lambda x: 0)) AS attention_mask
+        FROM core)"""
+
+
+def _vocab(spark, sf):
+    return V.build_vocab(P.train_rows(spark, sf), "review_text", VOCAB_SIZE)
+
+
+def _encoded(spark, sf):
+    rows = P.split_processed(spark, sf)
+    enc = V.encode(rows, _vocab(spark, sf), "review_text", "review_id", MAX_LEN)
+    return enc.join(rows.select("review_id", "split", "rating"), "review_id")
+
+
+@query("vocab_build", O.with_chain("split", _SQL_VOCAB, body="SELECT word, id, n FROM vocab"))
+def q_vocab_build(spark, sf):
+    """ML1: the 2000 most frequent train words with ids from 4."""
+    return _vocab(spark, sf)
+
+
+@query("encode_ids", O.with_chain("split", _SQL_VOCAB, _SQL_ENCODE, body="""
+SELECT review_id, array_to_string(input_ids, ',') AS input_ids,
+       array_to_string(attention_mask, ',') AS attention_mask FROM enc"""))
+def q_encode_ids(spark, sf):
+    """ML2: ids and mask of length 512 for every processed review."""
+    e = _encoded(spark, sf)
+    return e.select("review_id", V.ids_to_string("input_ids").alias("input_ids"),
+                    V.ids_to_string("attention_mask").alias("attention_mask"))
+
+
+@query("project_model_inputs", O.with_chain("split", _SQL_VOCAB, _SQL_ENCODE, body="""
+SELECT array_to_string(input_ids, ',') AS input_ids, array_to_string(attention_mask, ',') AS attention_mask,
+       rating AS labels FROM enc WHERE split = 'train'"""))
+def q_project_model_inputs(spark, sf):
+    """PF1-PF3: keep the model inputs, rename rating to labels (train)."""
+    e = _encoded(spark, sf).where(F.col("split") == "train")
+    e = e.select("input_ids", "attention_mask", "rating").withColumnRenamed("rating", "labels")
+    return e.select(V.ids_to_string("input_ids").alias("input_ids"),
+                    V.ids_to_string("attention_mask").alias("attention_mask"), "labels")
+
+
+@query("decode_roundtrip", O.with_chain("split", _SQL_VOCAB, _SQL_ENCODE, body="""
+SELECT e.review_id, coalesce(array_to_string(list(v.word ORDER BY x.pos) FILTER (WHERE x.id >= 4), ' '), '') AS text
+FROM enc e, LATERAL (SELECT unnest(e.input_ids) AS id, unnest(range(1, len(e.input_ids) + 1)) AS pos) x
+LEFT JOIN vocab v ON v.id = x.id
+GROUP BY e.review_id"""))
+def q_decode_roundtrip(spark, sf):
+    """ML3: decode(encode(text)) with special tokens skipped."""
+    e = _encoded(spark, sf)
+    return V.decode(e, _vocab(spark, sf), "review_id", "input_ids")
