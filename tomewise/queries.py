@@ -790,3 +790,102 @@ def q_decode_roundtrip(spark, sf):
     """ML3: decode(encode(text)) with special tokens skipped."""
     e = _encoded(spark, sf)
     return V.decode(e, _vocab(spark, sf), "review_id", "input_ids")
+
+
+# --- Step 6/7: training, sweep, scoring, streaming, IO -----------------------
+
+import uuid  # noqa: E402
+
+from tomewise.operators import model as ML  # noqa: E402
+from tomewise.operators.scoring import score_splits  # noqa: E402
+from tomewise.session import checkpoint_dir  # noqa: E402
+from tomewise.sources import datasets as IO  # noqa: E402
+from tomewise.streaming import scorer as ST  # noqa: E402
+
+
+def _scratch(spark, what: str) -> str:
+    return f"{checkpoint_dir(spark)}/{what}/{uuid.uuid4().hex}"
+
+
+def _fit(spark, sf, kind: str = "logistic"):
+    return ML.train_classifier(P.train_rows(spark, sf), ML.TrainConfig(kind=kind))
+
+
+@query("train_classifier_report")
+def q_train_classifier_report(spark, sf):
+    """ML4: fit on train, accuracy on train / valid / test."""
+    rows = P.split_processed(spark, sf)
+    scored = score_splits(_fit(spark, sf), rows)
+    return M.accuracy(scored)
+
+
+SWEEP_TRIALS = 20
+
+
+def _sweep(spark, sf):
+    """The sweep's results table, written once per input (IO9)."""
+    def build():
+        rows = P.split_processed(spark, sf)
+        return ML.sweep(spark, rows.where(F.col("split") == "train"), rows.where(F.col("split") == "valid"),
+                        n_trials=SWEEP_TRIALS, seed=42)
+    return IO.materialize(spark, "sweep_results", P._fp(sf, 42, SWEEP_TRIALS), build)
+
+
+@query("sweep_results")
+def q_sweep_results(spark, sf):
+    """ML5: 20 seeded random draws, validation accuracy of each."""
+    return _sweep(spark, sf)
+
+
+@query("sweep_best")
+def q_sweep_best(spark, sf):
+    """ML6: the best trial of the sweep."""
+    return ML.best_trial(_sweep(spark, sf))
+
+
+@query("score_splits")
+def q_score_splits(spark, sf):
+    """ML7: predicted class and confidence for every row of every split."""
+    return score_splits(_fit(spark, sf), P.split_processed(spark, sf))
+
+
+@query("stream_scores")
+def q_stream_scores(spark, sf):
+    """ST1: reviews land as files; a stream scores them with two models."""
+    models = {"logistic": _fit(spark, sf, "logistic"), "naive_bayes": _fit(spark, sf, "naive_bayes")}
+    base = _scratch(spark, "stream")
+    arriving = fixtures.reviews(spark, sf).join(P.processed(spark, sf).select("review_id"), "review_id", "left_semi")
+    ST.land(arriving, f"{base}/in")
+    q = ST.start_scorer(spark, f"{base}/in", f"{base}/out", f"{base}/chk", models)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("io_split_roundtrip")
+def q_io_split_roundtrip(spark, sf):
+    """IO3 + IO4: write one directory per split, read train back by pruning."""
+    path = _scratch(spark, "splits")
+    IO.write_splits(P.split_processed(spark, sf).select("review_id", "book_id", "rating", "split"), path)
+    return IO.read_split(spark, path, "train")
+
+
+@query("versioned_publish_latest")
+def q_versioned_publish_latest(spark, sf):
+    """IO5 + IO6: publish two versions, resolve ``latest`` via the manifest."""
+    root = _scratch(spark, "registry")
+    d = P.processed(spark, sf).select("review_id", "rating")
+    IO.publish(spark, d.where(F.col("rating") < 3), "processed_data", root=root)
+    v = IO.publish(spark, d, "processed_data", root=root)
+    return IO.read_latest(spark, "processed_data", root=root).withColumn("version", F.lit(v))
+
+
+@query("io_csv_roundtrip", O.with_chain("normalised", body="""
+SELECT review_id, CASE WHEN review_text = '' THEN NULL ELSE review_text END AS review_text, rating
+FROM normalised"""))
+def q_io_csv_roundtrip(spark, sf):
+    """IO1 + IO2: multi-line quoted texts survive a CSV write and read."""
+    path = _scratch(spark, "csv")
+    IO.write_csv(P.normalised(spark, sf).select("review_id", "review_text", "rating"), path)
+    schema = "review_id bigint, review_text string, rating int"
+    from pyspark.sql.types import _parse_datatype_string
+    return IO.read_csv(spark, path, _parse_datatype_string(schema))
