@@ -117,45 +117,97 @@ def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
 
 # SP3, batched greedy --------------------------------------------------------
 
+def _greedy_pick_driver(prices: list, n_folds: int, cap: int) -> list[tuple]:
+    """Cheapest (group, fold) pairs first, at most ``cap`` groups per fold."""
+    room = [cap] * n_folds
+    done = set()
+    out = []
+    for price, g, f in sorted(prices):
+        if g in done or room[f] <= 0:
+            continue
+        done.add(g)
+        room[f] -= 1
+        out.append((g, f))
+    return out
+
+
+def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
+                       checkpoint: bool) -> DataFrame:
+    """Same pick with windows only: each open group proposes its cheapest open
+    fold, a fold accepts proposals up to its free room; k passes."""
+    chosen = None
+    room = {f: cap for f in range(n_folds)}
+    for _ in range(n_folds):
+        open_folds = [f for f, c in room.items() if c > 0]
+        if not open_folds:
+            break
+        cand = price.where(F.col("fold").isin(open_folds))
+        if chosen is not None:
+            cand = cand.join(chosen.select(group_col), group_col, "left_anti")
+        best = (cand.withColumn("_r", F.row_number().over(
+                    Window.partitionBy(group_col).orderBy("price", "fold")))
+                    .where(F.col("_r") == 1).drop("_r"))
+        room_col = F.element_at(F.create_map(*[x for f in open_folds
+                                                for x in (F.lit(f), F.lit(room[f]))]), F.col("fold"))
+        acc = (best.withColumn("_q", F.row_number().over(
+                    Window.partitionBy("fold").orderBy("price", group_col)))
+                   .where(F.col("_q") <= room_col).select(group_col, "fold"))
+        acc = acc.checkpoint() if checkpoint else acc.cache()
+        took = {r["fold"]: r["count"] for r in acc.groupBy("fold").count().collect()}
+        for f, c in took.items():
+            room[f] -= c
+        chosen = acc if chosen is None else chosen.unionByName(acc)
+        if sum(took.values()) == 0:
+            break
+    return chosen
+
+
 def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "book_id",
                            stratum_col: str = "user_id", seed: int = 42,
-                           rounds: int = 8, checkpoint: bool = True) -> DataFrame:
+                           rounds: int = 8, checkpoint: bool = True,
+                           driver_pick_limit: int = 500_000, min_batch: int = 32) -> DataFrame:
     """SP3 (balanced): ``group_col, fold`` with groups intact and every
     stratum spread as evenly as possible over the folds.
 
     Groups are ordered by (rows desc, seeded key) and cut into ``rounds``
     batches.  In a round each (group, fold) is priced by how much it raises
-    the squared stratum shares of the fold, ``sum_s 2*F[f,s]*m[g,s]/T_s**2``,
-    then groups take folds cheapest-first with at most ceil(batch/k) groups
-    per fold.  The pick is k passes of two windows: each open group proposes
-    its cheapest open fold, a fold accepts proposals up to its free room.
-    All of it runs on group-level tables; the running fold totals are
-    checkpointed between rounds.
+    the squared stratum shares of the fold, ``sum_s 2*F[f,s]*m[g,s]/T_s**2``
+    (a join of the batch's group x stratum counts with the running fold x
+    stratum totals, then an aggregate), and groups take folds cheapest-first
+    with at most ceil(batch/k) groups per fold.  The pick runs on the driver
+    when the round's price list (batch x k rows) is below
+    ``driver_pick_limit``, else as k passes of two windows in Spark.  Only
+    group-level tables are touched; the running totals are checkpointed
+    between rounds.
     """
+    spark = df.sparkSession
     m = (df.where(F.col(group_col).isNotNull())
            .groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("m")))
     totals = m.groupBy(stratum_col).agg(F.sum("m").alias("T"))
     g = m.groupBy(group_col).agg(F.sum("m").alias("n"))
-    order = Window.orderBy(F.col("n").desc(), seeded_key(seed, group_col), F.col(group_col))
-    # Ranking the group table (not rows): one task over distinct groups.
-    g = g.withColumn("_idx", F.row_number().over(order) - 1)
-    if checkpoint:
-        g = g.checkpoint()
-    n_groups = g.count()
+    # Global order of the group table: a range-partitioned sort, then
+    # zipWithIndex (per-partition offsets); no single-task window.
+    ordered = g.orderBy(F.col("n").desc(), seeded_key(seed, group_col), F.col(group_col)).select(group_col)
+    idx = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
+    g_type = ordered.schema[group_col].dataType.simpleString()
+    gi = spark.createDataFrame(idx, f"{group_col} {g_type}, _idx long")
+    gi = gi.cache()
+    n_groups = gi.count()
     if n_groups == 0:
-        return g.select(group_col, F.lit(0).alias("fold"))
-    rounds = max(1, min(rounds, n_groups))
+        return gi.select(group_col, F.lit(0).alias("fold"))
+    rounds = max(1, min(rounds, math.ceil(n_groups / min_batch)))
     batch = math.ceil(n_groups / rounds)
-    mp = (m.join(totals, stratum_col).join(g.select(group_col, "_idx"), group_col)
+    mp = (m.join(totals, stratum_col).join(gi, group_col)
             .withColumn("_round", (F.col("_idx") / batch).cast("int")))
-    if checkpoint:
-        mp = mp.checkpoint()
+    mp = mp.checkpoint() if checkpoint else mp.cache()
     state = None  # stratum, fold, F
-    assigned = None
+    driver_picks: list[tuple] = []
+    spark_picks = None
     for r in range(rounds):
         mb = mp.where(F.col("_round") == r)
-        gb = mb.select(group_col).distinct()
-        nb = n_groups - r * batch if r == rounds - 1 else batch
+        nb = min(batch, n_groups - r * batch)
+        if nb <= 0:
+            break
         cap = math.ceil(nb / n_folds)
         # price every (group, fold): the fold axis is the parameter k.
         pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
@@ -166,45 +218,28 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
         price = (pairs.groupBy(group_col, "fold").agg(
             F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
                   / (F.col("T") * F.col("T"))).alias("price")))
-        chosen = None
-        room = {f: cap for f in range(n_folds)}
-        open_price = price
-        for _ in range(n_folds):
-            open_folds = [f for f, c in room.items() if c > 0]
-            if not open_folds:
-                break
-            cand = open_price.where(F.col("fold").isin(open_folds))
-            if chosen is not None:
-                cand = cand.join(chosen.select(group_col), group_col, "left_anti")
-            best = (cand.withColumn("_r", F.row_number().over(
-                        Window.partitionBy(group_col).orderBy("price", "fold")))
-                        .where(F.col("_r") == 1).drop("_r"))
-            room_col = F.element_at(F.create_map(*[x for f in open_folds
-                                                    for x in (F.lit(f), F.lit(room[f]))]),
-                                    F.col("fold"))
-            acc = (best.withColumn("_q", F.row_number().over(
-                        Window.partitionBy("fold").orderBy("price", group_col)))
-                       .where(F.col("_q") <= room_col).select(group_col, "fold"))
-            acc = acc.checkpoint() if checkpoint else acc.cache()
-            took = {row["fold"]: row["count"] for row in acc.groupBy("fold").count().collect()}
-            for f, c in took.items():
-                room[f] -= c
-            chosen = acc if chosen is None else chosen.unionByName(acc)
-            if sum(took.values()) == 0:
-                break
-        if chosen is None:
-            chosen = gb.limit(0).withColumn("fold", F.lit(0))
-        assigned = chosen if assigned is None else assigned.unionByName(chosen)
-        add = (mb.join(chosen, group_col).groupBy(stratum_col, "fold").agg(F.sum("m").alias("dF")))
+        if nb * n_folds <= driver_pick_limit:
+            rows = price.collect()
+            picks = _greedy_pick_driver([(row["price"], row[group_col], row["fold"]) for row in rows],
+                                        n_folds, cap)
+            driver_picks += picks
+            chosen = spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
+        else:
+            chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint)
+            spark_picks = chosen if spark_picks is None else spark_picks.unionByName(chosen)
+        add = mb.join(chosen, group_col).groupBy(stratum_col, "fold").agg(F.sum("m").alias("dF"))
         if state is None:
             state = add.select(stratum_col, "fold", F.col("dF").alias("F"))
         else:
             state = (state.join(add, [stratum_col, "fold"], "full")
                           .select(stratum_col, "fold",
                                   (F.coalesce("F", F.lit(0)) + F.coalesce("dF", F.lit(0))).alias("F")))
-        state = state.checkpoint() if checkpoint else state.cache()
-        assigned = assigned.checkpoint() if checkpoint else assigned.cache()
-    return assigned
+        # the running totals are small; cut their lineage every few rounds
+        state = state.checkpoint() if (checkpoint and r % 4 == 3) else state.cache()
+    out = spark.createDataFrame(driver_picks, f"{group_col} {g_type}, fold int")
+    if spark_picks is not None:
+        out = out.unionByName(spark_picks)
+    return out
 
 
 def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",

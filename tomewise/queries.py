@@ -370,16 +370,17 @@ def q_stratified_fold_balance(spark, sf):
 
 
 @query("active_user_folds", O.with_chain(
-    "processed",
-    "pu AS (SELECT user_id FROM processed GROUP BY user_id HAVING count(*) >= 5)",
-    "act AS (SELECT * FROM processed WHERE user_id IN (SELECT user_id FROM pu))",
+    "deduped",
+    "pu AS (SELECT user_id FROM deduped GROUP BY user_id HAVING count(*) >= 5)",
+    "act AS (SELECT * FROM deduped WHERE user_id IN (SELECT user_id FROM pu))",
     _sql_deal("act", 5, 42, "da"),
     body="""
 SELECT a.review_id, a.book_id, a.user_id, CASE WHEN da.fold = 0 THEN 'test' ELSE 'train' END AS split
 FROM act a JOIN da USING (book_id)"""))
 def q_active_user_folds(spark, sf):
-    """SP4: active users only (>= 5 reviews), then fold 0 of 5 dealt folds is test."""
-    return S.active_user_dealt_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
+    """SP4: active users only (>= 5 reviews), then fold 0 of 5 dealt folds is test
+    (on the deduplicated corpus, where active users exist at every scale)."""
+    return S.active_user_dealt_split(P.deduped(spark, sf)).select("review_id", "book_id", "user_id", "split")
 
 
 @query("stratified_group_folds")
