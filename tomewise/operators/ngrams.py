@@ -17,7 +17,10 @@ from tomewise.functions.text import ngrams, word_tokens
 def ngram_counts(df: DataFrame, text_col: str, n: int, class_col: str | None = None) -> DataFrame:
     """``[class,] ngram, n`` over the word tokens of ``text_col``."""
     keys = [class_col] if class_col else []
-    grams = df.select(*keys, F.explode(ngrams(word_tokens(text_col), n)).alias("ngram"))
+    # Tokens are projected first so the n-gram lambda reads a column instead
+    # of re-running the tokenizer for every position (linear, not quadratic).
+    toks = df.select(*keys, word_tokens(text_col).alias("_toks"))
+    grams = toks.select(*keys, F.explode(ngrams("_toks", n)).alias("ngram"))
     return grams.groupBy(*keys, "ngram").agg(F.count(F.lit(1)).alias("n"))
 
 

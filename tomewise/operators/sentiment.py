@@ -29,9 +29,10 @@ def polarity(df: DataFrame, lexicon: DataFrame, text_col: str, key_cols: list[st
              negators: list[str] | None = None, intensifiers: dict | None = None,
              negation_weight: float = -0.5) -> DataFrame:
     """``key_cols..., polarity`` for every row of ``df`` (keys must be unique)."""
-    toks = F.split(F.col(text_col), " ")
+    d = df.select(*key_cols, F.split(F.col(text_col), " ").alias("_w"))
+    toks = F.col("_w")
     prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
-    pairs = df.select(*key_cols, F.explode_outer(F.arrays_zip(toks.alias("w"), prev.alias("p"))).alias("_t"))
+    pairs = d.select(*key_cols, F.explode_outer(F.arrays_zip(toks.alias("w"), prev.alias("p"))).alias("_t"))
     pairs = pairs.select(*key_cols, F.col("_t.w").alias("word"), F.col("_t.p").alias("prev"))
     lex = _lexicon_side(lexicon.select(F.col("word"), F.col("polarity").cast("double").alias("_pol")))
     scored = pairs.join(lex, "word", "left")
