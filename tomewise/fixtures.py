@@ -11,8 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a single large file or row group), so per-row text work runs in
+    parallel.  A no-op for inputs that already split into enough tasks."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def rating_from_chars(n_chars: Column) -> Column:

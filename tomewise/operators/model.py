@@ -98,28 +98,35 @@ def accuracy_of(pred: DataFrame, label_col: str) -> float:
 
 
 def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
-          label_col: str = "rating", text_col: str = "review_text") -> DataFrame:
+          label_col: str = "rating", text_col: str = "review_text", parallelism: int = 4) -> DataFrame:
     """ML5: one fit per draw; the results table ``trial, params..., valid_accuracy``.
 
     The featurisation is fitted once per hash width and cached; trials differ
-    only in the classifier fit.
+    only in the classifier fit.  Up to ``parallelism`` trials are fitted at
+    once (concurrent Spark jobs, as ``CrossValidator(parallelism=...)``);
+    the results do not depend on the order.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     trials = draw_trials(n_trials, seed)
     feats = {}
-    rows = []
-    for t in trials:
+    for nf in sorted({t["num_features"] for t in trials}):
+        fcfg = TrainConfig(num_features=nf, text_col=text_col, label_col=label_col)
+        fm = Pipeline(stages=featurizer_stages(fcfg)).fit(train)
+        feats[nf] = (fm.transform(train).select("features", label_col).cache(),
+                     fm.transform(valid).select("features", label_col).cache())
+
+    def run(t):
         nf = t["num_features"]
-        if nf not in feats:
-            fcfg = TrainConfig(num_features=nf, text_col=text_col, label_col=label_col)
-            fm = Pipeline(stages=featurizer_stages(fcfg)).fit(train)
-            feats[nf] = (fm.transform(train).select("features", label_col).cache(),
-                         fm.transform(valid).select("features", label_col).cache())
         tr, va = feats[nf]
         cfg = TrainConfig(num_features=nf, reg_param=t["reg_param"], max_iter=t["max_iter"],
                           text_col=text_col, label_col=label_col)
-        lr = classifier(cfg).fit(tr)
-        acc = accuracy_of(lr.transform(va), label_col)
-        rows.append((t["trial"], float(t["reg_param"]), int(t["max_iter"]), int(nf), acc))
+        fitted = classifier(cfg).fit(tr)
+        acc = accuracy_of(fitted.transform(va), label_col)
+        return (t["trial"], float(t["reg_param"]), int(t["max_iter"]), int(nf), acc)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, trials))
     for tr, va in feats.values():
         tr.unpersist()
         va.unpersist()

@@ -117,22 +117,42 @@ def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
 
 # SP3, batched greedy --------------------------------------------------------
 
-def _greedy_pick_driver(prices: list, n_folds: int, cap: int) -> list[tuple]:
-    """Cheapest (group, fold) pairs first, at most ``cap`` groups per fold."""
-    room = [cap] * n_folds
-    done = set()
-    out = []
-    for price, g, f in sorted(prices):
-        if g in done or room[f] <= 0:
-            continue
-        done.add(g)
-        room[f] -= 1
-        out.append((g, f))
-    return out
+def _greedy_round_driver(m_rows: list, f_rows: list, n_folds: int, fold_rows: list) -> list[tuple]:
+    """Sequential greedy over one round's groups (largest first).
+
+    ``m_rows``: (idx, group, stratum, m, T); ``f_rows``: (stratum, fold, F)
+    for the round's strata.  Each group takes the fold whose squared stratum
+    shares grow least, ties to the fold with fewest rows; totals update after
+    every group, as in the one-at-a-time rule.
+    """
+    from collections import defaultdict
+    F_ = defaultdict(float)
+    for st, f, v in f_rows:
+        F_[(st, f)] = float(v)
+    by_group = defaultdict(list)
+    order = {}
+    for idx, g, st, m, T in m_rows:
+        by_group[g].append((st, float(m), float(T)))
+        order[g] = idx
+    picks = []
+    for g in sorted(by_group, key=lambda x: order[x]):
+        items = by_group[g]
+        best = None
+        for f in range(n_folds):
+            price = sum(2.0 * F_[(st, f)] * m / (T * T) for st, m, T in items)
+            cand = (round(price, 12), fold_rows[f], f)
+            if best is None or cand < best:
+                best = cand
+        f = best[2]
+        for st, m, _ in items:
+            F_[(st, f)] += m
+        fold_rows[f] += sum(m for _, m, _ in items)
+        picks.append((g, f))
+    return picks
 
 
 def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
-                       checkpoint: bool) -> DataFrame:
+                       checkpoint: bool, fold_rows: list | None = None) -> DataFrame:
     """Same pick with windows only: each open group proposes its cheapest open
     fold, a fold accepts proposals up to its free room; k passes."""
     chosen = None
@@ -144,8 +164,10 @@ def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
         cand = price.where(F.col("fold").isin(open_folds))
         if chosen is not None:
             cand = cand.join(chosen.select(group_col), group_col, "left_anti")
+        size = F.element_at(F.array(*[F.lit(int(x)) for x in (fold_rows or [0] * n_folds)]),
+                            F.col("fold") + 1)
         best = (cand.withColumn("_r", F.row_number().over(
-                    Window.partitionBy(group_col).orderBy("price", "fold")))
+                    Window.partitionBy(group_col).orderBy(F.round("price", 12), size, "fold")))
                     .where(F.col("_r") == 1).drop("_r"))
         room_col = F.element_at(F.create_map(*[x for f in open_folds
                                                 for x in (F.lit(f), F.lit(room[f]))]), F.col("fold"))
@@ -173,12 +195,13 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     batches.  In a round each (group, fold) is priced by how much it raises
     the squared stratum shares of the fold, ``sum_s 2*F[f,s]*m[g,s]/T_s**2``
     (a join of the batch's group x stratum counts with the running fold x
-    stratum totals, then an aggregate), and groups take folds cheapest-first
-    with at most ceil(batch/k) groups per fold.  The pick runs on the driver
-    when the round's price list (batch x k rows) is below
-    ``driver_pick_limit``, else as k passes of two windows in Spark.  Only
-    group-level tables are touched; the running totals are checkpointed
-    between rounds.
+    stratum totals, then an aggregate).  Within a round the driver places groups one at a time (largest first,
+    totals updated after each, ties to the fold with fewest rows) when the
+    round's group x stratum table has at most ``driver_pick_limit`` rows;
+    beyond that, k passes of two windows in Spark price each group against
+    the totals at the start of the round, with at most ceil(batch/k) groups
+    per fold.  Only group-level tables are touched; the running totals are
+    checkpointed between rounds.
     """
     spark = df.sparkSession
     m = (df.where(F.col(group_col).isNotNull())
@@ -200,6 +223,8 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     mp = (m.join(totals, stratum_col).join(gi, group_col)
             .withColumn("_round", (F.col("_idx") / batch).cast("int")))
     mp = mp.checkpoint() if checkpoint else mp.cache()
+    round_rows = {r["_round"]: r["count"] for r in mp.groupBy("_round").count().collect()}
+    fold_rows = [0] * n_folds
     state = None  # stratum, fold, F
     driver_picks: list[tuple] = []
     spark_picks = None
@@ -208,25 +233,31 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
         nb = min(batch, n_groups - r * batch)
         if nb <= 0:
             break
-        cap = math.ceil(nb / n_folds)
-        # price every (group, fold): the fold axis is the parameter k.
-        pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-        if state is not None:
-            pairs = pairs.join(state, [stratum_col, "fold"], "left")
-        else:
-            pairs = pairs.withColumn("F", F.lit(0))
-        price = (pairs.groupBy(group_col, "fold").agg(
-            F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
-                  / (F.col("T") * F.col("T"))).alias("price")))
-        if nb * n_folds <= driver_pick_limit:
-            rows = price.collect()
-            picks = _greedy_pick_driver([(row["price"], row[group_col], row["fold"]) for row in rows],
-                                        n_folds, cap)
+        if round_rows.get(r, 0) <= driver_pick_limit:
+            # the round's group x stratum counts and the totals of its strata
+            m_rows = [(x["_idx"], x[group_col], x[stratum_col], x["m"], x["T"])
+                      for x in mb.select("_idx", group_col, stratum_col, "m", "T").collect()]
+            f_rows = [] if state is None else [
+                (x[stratum_col], x["fold"], x["F"])
+                for x in state.join(mb.select(stratum_col).distinct(), stratum_col, "left_semi").collect()]
+            picks = _greedy_round_driver(m_rows, f_rows, n_folds, fold_rows)
             driver_picks += picks
             chosen = spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
         else:
-            chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint)
+            cap = math.ceil(nb / n_folds)
+            # price every (group, fold): the fold axis is the parameter k.
+            pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
+            if state is not None:
+                pairs = pairs.join(state, [stratum_col, "fold"], "left")
+            else:
+                pairs = pairs.withColumn("F", F.lit(0))
+            price = (pairs.groupBy(group_col, "fold").agg(
+                F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
+                      / (F.col("T") * F.col("T"))).alias("price")))
+            chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint, fold_rows)
             spark_picks = chosen if spark_picks is None else spark_picks.unionByName(chosen)
+            for x in mb.join(chosen, group_col).groupBy("fold").agg(F.sum("m").alias("n")).collect():
+                fold_rows[x["fold"]] += x["n"]
         add = mb.join(chosen, group_col).groupBy(stratum_col, "fold").agg(F.sum("m").alias("dF"))
         if state is None:
             state = add.select(stratum_col, "fold", F.col("dF").alias("F"))

@@ -36,16 +36,26 @@ def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_reviews(fixtures.reviews(spark, sf_dir))
 
 
-def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fp(sf_dir: str, *extra) -> str:
+    return input_fingerprint(f"{sf_dir.rstrip('/')}/documents.parquet") + "|" + "|".join(map(str, extra))
+
+
+def build_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_keep_first(normalised(spark, sf_dir))
 
 
-def build_processed(spark: SparkSession, sf_dir: str, seed: int = SEED) -> DataFrame:
-    return add_text_features(undersample(deduped(spark, sf_dir), "rating", seed))
+def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalised corpus, one row per distinct text, written once.
 
+    Balancing reads it several times (class counts, key histogram, boundary
+    buckets, final cut); from the written table those passes scan two
+    narrow columns instead of repeating the text shuffle.
+    """
+    return materialize(spark, "deduped", _fp(sf_dir), lambda: build_deduped(spark, sf_dir))
 
-def _fp(sf_dir: str, *extra) -> str:
-    return input_fingerprint(f"{sf_dir.rstrip('/')}/documents.parquet") + "|" + "|".join(map(str, extra))
+
+def build_processed(spark: SparkSession, sf_dir: str, seed: int = SEED) -> DataFrame:
+    return add_text_features(undersample(deduped(spark, sf_dir), "rating", seed))
 
 
 def processed(spark: SparkSession, sf_dir: str, seed: int = SEED) -> DataFrame:

@@ -91,8 +91,14 @@ def read_split(spark: SparkSession, path: str, split: str | None = None) -> Data
 
 # IO5, IO6, IO9 -------------------------------------------------------------
 
+STAGE_ROOT_CONF = "tomewise.stage.root"
+
+
 def default_root(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark)}/datasets"
+    """Where stages and published datasets live: ``tomewise.stage.root`` if
+    set, else ``<checkpoint folder>/datasets``."""
+    root = spark.conf.get(STAGE_ROOT_CONF, None)
+    return root.rstrip("/") if root else f"{checkpoint_dir(spark)}/datasets"
 
 
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
@@ -168,9 +174,21 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
     return spark.read.parquet(e["path"])
 
 
+def code_fingerprint() -> str:
+    """Hash of this package's source: a stage written by other code is never reused."""
+    import hashlib
+    import pathlib
+    h = hashlib.md5()
+    pkg = pathlib.Path(__file__).resolve().parent.parent
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
 def input_fingerprint(*paths: str) -> str:
-    """Path, size and mtime of the inputs (local or mounted paths)."""
-    parts = []
+    """Path, size and mtime of the inputs (local or mounted paths), plus the
+    code fingerprint."""
+    parts = [code_fingerprint()]
     for p in paths:
         try:
             st = os.stat(p)
