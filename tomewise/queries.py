@@ -890,3 +890,112 @@ def q_io_csv_roundtrip(spark, sf):
     schema = "review_id bigint, review_text string, rating int"
     from pyspark.sql.types import _parse_datatype_string
     return IO.read_csv(spark, path, _parse_datatype_string(schema))
+
+
+# --- Second data sets: dialogue turns, events, binary labels -----------------
+
+C_DIALOGUE = f"""
+dialogue AS (SELECT conv_id * 1000 + turn AS review_id, conv_id AS book_id, turn, role,
+                    trim(regexp_replace(lower(text), {O.WS}, ' ', 'g')) AS review_text
+             FROM conversations)"""
+
+
+def _dialogue(spark, sf):
+    d = fixtures.dialogue_reviews(spark, sf)
+    return d.withColumn("review_text", tx.normalise("review_text"))
+
+
+@query("dialogue_undersample", O.with_chain("reviews", C_DIALOGUE, """
+role_n AS (SELECT role, count(*) AS n FROM dialogue WHERE role IS NOT NULL GROUP BY role)""", body="""
+SELECT review_id, book_id, role FROM (
+  SELECT *, row_number() OVER (PARTITION BY role
+            ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id) AS rn
+  FROM dialogue WHERE role IS NOT NULL)
+WHERE rn <= (SELECT min(n) FROM role_n)"""))
+def q_dialogue_undersample(spark, sf):
+    """SP1 on a second, strongly imbalanced corpus (class = speaker role)."""
+    from tomewise.operators.sampling import undersample
+    return undersample(_dialogue(spark, sf), "role", 42).select("review_id", "book_id", "role")
+
+
+_C_DIALOGUE_SPLIT = C_DIALOGUE + ", " + O.C_SPLIT.replace("FROM processed", "FROM dialogue").replace(
+    "processed p", "dialogue p")
+
+
+@query("dialogue_group_split", O.with_chain("reviews", _C_DIALOGUE_SPLIT, body="""
+SELECT review_id, book_id, split FROM splitted"""))
+def q_dialogue_group_split(spark, sf):
+    """SP2 exact on conversations: no conversation in two splits."""
+    return S.group_split_exact(_dialogue(spark, sf)).select("review_id", "book_id", "split")
+
+
+@query("dialogue_split_class_mix", O.with_chain("reviews", _C_DIALOGUE_SPLIT, body="""
+SELECT split, role, n_rows, n_rows / sum(n_rows) OVER (PARTITION BY split) AS share
+FROM (SELECT split, role, count(*) AS n_rows FROM splitted GROUP BY split, role)"""))
+def q_dialogue_split_class_mix(spark, sf):
+    """SP5 on conversations: role mix per split."""
+    return S.split_class_mix(S.group_split_exact(_dialogue(spark, sf)), "role")
+
+
+_EV = "ev_n AS (SELECT user_id, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY user_id)"
+
+
+@query("event_activity_describe", O.with_chain("reviews", _EV, body="""
+SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS DOUBLE) AS min,
+       CAST(quantile_cont(n, 0.25) AS DOUBLE) AS q25, CAST(quantile_cont(n, 0.5) AS DOUBLE) AS q50,
+       CAST(quantile_cont(n, 0.75) AS DOUBLE) AS q75, CAST(max(n) AS DOUBLE) AS max FROM ev_n"""))
+def q_event_activity_describe(spark, sf):
+    """AG7 on a second activity table: events per user."""
+    return eda.describe(eda.value_counts(fixtures.events_activity(spark, sf), "user_id", "n"), "n")
+
+
+@query("event_activity_hist", O.with_chain("reviews", _EV, """
+rng AS (SELECT CASE WHEN min(n) = max(n) THEN CAST(min(n) AS DOUBLE) - 0.5 ELSE CAST(min(n) AS DOUBLE) END AS lo_,
+               CASE WHEN min(n) = max(n) THEN CAST(max(n) AS DOUBLE) + 0.5 ELSE CAST(max(n) AS DOUBLE) END AS hi_
+        FROM ev_n)""", body="""
+SELECT b.bin, (SELECT lo_ FROM rng) + b.bin * (((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng)) / 50.0) AS lo,
+       (SELECT lo_ FROM rng) + (b.bin + 1) * (((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng)) / 50.0) AS hi,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b
+LEFT JOIN (SELECT least(CAST(floor((CAST(n AS DOUBLE) - (SELECT lo_ FROM rng)) * 50.0
+                                   / ((SELECT hi_ FROM rng) - (SELECT lo_ FROM rng))) AS INTEGER), 49) AS bin,
+                  count(*) AS n
+           FROM ev_n GROUP BY 1) c USING (bin)"""))
+def q_event_activity_hist(spark, sf):
+    """AG6 on events per user: 50 bins over the data range."""
+    return eda.histogram_over_range(eda.value_counts(fixtures.events_activity(spark, sf), "user_id", "n"), "n", 50)
+
+
+@query("event_value_boxplot_by_type", O.with_chain("reviews", _sql_boxplot("events", "event_type", "value"), body="""
+SELECT st.g AS event_type, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
+FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
+def q_event_value_boxplot_by_type(spark, sf):
+    """AG9 on event values per event type."""
+    return eda.boxplot_stats(fixtures.events_activity(spark, sf), "event_type", "value")
+
+
+@query("quality_label_mix", O.with_chain("deduped", body="""
+SELECT d.rating, l.quality, count(*) AS n FROM deduped d LEFT JOIN labels l ON l.doc_id = d.review_id
+GROUP BY d.rating, l.quality"""))
+def q_quality_label_mix(spark, sf):
+    """A second, binary label joined to the reviews (left join; unlabelled
+    reviews keep a null quality)."""
+    lab = fixtures.table(spark, sf, "labels").select(F.col("doc_id").alias("review_id"), "quality")
+    d = P.deduped(spark, sf).select("review_id", "rating").join(lab, "review_id", "left")
+    return d.groupBy("rating", "quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("quality_undersample", O.with_chain("deduped", """
+lab AS (SELECT d.review_id, l.quality FROM deduped d JOIN labels l ON l.doc_id = d.review_id),
+q_n AS (SELECT quality, count(*) AS n FROM lab WHERE quality IS NOT NULL GROUP BY quality)""", body="""
+SELECT review_id, quality FROM (
+  SELECT *, row_number() OVER (PARTITION BY quality
+            ORDER BY md5(concat('42', ':', CAST(review_id AS VARCHAR))), review_id) AS rn
+  FROM lab WHERE quality IS NOT NULL)
+WHERE rn <= (SELECT min(n) FROM q_n)"""))
+def q_quality_undersample(spark, sf):
+    """SP1 on the binary quality label of the labelled reviews."""
+    from tomewise.operators.sampling import undersample
+    lab = fixtures.table(spark, sf, "labels").select(F.col("doc_id").alias("review_id"), "quality")
+    d = P.deduped(spark, sf).select("review_id").join(lab, "review_id")
+    return undersample(d, "quality", 42).select("review_id", "quality")
