@@ -84,3 +84,43 @@ def test_vocab_encode_decode(spark):
     assert rows[3].input_ids == [2] + [4] * 14 + [3]  # truncated to max_length
     dec = {r.review_id: r.text for r in V.decode(enc, vocab).collect()}
     assert dec[0] == "the cat the" and dec[2] == "" and dec[3] == " ".join(["zebra"] * 14)
+
+
+def test_metric_registry_and_log(spark):
+    scored, _ = _scored(spark)
+    M.register_metric("n_rows", lambda d: d.groupBy("split").count())
+    res = M.compute_metrics(scored, ["accuracy", "n_rows"])
+    flat = M.metrics_to_log(res["accuracy"])
+    assert set(flat) == {f"{s}_{c}" for s in ("train", "valid", "test") for c in ("n", "accuracy")}
+    assert sum(r["count"] for r in res["n_rows"].collect()) == 300
+
+
+def test_external_model_hook(spark):
+    from tomewise.operators.scoring import score_external
+
+    def _load_tiny():
+        class TinyModel:
+            """Logits = counts of a few letters (stands in for a model file)."""
+            def predict_logits(self, texts):
+                return [[t.count(c) for c in "abc"] for t in texts]
+        return TinyModel()
+    df = spark.createDataFrame([(1, "aaab"), (2, "bbc"), (3, "ccca"), (4, None)], "review_id long, t string")
+    out = {r.review_id: r for r in score_external(df, _load_tiny, "t", "review_id", 3).collect()}
+    assert [out[i].prediction for i in (1, 2, 3, 4)] == [0, 1, 2, 0]
+    assert abs(out[4].confidence - 1 / 3) < 1e-12
+
+
+def test_row_key_is_content_based(spark):
+    from tomewise.fixtures import with_row_key
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "t string, r int")
+    k1 = {r.t: r.review_id for r in with_row_key(a, ["t", "r"]).collect()}
+    k2 = {r.t: r.review_id for r in with_row_key(a.repartition(3), ["t", "r"]).collect()}
+    assert k1 == k2 and len(set(k1.values())) == 2
+
+
+def test_undersample_approx_is_near_balanced(spark):
+    from tomewise.operators.sampling import undersample_approx
+    df = spark.range(6000).select(F.col("id").alias("review_id"),
+                                  F.when(F.col("id") < 1000, 0).otherwise(1).alias("rating"))
+    c = {r.rating: r["count"] for r in undersample_approx(df, "rating", 42).groupBy("rating").count().collect()}
+    assert c[0] == 1000 and 850 < c[1] < 1150

@@ -26,6 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+def with_row_key(df: DataFrame, cols: list[str], name: str = "review_id") -> DataFrame:
+    """PF8 for keyless input: a stable 64-bit key from the row content.
+
+    Unlike a positional index it does not depend on partitioning or order,
+    so it survives re-reads and task retries.  Identical rows share a key:
+    deduplicate first, or add a column that tells them apart.
+    """
+    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
+
+
 def rating_from_chars(n_chars: Column) -> Column:
     """Rating 0..5 skewed toward high values, as in the reference corpus."""
     m = n_chars % 36

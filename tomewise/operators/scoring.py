@@ -39,17 +39,20 @@ _MODEL_CACHE: dict = {}
 
 
 def score_external(df: DataFrame, load: Callable[[], object], text_col: str, key: str,
-                   n_classes: int) -> DataFrame:
+                   n_classes: int, cache_key: str | None = None) -> DataFrame:
     """Score with a Python model ``m.predict_logits(list[str]) -> ndarray``.
 
-    The model is loaded once per Python worker and applied per Arrow batch
+    The model is loaded once per Python worker (cached under ``cache_key``,
+    by default the loader's name) and applied per Arrow batch
     (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows).
     """
+    ck = cache_key or f"{getattr(load, '__module__', '')}.{getattr(load, '__qualname__', repr(load))}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
-        m = _MODEL_CACHE.get(id(load))
+        m = _MODEL_CACHE.get(ck)
         if m is None:
-            m = _MODEL_CACHE[id(load)] = load()
+            m = _MODEL_CACHE[ck] = load()
         for b in batches:
             logits = np.asarray(m.predict_logits(b[text_col].fillna("").tolist()), dtype="float64")
             z = np.exp(logits - logits.max(axis=1, keepdims=True))
