@@ -97,6 +97,15 @@ def accuracy_of(pred: DataFrame, label_col: str) -> float:
     return float(r["a"]) if r["a"] is not None else float("nan")
 
 
+def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Fewer partitions for a small cached training set: every optimiser
+    iteration is one job over all partitions, so tiny partitions only add
+    scheduling.  Large inputs keep their partitioning."""
+    n = df.count()
+    want = max(1, -(-n // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
           label_col: str = "rating", text_col: str = "review_text", parallelism: int = 4) -> DataFrame:
     """ML5: one fit per draw; the results table ``trial, params..., valid_accuracy``.
@@ -113,8 +122,8 @@ def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int
     for nf in sorted({t["num_features"] for t in trials}):
         fcfg = TrainConfig(num_features=nf, text_col=text_col, label_col=label_col)
         fm = Pipeline(stages=featurizer_stages(fcfg)).fit(train)
-        feats[nf] = (fm.transform(train).select("features", label_col).cache(),
-                     fm.transform(valid).select("features", label_col).cache())
+        feats[nf] = (_sized(fm.transform(train).select("features", label_col)).cache(),
+                     _sized(fm.transform(valid).select("features", label_col)).cache())
 
     def run(t):
         nf = t["num_features"]

@@ -71,7 +71,7 @@ SELECT review_text, count(*) AS Frequency FROM normalised WHERE review_text IS N
 GROUP BY review_text ORDER BY Frequency DESC, review_text LIMIT 100"""))
 def q_common_reviews(spark, sf):
     """SL1: the 100 most common normalised texts."""
-    return eda.most_common(P.normalised(spark, sf), "review_text", 100, "Frequency")
+    return eda.most_common(P.normalised(spark, sf, drop_null=True), "review_text", 100, "Frequency")
 
 
 @query("normalised_text", O.with_chain("normalised", body="""
