@@ -48,8 +48,32 @@ def classifier(cfg: TrainConfig):
 
 
 def train_classifier(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineModel:
-    """ML4: fit the text pipeline on the train split."""
-    return Pipeline(stages=featurizer_stages(cfg) + [classifier(cfg)]).fit(train)
+    """ML4: fit the text pipeline on the train split.
+
+    The featurised training set is cached once (partitions sized by rows)
+    and the classifier iterates over it; the result is one PipelineModel.
+    """
+    feat = Pipeline(stages=featurizer_stages(cfg)).fit(train)
+    x = _sized(feat.transform(train).select("features", cfg.label_col)).cache()
+    try:
+        clf = classifier(cfg).fit(x)
+    finally:
+        x.unpersist()
+    return PipelineModel(stages=list(feat.stages) + [clf])
+
+
+def fitted_model(spark: SparkSession, name: str, fingerprint: str, train_fn, root: str) -> PipelineModel:
+    """A fitted model as a versioned artifact: saved once per fingerprint
+    under ``root``, loaded afterwards."""
+    import hashlib
+
+    from tomewise.sources.datasets import _exists
+    path = f"{root}/models/{name}/{hashlib.md5(fingerprint.encode()).hexdigest()[:16]}"
+    if _exists(spark, f"{path}/metadata"):
+        return PipelineModel.load(path)
+    model = train_fn()
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -225,6 +225,13 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     mp = mp.checkpoint() if checkpoint else mp.cache()
     round_rows = {r["_round"]: r["count"] for r in mp.groupBy("_round").count().collect()}
     fold_rows = [0] * n_folds
+    if sum(round_rows.values()) <= driver_pick_limit:
+        # Driver rounds are one sequential pass in group order; when the whole
+        # group x stratum table is small, run that pass once.
+        m_rows = [(x["_idx"], x[group_col], x[stratum_col], x["m"], x["T"])
+                  for x in mp.select("_idx", group_col, stratum_col, "m", "T").collect()]
+        picks = _greedy_round_driver(m_rows, [], n_folds, fold_rows)
+        return spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
     state = None  # stratum, fold, F
     driver_picks: list[tuple] = []
     spark_picks = None

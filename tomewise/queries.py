@@ -809,7 +809,10 @@ def _scratch(spark, what: str) -> str:
 
 
 def _fit(spark, sf, kind: str = "logistic"):
-    return ML.train_classifier(P.train_rows(spark, sf), ML.TrainConfig(kind=kind))
+    """The classifier fitted on the train split, saved once as an artifact."""
+    cfg = ML.TrainConfig(kind=kind)
+    return ML.fitted_model(spark, f"classifier_{kind}", P._fp(sf, 42, cfg),
+                           lambda: ML.train_classifier(P.train_rows(spark, sf), cfg), IO.default_root(spark))
 
 
 @query("train_classifier_report")
