@@ -89,10 +89,23 @@ def histogram_over_range(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 # AG7 -----------------------------------------------------------------------
 
-def describe(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+EXACT_DISTINCT_LIMIT = 1_000_000
+
+
+def _use_exact(df: DataFrame, group_cols: list[str], value: Column, exact) -> bool:
+    """``exact='auto'``: exact percentiles (whose buffer holds every distinct
+    value of a group in one task) only while each group has at most
+    ``EXACT_DISTINCT_LIMIT`` distinct values, else ``percentile_approx``."""
+    if exact != "auto":
+        return bool(exact)
+    nd = df.groupBy(*group_cols).agg(F.approx_count_distinct(value).alias("nd")).agg(F.max("nd")).head()[0]
+    return nd is None or nd <= EXACT_DISTINCT_LIMIT
+
+
+def describe(df: DataFrame, col: str, exact="auto") -> DataFrame:
     """count, mean, sample std, min, quartiles (linear), max."""
     v = F.col(col)
-    if exact:
+    if _use_exact(df, [], v, exact):
         q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     else:
         q = F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).cast("array<double>")
@@ -120,16 +133,17 @@ def value_freq_by_group(df: DataFrame, group_col: str, value_col: str,
 # AG9 -----------------------------------------------------------------------
 
 def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1.5,
-                  exact: bool = True) -> DataFrame:
+                  exact="auto") -> DataFrame:
     """Per group: quartiles, whiskers at ``whis`` IQR, outlier count.
 
     Two passes: quartiles per group, then the whiskers and outliers with the
     per-group fences broadcast back (one row per group: a bounded class set).
-    ``exact=False`` uses ``percentile_approx`` for very large groups.
+    ``exact='auto'`` switches to ``percentile_approx`` when a group has too
+    many distinct values for an exact buffer.
     """
     v = F.col(value_col).cast("double")
     probs = [0.25, 0.5, 0.75]
-    q = (F.percentile(v, F.array(*[F.lit(p) for p in probs])) if exact
+    q = (F.percentile(v, F.array(*[F.lit(p) for p in probs])) if _use_exact(df, [group_col], v, exact)
          else F.percentile_approx(v, probs, 10000).cast("array<double>"))
     stats = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(group_col)
                .agg(q.alias("_q"), F.count(F.lit(1)).alias("n"))

@@ -131,7 +131,7 @@ def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
 
 
 def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
-          label_col: str = "rating", text_col: str = "review_text", parallelism: int = 4) -> DataFrame:
+          label_col: str = "rating", text_col: str = "review_text", parallelism: int = 8) -> DataFrame:
     """ML5: one fit per draw; the results table ``trial, params..., valid_accuracy``.
 
     The featurisation is fitted once per hash width and cached; trials differ

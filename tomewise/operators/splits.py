@@ -38,8 +38,11 @@ def group_split_exact(df: DataFrame, group_col: str = "book_id",
     joined or shuffled.
     """
     k1, k2 = "_gk1", "_gk2"
+    # The distinct groups feed five small passes (count, two histograms, two
+    # boundary buckets): written once to the checkpoint folder instead of
+    # re-aggregating the rows each time.
     groups = (df.where(F.col(group_col).isNotNull()).select(group_col).distinct()
-                .withColumn(k1, seeded_key(seeds[0], group_col)))
+                .withColumn(k1, seeded_key(seeds[0], group_col))).checkpoint()
     n_groups = groups.count()
     in_first = _first_fraction(groups, n_groups, train_size, k1, group_col)
     n_first = math.floor(train_size * n_groups)
