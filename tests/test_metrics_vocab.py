@@ -124,3 +124,42 @@ def test_undersample_approx_is_near_balanced(spark):
                                   F.when(F.col("id") < 1000, 0).otherwise(1).alias("rating"))
     c = {r.rating: r["count"] for r in undersample_approx(df, "rating", 42).groupBy("rating").count().collect()}
     assert c[0] == 1000 and 850 < c[1] < 1150
+
+
+def test_spearman_average_ranks_both_paths(spark):
+    import random as _r
+    from tomewise.operators import eda
+    rnd = _r.Random(4)
+    rows = [(rnd.randrange(6), rnd.random() * 100 if i % 7 else None, float(rnd.randrange(30))) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b double, c double")
+
+    def py_rank(xs):
+        order = sorted(range(len(xs)), key=lambda i: xs[i])
+        r = [0.0] * len(xs)
+        i = 0
+        while i < len(xs):
+            j = i
+            while j + 1 < len(xs) and xs[order[j + 1]] == xs[order[i]]:
+                j += 1
+            for k in range(i, j + 1):
+                r[order[k]] = (i + j) / 2 + 1
+            i = j + 1
+        return r
+
+    def py_spearman(x, y):
+        keep = [(u, v) for u, v in zip(x, y) if u is not None and v is not None]
+        rx, ry = py_rank([u for u, _ in keep]), py_rank([v for _, v in keep])
+        mx, my = sum(rx) / len(rx), sum(ry) / len(ry)
+        cov = sum((p - mx) * (q - my) for p, q in zip(rx, ry))
+        return cov / math.sqrt(sum((p - mx) ** 2 for p in rx) * sum((q - my) ** 2 for q in ry))
+
+    cols = list(zip(*rows))
+    exp = py_spearman(cols[0], cols[1])
+    assert abs(eda.spearman(df, "a", "b") - exp) < 1e-9
+    old = eda.MAX_RANK_WINDOW
+    try:
+        eda.MAX_RANK_WINDOW = 3  # force the range-sort + offsets path
+        assert abs(eda.spearman(df, "a", "c") - py_spearman(cols[0], cols[2])) < 1e-9
+        assert abs(eda.spearman(df, "b", "c") - py_spearman(cols[1], cols[2])) < 1e-9
+    finally:
+        eda.MAX_RANK_WINDOW = old

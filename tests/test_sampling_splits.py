@@ -141,3 +141,27 @@ def test_active_restriction(spark):
     cas = S.restrict_to_casual(df, min_reviews=60)
     assert act.count() + cas.count() == df.count()
     assert act.groupBy("user_id").count().where("count < 60").count() == 0
+
+
+def test_positions_within_hot_key_matches_window(spark):
+    from tomewise.operators.ranking import positions_within
+    rnd = random.Random(7)
+    rows = [(i, "hot" if i % 3 else f"k{rnd.randrange(20)}", rnd.randrange(50)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, k string, v int")
+    order = [F.col("v").desc(), F.col("id")]
+    a = {r.id: r._pos for r in positions_within(df, "k", order).collect()}
+    b = {r.id: r._pos for r in positions_within(df, "k", order, max_window=10).collect()}
+    assert a == b and len(a) == 900
+
+
+def test_dealt_folds_hot_stratum_path(spark):
+    from tomewise.operators import ranking
+    df = _groups_df(spark, 400, 60, 3)
+    a = sorted(tuple(r) for r in S.deal_groups(df, 5).collect())
+    old = ranking.MAX_WINDOW_ROWS
+    try:
+        ranking.MAX_WINDOW_ROWS = 2
+        b = sorted(tuple(r) for r in S.deal_groups(df, 5).collect())
+    finally:
+        ranking.MAX_WINDOW_ROWS = old
+    assert a == b

@@ -174,16 +174,62 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
 
 # AG11 ----------------------------------------------------------------------
 
-def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Spearman rank correlation for every pair, NaN and null dropped pairwise.
+MAX_RANK_WINDOW = 1_000_000
+MAX_RANK_BROADCAST = 1_000_000
+
+
+def average_ranks(df: DataFrame, col: str) -> DataFrame:
+    """``col, rank``: the average 1-based rank of each distinct value (ties
+    share the mean of their positions), computed from value counts.
 
-    Uses the distributed ``ml.stat.Correlation`` (ranks by a range-
-    partitioned sort, ties get the average rank); only the k x k result
-    reaches the driver.
+    Rows never meet in one task: only the distinct values are ordered - by
+    a window when there are at most ``MAX_RANK_WINDOW`` of them, else by a
+    range-partitioned sort with per-partition offsets.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    n_distinct = vc.count()
+    if n_distinct <= MAX_RANK_WINDOW:
+        w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)  # over distinct values
+        cum = vc.withColumn("_cum", F.sum("_n").over(w))
+    else:
+        # sorted once and checkpointed, so both passes see the same partitions
+        ordered = vc.orderBy(col).checkpoint()
+        sums = ordered.rdd.mapPartitionsWithIndex(lambda i, it: [(i, sum(r["_n"] for r in it))]).collect()
+        offsets, acc = {}, 0
+        for i, n in sorted(sums):
+            offsets[i] = acc
+            acc += n
+
+        def run(i, it):
+            c = offsets.get(i, 0)
+            for r in it:
+                c += r["_n"]
+                yield (r[col], r["_n"], c)
+        schema = f"`{col}` {ordered.schema[col].dataType.simpleString()}, _n long, _cum long"
+        cum = df.sparkSession.createDataFrame(ordered.rdd.mapPartitionsWithIndex(run), schema)
+    return cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
+
+
+def _with_rank(df: DataFrame, col: str, out: str) -> DataFrame:
+    ranks = average_ranks(df, col).withColumnRenamed("rank", out)
+    n = ranks.limit(MAX_RANK_BROADCAST + 1).count()
+    side = F.broadcast(ranks) if n <= MAX_RANK_BROADCAST else ranks
+    return df.join(side, col)
+
+
+def spearman(df: DataFrame, a: str, b: str) -> float | None:
+    """Spearman's rho of two columns; rows with a null or NaN in either dropped."""
+    va, vb = F.col(a).cast("double"), F.col(b).cast("double")
+    pair = df.select(va.alias("_a"), vb.alias("_b")).where(
+        va.isNotNull() & vb.isNotNull() & ~F.isnan(va) & ~F.isnan(vb))
+    ranked = _with_rank(_with_rank(pair, "_a", "_ra"), "_b", "_rb")
+    return ranked.agg(F.corr("_ra", "_rb")).head()[0]
+
 
+def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """AG11: Spearman rank correlation for every pair, NaN and null dropped
+    pairwise (ranks are taken within each pair's rows).  The k x k result is
+    the only thing that reaches the driver."""
     spark = df.sparkSession
     rows = []
     for i, a in enumerate(cols):
@@ -191,12 +237,7 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
             if a == b:
                 rows.append((a, b, 1.0))
                 continue
-            va, vb = F.col(a).cast("double"), F.col(b).cast("double")
-            pair = df.select(va.alias("_a"), vb.alias("_b")).where(
-                va.isNotNull() & vb.isNotNull() & ~F.isnan(va) & ~F.isnan(vb))
-            vec = VectorAssembler(inputCols=["_a", "_b"], outputCol="_v").transform(pair)
-            m = Correlation.corr(vec, "_v", "spearman").head()[0]
-            rho = float(m[0, 1])
+            rho = spearman(df, a, b)
             rows.append((a, b, rho))
             rows.append((b, a, rho))
     return spark.createDataFrame(rows, "var_a string, var_b string, rho double")

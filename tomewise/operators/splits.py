@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomewise.operators.ranking import global_positions, positions_within
 from tomewise.operators.sampling import kth_smallest, seeded_key, threshold_filter
 
 
@@ -93,12 +94,13 @@ def deal_groups(df: DataFrame, n_folds: int, group_col: str = "book_id",
     g = m.groupBy(group_col).agg(
         F.sum("_m").alias("n_rows"),
         F.min_by(F.col(stratum_col), F.struct(-F.col("_m"), F.col(stratum_col))).alias("stratum"))
-    w = Window.partitionBy("stratum").orderBy(F.col("n_rows").desc(),
-                                               seeded_key(seed, group_col), F.col(group_col))
+    # position within the stratum: a window per stratum unless one stratum
+    # is hot, then a distributed global order with per-stratum offsets
+    order = [F.col("n_rows").desc(), seeded_key(seed, group_col), F.col(group_col)]
     offset = _hex8_to_long(seeded_key(seed, "stratum"))
-    return (g.withColumn("_pos", F.row_number().over(w) - 1)
-             .withColumn("fold", ((F.col("_pos") + offset) % n_folds).cast("int"))
-             .drop("_pos"))
+    return (positions_within(g, "stratum", order, "_pos")
+            .withColumn("fold", ((F.col("_pos") + offset) % n_folds).cast("int"))
+            .drop("_pos"))
 
 
 def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
@@ -211,13 +213,12 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
            .groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("m")))
     totals = m.groupBy(stratum_col).agg(F.sum("m").alias("T"))
     g = m.groupBy(group_col).agg(F.sum("m").alias("n"))
-    # Global order of the group table: a range-partitioned sort, then
-    # zipWithIndex (per-partition offsets); no single-task window.
-    ordered = g.orderBy(F.col("n").desc(), seeded_key(seed, group_col), F.col(group_col)).select(group_col)
-    idx = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-    g_type = ordered.schema[group_col].dataType.simpleString()
-    gi = spark.createDataFrame(idx, f"{group_col} {g_type}, _idx long")
-    gi = gi.cache()
+    # Global order of the group table: a range-partitioned sort with
+    # per-partition offsets; no single-task window.
+    g_type = g.schema[group_col].dataType.simpleString()
+    gi = global_positions(g.select(group_col, "n"),
+                          [F.col("n").desc(), seeded_key(seed, group_col), F.col(group_col)], "_idx")
+    gi = gi.select(group_col, "_idx").cache()
     n_groups = gi.count()
     if n_groups == 0:
         return gi.select(group_col, F.lit(0).alias("fold"))
