@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.functions.text import contains_phrase
+from tomewise.operators.joins import broadcast_if_bounded
 
 
 # AG1, AG2, AG3, SL1 ---------------------------------------------------------
@@ -136,8 +137,8 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
                   exact="auto") -> DataFrame:
     """Per group: quartiles, whiskers at ``whis`` IQR, outlier count.
 
-    Two passes: quartiles per group, then the whiskers and outliers with the
-    per-group fences broadcast back (one row per group: a bounded class set).
+    Passes: quartiles per group, then whiskers, then outliers, each joining
+    the per-group figures back (broadcast after a size check).
     ``exact='auto'`` switches to ``percentile_approx`` when a group has too
     many distinct values for an exact buffer.
     """
@@ -151,9 +152,10 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
                        F.col("_q")[2].alias("q3")))
     stats = (stats.withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
                   .withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))))
-    fences = stats.select(group_col, "q1", "q3", "_lo", "_hi")
+    stats = stats.cache()  # one row per group; read three times below
+    fences = broadcast_if_bounded(stats.select(group_col, "q1", "q3", "_lo", "_hi"))
     w = (df.where(v.isNotNull() & ~F.isnan(v)).select(group_col, v.alias("_v"))
-           .join(F.broadcast(fences), group_col)
+           .join(fences, group_col)
            .groupBy(group_col)
            .agg(F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_mx"),
                 F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_mn"),
@@ -163,8 +165,9 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
           .withColumn("whisker_lo", F.when(F.col("_mn").isNull() | (F.col("_mn") > F.col("_q1")), F.col("_q1"))
                                      .otherwise(F.col("_mn")))
           .select(group_col, "whisker_lo", "whisker_hi"))
+    w = w.cache()
     outl = (df.where(v.isNotNull() & ~F.isnan(v)).select(group_col, v.alias("_v"))
-              .join(F.broadcast(w), group_col)
+              .join(broadcast_if_bounded(w), group_col)
               .groupBy(group_col)
               .agg(F.count_if((F.col("_v") < F.col("whisker_lo")) | (F.col("_v") > F.col("whisker_hi")))
                    .alias("n_outliers")))

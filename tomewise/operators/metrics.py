@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomewise.operators.joins import broadcast_if_bounded
+
 
 def confusion_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Sparse confusion table ``by..., label, prediction, n``."""
@@ -81,7 +83,9 @@ def worst_confusions(scored: DataFrame, texts: DataFrame, true_label: int = 0, p
                      key: str = "review_id") -> DataFrame:
     """PF5 + J3: rows with the given true and predicted class, with their text."""
     hits = scored.where((F.col("label") == true_label) & (F.col("prediction") == predicted))
-    return hits.join(texts, key)
+    # the hits are one cell of the confusion matrix: broadcast them (after a
+    # size check) so the text table is scanned, not shuffled
+    return texts.join(broadcast_if_bounded(hits), key).select(*hits.columns, *[c for c in texts.columns if c != key])
 
 
 def rank_within(df: DataFrame, part: list[str], order: list) -> DataFrame:

@@ -16,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tomewise.operators.joins import broadcast_if_bounded
+
 MAX_BROADCAST_LEXICON = 2_000_000
 
 
 def _lexicon_side(lexicon: DataFrame, max_rows: int = MAX_BROADCAST_LEXICON) -> DataFrame:
     """Broadcast the lexicon after checking its size; shuffle-join beyond it."""
-    n = lexicon.limit(max_rows + 1).count()
-    return F.broadcast(lexicon) if n <= max_rows else lexicon
+    return broadcast_if_bounded(lexicon, max_rows)
 
 
 def polarity(df: DataFrame, lexicon: DataFrame, text_col: str, key_cols: list[str],
