@@ -137,8 +137,8 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
                   exact="auto") -> DataFrame:
     """Per group: quartiles, whiskers at ``whis`` IQR, outlier count.
 
-    Passes: quartiles per group, then whiskers, then outliers, each joining
-    the per-group figures back (broadcast after a size check).
+    Two passes: quartiles per group, then whiskers and outliers with the
+    per-group fences joined back (broadcast after a size check).
     ``exact='auto'`` switches to ``percentile_approx`` when a group has too
     many distinct values for an exact buffer.
     """
@@ -152,26 +152,24 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1
                        F.col("_q")[2].alias("q3")))
     stats = (stats.withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
                   .withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))))
-    stats = stats.cache()  # one row per group; read three times below
+    stats = stats.cache()  # one row per group
     fences = broadcast_if_bounded(stats.select(group_col, "q1", "q3", "_lo", "_hi"))
+    # A value beyond a whisker is exactly a value beyond its fence (the
+    # whisker is the most extreme value inside the fence, or the quartile
+    # when none lies between), so outliers are counted in the same pass.
     w = (df.where(v.isNotNull() & ~F.isnan(v)).select(group_col, v.alias("_v"))
            .join(fences, group_col)
            .groupBy(group_col)
            .agg(F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_mx"),
                 F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_mn"),
+                F.count_if((F.col("_v") > F.col("_hi")) | (F.col("_v") < F.col("_lo"))).alias("n_outliers"),
                 F.first("q1").alias("_q1"), F.first("q3").alias("_q3")))
     w = (w.withColumn("whisker_hi", F.when(F.col("_mx").isNull() | (F.col("_mx") < F.col("_q3")), F.col("_q3"))
                                      .otherwise(F.col("_mx")))
           .withColumn("whisker_lo", F.when(F.col("_mn").isNull() | (F.col("_mn") > F.col("_q1")), F.col("_q1"))
                                      .otherwise(F.col("_mn")))
-          .select(group_col, "whisker_lo", "whisker_hi"))
-    w = w.cache()
-    outl = (df.where(v.isNotNull() & ~F.isnan(v)).select(group_col, v.alias("_v"))
-              .join(broadcast_if_bounded(w), group_col)
-              .groupBy(group_col)
-              .agg(F.count_if((F.col("_v") < F.col("whisker_lo")) | (F.col("_v") > F.col("whisker_hi")))
-                   .alias("n_outliers")))
-    return (stats.drop("_hi", "_lo").join(w, group_col).join(outl, group_col)
+          .select(group_col, "whisker_lo", "whisker_hi", "n_outliers"))
+    return (stats.drop("_hi", "_lo").join(w, group_col)
                  .select(group_col, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"))
 
 
@@ -181,15 +179,16 @@ MAX_RANK_WINDOW = 1_000_000
 MAX_RANK_BROADCAST = 1_000_000
 
 
-def average_ranks(df: DataFrame, col: str) -> DataFrame:
-    """``col, rank``: the average 1-based rank of each distinct value (ties
-    share the mean of their positions), computed from value counts.
+def average_ranks(df: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """``(col, rank)`` per distinct value, and the number of distinct values.
 
-    Rows never meet in one task: only the distinct values are ordered - by
-    a window when there are at most ``MAX_RANK_WINDOW`` of them, else by a
+    The rank is the average 1-based position of the value's rows (ties share
+    the mean of their positions), computed from value counts.  Rows never
+    meet in one task: only the distinct values are ordered - by a window
+    when there are at most ``MAX_RANK_WINDOW`` of them, else by a
     range-partitioned sort with per-partition offsets.
     """
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).cache()
     n_distinct = vc.count()
     if n_distinct <= MAX_RANK_WINDOW:
         w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)  # over distinct values
@@ -210,14 +209,15 @@ def average_ranks(df: DataFrame, col: str) -> DataFrame:
                 yield (r[col], r["_n"], c)
         schema = f"`{col}` {ordered.schema[col].dataType.simpleString()}, _n long, _cum long"
         cum = df.sparkSession.createDataFrame(ordered.rdd.mapPartitionsWithIndex(run), schema)
-    return cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
+    ranks = cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
+    return ranks, n_distinct
 
 
 def _with_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    ranks = average_ranks(df, col).withColumnRenamed("rank", out)
-    n = ranks.limit(MAX_RANK_BROADCAST + 1).count()
-    side = F.broadcast(ranks) if n <= MAX_RANK_BROADCAST else ranks
-    return df.join(side, col)
+    ranks, n = average_ranks(df, col)
+    ranks = ranks.withColumnRenamed("rank", out)
+    # one row per distinct value, counted above: broadcast under the bound
+    return df.join(F.broadcast(ranks) if n <= MAX_RANK_BROADCAST else ranks, col)
 
 
 def spearman(df: DataFrame, a: str, b: str) -> float | None:
