@@ -165,3 +165,35 @@ def test_dealt_folds_hot_stratum_path(spark):
     finally:
         ranking.MAX_WINDOW_ROWS = old
     assert a == b
+
+
+def test_global_positions_and_running_sum_match_brute_force(spark):
+    from tomewise.operators.ranking import global_positions, global_running_sum
+    rnd = random.Random(11)
+    rows = [(i, rnd.randrange(40), rnd.randrange(1, 9)) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, v int, w int").repartition(7)
+    order = [F.col("v"), F.col("id")]
+    want = sorted(rows, key=lambda r: (r[1], r[0]))
+    pos = {r.id: r._pos for r in global_positions(df, order).collect()}
+    assert pos == {r[0]: i for i, r in enumerate(want)}
+    run, acc = {}, 0
+    for r in want:
+        acc += r[2]
+        run[r[0]] = acc
+    got = {r.id: r.cum for r in global_running_sum(df, order, "w", "cum").collect()}
+    assert got == run
+
+
+def test_spearman_distributed_ranks_equal_window_ranks(spark):
+    from tomewise.operators import eda
+    rnd = random.Random(5)
+    rows = [(float(rnd.randrange(30)), float(rnd.randrange(12))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    a = eda.spearman(df, "a", "b")
+    old = eda.MAX_RANK_WINDOW
+    try:
+        eda.MAX_RANK_WINDOW = 3
+        b = eda.spearman(df, "a", "b")
+    finally:
+        eda.MAX_RANK_WINDOW = old
+    assert abs(a - b) < 1e-12

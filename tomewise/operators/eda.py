@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tomewise.functions.text import contains_phrase
 from tomewise.operators.joins import broadcast_if_bounded
+from tomewise.operators.ranking import global_running_sum
 
 
 # AG1, AG2, AG3, SL1 ---------------------------------------------------------
@@ -186,7 +187,8 @@ def average_ranks(df: DataFrame, col: str) -> tuple[DataFrame, int]:
     the mean of their positions), computed from value counts.  Rows never
     meet in one task: only the distinct values are ordered - by a window
     when there are at most ``MAX_RANK_WINDOW`` of them, else by a
-    range-partitioned sort with per-partition offsets.
+    range-partitioned sort with per-partition offsets
+    (``ranking.global_running_sum``).
     """
     vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).cache()
     n_distinct = vc.count()
@@ -194,21 +196,8 @@ def average_ranks(df: DataFrame, col: str) -> tuple[DataFrame, int]:
         w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)  # over distinct values
         cum = vc.withColumn("_cum", F.sum("_n").over(w))
     else:
-        # sorted once and checkpointed, so both passes see the same partitions
-        ordered = vc.orderBy(col).checkpoint()
-        sums = ordered.rdd.mapPartitionsWithIndex(lambda i, it: [(i, sum(r["_n"] for r in it))]).collect()
-        offsets, acc = {}, 0
-        for i, n in sorted(sums):
-            offsets[i] = acc
-            acc += n
-
-        def run(i, it):
-            c = offsets.get(i, 0)
-            for r in it:
-                c += r["_n"]
-                yield (r[col], r["_n"], c)
-        schema = f"`{col}` {ordered.schema[col].dataType.simpleString()}, _n long, _cum long"
-        cum = df.sparkSession.createDataFrame(ordered.rdd.mapPartitionsWithIndex(run), schema)
+        # a distributed sort with per-partition offsets (JVM-side, checkpointed)
+        cum = global_running_sum(vc, [F.col(col)], "_n", "_cum")
     ranks = cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
     return ranks, n_distinct
 

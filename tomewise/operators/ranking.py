@@ -1,38 +1,69 @@
-"""Positions in a total order without a single-task window.
-
-``global_positions`` range-partitions and sorts (distributed), writes the
-sorted table with ``checkpoint()`` so that both passes below read the same
-partitions even if an executor is lost, counts rows per partition, and
-numbers each partition from its offset.  ``positions_within`` uses a window
-per partition key while the largest key holds at most ``max_window`` rows,
-and the global order with per-key offsets beyond that (a hot key is spread
-over many tasks).
+"""Positions and running sums in a total order without a single-task window.
+
+``global_positions`` range-partitions and sorts (distributed) and writes the
+sorted table with ``checkpoint()``, so every later pass reads the same
+partitions in the same order even if an executor is lost.  Each row's
+place inside its partition comes from ``monotonically_increasing_id`` (the
+partition index sits in the high bits, the row number in the low 33 bits);
+a table with one row per partition gives each partition its offset and is
+broadcast (its size is the partition count, known before any job runs).
+Everything stays in JVM expressions: no Python touches the rows.
+
+``positions_within`` uses a window per partition key while the largest key
+holds at most ``max_window`` rows, and the global order with per-key offsets
+beyond that (a hot key is spread over many tasks).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_WINDOW_ROWS = 1_000_000
+_LOW33 = (1 << 33) - 1
+
+
+def _sorted_tagged(df: DataFrame, order_cols: list) -> tuple[DataFrame, int]:
+    """Sorted, checkpointed copy of ``df`` with ``_p`` (partition) and ``_r``
+    (row number within the partition), and the number of partitions."""
+    ordered = df.orderBy(*order_cols).checkpoint()
+    mid = F.monotonically_increasing_id()
+    tagged = ordered.select("*", mid.alias("_mid")).select(
+        *df.columns, F.shiftright(F.col("_mid"), 33).cast("int").alias("_p"),
+        F.col("_mid").bitwiseAND(F.lit(_LOW33)).alias("_r"))
+    return tagged, ordered.rdd.getNumPartitions()
+
+
+def _partition_offsets(tagged: DataFrame, weight, n_parts: int) -> DataFrame:
+    """``_p, _off``: the total ``weight`` of all earlier partitions."""
+    per = tagged.groupBy("_p").agg(F.sum(weight).alias("_w"))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    off = per.select("_p", F.coalesce(F.sum("_w").over(w), F.lit(0)).cast("long").alias("_off"))
+    # ``n_parts`` rows at most: a proven bound, so the broadcast is safe
+    return F.broadcast(off) if n_parts <= 1_000_000 else off
 
 
 def global_positions(df: DataFrame, order_cols: list, name: str = "_pos") -> DataFrame:
     """``df`` plus a 0-based position in the order of ``order_cols`` (total order)."""
-    ordered = df.orderBy(*order_cols).checkpoint()
-    counts = dict(ordered.rdd.mapPartitionsWithIndex(lambda i, it: [(i, sum(1 for _ in it))]).collect())
-    offsets, acc = {}, 0
-    for i in sorted(counts):
-        offsets[i] = acc
-        acc += counts[i]
-
-    def number(i, it):
-        base = offsets.get(i, 0)
-        for k, r in enumerate(it):
-            yield tuple(r) + (base + k,)
-    schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.LongType(), False)])
-    return df.sparkSession.createDataFrame(ordered.rdd.mapPartitionsWithIndex(number), schema)
+    tagged, n_parts = _sorted_tagged(df, order_cols)
+    off = _partition_offsets(tagged, F.lit(1), n_parts)
+    return (tagged.join(off, "_p")
+                  .select(*df.columns, (F.col("_off") + F.col("_r")).alias(name)))
+
+
+def global_running_sum(df: DataFrame, order_cols: list, value: str, name: str) -> DataFrame:
+    """``df`` plus the running sum of ``value`` (inclusive) in a total order.
+
+    Within a partition the sum is a window over that partition's rows only
+    (a range partition of the sorted table, so bounded by the sort's split),
+    plus the partition's offset.
+    """
+    tagged, n_parts = _sorted_tagged(df, order_cols)
+    off = _partition_offsets(tagged, F.col(value), n_parts)
+    w = Window.partitionBy("_p").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+    return (tagged.withColumn("_in", F.sum(value).over(w))
+                  .join(off, "_p")
+                  .select(*df.columns, (F.col("_off") + F.col("_in")).alias(name)))
 
 
 def positions_within(df: DataFrame, part_col: str, order_cols: list, name: str = "_pos",
