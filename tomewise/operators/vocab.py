@@ -35,22 +35,27 @@ def build_vocab(df: DataFrame, text_col: str = "review_text", size: int = 30_000
 
 
 def encode(df: DataFrame, vocab: DataFrame, text_col: str = "review_text", key: str = "review_id",
-           max_length: int = 512) -> DataFrame:
-    """``key, input_ids, attention_mask`` (arrays of int, length ``max_length``):
-    [CLS] ids [SEP] then [PAD]s; unknown words map to [UNK]."""
+           max_length: int = 512, carry: list[str] | tuple = ()) -> DataFrame:
+    """``key, carry..., input_ids, attention_mask`` (arrays of int, length
+    ``max_length``): [CLS] ids [SEP] then [PAD]s; unknown words map to [UNK].
+
+    ``carry`` columns (functions of ``key``, e.g. split and label) ride along
+    in the grouping key, so callers never join the wide encoded table back
+    to the rows."""
     body = max_length - 2
-    toks = df.select(key, F.slice(_words(text_col), 1, body).alias("_t"))
-    ex = toks.select(key, F.posexplode_outer("_t").alias("pos", "word"))
+    keys = [key, *carry]
+    toks = df.select(*keys, F.slice(_words(text_col), 1, body).alias("_t"))
+    ex = toks.select(*keys, F.posexplode_outer("_t").alias("pos", "word"))
     v = F.broadcast(vocab.select("word", "id"))  # at most V rows
     looked = ex.join(v, "word", "left").select(
-        key, "pos", F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK))).alias("id"))
-    grouped = looked.groupBy(key).agg(
+        *keys, "pos", F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK))).alias("id"))
+    grouped = looked.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("_s"))
     ids = F.transform(F.col("_s"), lambda s: s["id"])
     core = F.concat(F.array(F.lit(CLS)), ids, F.array(F.lit(SEP)))
     pad = F.array_repeat(F.lit(PAD), F.lit(max_length) - F.size(core))
     mask = F.concat(F.array_repeat(F.lit(1), F.size(core)), F.array_repeat(F.lit(0), F.lit(max_length) - F.size(core)))
-    return grouped.select(key, F.concat(core, pad).cast("array<int>").alias("input_ids"),
+    return grouped.select(*keys, F.concat(core, pad).cast("array<int>").alias("input_ids"),
                           mask.cast("array<int>").alias("attention_mask"))
 
 

@@ -751,8 +751,8 @@ def _vocab(spark, sf):
 
 def _encoded(spark, sf):
     rows = P.split_processed(spark, sf)
-    enc = V.encode(rows, _vocab(spark, sf), "review_text", "review_id", MAX_LEN)
-    return enc.join(rows.select("review_id", "split", "rating"), "review_id")
+    return V.encode(rows, _vocab(spark, sf), "review_text", "review_id", MAX_LEN,
+                    carry=["split", "rating"])
 
 
 @query("vocab_build", O.with_chain("split", _SQL_VOCAB, body="SELECT word, id, n FROM vocab"))
