@@ -65,3 +65,19 @@ def test_stream_equals_batch(spark, scratch):
     stream = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/out").collect())
     batch = sorted(tuple(r) for r in ST.batch_equivalent(df, models).collect())
     assert len(stream) == 120 and stream == batch
+
+
+def test_score_models_single_pass_equals_each_model(spark):
+    from tomewise.operators import model as ML
+    from tomewise.operators.scoring import score_models
+    rows = [(i, f"review {i} {'good great' if i % 3 else 'bad poor'} text", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    models = {"lr": ML.train_classifier(df, ML.TrainConfig(num_features=128, max_iter=5)),
+              "nb": ML.train_classifier(df, ML.TrainConfig(num_features=128, kind="naive_bayes"))}
+    got = sorted(tuple(r) for r in score_models(models, df).collect())
+    want = sorted((r.review_id, name, r.prediction, r.confidence)
+                  for name, m in models.items()
+                  for r in ML.predict(m, df, ["review_id"]).collect())
+    assert got == want and len(got) == 80
+    plan = score_models(models, df)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan

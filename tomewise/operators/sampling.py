@@ -163,6 +163,18 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, id_col: str = "review_id") ->
     return df.withColumn("_key", seeded_key(seed, id_col)).orderBy("_key", id_col).drop("_key")
 
 
+def seeded_permutation(df: DataFrame, seed: int = 42, id_col: str = "review_id",
+                       name: str = "position") -> DataFrame:
+    """SL4 on the whole table: every row with its 1-based place in the
+    seeded permutation.  The order is a distributed range sort numbered by
+    partition offsets (``ranking.global_positions``): no single-task window,
+    however large the table."""
+    from tomewise.operators.ranking import global_positions
+    keyed = df.withColumn("_key", seeded_key(seed, id_col))
+    pos = global_positions(keyed, [F.col("_key"), F.col(id_col)], "_pos0")
+    return pos.withColumn(name, F.col("_pos0") + 1).drop("_key", "_pos0")
+
+
 def seeded_head(df: DataFrame, n: int, seed: int = 42, id_col: str = "review_id") -> DataFrame:
     """The first ``n`` rows of the seeded permutation with their position.
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,26 @@ def score_splits(model: PipelineModel, df: DataFrame, key: str = "review_id",
 
 
 def score_models(models: dict[str, PipelineModel], df: DataFrame, key: str = "review_id") -> DataFrame:
-    """Long result ``key, model_name, label, score`` of several models."""
-    out = None
-    for name, m in models.items():
-        p = predict(m, df, [key]).select(key, F.lit(name).alias("model_name"),
-                                         F.col("prediction").alias("label"),
-                                         F.col("confidence").alias("score"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    """Long result ``key, model_name, label, score`` of several models.
+
+    The models are applied one after another to the same rows (each one's
+    prediction and confidence kept under a private name before the next
+    model adds its own columns), then the results are exploded to the long
+    form: the input is read once, not once per model, which for a stream
+    means each micro-batch's files are scanned once.
+    """
+    base = df.columns
+    cur, kept, entries = df, [], []
+    for i, (name, m) in enumerate(models.items()):
+        p, c = f"_pred{i}", f"_conf{i}"
+        out = m.transform(cur)
+        cur = out.select(*base, *kept, F.col("prediction").cast("int").alias(p),
+                         F.array_max(vector_to_array("probability")).alias(c))
+        kept += [p, c]
+        entries.append(F.struct(F.lit(name).alias("model_name"), F.col(p).alias("label"),
+                                F.col(c).alias("score")))
+    longf = cur.select(key, F.explode(F.array(*entries)).alias("_m"))
+    return longf.select(key, "_m.model_name", "_m.label", "_m.score")
 
 
 _MODEL_CACHE: dict = {}

@@ -16,7 +16,7 @@ from tomewise import fixtures
 from tomewise import oracle as O
 from tomewise.functions import text as tx
 from tomewise.operators import eda
-from tomewise.operators.sampling import seeded_head
+from tomewise.operators.sampling import seeded_head, seeded_permutation
 from tomewise.plans import prepare as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,15 @@ def q_seeded_shuffle_head(spark, sf):
     return seeded_head(P.processed(spark, sf).select("review_id", "rating"), 20, seed=7)
 
 
+@query("seeded_shuffle", O.with_chain("processed", body="""
+SELECT review_id, rating, CAST(row_number() OVER (
+         ORDER BY md5(concat('7', ':', CAST(review_id AS VARCHAR))), review_id) AS BIGINT) AS position
+FROM processed"""))
+def q_seeded_shuffle(spark, sf):
+    """SL4: the whole processed corpus with its place in the seeded permutation."""
+    return seeded_permutation(P.processed(spark, sf).select("review_id", "rating"), seed=7)
+
+
 # --- Step 2/3: joins, splits, EDA on the train split ------------------------
 
 from tomewise.operators import splits as S  # noqa: E402

@@ -11,7 +11,6 @@ by default), never on one machine's disk.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,15 +185,27 @@ def code_fingerprint() -> str:
 
 
 def input_fingerprint(*paths: str) -> str:
-    """Path, size and mtime of the inputs (local or mounted paths), plus the
-    code fingerprint."""
+    """Path, total size, file count and modification time of each
+    input (file or dataset folder, any Hadoop file system: local, HDFS,
+    object stores), plus the code fingerprint.  Read through the active
+    session's Hadoop configuration; paths that do not exist keep their name."""
+    from pyspark.sql import SparkSession
     parts = [code_fingerprint()]
+    spark = SparkSession.getActiveSession()
     for p in paths:
-        try:
-            st = os.stat(p)
-            parts.append(f"{os.path.abspath(p)}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
+        if spark is None:
             parts.append(p)
+            continue
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(jpath):
+            parts.append(p)
+            continue
+        # one summary call per input (no per-file round trips from Python)
+        cs = fs.getContentSummary(jpath)
+        mtime = fs.getFileStatus(jpath).getModificationTime()
+        parts.append(f"{fs.makeQualified(jpath).toString()}:{cs.getLength()}:{cs.getFileCount()}:{mtime}")
     return "|".join(parts)
 
 
