@@ -166,11 +166,21 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
     the lineage of the stages after it.
     """
     root = root or default_root(spark)
-    e = latest_entry(spark, name, root, fingerprint)
-    if e is None:
-        publish(spark, build(), name, "stage", root, fingerprint, partition_by)
+    memo = (root, name, fingerprint)
+    path = _RESOLVED.get(memo)
+    if path is None or not _exists(spark, path):
         e = latest_entry(spark, name, root, fingerprint)
-    return spark.read.parquet(e["path"])
+        if e is None:
+            publish(spark, build(), name, "stage", root, fingerprint, partition_by)
+            e = latest_entry(spark, name, root, fingerprint)
+        path = _RESOLVED[memo] = e["path"]
+    return spark.read.parquet(path)
+
+
+# (root, name, fingerprint) -> written path.  A stage written for a
+# fingerprint never changes, so a resolved path is reused without scanning
+# the manifest again (only its existence is checked).
+_RESOLVED: dict = {}
 
 
 def code_fingerprint() -> str:
