@@ -163,3 +163,19 @@ def test_spearman_average_ranks_both_paths(spark):
         assert abs(eda.spearman(df, "b", "c") - py_spearman(cols[1], cols[2])) < 1e-9
     finally:
         eda.MAX_RANK_WINDOW = old
+
+
+def test_spearman_matrix_shared_ranks_equal_pairwise(spark):
+    import random as _r
+    from tomewise.operators import eda
+    rnd = _r.Random(9)
+    rows = [(rnd.randrange(6), float(rnd.randrange(40)), rnd.random() if i % 9 else float("nan"),
+             float(rnd.randrange(8)) if i % 11 else None, rnd.randrange(100)) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double, e long")
+    cols = ["a", "b", "c", "d", "e"]
+    got = {(r.var_a, r.var_b): r.rho for r in eda.spearman_matrix(df, cols).collect()}
+    assert len(got) == 25
+    for x in cols:
+        for y in cols:
+            want = 1.0 if x == y else eda.spearman(df, x, y)
+            assert abs(got[(x, y)] - want) < 1e-12, (x, y)
