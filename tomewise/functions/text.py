@@ -113,9 +113,13 @@ def expand_contractions(c, mode: str = "reference") -> Column:
             c = F.regexp_replace(c, k, v)
         return c
     if mode == "tokens":
+        # A map look-up scans the map's keys; the hash-set test (``InSet``)
+        # in front sends only real contractions to it.
         m = _contraction_map(lower_keys=True)
+        keys = [k.lower() for k in CONTRACTIONS]
         toks = F.split(c, " ")
-        return F.array_join(F.transform(toks, lambda w: F.coalesce(F.element_at(m, w), w)), " ")
+        return F.array_join(F.transform(
+            toks, lambda w: F.when(w.isin(*keys), F.element_at(m, w)).otherwise(w)), " ")
     raise ValueError(f"unknown mode {mode!r}")
 
 
