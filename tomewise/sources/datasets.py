@@ -52,6 +52,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """IO1: header, quoted multi-line text, empty and ``NA`` to null.
 
     A declared schema avoids the inference pass over the whole file.
+    Quoted multi-line records make a CSV file unsplittable (each file is
+    read by one task), so a large corpus should arrive as many files, or be
+    converted to Parquet once with this reader.
     """
     r = (spark.read.option("header", True).option("multiLine", True)
          .option("escape", '"').option("quote", '"'))
