@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 
 from tomewise.operators.ranking import global_positions, positions_within
 from tomewise.operators.sampling import kth_smallest, seeded_key, threshold_filter
+from tomewise.session import checkpoint_dir
+
+
+def _reliable(df: DataFrame) -> DataFrame:
+    """``df`` written with a reliable ``checkpoint()`` into the shared folder
+    (``spark.checkpoint.dir``; a local one only when the setting is absent)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 # SP2, exact ----------------------------------------------------------------
@@ -42,8 +50,8 @@ def group_split_exact(df: DataFrame, group_col: str = "book_id",
     # The distinct groups feed five small passes (count, two histograms, two
     # boundary buckets): written once to the checkpoint folder instead of
     # re-aggregating the rows each time.
-    groups = (df.where(F.col(group_col).isNotNull()).select(group_col).distinct()
-                .withColumn(k1, seeded_key(seeds[0], group_col))).checkpoint()
+    groups = _reliable(df.where(F.col(group_col).isNotNull()).select(group_col).distinct()
+                         .withColumn(k1, seeded_key(seeds[0], group_col)))
     n_groups = groups.count()
     in_first = _first_fraction(groups, n_groups, train_size, k1, group_col)
     n_first = math.floor(train_size * n_groups)
@@ -81,16 +89,24 @@ def _hex8_to_long(c: Column) -> Column:
     return F.conv(F.substring(c, 1, 8), 16, 10).cast("bigint")
 
 
+def group_stratum_counts(df: DataFrame, group_col: str = "book_id",
+                         stratum_col: str = "user_id") -> DataFrame:
+    """``group_col, stratum_col, _m``: rows per (group, stratum)."""
+    return df.groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("_m"))
+
+
 def deal_groups(df: DataFrame, n_folds: int, group_col: str = "book_id",
-                stratum_col: str = "user_id", seed: int = 42) -> DataFrame:
+                stratum_col: str = "user_id", seed: int = 42,
+                counts: DataFrame | None = None) -> DataFrame:
     """Fold of each group: ``group_col, stratum, n_rows, fold``.
 
     A group's stratum is its most frequent stratum value (ties: smallest
     value).  Within a stratum, groups are dealt round-robin by (rows desc,
     seeded key), starting at a seeded per-stratum offset.  Works on the
-    group table (one row per group), never on rows.
+    group table (one row per group), never on rows.  ``counts`` (from
+    ``group_stratum_counts``) skips the pass over the rows.
     """
-    m = df.groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("_m"))
+    m = counts if counts is not None else group_stratum_counts(df, group_col, stratum_col)
     g = m.groupBy(group_col).agg(
         F.sum("_m").alias("n_rows"),
         F.min_by(F.col(stratum_col), F.struct(-F.col("_m"), F.col(stratum_col))).alias("stratum"))
@@ -106,11 +122,17 @@ def deal_groups(df: DataFrame, n_folds: int, group_col: str = "book_id",
 def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
                           stratum_col: str = "user_id", n_test: int = 5,
                           n_valid: int = 4, seed: int = 42) -> DataFrame:
-    """SP3 (dealt): fold 0 of 5 is test, fold 0 of 4 over the rest is valid."""
-    f1 = deal_groups(df, n_test, group_col, stratum_col, seed).select(
+    """SP3 (dealt): fold 0 of 5 is test, fold 0 of 4 over the rest is valid.
+
+    The rows are aggregated once into (group, stratum) counts, written with
+    ``checkpoint()``; the second dealing reads those counts restricted to
+    the non-test groups instead of re-reading and re-aggregating the rows.
+    """
+    counts = _reliable(group_stratum_counts(df, group_col, stratum_col))
+    f1 = deal_groups(df, n_test, group_col, stratum_col, seed, counts=counts).select(
         group_col, (F.col("fold") == 0).alias("_test"))
-    rest = df.join(f1.where(~F.col("_test")), group_col, "left_semi")
-    f2 = deal_groups(rest, n_valid, group_col, stratum_col, seed + 1).select(
+    rest = counts.join(f1.where(~F.col("_test")).select(group_col), group_col, "left_semi")
+    f2 = deal_groups(df, n_valid, group_col, stratum_col, seed + 1, counts=rest).select(
         group_col, (F.col("fold") == 0).alias("_valid"))
     decided = f1.join(f2, group_col, "left")
     # The group table has one row per group; AQE broadcasts it when small.
@@ -179,7 +201,7 @@ def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
         acc = (best.withColumn("_q", F.row_number().over(
                     Window.partitionBy("fold").orderBy("price", group_col)))
                    .where(F.col("_q") <= room_col).select(group_col, "fold"))
-        acc = acc.checkpoint() if checkpoint else acc.cache()
+        acc = _reliable(acc) if checkpoint else acc.cache()
         took = {r["fold"]: r["count"] for r in acc.groupBy("fold").count().collect()}
         for f, c in took.items():
             room[f] -= c
@@ -192,7 +214,8 @@ def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
 def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "book_id",
                            stratum_col: str = "user_id", seed: int = 42,
                            rounds: int = 8, checkpoint: bool = True,
-                           driver_pick_limit: int = 500_000, min_batch: int = 32) -> DataFrame:
+                           driver_pick_limit: int = 500_000, min_batch: int = 32,
+                           counts: DataFrame | None = None) -> DataFrame:
     """SP3 (balanced): ``group_col, fold`` with groups intact and every
     stratum spread as evenly as possible over the folds.
 
@@ -209,8 +232,9 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     checkpointed between rounds.
     """
     spark = df.sparkSession
-    m = (df.where(F.col(group_col).isNotNull())
-           .groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("m")))
+    if counts is None:
+        counts = group_stratum_counts(df, group_col, stratum_col)
+    m = counts.where(F.col(group_col).isNotNull()).withColumnRenamed("_m", "m")
     totals = m.groupBy(stratum_col).agg(F.sum("m").alias("T"))
     g = m.groupBy(group_col).agg(F.sum("m").alias("n"))
     # Global order of the group table: a range-partitioned sort with
@@ -226,7 +250,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     batch = math.ceil(n_groups / rounds)
     mp = (m.join(totals, stratum_col).join(gi, group_col)
             .withColumn("_round", (F.col("_idx") / batch).cast("int")))
-    mp = mp.checkpoint() if checkpoint else mp.cache()
+    mp = _reliable(mp) if checkpoint else mp.cache()
     round_rows = {r["_round"]: r["count"] for r in mp.groupBy("_round").count().collect()}
     fold_rows = [0] * n_folds
     if sum(round_rows.values()) <= driver_pick_limit:
@@ -277,7 +301,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
                           .select(stratum_col, "fold",
                                   (F.coalesce("F", F.lit(0)) + F.coalesce("dF", F.lit(0))).alias("F")))
         # the running totals are small; cut their lineage every few rounds
-        state = state.checkpoint() if (checkpoint and r % 4 == 3) else state.cache()
+        state = _reliable(state) if (checkpoint and r % 4 == 3) else state.cache()
     out = spark.createDataFrame(driver_picks, f"{group_col} {g_type}, fold int")
     if spark_picks is not None:
         out = out.unionByName(spark_picks)
@@ -288,11 +312,14 @@ def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
                             stratum_col: str = "user_id", seed: int = 42,
                             rounds: int = 8) -> DataFrame:
     """SP3 as the original uses it: fold 0 of 5 is test, fold 0 of 4 over the
-    remaining groups is valid, the rest train."""
-    f1 = stratified_group_folds(df, 5, group_col, stratum_col, seed, rounds)
+    remaining groups is valid, the rest train.  The rows are aggregated once;
+    the second fold assignment reads the (group, stratum) counts of the
+    remaining groups."""
+    counts = _reliable(group_stratum_counts(df, group_col, stratum_col))
+    f1 = stratified_group_folds(df, 5, group_col, stratum_col, seed, rounds, counts=counts)
     test_groups = f1.where(F.col("fold") == 0).select(group_col)
-    rest = df.join(test_groups, group_col, "left_anti")
-    f2 = stratified_group_folds(rest, 4, group_col, stratum_col, seed + 1, rounds)
+    rest = counts.join(test_groups, group_col, "left_anti")
+    f2 = stratified_group_folds(df, 4, group_col, stratum_col, seed + 1, rounds, counts=rest)
     valid_groups = f2.where(F.col("fold") == 0).select(group_col)
     return (df.join(test_groups.withColumn("_t", F.lit(True)), group_col, "left")
               .join(valid_groups.withColumn("_v", F.lit(True)), group_col, "left")
