@@ -18,6 +18,7 @@ from tomewise.functions import text as tx
 from tomewise.operators import eda
 from tomewise.operators.sampling import seeded_head, seeded_permutation
 from tomewise.plans import prepare as P
+from tomewise.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -563,9 +564,15 @@ def q_polarity_negated(spark, sf):
 SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
 FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
 def q_polarity_boxplot_by_rating(spark, sf):
-    """AG9 on polarity per rating (train)."""
+    """AG9 on polarity per rating (train).
+
+    The box-plot figures read their input three times (distinct check,
+    quartiles, whiskers); the polarity (an explode, a join and an aggregate
+    over every token) is written once with ``checkpoint()`` instead of being
+    recomputed for each pass."""
     p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
-    return eda.boxplot_stats(p, "rating", "polarity")
+    checkpoint_dir(spark)
+    return eda.boxplot_stats(p.select("rating", "polarity").checkpoint(), "rating", "polarity")
 
 
 # --- Step 5: scoring and evaluation on the logits fixture, vocabulary -------
@@ -808,7 +815,6 @@ import uuid  # noqa: E402
 
 from tomewise.operators import model as ML  # noqa: E402
 from tomewise.operators.scoring import score_splits  # noqa: E402
-from tomewise.session import checkpoint_dir  # noqa: E402
 from tomewise.sources import datasets as IO  # noqa: E402
 from tomewise.streaming import scorer as ST  # noqa: E402
 
