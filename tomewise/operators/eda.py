@@ -24,6 +24,15 @@ def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
               .agg(F.count(F.lit(1)).alias(name)))
 
 
+def counts_table(df: DataFrame, col: str, name: str = "count") -> DataFrame:
+    """``value_counts`` written once with a reliable ``checkpoint()``, for
+    statistics that read it in several passes (describe, range histogram):
+    the passes read one row per value instead of re-aggregating the rows."""
+    from tomewise.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return value_counts(df, col, name).checkpoint()
+
+
 def most_common(df: DataFrame, col: str, k: int = 100, name: str = "Frequency") -> DataFrame:
     """SL1: the k most frequent values; ``TakeOrderedAndProject``, no global sort."""
     return value_counts(df, col, name).orderBy(F.col(name).desc(), F.col(col)).limit(k)

@@ -251,7 +251,7 @@ LEFT JOIN (SELECT least(CAST(floor((CAST(n AS DOUBLE) - (SELECT lo_ FROM rng)) *
            FROM uc GROUP BY 1) c USING (bin)"""))
 def q_user_activity_hist(spark, sf):
     """AG6: 50 equal bins over the range of reviews per user."""
-    return eda.histogram_over_range(eda.value_counts(P.processed(spark, sf), "user_id", "n"), "n", 50)
+    return eda.histogram_over_range(eda.counts_table(P.processed(spark, sf), "user_id", "n"), "n", 50)
 
 
 @query("user_activity_describe", O.with_chain("processed", _UC, body="""
@@ -260,7 +260,7 @@ SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS
        CAST(quantile_cont(n, 0.75) AS DOUBLE) AS q75, CAST(max(n) AS DOUBLE) AS max FROM uc"""))
 def q_user_activity_describe(spark, sf):
     """AG7: summary of reviews per user."""
-    return eda.describe(eda.value_counts(P.processed(spark, sf), "user_id", "n"), "n")
+    return eda.describe(eda.counts_table(P.processed(spark, sf), "user_id", "n"), "n")
 
 
 @query("length_freq_by_rating", O.with_chain("split", body="""
@@ -964,7 +964,7 @@ SELECT count(n) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS
        CAST(quantile_cont(n, 0.75) AS DOUBLE) AS q75, CAST(max(n) AS DOUBLE) AS max FROM ev_n"""))
 def q_event_activity_describe(spark, sf):
     """AG7 on a second activity table: events per user."""
-    return eda.describe(eda.value_counts(fixtures.events_activity(spark, sf), "user_id", "n"), "n")
+    return eda.describe(eda.counts_table(fixtures.events_activity(spark, sf), "user_id", "n"), "n")
 
 
 @query("event_activity_hist", O.with_chain("reviews", _EV, """
@@ -981,7 +981,7 @@ LEFT JOIN (SELECT least(CAST(floor((CAST(n AS DOUBLE) - (SELECT lo_ FROM rng)) *
            FROM ev_n GROUP BY 1) c USING (bin)"""))
 def q_event_activity_hist(spark, sf):
     """AG6 on events per user: 50 bins over the data range."""
-    return eda.histogram_over_range(eda.value_counts(fixtures.events_activity(spark, sf), "user_id", "n"), "n", 50)
+    return eda.histogram_over_range(eda.counts_table(fixtures.events_activity(spark, sf), "user_id", "n"), "n", 50)
 
 
 @query("event_value_boxplot_by_type", O.with_chain("reviews", _sql_boxplot("events", "event_type", "value"), body="""
