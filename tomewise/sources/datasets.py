@@ -117,26 +117,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _entries(spark: SparkSession, name: str, root: str) -> list:
+    """Manifest rows of ``name``: one per published version (a short list)."""
+    m = _manifest(spark, root)
+    if m is None:
+        return []
+    return m.where(F.col("name") == name).collect()
+
+
+def _newest(entries: list, fingerprint: str | None = None):
+    rows = [e for e in entries if fingerprint is None or e["fingerprint"] == fingerprint]
+    return max(rows, key=lambda e: e["version"]) if rows else None
+
+
 def latest_entry(spark: SparkSession, name: str, root: str | None = None,
                  fingerprint: str | None = None):
     """Manifest row of the newest version of ``name`` (optionally of one input
     fingerprint), or None."""
-    root = root or default_root(spark)
-    m = _manifest(spark, root)
-    if m is None:
-        return None
-    m = m.where(F.col("name") == name)
-    if fingerprint is not None:
-        m = m.where(F.col("fingerprint") == fingerprint)
-    rows = m.orderBy(F.col("version").desc()).limit(1).collect()
-    return rows[0] if rows else None
+    return _newest(_entries(spark, name, root or default_root(spark)), fingerprint)
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset",
-            root: str | None = None, fingerprint: str = "", partition_by: str | None = None) -> int:
+            root: str | None = None, fingerprint: str = "", partition_by: str | None = None,
+            _known: list | None = None) -> int:
     """IO5: write the next version of ``name`` and append its manifest row."""
     root = root or default_root(spark)
-    last = latest_entry(spark, name, root)
+    last = _newest(_entries(spark, name, root) if _known is None else _known)
     version = 1 if last is None else last["version"] + 1
     path = f"{root}/{name}/version={version}"
     w = df.write.mode("overwrite")
@@ -172,11 +178,14 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
     memo = (root, name, fingerprint)
     path = _RESOLVED.get(memo)
     if path is None or not _exists(spark, path):
-        e = latest_entry(spark, name, root, fingerprint)
+        known = _entries(spark, name, root)  # one manifest read per stage
+        e = _newest(known, fingerprint)
         if e is None:
-            publish(spark, build(), name, "stage", root, fingerprint, partition_by)
-            e = latest_entry(spark, name, root, fingerprint)
-        path = _RESOLVED[memo] = e["path"]
+            v = publish(spark, build(), name, "stage", root, fingerprint, partition_by, _known=known)
+            path = f"{root}/{name}/version={v}"
+        else:
+            path = e["path"]
+        _RESOLVED[memo] = path
     return spark.read.parquet(path)
 
 
