@@ -81,3 +81,15 @@ def test_score_models_single_pass_equals_each_model(spark):
     assert got == want and len(got) == 80
     plan = score_models(models, df)._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan
+
+
+def test_sweep_one_width_at_a_time_results(spark):
+    from tomewise.operators import model as ML
+    rows = [(i, f"review {i} {'good great' if i % 2 else 'bad poor'} text", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    res = ML.sweep(spark, df.where("review_id % 3 != 0"), df.where("review_id % 3 = 0"),
+                   n_trials=5, seed=3, parallelism=2).collect()
+    assert [r.trial for r in res] == list(range(5))
+    draws = ML.draw_trials(5, 3)
+    assert [(r.max_iter, r.num_features) for r in res] == [(d["max_iter"], d["num_features"]) for d in draws]
+    assert all(0.0 <= r.valid_accuracy <= 1.0 for r in res)

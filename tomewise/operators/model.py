@@ -134,35 +134,39 @@ def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int
           label_col: str = "rating", text_col: str = "review_text", parallelism: int = 8) -> DataFrame:
     """ML5: one fit per draw; the results table ``trial, params..., valid_accuracy``.
 
-    The featurisation is fitted once per hash width and cached; trials differ
-    only in the classifier fit.  Up to ``parallelism`` trials are fitted at
-    once (concurrent Spark jobs, as ``CrossValidator(parallelism=...)``);
-    the results do not depend on the order.
+    The featurisation is fitted once per hash width and cached while that
+    width's trials run (one width at a time); trials differ only in the
+    classifier fit.  Up to ``parallelism`` trials are fitted at once
+    (concurrent Spark jobs, as ``CrossValidator(parallelism=...)``); the
+    results do not depend on the order.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     trials = draw_trials(n_trials, seed)
-    feats = {}
+    rows = []
+    # One hash width at a time: its featurised train/valid sets are cached,
+    # its trials fitted, and the cache released before the next width, so
+    # at most one copy of the features is held.
     for nf in sorted({t["num_features"] for t in trials}):
         fcfg = TrainConfig(num_features=nf, text_col=text_col, label_col=label_col)
         fm = Pipeline(stages=featurizer_stages(fcfg)).fit(train)
-        feats[nf] = (_sized(fm.transform(train).select("features", label_col)).cache(),
-                     _sized(fm.transform(valid).select("features", label_col)).cache())
-
-    def run(t):
-        nf = t["num_features"]
-        tr, va = feats[nf]
-        cfg = TrainConfig(num_features=nf, reg_param=t["reg_param"], max_iter=t["max_iter"],
-                          text_col=text_col, label_col=label_col)
-        fitted = classifier(cfg).fit(tr)
-        acc = accuracy_of(fitted.transform(va), label_col)
-        return (t["trial"], float(t["reg_param"]), int(t["max_iter"]), int(nf), acc)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, trials))
-    for tr, va in feats.values():
-        tr.unpersist()
-        va.unpersist()
+        tr = _sized(fm.transform(train).select("features", label_col)).cache()
+        va = _sized(fm.transform(valid).select("features", label_col)).cache()
+
+        def run(t, tr=tr, va=va, nf=nf):
+            cfg = TrainConfig(num_features=nf, reg_param=t["reg_param"], max_iter=t["max_iter"],
+                              text_col=text_col, label_col=label_col)
+            fitted = classifier(cfg).fit(tr)
+            acc = accuracy_of(fitted.transform(va), label_col)
+            return (t["trial"], float(t["reg_param"]), int(t["max_iter"]), int(nf), acc)
+
+        try:
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                rows += list(pool.map(run, [t for t in trials if t["num_features"] == nf]))
+        finally:
+            tr.unpersist()
+            va.unpersist()
+    rows.sort(key=lambda r: r[0])
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
