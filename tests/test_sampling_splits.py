@@ -197,3 +197,12 @@ def test_spearman_distributed_ranks_equal_window_ranks(spark):
     finally:
         eda.MAX_RANK_WINDOW = old
     assert abs(a - b) < 1e-12
+
+
+def test_batched_greedy_folds_bounded_batches(spark):
+    df = _groups_df(spark, 600, 90, 9)
+    n_groups = df.select("book_id").distinct().count()
+    folds = S.stratified_group_folds(df, 4, rounds=2, min_batch=5, max_batch=25, driver_pick_limit=0)
+    assert folds.count() == n_groups
+    assert folds.groupBy("book_id").count().where("count > 1").count() == 0
+    assert {r.fold for r in folds.select("fold").distinct().collect()} <= set(range(4))

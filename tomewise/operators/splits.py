@@ -215,6 +215,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
                            stratum_col: str = "user_id", seed: int = 42,
                            rounds: int = 8, checkpoint: bool = True,
                            driver_pick_limit: int = 500_000, min_batch: int = 32,
+                           max_batch: int = 1_000_000,
                            counts: DataFrame | None = None) -> DataFrame:
     """SP3 (balanced): ``group_col, fold`` with groups intact and every
     stratum spread as evenly as possible over the folds.
@@ -228,7 +229,9 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     round's group x stratum table has at most ``driver_pick_limit`` rows;
     beyond that, k passes of two windows in Spark price each group against
     the totals at the start of the round, with at most ceil(batch/k) groups
-    per fold.  Only group-level tables are touched; the running totals are
+    per fold; a round holds at most ``max_batch`` groups (more rounds for
+    larger tables), which bounds the per-fold windows.  Only group-level
+    tables are touched; the running totals are
     checkpointed between rounds.
     """
     spark = df.sparkSession
@@ -247,6 +250,9 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     if n_groups == 0:
         return gi.select(group_col, F.lit(0).alias("fold"))
     rounds = max(1, min(rounds, math.ceil(n_groups / min_batch)))
+    # A round's picks rank the proposals for each fold in one window per fold
+    # (k tasks); more rounds keep every round at most ``max_batch`` groups.
+    rounds = max(rounds, math.ceil(n_groups / max_batch))
     batch = math.ceil(n_groups / rounds)
     mp = (m.join(totals, stratum_col).join(gi, group_col)
             .withColumn("_round", (F.col("_idx") / batch).cast("int")))
