@@ -206,3 +206,9 @@ def test_batched_greedy_folds_bounded_batches(spark):
     assert folds.count() == n_groups
     assert folds.groupBy("book_id").count().where("count > 1").count() == 0
     assert {r.fold for r in folds.select("fold").distinct().collect()} <= set(range(4))
+
+
+def test_bucket_digits_bounds():
+    d = [SA.bucket_digits(n) for n in (1, 10**4, 10**6, 10**8, 10**10, 10**14)]
+    assert d == sorted(d) and d[0] == 1 and max(d) == 5
+    assert 10**8 / 16 ** SA.bucket_digits(10**8) <= 50_000

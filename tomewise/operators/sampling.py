@@ -53,16 +53,30 @@ def _per_stratum(strata, mapping: dict, default) -> Column:
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
+def bucket_digits(largest_stratum: int, target: int = 50_000, max_digits: int = 5) -> int:
+    """Hex digits of the key prefix so that a bucket holds about ``target``
+    rows of the largest stratum; at most ``max_digits`` (16**5 buckets), which
+    bounds the per-stratum histogram window."""
+    need = max(1, -(-int(largest_stratum) // target))
+    d = 1
+    while 16 ** d < need and d < max_digits:
+        d += 1
+    return d
+
+
 def kth_smallest(df: DataFrame, k: dict | int, key: str, tiebreak: str,
-                 strata: list[str] | tuple = (), bucket_chars: int = 4,
-                 max_strata: int = 10_000) -> dict:
+                 strata: list[str] | tuple = (), bucket_chars: int | None = None,
+                 max_strata: int = 10_000, largest_stratum: int | None = None) -> dict:
     """Per stratum, the k-th smallest ``(key, tiebreak)`` as a ``Threshold``.
 
     ``k`` is an int for every stratum or a dict ``{stratum tuple: k}``.  The
     strata must be a bounded domain (classes); at most ``max_strata`` rows
     reach the driver.  Two passes over ``df``: the bucket histogram, then the
-    boundary buckets only.
+    boundary buckets only.  The key prefix length is ``bucket_chars``, or
+    sized from ``largest_stratum`` (rows of the biggest stratum), else 4.
     """
+    if bucket_chars is None:
+        bucket_chars = bucket_digits(largest_stratum) if largest_stratum is not None else 4
     strata = list(strata)
     kd = k if isinstance(k, dict) else None
     kk = _per_stratum(strata, kd, 0) if kd is not None else F.lit(int(k))
@@ -147,7 +161,8 @@ def undersample(df: DataFrame, label_col: str = "rating", seed: int = 42,
         return df.where(F.lit(False))
     m = min(counts.values()) if target is None else int(target)
     keyed = df.where(F.col(label_col).isNotNull()).withColumn("_key", seeded_key(seed, id_col))
-    kept = keep_smallest(keyed, {(c,): m for c in counts}, "_key", id_col, [label_col])
+    kept = keep_smallest(keyed, {(c,): m for c in counts}, "_key", id_col, [label_col],
+                         largest_stratum=max(counts.values()))
     return kept.drop("_key")
 
 

@@ -31,7 +31,7 @@ def _first_fraction(groups: DataFrame, n_groups: int, frac: float, key: str,
                     group_col: str) -> Column:
     """Predicate: group among the floor(frac*G) smallest keys."""
     n_keep = math.floor(frac * n_groups)
-    thr = kth_smallest(groups, n_keep, key, group_col)
+    thr = kth_smallest(groups, n_keep, key, group_col, largest_stratum=n_groups)
     return threshold_filter(thr, key, group_col)
 
 
