@@ -85,8 +85,7 @@ def histogram_over_range(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     rng = df.agg(F.min(v).alias("mn"), F.max(v).alias("mx"))
     rng = rng.select(F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo_"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi_"))
-    lo_s = rng.select("lo_").scalar()
-    hi_s = rng.select("hi_").scalar()
+    lo_s, hi_s = rng.head()  # one pass for both ends
     counts = (df.select(bin_index(v, lo_s, hi_s, bins).alias("bin"))
                 .where(F.col("bin").isNotNull()).groupBy("bin")
                 .agg(F.count(F.lit(1)).alias("n")))
