@@ -880,7 +880,8 @@ def q_stream_scores(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
-@query("io_split_roundtrip")
+@query("io_split_roundtrip", O.with_chain("split", body="""
+SELECT review_id, book_id, rating, split FROM splitted WHERE split = 'train'"""))
 def q_io_split_roundtrip(spark, sf):
     """IO3 + IO4: write one directory per split, read train back by pruning."""
     path = _scratch(spark, "splits")
@@ -888,7 +889,8 @@ def q_io_split_roundtrip(spark, sf):
     return IO.read_split(spark, path, "train")
 
 
-@query("versioned_publish_latest")
+@query("versioned_publish_latest", O.with_chain("processed", body="""
+SELECT review_id, rating, CAST(2 AS INTEGER) AS version FROM processed"""))
 def q_versioned_publish_latest(spark, sf):
     """IO5 + IO6: publish two versions, resolve ``latest`` via the manifest."""
     root = _scratch(spark, "registry")
