@@ -28,9 +28,8 @@ def counts_table(df: DataFrame, col: str, name: str = "count") -> DataFrame:
     """``value_counts`` written once with a reliable ``checkpoint()``, for
     statistics that read it in several passes (describe, range histogram):
     the passes read one row per value instead of re-aggregating the rows."""
-    from tomewise.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return value_counts(df, col, name).checkpoint()
+    from tomewise.session import reliable
+    return reliable(value_counts(df, col, name))
 
 
 def most_common(df: DataFrame, col: str, k: int = 100, name: str = "Frequency") -> DataFrame:

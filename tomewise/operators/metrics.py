@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.operators.joins import broadcast_if_bounded
+from tomewise.session import reliable
 
 
 def confusion_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -82,9 +83,10 @@ def adjacent_confusion_rate(scored: DataFrame, by: list[str] | None = None) -> D
 def worst_confusions(scored: DataFrame, texts: DataFrame, true_label: int = 0, predicted: int = 5,
                      key: str = "review_id") -> DataFrame:
     """PF5 + J3: rows with the given true and predicted class, with their text."""
-    hits = scored.where((F.col("label") == true_label) & (F.col("prediction") == predicted))
-    # the hits are one cell of the confusion matrix: broadcast them (after a
-    # size check) so the text table is scanned, not shuffled
+    # The hits are one cell of the confusion matrix.  They are written once
+    # (scoring is not repeated by the size check), then broadcast after the
+    # check so the text table is scanned, not shuffled.
+    hits = reliable(scored.where((F.col("label") == true_label) & (F.col("prediction") == predicted)))
     return texts.join(broadcast_if_bounded(hits), key).select(*hits.columns, *[c for c in texts.columns if c != key])
 
 

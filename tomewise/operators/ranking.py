@@ -26,9 +26,8 @@ _LOW33 = (1 << 33) - 1
 def _sorted_tagged(df: DataFrame, order_cols: list) -> tuple[DataFrame, int]:
     """Sorted, checkpointed copy of ``df`` with ``_p`` (partition) and ``_r``
     (row number within the partition), and the number of partitions."""
-    from tomewise.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)  # the shared folder (set locally only if unset)
-    ordered = df.orderBy(*order_cols).checkpoint()
+    from tomewise.session import reliable
+    ordered = reliable(df.orderBy(*order_cols))
     mid = F.monotonically_increasing_id()
     tagged = ordered.select("*", mid.alias("_mid")).select(
         *df.columns, F.shiftright(F.col("_mid"), 33).cast("int").alias("_p"),

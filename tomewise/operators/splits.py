@@ -15,14 +15,7 @@ from pyspark.sql import functions as F
 
 from tomewise.operators.ranking import global_positions, positions_within
 from tomewise.operators.sampling import kth_smallest, seeded_key, threshold_filter
-from tomewise.session import checkpoint_dir
-
-
-def _reliable(df: DataFrame) -> DataFrame:
-    """``df`` written with a reliable ``checkpoint()`` into the shared folder
-    (``spark.checkpoint.dir``; a local one only when the setting is absent)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+from tomewise.session import reliable as _reliable
 
 
 # SP2, exact ----------------------------------------------------------------

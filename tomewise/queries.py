@@ -18,7 +18,7 @@ from tomewise.functions import text as tx
 from tomewise.operators import eda
 from tomewise.operators.sampling import seeded_head, seeded_permutation
 from tomewise.plans import prepare as P
-from tomewise.session import checkpoint_dir
+from tomewise.session import checkpoint_dir, reliable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -571,8 +571,7 @@ def q_polarity_boxplot_by_rating(spark, sf):
     over every token) is written once with ``checkpoint()`` instead of being
     recomputed for each pass."""
     p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
-    checkpoint_dir(spark)
-    return eda.boxplot_stats(p.select("rating", "polarity").checkpoint(), "rating", "polarity")
+    return eda.boxplot_stats(reliable(p.select("rating", "polarity")), "rating", "polarity")
 
 
 # --- Step 5: scoring and evaluation on the logits fixture, vocabulary -------

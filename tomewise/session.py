@@ -58,3 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
+
+
+def reliable(df):
+    """``df`` written with a reliable ``checkpoint()`` into the shared folder
+    (lineage cut; survives the loss of the executors that computed it)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
