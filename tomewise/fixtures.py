@@ -22,8 +22,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
+# Tables whose rows carry long text: per-row regex and token work is CPU
+# bound, so a coarse scan is worth spreading.  Numeric tables only feed
+# aggregates that combine map-side; shuffling them for parallelism would cost
+# more than it saves.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def with_row_key(df: DataFrame, cols: list[str], name: str = "review_id") -> DataFrame:
