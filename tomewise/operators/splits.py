@@ -217,15 +217,15 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     batches.  In a round each (group, fold) is priced by how much it raises
     the squared stratum shares of the fold, ``sum_s 2*F[f,s]*m[g,s]/T_s**2``
     (a join of the batch's group x stratum counts with the running fold x
-    stratum totals, then an aggregate).  Within a round the driver places groups one at a time (largest first,
-    totals updated after each, ties to the fold with fewest rows) when the
-    round's group x stratum table has at most ``driver_pick_limit`` rows;
-    beyond that, k passes of two windows in Spark price each group against
-    the totals at the start of the round, with at most ceil(batch/k) groups
-    per fold; a round holds at most ``max_batch`` groups (more rounds for
-    larger tables), which bounds the per-fold windows.  Only group-level
-    tables are touched; the running totals are
-    checkpointed between rounds.
+    stratum totals, then an aggregate).  When the whole group x stratum
+    table has at most ``driver_pick_limit`` rows, the driver places groups
+    one at a time in that order (totals updated after each, ties to the fold
+    with fewest rows) in a single pass.  Larger tables never reach the
+    driver: in each round, k passes of two windows in Spark price each group
+    against the totals at the start of the round, with at most ceil(batch/k)
+    groups per fold; a round holds at most ``max_batch`` groups (more rounds
+    for larger tables), which bounds the per-fold windows.  Only group-level
+    tables are touched; the running totals are checkpointed between rounds.
     """
     spark = df.sparkSession
     if counts is None:
@@ -259,39 +259,29 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
                   for x in mp.select("_idx", group_col, stratum_col, "m", "T").collect()]
         picks = _greedy_round_driver(m_rows, [], n_folds, fold_rows)
         return spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
+    # Larger tables: every round in Spark; the driver only sees per-fold
+    # counts, never the group table.
     state = None  # stratum, fold, F
-    driver_picks: list[tuple] = []
-    spark_picks = None
+    picks_all = None
     for r in range(rounds):
         mb = mp.where(F.col("_round") == r)
         nb = min(batch, n_groups - r * batch)
         if nb <= 0:
             break
-        if round_rows.get(r, 0) <= driver_pick_limit:
-            # the round's group x stratum counts and the totals of its strata
-            m_rows = [(x["_idx"], x[group_col], x[stratum_col], x["m"], x["T"])
-                      for x in mb.select("_idx", group_col, stratum_col, "m", "T").collect()]
-            f_rows = [] if state is None else [
-                (x[stratum_col], x["fold"], x["F"])
-                for x in state.join(mb.select(stratum_col).distinct(), stratum_col, "left_semi").collect()]
-            picks = _greedy_round_driver(m_rows, f_rows, n_folds, fold_rows)
-            driver_picks += picks
-            chosen = spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
+        cap = math.ceil(nb / n_folds)
+        # price every (group, fold): the fold axis is the parameter k.
+        pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
+        if state is not None:
+            pairs = pairs.join(state, [stratum_col, "fold"], "left")
         else:
-            cap = math.ceil(nb / n_folds)
-            # price every (group, fold): the fold axis is the parameter k.
-            pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-            if state is not None:
-                pairs = pairs.join(state, [stratum_col, "fold"], "left")
-            else:
-                pairs = pairs.withColumn("F", F.lit(0))
-            price = (pairs.groupBy(group_col, "fold").agg(
-                F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
-                      / (F.col("T") * F.col("T"))).alias("price")))
-            chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint, fold_rows)
-            spark_picks = chosen if spark_picks is None else spark_picks.unionByName(chosen)
-            for x in mb.join(chosen, group_col).groupBy("fold").agg(F.sum("m").alias("n")).collect():
-                fold_rows[x["fold"]] += x["n"]
+            pairs = pairs.withColumn("F", F.lit(0))
+        price = (pairs.groupBy(group_col, "fold").agg(
+            F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
+                  / (F.col("T") * F.col("T"))).alias("price")))
+        chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint, fold_rows)
+        picks_all = chosen if picks_all is None else picks_all.unionByName(chosen)
+        for x in mb.join(chosen, group_col).groupBy("fold").agg(F.sum("m").alias("n")).collect():
+            fold_rows[x["fold"]] += x["n"]
         add = mb.join(chosen, group_col).groupBy(stratum_col, "fold").agg(F.sum("m").alias("dF"))
         if state is None:
             state = add.select(stratum_col, "fold", F.col("dF").alias("F"))
@@ -301,10 +291,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
                                   (F.coalesce("F", F.lit(0)) + F.coalesce("dF", F.lit(0))).alias("F")))
         # the running totals are small; cut their lineage every few rounds
         state = _reliable(state) if (checkpoint and r % 4 == 3) else state.cache()
-    out = spark.createDataFrame(driver_picks, f"{group_col} {g_type}, fold int")
-    if spark_picks is not None:
-        out = out.unionByName(spark_picks)
-    return out
+    return picks_all
 
 
 def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
