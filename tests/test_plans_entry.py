@@ -46,3 +46,13 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0 and df.columns == ["split", "rating", "n_rows", "share"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_only_text_tables_are_spread(spark):
+    from tomewise import fixtures
+    assert "Exchange" not in _plan(fixtures.table(spark, SF001, "events"))
+    assert "Exchange" not in _plan(fixtures.table(spark, SF001, "embeddings"))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    spread = _plan(fixtures.table(spark, SF001, "documents"))
+    want = docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    assert ("RoundRobinPartitioning" in spread) == want
