@@ -86,10 +86,13 @@ def logits(spark: SparkSession, sf_dir: str, model: int = 0) -> DataFrame:
 
 
 def dialogue_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second corpus: conversation turns grouped by conversation, class = role."""
+    """Second corpus: conversation turns grouped by conversation, class = role.
+
+    The row key packs ``(conv_id, turn)`` into one bigint (turn in the low 32
+    bits), distinct for any turn count below 2**32."""
     c = table(spark, sf_dir, "conversations")
     return c.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("review_id"),
+        (F.col("conv_id").cast("bigint") * F.lit(1 << 32) + F.col("turn")).alias("review_id"),
         F.col("conv_id").alias("book_id"),
         F.col("turn"),
         F.col("role"),

@@ -914,7 +914,7 @@ def q_io_csv_roundtrip(spark, sf):
 # --- Second data sets: dialogue turns, events, binary labels -----------------
 
 C_DIALOGUE = f"""
-dialogue AS (SELECT conv_id * 1000 + turn AS review_id, conv_id AS book_id, turn, role,
+dialogue AS (SELECT CAST(conv_id AS BIGINT) * 4294967296 + turn AS review_id, conv_id AS book_id, turn, role,
                     trim(regexp_replace(lower(text), {O.WS}, ' ', 'g')) AS review_text
              FROM conversations)"""
 
