@@ -212,3 +212,17 @@ def test_bucket_digits_bounds():
     d = [SA.bucket_digits(n) for n in (1, 10**4, 10**6, 10**8, 10**10, 10**14)]
     assert d == sorted(d) and d[0] == 1 and max(d) == 5
     assert 10**8 / 16 ** SA.bucket_digits(10**8) <= 50_000
+
+
+def test_active_user_split_equals_composition_with_nulls(spark):
+    rnd = random.Random(21)
+    rows = [(i, None if i % 17 == 0 else rnd.randrange(40), None if i % 23 == 0 else f"u{rnd.randrange(12)}")
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "review_id long, book_id long, user_id string")
+    got = sorted(tuple(r) for r in S.active_user_dealt_split(df).select("review_id", "split").collect())
+    act = S.restrict_to_active(df)
+    folds = S.deal_groups(act, 5, "book_id", "user_id", 42).select("book_id", "fold")
+    want_df = (act.join(folds, "book_id", "left")
+                  .withColumn("split", F.when(F.col("fold") == 0, "test").otherwise("train")))
+    want = sorted(tuple(r) for r in want_df.select("review_id", "split").collect())
+    assert got == want and len(got) > 0

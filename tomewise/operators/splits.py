@@ -335,12 +335,25 @@ def restrict_to_casual(df: DataFrame, user_col: str = "user_id", min_reviews: in
 def active_user_dealt_split(df: DataFrame, group_col: str = "book_id",
                             user_col: str = "user_id", min_reviews: int = 5,
                             n_folds: int = 5, seed: int = 42) -> DataFrame:
-    """SP4: active users only, then fold 0 of a dealt k-fold is test."""
-    act = restrict_to_active(df, user_col, min_reviews)
-    folds = deal_groups(act, n_folds, group_col, user_col, seed).select(group_col, "fold")
-    return (act.join(folds, group_col, "left")
-               .withColumn("split", F.when(F.col("fold") == 0, "test").otherwise("train"))
-               .drop("fold"))
+    """SP4: active users only, then fold 0 of a dealt k-fold is test.
+
+    The rows are aggregated once into (group, user) counts (written with
+    ``checkpoint()``); the active users, the dealing and the per-(group,
+    user) labels all come from that table, and the rows meet it in a single
+    join that both keeps active users' rows and attaches their split.
+    """
+    counts = _reliable(group_stratum_counts(df, group_col, user_col))
+    active = (counts.groupBy(user_col).agg(F.sum("_m").alias("_n"))
+                    .where(F.col("_n") >= min_reviews).select(user_col))
+    act = counts.join(active, user_col, "left_semi")
+    folds = deal_groups(df, n_folds, group_col, user_col, seed, counts=act).select(group_col, "fold")
+    # a row with no group keeps a null fold (train), as in a join on the group
+    labels = act.select(group_col, user_col).join(folds, group_col, "left")
+    l = labels.select(F.col(group_col).alias("_g"), F.col(user_col).alias("_u"), "fold")
+    on = F.col(group_col).eqNullSafe(F.col("_g")) & (F.col(user_col) == F.col("_u"))
+    return (df.join(l, on, "inner")
+              .withColumn("split", F.when(F.col("fold") == 0, "test").otherwise("train"))
+              .drop("_g", "_u", "fold"))
 
 
 # SP5, AG10, SO3 ------------------------------------------------------------
