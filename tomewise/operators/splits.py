@@ -307,11 +307,13 @@ def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
     rest = counts.join(test_groups, group_col, "left_anti")
     f2 = stratified_group_folds(df, 4, group_col, stratum_col, seed + 1, rounds, counts=rest)
     valid_groups = f2.where(F.col("fold") == 0).select(group_col)
-    return (df.join(test_groups.withColumn("_t", F.lit(True)), group_col, "left")
-              .join(valid_groups.withColumn("_v", F.lit(True)), group_col, "left")
-              .withColumn("split", F.when(F.col("_t"), "test").when(F.col("_v"), "valid")
-                                    .otherwise("train"))
-              .drop("_t", "_v"))
+    # test and valid groups are disjoint: one small (group, split) table, so
+    # the rows are joined once
+    decided = (test_groups.withColumn("_s", F.lit("test"))
+               .unionByName(valid_groups.withColumn("_s", F.lit("valid"))))
+    return (df.join(decided, group_col, "left")
+              .withColumn("split", F.coalesce(F.col("_s"), F.lit("train")))
+              .drop("_s"))
 
 
 # SP4 -----------------------------------------------------------------------
