@@ -625,13 +625,17 @@ def q_label_to_rating(spark, sf):
 
 
 def _model_long(spark, sf):
-    parts = []
+    """Both models' outputs from one scan of the embeddings, exploded to the
+    long form (no union of per-model scans)."""
+    e = fixtures.table(spark, sf, "embeddings")
+    entries = []
     for model, name in ((0, "A"), (1, "B")):
-        s = _scored(spark, sf, model)
-        parts.append(s.select("review_id", F.lit(name).alias("model_name"),
-                              LG.label_to_rating(LG.label_name("prediction")).alias("label"),
-                              F.round(LG.confidence("logits"), 6).alias("score")))
-    return parts[0].unionByName(parts[1])
+        lg = F.slice("embedding", 1 + 10 * model, 10)
+        entries.append(F.struct(F.lit(name).alias("model_name"),
+                                LG.label_to_rating(LG.label_name(LG.argmax(lg))).alias("label"),
+                                F.round(LG.confidence(lg), 6).alias("score")))
+    longf = e.select(F.col("vec_id").alias("review_id"), F.explode(F.array(*entries)).alias("_m"))
+    return longf.select("review_id", "_m.model_name", "_m.label", "_m.score")
 
 
 _SQL_MODELS = [
