@@ -58,12 +58,20 @@ def micro_metrics(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def f1_per_class(scored: DataFrame, classes: list[int]) -> DataFrame:
     """F1 of each listed class; 0.0 where undefined (no true and no predicted)."""
     spark = scored.sparkSession
-    tp = scored.where(F.col("label") == F.col("prediction")).groupBy(F.col("label").alias("c")).agg(
-        F.count(F.lit(1)).alias("tp"))
-    t = scored.groupBy(F.col("label").alias("c")).agg(F.count(F.lit(1)).alias("n_true"))
-    p = scored.groupBy(F.col("prediction").alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
+    # One pass over the scored rows: each row counts once for its true class
+    # (and as a hit when correct) and once for its predicted class; the
+    # aggregate combines map-side into one row per class.
+    correct = (F.col("label") == F.col("prediction")).cast("long")
+    sides = F.array(
+        F.struct(F.col("label").alias("c"), F.lit(1).cast("long").alias("t"), correct.alias("h"),
+                 F.lit(0).cast("long").alias("p")),
+        F.struct(F.col("prediction").alias("c"), F.lit(0).cast("long").alias("t"),
+                 F.lit(0).cast("long").alias("h"), F.lit(1).cast("long").alias("p")))
+    per = (scored.select(F.explode(sides).alias("_s"))
+                 .groupBy(F.col("_s.c").alias("c"))
+                 .agg(F.sum("_s.h").alias("tp"), F.sum("_s.t").alias("n_true"), F.sum("_s.p").alias("n_pred")))
     grid = spark.createDataFrame([(int(c),) for c in classes], "c int")  # the class list parameter
-    j = (F.broadcast(grid).join(tp, "c", "left").join(t, "c", "left").join(p, "c", "left")
+    j = (F.broadcast(grid).join(per, "c", "left")
          .fillna(0, ["tp", "n_true", "n_pred"]))
     den = F.col("n_true") + F.col("n_pred")
     return j.select(F.col("c").alias("label"),
