@@ -24,7 +24,9 @@ def confusion_matrix(scored: DataFrame, by: list[str] | None = None) -> DataFram
     """Dense confusion matrix per split over the labels seen in that split
     (true or predicted), zero cells included."""
     by = by or ["split"]
-    counts = confusion_counts(scored, by)
+    # at most splits x classes^2 cells, read three times below: written once
+    # so the scored rows are aggregated in a single pass
+    counts = reliable(confusion_counts(scored, by))
     seen = (counts.select(*by, F.col("label").alias("c"))
                   .unionByName(counts.select(*by, F.col("prediction").alias("c"))).distinct())
     # class x class grid per split: bounded by the number of classes, not rows
