@@ -56,3 +56,12 @@ def test_only_text_tables_are_spread(spark):
     spread = _plan(fixtures.table(spark, SF001, "documents"))
     want = docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
     assert ("RoundRobinPartitioning" in spread) == want
+
+
+def test_evaluation_reads_the_scored_table_once(spark):
+    q = E.queries()
+    for name in ["model_comparison", "eval_by_split", "f1_per_class", "micro_metrics"]:
+        plan = _plan(q[name](spark, SF001))
+        assert plan.count("FileScan parquet") == 1 and "Union" not in plan, name
+    # the confusion matrix reads its written cell table, never the rows again
+    assert "FileScan parquet" not in _plan(q["confusion_matrix"](spark, SF001))
