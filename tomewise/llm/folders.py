@@ -1,0 +1,20 @@
+"""Scratch folders in the shared place the cluster names."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import SparkSession
+
+from tomewise.session import checkpoint_dir
+
+
+def scratch(spark: SparkSession, stem: str) -> str:
+    """The path of a new folder below ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark)}/{stem}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder, wherever the shared place is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
