@@ -8,12 +8,13 @@ table), never by collecting values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomewise.functions.text import contains_phrase
-from tomewise.operators.joins import broadcast_if_bounded
-from tomewise.operators.ranking import global_running_sum
+from tomewise.operators.joins import join_once
+from tomewise.operators.ranking import global_running_sum, order_statistics
+from tomewise.session import reliable
 
 
 # AG1, AG2, AG3, SL1 ---------------------------------------------------------
@@ -28,7 +29,6 @@ def counts_table(df: DataFrame, col: str, name: str = "count") -> DataFrame:
     """``value_counts`` written once with a reliable ``checkpoint()``, for
     statistics that read it in several passes (describe, range histogram):
     the passes read one row per value instead of re-aggregating the rows."""
-    from tomewise.session import reliable
     return reliable(value_counts(df, col, name))
 
 
@@ -69,61 +69,48 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
                 .where(F.col("bin").isNotNull()).groupBy("bin")
                 .agg(F.count(F.lit(1)).alias("n")))
     grid = _bin_grid(df.sparkSession, lo, hi, bins)
-    # grid has `bins` rows (a parameter): safe to broadcast.
-    return (F.broadcast(grid).join(counts, "bin", "left")
+    return (grid.join(counts, "bin", "left")
              .select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
 def histogram_over_range(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """AG6: ``bins`` equal bins from min to max (widened by 0.5 if equal).
+    """AG6: ``bins`` equal bins from min to max (widened by 0.5 if equal; the
+    unit interval, all bins empty, if there is no value).
 
     The range is one small aggregate; the bin grid is derived in Spark from
     it, so no value passes through the driver.
     """
     v = F.col(col).cast("double")
-    rng = df.agg(F.min(v).alias("mn"), F.max(v).alias("mx"))
-    rng = rng.select(F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo_"),
-                     F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi_"))
-    lo_s, hi_s = rng.head()  # one pass for both ends
-    counts = (df.select(bin_index(v, lo_s, hi_s, bins).alias("bin"))
-                .where(F.col("bin").isNotNull()).groupBy("bin")
-                .agg(F.count(F.lit(1)).alias("n")))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (hi_s - lo_s) / F.lit(float(bins))
-    return (F.broadcast(grid).join(counts, "bin", "left")
-             .select("bin", (lo_s + F.col("bin") * width).alias("lo"),
-                     (lo_s + (F.col("bin") + 1) * width).alias("hi"),
-                     F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+    lo, hi = df.agg(F.min(v), F.max(v)).head()  # one pass for both ends
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    return histogram(df, col, lo, hi, bins)
 
 
 # AG7 -----------------------------------------------------------------------
 
-EXACT_DISTINCT_LIMIT = 1_000_000
+QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _use_exact(df: DataFrame, group_cols: list[str], value: Column, exact) -> bool:
-    """``exact='auto'``: exact percentiles (whose buffer holds every distinct
-    value of a group in one task) only while each group has at most
-    ``EXACT_DISTINCT_LIMIT`` distinct values, else ``percentile_approx``."""
-    if exact != "auto":
-        return bool(exact)
-    nd = df.groupBy(*group_cols).agg(F.approx_count_distinct(value).alias("nd")).agg(F.max("nd")).head()[0]
-    return nd is None or nd <= EXACT_DISTINCT_LIMIT
+def _numbers(df: DataFrame, value: Column, *cols) -> DataFrame:
+    """``cols`` and ``_v``, the value as a double; null and NaN left out."""
+    v = value.cast("double")
+    return df.where(v.isNotNull() & ~F.isnan(v)).select(*cols, v.alias("_v"))
 
 
-def describe(df: DataFrame, col: str, exact="auto") -> DataFrame:
-    """count, mean, sample std, min, quartiles (linear), max."""
-    v = F.col(col)
-    if _use_exact(df, [], v, exact):
-        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).cast("array<double>")
-    return (df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
-                   F.stddev_samp(v).alias("std"), F.min(v).cast("double").alias("min"),
-                   q.alias("_q"), F.max(v).cast("double").alias("max"))
-              .select("count", "mean", "std", "min",
-                      F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
-                      F.col("_q")[2].alias("q75"), "max"))
+def describe(df: DataFrame, col: str) -> DataFrame:
+    """count, mean, sample std, min, quartiles (linear), max; null and NaN are
+    left out.  The quartiles are exact at every size: value counts and a
+    distributed running sum place the order statistics."""
+    d = _numbers(df, F.col(col), F.lit(0).alias("_all"))
+    q = order_statistics(d.groupBy("_all", "_v").agg(F.count(F.lit(1)).alias("_n")), "_all", "_v", QUARTILES)
+    s = d.agg(F.count(F.lit(1)).alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+              F.min("_v").alias("min"), F.max("_v").alias("max")).withColumn("_all", F.lit(0))
+    # one row on either side
+    return s.join(q, "_all", "left").select("count", "mean", "std", "min", F.col("q0").alias("q25"),
+                                          F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max")
 
 
 # AG8 -----------------------------------------------------------------------
@@ -141,124 +128,102 @@ def value_freq_by_group(df: DataFrame, group_col: str, value_col: str,
 
 # AG9 -----------------------------------------------------------------------
 
-def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1.5,
-                  exact="auto") -> DataFrame:
+def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whis: float = 1.5) -> DataFrame:
     """Per group: quartiles, whiskers at ``whis`` IQR, outlier count.
 
-    Two passes: quartiles per group, then whiskers and outliers with the
-    per-group fences joined back (broadcast after a size check).
-    ``exact='auto'`` switches to ``percentile_approx`` when a group has too
-    many distinct values for an exact buffer.
+    Rows are counted by (group, value) once, with map-side combine; quartiles
+    (exact at every size), whiskers and outliers all come from those counts.
     """
-    v = F.col(value_col).cast("double")
-    probs = [0.25, 0.5, 0.75]
-    q = (F.percentile(v, F.array(*[F.lit(p) for p in probs])) if _use_exact(df, [group_col], v, exact)
-         else F.percentile_approx(v, probs, 10000).cast("array<double>"))
-    stats = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(group_col)
-               .agg(q.alias("_q"), F.count(F.lit(1)).alias("n"))
-               .select(group_col, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                       F.col("_q")[2].alias("q3")))
-    stats = (stats.withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
-                  .withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))))
-    stats = stats.cache()  # one row per group
-    fences = broadcast_if_bounded(stats.select(group_col, "q1", "q3", "_lo", "_hi"))
+    counts = reliable(_numbers(df, F.col(value_col), group_col).groupBy(group_col, "_v")
+                      .agg(F.count(F.lit(1)).alias("_n")))
+    stats = order_statistics(counts, group_col, "_v", QUARTILES).select(
+        group_col, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    stats = reliable(stats.withColumn("_hi", F.col("q3") + whis * iqr).withColumn("_lo", F.col("q1") - whis * iqr))
     # A value beyond a whisker is exactly a value beyond its fence (the
     # whisker is the most extreme value inside the fence, or the quartile
     # when none lies between), so outliers are counted in the same pass.
-    w = (df.where(v.isNotNull() & ~F.isnan(v)).select(group_col, v.alias("_v"))
-           .join(fences, group_col)
-           .groupBy(group_col)
-           .agg(F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_mx"),
-                F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_mn"),
-                F.count_if((F.col("_v") > F.col("_hi")) | (F.col("_v") < F.col("_lo"))).alias("n_outliers"),
-                F.first("q1").alias("_q1"), F.first("q3").alias("_q3")))
-    w = (w.withColumn("whisker_hi", F.when(F.col("_mx").isNull() | (F.col("_mx") < F.col("_q3")), F.col("_q3"))
-                                     .otherwise(F.col("_mx")))
-          .withColumn("whisker_lo", F.when(F.col("_mn").isNull() | (F.col("_mn") > F.col("_q1")), F.col("_q1"))
-                                     .otherwise(F.col("_mn")))
-          .select(group_col, "whisker_lo", "whisker_hi", "n_outliers"))
-    return (stats.drop("_hi", "_lo").join(w, group_col)
-                 .select(group_col, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"))
+    fenced = join_once(counts, stats.select(group_col, "_lo", "_hi"), group_col)
+    w = fenced.groupBy(group_col).agg(
+        F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_mx"),
+        F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_mn"),
+        F.coalesce(F.sum(F.when((F.col("_v") > F.col("_hi")) | (F.col("_v") < F.col("_lo")), F.col("_n"))),
+                   F.lit(0)).cast("long").alias("n_outliers"))
+    return (join_once(stats, w, group_col)
+            .withColumn("whisker_hi", F.greatest(F.coalesce("_mx", "q3"), F.col("q3")))
+            .withColumn("whisker_lo", F.least(F.coalesce("_mn", "q1"), F.col("q1")))
+            .select(group_col, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"))
 
 
 # AG11 ----------------------------------------------------------------------
 
-MAX_RANK_WINDOW = 1_000_000
-MAX_RANK_BROADCAST = 1_000_000
-
-
-def average_ranks(df: DataFrame, col: str) -> tuple[DataFrame, int]:
-    """``(col, rank)`` per distinct value, and the number of distinct values.
+def average_ranks(df: DataFrame, col: str) -> DataFrame:
+    """``(col, rank)`` per distinct value.
 
     The rank is the average 1-based position of the value's rows (ties share
-    the mean of their positions), computed from value counts.  Rows never
-    meet in one task: only the distinct values are ordered - by a window
-    when there are at most ``MAX_RANK_WINDOW`` of them, else by a
-    range-partitioned sort with per-partition offsets
-    (``ranking.global_running_sum``).
+    the mean of their positions), computed from value counts and their
+    distributed running sum; rows never meet in one task.
     """
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).cache()
-    n_distinct = vc.count()
-    if n_distinct <= MAX_RANK_WINDOW:
-        w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)  # over distinct values
-        cum = vc.withColumn("_cum", F.sum("_n").over(w))
-    else:
-        # a distributed sort with per-partition offsets (JVM-side, checkpointed)
-        cum = global_running_sum(vc, [F.col(col)], "_n", "_cum")
-    ranks = cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
-    return ranks, n_distinct
+    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    cum = global_running_sum(vc, [F.col(col)], "_n", "_cum")
+    return cum.select(col, (F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("rank"))
 
 
 def _with_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    ranks, n = average_ranks(df, col)
-    ranks = ranks.withColumnRenamed("rank", out)
-    # one row per distinct value, counted above: broadcast under the bound
-    return df.join(F.broadcast(ranks) if n <= MAX_RANK_BROADCAST else ranks, col)
+    # one row per distinct value; a value that many rows share stays splittable
+    return join_once(df, average_ranks(df, col).withColumnRenamed("rank", out), col)
+
+
+def _rho(a: str, b: str) -> Column:
+    """Pearson's correlation; NaN where a side does not vary."""
+    flat = (F.stddev_pop(a) == 0) | (F.stddev_pop(b) == 0)
+    return F.when(flat, F.lit(float("nan"))).otherwise(
+        F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0)))
 
 
 def spearman(df: DataFrame, a: str, b: str) -> float | None:
-    """Spearman's rho of two columns; rows with a null or NaN in either dropped."""
+    """Spearman's rho of two columns; rows with a null or NaN in either
+    dropped; NaN if a column is constant, None without rows."""
     va, vb = F.col(a).cast("double"), F.col(b).cast("double")
     pair = df.select(va.alias("_a"), vb.alias("_b")).where(
         va.isNotNull() & vb.isNotNull() & ~F.isnan(va) & ~F.isnan(vb))
     ranked = _with_rank(_with_rank(pair, "_a", "_ra"), "_b", "_rb")
-    return ranked.agg(F.corr("_ra", "_rb")).head()[0]
+    return ranked.agg(_rho("_ra", "_rb")).head()[0]
 
 
 def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """AG11: Spearman rank correlation for every pair, NaN and null dropped
-    pairwise (ranks are taken within each pair's rows).
+    pairwise (ranks are taken within each pair's rows).  A constant column has
+    no correlation: NaN, on the diagonal, too.
 
     One aggregate counts the null/NaN values of every column.  Columns with
     none rank the same rows in every pair, so each of them is ranked once
     (one join of the rows with its rank table) and all their pairs come from
-    a single ``corr`` aggregate: k joins and one pass instead of two joins
+    a single aggregate: k joins and one pass instead of two joins
     per pair.  A pair touching a column with missing values is ranked on its
     own rows.  The k x k result is the only thing that reaches the driver.
     """
     spark = df.sparkSession
     vals = {c: F.col(c).cast("double") for c in cols}
-    bad = df.agg(*[F.count_if(v.isNull() | F.isnan(v)).alias(f"_bad{i}")
-                   for i, v in enumerate(vals.values())]).head()
-    clean = [c for i, c in enumerate(cols) if bad[f"_bad{i}"] == 0]
+    real = {c: F.when(~F.isnan(v), v) for c, v in vals.items()}
+    facts = df.agg(*[F.count_if(real[c].isNull()).alias(f"_bad{i}") for i, c in enumerate(cols)],
+                   *[(F.min(real[c]) < F.max(real[c])).alias(f"_varies{i}") for i, c in enumerate(cols)]).head()
+    clean = [c for i, c in enumerate(cols) if facts[f"_bad{i}"] == 0]
     rho: dict = {}
     if len(clean) >= 2:
         ranked = df.select(*[vals[c].alias(f"_v{i}") for i, c in enumerate(clean)])
         for i in range(len(clean)):
             ranked = _with_rank(ranked, f"_v{i}", f"_r{i}")
         pairs = [(i, j) for i in range(len(clean)) for j in range(i + 1, len(clean))]
-        got = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"_c{i}_{j}") for i, j in pairs]).head()
+        got = ranked.agg(*[_rho(f"_r{i}", f"_r{j}").alias(f"_c{i}_{j}") for i, j in pairs]).head()
         for i, j in pairs:
             rho[(clean[i], clean[j])] = got[f"_c{i}_{j}"]
     rows = []
     for i, a in enumerate(cols):
-        for b in cols[i:]:
-            if a == b:
-                rows.append((a, b, 1.0))
-                continue
+        rows.append((a, a, 1.0 if facts[f"_varies{i}"] else float("nan")))
+        for b in cols[i + 1:]:
             r = rho[(a, b)] if (a, b) in rho else spearman(df, a, b)
-            rows.append((a, b, r))
-            rows.append((b, a, r))
+            rows += [(a, b, r), (b, a, r)]
     return spark.createDataFrame(rows, "var_a string, var_b string, rho double")
 
 

@@ -1,4 +1,5 @@
-"""Positions and running sums in a total order without a single-task window.
+"""Positions, running sums and order statistics in a total order without a
+single-task window, by one path at every size.
 
 ``global_positions`` range-partitions and sorts (distributed) and writes the
 sorted table with ``checkpoint()``, so every later pass reads the same
@@ -9,9 +10,8 @@ a table with one row per partition gives each partition its offset and is
 broadcast (its size is the partition count, known before any job runs).
 Everything stays in JVM expressions: no Python touches the rows.
 
-``positions_within`` uses a window per partition key while the largest key
-holds at most ``max_window`` rows, and the global order with per-key offsets
-beyond that (a hot key is spread over many tasks).
+``positions_within`` and ``order_statistics`` take a key's offset from that
+order, so a hot key is spread over many tasks and no task holds a key's values.
 """
 
 from __future__ import annotations
@@ -19,14 +19,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_WINDOW_ROWS = 1_000_000
+from tomewise.operators.joins import join_once
+from tomewise.session import reliable
+
 _LOW33 = (1 << 33) - 1
 
 
 def _sorted_tagged(df: DataFrame, order_cols: list) -> tuple[DataFrame, int]:
     """Sorted, checkpointed copy of ``df`` with ``_p`` (partition) and ``_r``
     (row number within the partition), and the number of partitions."""
-    from tomewise.session import reliable
     ordered = reliable(df.orderBy(*order_cols))
     mid = F.monotonically_increasing_id()
     tagged = ordered.select("*", mid.alias("_mid")).select(
@@ -67,16 +68,39 @@ def global_running_sum(df: DataFrame, order_cols: list, value: str, name: str) -
                   .select(*df.columns, (F.col("_off") + F.col("_in")).alias(name)))
 
 
-def positions_within(df: DataFrame, part_col: str, order_cols: list, name: str = "_pos",
-                     max_window: int | None = None) -> DataFrame:
-    """``df`` plus the 0-based position of each row within its ``part_col``."""
-    max_window = MAX_WINDOW_ROWS if max_window is None else max_window
-    biggest = df.groupBy(part_col).count().agg(F.max("count")).head()[0] or 0
-    if biggest <= max_window:
-        w = Window.partitionBy(part_col).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w) - 1)
+def positions_within(df: DataFrame, part_col: str, order_cols: list, name: str = "_pos") -> DataFrame:
+    """``df`` plus the 0-based position of each row within its ``part_col``
+    (null is a key of its own)."""
     g = global_positions(df, [F.col(part_col)] + list(order_cols), "_gpos")
     first = g.groupBy(part_col).agg(F.min("_gpos").alias("_first"))
-    return (g.join(first, part_col)
-             .withColumn(name, F.col("_gpos") - F.col("_first"))
-             .select(*df.columns, name))
+    return (join_once(g, first, part_col)
+            .select(*df.columns, (F.col("_gpos") - F.col("_first")).alias(name)))
+
+
+def order_statistics(counts: DataFrame, group_col: str, value_col: str, probs: list[float],
+                     n_col: str = "_n") -> DataFrame:
+    """Exact quantiles (linear interpolation) per group from value counts.
+
+    ``counts`` has one row per (group, value) with its number of rows.  The
+    running sum in the order (group, value) places every value; a quantile
+    needs the values at two positions, each the least value whose running sum
+    passes it.  Returns ``group_col, n, q0, q1, ...``.
+    """
+    cum = reliable(global_running_sum(counts.select(group_col, value_col, n_col),
+                                      [F.col(group_col), F.col(value_col)], n_col, "_cum"))
+    per = cum.groupBy(group_col).agg(F.sum(n_col).alias("n"), F.min(F.col("_cum") - F.col(n_col)).alias("_base"))
+    placed = join_once(cum, per, group_col).withColumn("_at", F.col("_cum") - F.col("_base"))
+    aggs = [F.max("n").alias("n")]
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        for side, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.min(F.when(F.col("_at") > pos, F.col(value_col))).cast("double").alias(f"_{side}{i}"))
+    got = placed.groupBy(group_col).agg(*aggs)
+    out = [group_col, "n"]
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(f"q{i}"))
+    return got.select(*out)
+
+
