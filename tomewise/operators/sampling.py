@@ -141,41 +141,46 @@ def keep_smallest(df: DataFrame, k: dict | int, key: str, tiebreak: str,
     return df.where(threshold_filter(thr, key, tiebreak, strata))
 
 
-def class_counts(df: DataFrame, label_col: str, max_classes: int = 10_000) -> dict:
-    rows = (df.where(F.col(label_col).isNotNull()).groupBy(label_col).count()
-              .limit(max_classes + 1).collect())
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label_col}")
-    return {r[label_col]: r["count"] for r in rows}
+MAX_CUT_CLASSES = 10_000
+
+
+def class_counts(df: DataFrame, label_col: str) -> DataFrame:
+    """``label_col, count`` of every class, written once."""
+    from tomewise.session import reliable
+    return reliable(df.where(F.col(label_col).isNotNull()).groupBy(label_col).count())
 
 
 def undersample(df: DataFrame, label_col: str = "rating", seed: int = 42,
-                id_col: str = "review_id", target: int | None = None) -> DataFrame:
+                id_col: str = "review_id", target: int | None = None,
+                max_cut_classes: int = MAX_CUT_CLASSES) -> DataFrame:
     """SP1: every class cut to the minority size, without replacement.
 
     Rows are chosen by the seeded key, so the sample is a deterministic
-    function of (seed, ids).  ``target`` overrides the minority size.
+    function of (seed, ids).  ``target`` overrides the minority size.  Up to
+    ``max_cut_classes`` classes are cut by one key threshold each (no shuffle
+    of rows); more classes are cut by the rows' places in the distributed
+    order of (class, key), which keeps the same rows.
     """
-    counts = class_counts(df, label_col)
-    if not counts:
+    classes = class_counts(df, label_col)
+    n, least, most = classes.agg(F.count(F.lit(1)), F.min("count"), F.max("count")).head()
+    if not n:
         return df.where(F.lit(False))
-    m = min(counts.values()) if target is None else int(target)
+    m = int(least if target is None else target)
     keyed = df.where(F.col(label_col).isNotNull()).withColumn("_key", seeded_key(seed, id_col))
-    kept = keep_smallest(keyed, {(c,): m for c in counts}, "_key", id_col, [label_col],
-                         largest_stratum=max(counts.values()))
+    if n > max_cut_classes:
+        from tomewise.operators.ranking import positions_within
+        placed = positions_within(keyed, label_col, [F.col("_key"), F.col(id_col)], "_at")
+        return placed.where(F.col("_at") < m).drop("_key", "_at")
+    counts = {r[label_col]: r["count"] for r in classes.collect()}  # at most max_cut_classes rows
+    kept = keep_smallest(keyed, {(c,): m for c in counts}, "_key", id_col, [label_col], largest_stratum=most)
     return kept.drop("_key")
 
 
 def undersample_approx(df: DataFrame, label_col: str = "rating", seed: int = 42) -> DataFrame:
-    """Approximate mode: Bernoulli ``sampleBy`` with fraction m/n per class."""
-    counts = class_counts(df, label_col)
-    m = min(counts.values())
-    return df.sampleBy(label_col, {c: min(1.0, m / n) for c, n in counts.items()}, seed)
-
-
-def seeded_shuffle(df: DataFrame, seed: int = 42, id_col: str = "review_id") -> DataFrame:
-    """SL4: a repeatable permutation, ordered by the seeded key."""
-    return df.withColumn("_key", seeded_key(seed, id_col)).orderBy("_key", id_col).drop("_key")
+    """Approximate mode: a Bernoulli draw with fraction m/n per class."""
+    classes = class_counts(df, label_col)
+    fractions = classes.withColumn("_f", F.min("count").over(Window.partitionBy()) / F.col("count"))  # one row a class
+    return (df.join(fractions.drop("count"), label_col).where(F.rand(seed) < F.col("_f")).select(*df.columns))
 
 
 def seeded_permutation(df: DataFrame, seed: int = 42, id_col: str = "review_id",

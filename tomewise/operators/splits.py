@@ -4,6 +4,10 @@ SP2 group shuffle split (exact and hash modes), SP3 stratified group folds
 (dealt and batched-greedy), SP4 active-user restriction, SP5/AG10 reports,
 SO3 leakage check.  Every split is a ``split`` column on the rows; the
 three frames of the original become one partitionable table.
+
+Rows without a group belong to no group that a split could leak: in every
+mode they are ``train`` rows, and they count for no fold.  A null stratum is a
+stratum of its own.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tomewise.operators.ranking import global_positions, positions_within
+from tomewise.operators.ranking import positions_within
 from tomewise.operators.sampling import kth_smallest, seeded_key, threshold_filter
 from tomewise.session import reliable as _reliable
 
@@ -52,7 +56,7 @@ def group_split_exact(df: DataFrame, group_col: str = "book_id",
     in_train = _first_fraction(g1, n_first, valid_train_size, k2, group_col)
     return (df.withColumn(k1, seeded_key(seeds[0], group_col))
               .withColumn(k2, seeded_key(seeds[1], group_col))
-              .withColumn("split", F.when(~in_first, "test")
+              .withColumn("split", F.when(F.col(group_col).isNull(), "train").when(~in_first, "test")
                                     .when(in_train, "train").otherwise("valid"))
               .drop(k1, k2))
 
@@ -71,7 +75,8 @@ def group_split_hash(df: DataFrame, group_col: str = "book_id",
     group never moves when data is added, and the plan is a projection."""
     h1 = F.substring(seeded_key(seeds[0], group_col), 1, 8)
     h2 = F.substring(seeded_key(seeds[1], group_col), 1, 8)
-    return df.withColumn("split", F.when(h1 >= F.lit(hash_cut(train_size)), "test")
+    return df.withColumn("split", F.when(F.col(group_col).isNull(), "train")
+                                   .when(h1 >= F.lit(hash_cut(train_size)), "test")
                                    .when(h2 >= F.lit(hash_cut(valid_train_size)), "valid")
                                    .otherwise("train"))
 
@@ -84,8 +89,9 @@ def _hex8_to_long(c: Column) -> Column:
 
 def group_stratum_counts(df: DataFrame, group_col: str = "book_id",
                          stratum_col: str = "user_id") -> DataFrame:
-    """``group_col, stratum_col, _m``: rows per (group, stratum)."""
-    return df.groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("_m"))
+    """``group_col, stratum_col, _m``: rows per (group, stratum); rows without
+    a group are left out."""
+    return df.where(F.col(group_col).isNotNull()).groupBy(group_col, stratum_col).agg(F.count(F.lit(1)).alias("_m"))
 
 
 def deal_groups(df: DataFrame, n_folds: int, group_col: str = "book_id",
@@ -103,10 +109,10 @@ def deal_groups(df: DataFrame, n_folds: int, group_col: str = "book_id",
     g = m.groupBy(group_col).agg(
         F.sum("_m").alias("n_rows"),
         F.min_by(F.col(stratum_col), F.struct(-F.col("_m"), F.col(stratum_col))).alias("stratum"))
-    # position within the stratum: a window per stratum unless one stratum
-    # is hot, then a distributed global order with per-stratum offsets
+    # place within the stratum from the distributed order of (stratum, ...),
+    # so a hot stratum is spread over many tasks
     order = [F.col("n_rows").desc(), seeded_key(seed, group_col), F.col(group_col)]
-    offset = _hex8_to_long(seeded_key(seed, "stratum"))
+    offset = _hex8_to_long(seeded_key(seed, F.coalesce(F.col("stratum").cast("string"), F.lit(""))))
     return (positions_within(g, "stratum", order, "_pos")
             .withColumn("fold", ((F.col("_pos") + offset) % n_folds).cast("int"))
             .drop("_pos"))
@@ -135,177 +141,108 @@ def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
               .drop("_test", "_valid"))
 
 
-# SP3, batched greedy --------------------------------------------------------
+# SP3, greedy ------------------------------------------------------------------
+
+# A group or stratum with at least 1/HEAD_SHARE of all rows counts as large, so
+# there are at most HEAD_SHARE of either, whatever the size of the data.
+HEAD_SHARE = 2_000
+# A fold may exceed its even share of the rows by this factor.
+MAX_OVER = 1.02
+
 
-def _greedy_round_driver(m_rows: list, f_rows: list, n_folds: int, fold_rows: list) -> list[tuple]:
-    """Sequential greedy over one round's groups (largest first).
+def _place_large(cells, n_folds: int, total: int) -> tuple[dict, list[int]]:
+    """Fold of each large group, one after another (largest first).
 
-    ``m_rows``: (idx, group, stratum, m, T); ``f_rows``: (stratum, fold, F)
-    for the round's strata.  Each group takes the fold whose squared stratum
-    shares grow least, ties to the fold with fewest rows; totals update after
-    every group, as in the one-at-a-time rule.
+    ``cells``: (order, group, n rows, stratum, m, stratum total).  Each group
+    takes the fold whose squared stratum shares grow least, ties to the fold
+    with the fewest rows, among the folds that stay within their share of the
+    rows; if none does, the fold with the fewest rows.
     """
     from collections import defaultdict
-    F_ = defaultdict(float)
-    for st, f, v in f_rows:
-        F_[(st, f)] = float(v)
-    by_group = defaultdict(list)
-    order = {}
-    for idx, g, st, m, T in m_rows:
-        by_group[g].append((st, float(m), float(T)))
-        order[g] = idx
-    picks = []
-    for g in sorted(by_group, key=lambda x: order[x]):
-        items = by_group[g]
-        best = None
-        for f in range(n_folds):
-            price = sum(2.0 * F_[(st, f)] * m / (T * T) for st, m, T in items)
-            cand = (round(price, 12), fold_rows[f], f)
-            if best is None or cand < best:
-                best = cand
-        f = best[2]
-        for st, m, _ in items:
-            F_[(st, f)] += m
-        fold_rows[f] += sum(m for _, m, _ in items)
-        picks.append((g, f))
-    return picks
-
-
-def _greedy_pick_spark(price: DataFrame, group_col: str, n_folds: int, cap: int,
-                       checkpoint: bool, fold_rows: list | None = None) -> DataFrame:
-    """Same pick with windows only: each open group proposes its cheapest open
-    fold, a fold accepts proposals up to its free room; k passes."""
-    chosen = None
-    room = {f: cap for f in range(n_folds)}
-    for _ in range(n_folds):
-        open_folds = [f for f, c in room.items() if c > 0]
-        if not open_folds:
-            break
-        cand = price.where(F.col("fold").isin(open_folds))
-        if chosen is not None:
-            cand = cand.join(chosen.select(group_col), group_col, "left_anti")
-        size = F.element_at(F.array(*[F.lit(int(x)) for x in (fold_rows or [0] * n_folds)]),
-                            F.col("fold") + 1)
-        best = (cand.withColumn("_r", F.row_number().over(
-                    Window.partitionBy(group_col).orderBy(F.round("price", 12), size, "fold")))
-                    .where(F.col("_r") == 1).drop("_r"))
-        room_col = F.element_at(F.create_map(*[x for f in open_folds
-                                                for x in (F.lit(f), F.lit(room[f]))]), F.col("fold"))
-        acc = (best.withColumn("_q", F.row_number().over(
-                    Window.partitionBy("fold").orderBy("price", group_col)))
-                   .where(F.col("_q") <= room_col).select(group_col, "fold"))
-        acc = _reliable(acc) if checkpoint else acc.cache()
-        took = {r["fold"]: r["count"] for r in acc.groupBy("fold").count().collect()}
-        for f, c in took.items():
-            room[f] -= c
-        chosen = acc if chosen is None else chosen.unionByName(acc)
-        if sum(took.values()) == 0:
-            break
-    return chosen
+    shares: dict = defaultdict(lambda: [0.0] * n_folds)
+    rows, folds = [0] * n_folds, {}
+    groups = defaultdict(list)
+    for order, group, n, stratum, m, t in cells:
+        groups[(order, group, n)].append((stratum, m / t))
+    for (_, group, n), own in sorted(groups.items(), key=lambda x: x[0][0]):
+        cost = [sum(shares[s][f] * x for s, x in own) for f in range(n_folds)]
+        room = [f for f in range(n_folds) if rows[f] + n <= MAX_OVER * total / n_folds]
+        fold = (min(room, key=lambda f: (round(cost[f], 12), rows[f], f)) if room
+                else min(range(n_folds), key=lambda f: (rows[f], f)))
+        folds[group] = fold
+        rows[fold] += n
+        for s, x in own:
+            shares[s][fold] += x
+    return folds, rows
 
 
 def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "book_id",
-                           stratum_col: str = "user_id", seed: int = 42,
-                           rounds: int = 8, checkpoint: bool = True,
-                           driver_pick_limit: int = 500_000, min_batch: int = 32,
-                           max_batch: int = 1_000_000,
+                           stratum_col: str = "user_id", seed: int = 42, head_share: int = HEAD_SHARE,
                            counts: DataFrame | None = None) -> DataFrame:
-    """SP3 (balanced): ``group_col, fold`` with groups intact and every
-    stratum spread as evenly as possible over the folds.
-
-    Groups are ordered by (rows desc, seeded key) and cut into ``rounds``
-    batches.  In a round each (group, fold) is priced by how much it raises
-    the squared stratum shares of the fold, ``sum_s 2*F[f,s]*m[g,s]/T_s**2``
-    (a join of the batch's group x stratum counts with the running fold x
-    stratum totals, then an aggregate).  When the whole group x stratum
-    table has at most ``driver_pick_limit`` rows, the driver places groups
-    one at a time in that order (totals updated after each, ties to the fold
-    with fewest rows) in a single pass.  Larger tables never reach the
-    driver: in each round, k passes of two windows in Spark price each group
-    against the totals at the start of the round, with at most ceil(batch/k)
-    groups per fold; a round holds at most ``max_batch`` groups (more rounds
-    for larger tables), which bounds the per-fold windows.  Only group-level
-    tables are touched; the running totals are checkpointed between rounds.
+    """SP3 (balanced): ``group_col, fold`` with groups intact, the folds of
+    nearly equal size and every stratum spread as evenly as possible.
+
+    One algorithm at every size.  A group with at least 1/``head_share`` of
+    all rows is large; there are at most ``head_share`` such groups.  Large
+    groups decide the balance and are placed one after another by the greedy
+    rule, with strata of less than 1/``head_share`` of the rows merged into
+    ``head_share`` hashed ones: a table of at most ``head_share`` groups times
+    2 ``head_share`` strata, whatever the input.  All other groups are dealt in
+    Spark: within its main stratum, a group at place i takes the fold at the
+    fraction ``frac(i * golden ratio + offset)`` of the room that the large
+    groups left in the folds, which fills the folds in proportion to their
+    room and spreads every stratum, with no window over a fold or a stratum.
     """
     spark = df.sparkSession
     if counts is None:
         counts = group_stratum_counts(df, group_col, stratum_col)
-    m = counts.where(F.col(group_col).isNotNull()).withColumnRenamed("_m", "m")
-    totals = m.groupBy(stratum_col).agg(F.sum("m").alias("T"))
-    g = m.groupBy(group_col).agg(F.sum("m").alias("n"))
-    # Global order of the group table: a range-partitioned sort with
-    # per-partition offsets; no single-task window.
-    g_type = g.schema[group_col].dataType.simpleString()
-    gi = global_positions(g.select(group_col, "n"),
-                          [F.col("n").desc(), seeded_key(seed, group_col), F.col(group_col)], "_idx")
-    gi = gi.select(group_col, "_idx").cache()
-    n_groups = gi.count()
-    if n_groups == 0:
-        return gi.select(group_col, F.lit(0).alias("fold"))
-    rounds = max(1, min(rounds, math.ceil(n_groups / min_batch)))
-    # A round's picks rank the proposals for each fold in one window per fold
-    # (k tasks); more rounds keep every round at most ``max_batch`` groups.
-    rounds = max(rounds, math.ceil(n_groups / max_batch))
-    batch = math.ceil(n_groups / rounds)
-    mp = (m.join(totals, stratum_col).join(gi, group_col)
-            .withColumn("_round", (F.col("_idx") / batch).cast("int")))
-    mp = _reliable(mp) if checkpoint else mp.cache()
-    round_rows = {r["_round"]: r["count"] for r in mp.groupBy("_round").count().collect()}
-    fold_rows = [0] * n_folds
-    if sum(round_rows.values()) <= driver_pick_limit:
-        # Driver rounds are one sequential pass in group order; when the whole
-        # group x stratum table is small, run that pass once.
-        m_rows = [(x["_idx"], x[group_col], x[stratum_col], x["m"], x["T"])
-                  for x in mp.select("_idx", group_col, stratum_col, "m", "T").collect()]
-        picks = _greedy_round_driver(m_rows, [], n_folds, fold_rows)
-        return spark.createDataFrame(picks, f"{group_col} {g_type}, fold int")
-    # Larger tables: every round in Spark; the driver only sees per-fold
-    # counts, never the group table.
-    state = None  # stratum, fold, F
-    picks_all = None
-    for r in range(rounds):
-        mb = mp.where(F.col("_round") == r)
-        nb = min(batch, n_groups - r * batch)
-        if nb <= 0:
-            break
-        cap = math.ceil(nb / n_folds)
-        # price every (group, fold): the fold axis is the parameter k.
-        pairs = mb.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-        if state is not None:
-            pairs = pairs.join(state, [stratum_col, "fold"], "left")
-        else:
-            pairs = pairs.withColumn("F", F.lit(0))
-        price = (pairs.groupBy(group_col, "fold").agg(
-            F.sum(2.0 * F.coalesce(F.col("F"), F.lit(0)) * F.col("m")
-                  / (F.col("T") * F.col("T"))).alias("price")))
-        chosen = _greedy_pick_spark(price, group_col, n_folds, cap, checkpoint, fold_rows)
-        picks_all = chosen if picks_all is None else picks_all.unionByName(chosen)
-        for x in mb.join(chosen, group_col).groupBy("fold").agg(F.sum("m").alias("n")).collect():
-            fold_rows[x["fold"]] += x["n"]
-        add = mb.join(chosen, group_col).groupBy(stratum_col, "fold").agg(F.sum("m").alias("dF"))
-        if state is None:
-            state = add.select(stratum_col, "fold", F.col("dF").alias("F"))
-        else:
-            state = (state.join(add, [stratum_col, "fold"], "full")
-                          .select(stratum_col, "fold",
-                                  (F.coalesce("F", F.lit(0)) + F.coalesce("dF", F.lit(0))).alias("F")))
-        # the running totals are small; cut their lineage every few rounds
-        state = _reliable(state) if (checkpoint and r % 4 == 3) else state.cache()
-    return picks_all
+    m = _reliable(counts.where(F.col(group_col).isNotNull()).select(
+        F.col(group_col), F.col(stratum_col).cast("string").alias("_s"), F.col("_m")))
+    total = m.agg(F.sum("_m")).head()[0] or 0
+    g_type = m.schema[group_col].dataType.simpleString()
+    if not total:
+        return m.select(group_col, F.lit(0).alias("fold"))
+    large = (m.groupBy(group_col).agg(F.sum("_m").alias("_n")).where(F.col("_n") * head_share >= total))
+    strata = (m.where(F.col("_s").isNotNull()).groupBy("_s").agg(F.sum("_m").alias("_t"))
+               .where(F.col("_t") * head_share >= total).select(F.col("_s").alias("_large_s")))
+    # both sides have at most head_share rows by their definition
+    named = m.join(F.broadcast(strata), F.col("_s") == F.col("_large_s"), "left").withColumn(
+        "_k", F.when(F.col("_s").isNull(), "null").when(F.col("_large_s").isNotNull(), F.concat(F.lit("s"), "_s"))
+               .otherwise(F.concat(F.lit("h"), F.pmod(F.xxhash64("_s"), F.lit(head_share)))))
+    merged = named.groupBy("_k").agg(F.sum("_m").alias("_t"))
+    order = F.struct(-F.col("_n"), seeded_key(seed, group_col), F.col(group_col))
+    cells = (named.join(F.broadcast(large), group_col).groupBy(group_col, "_k")
+                  .agg(F.max("_n").alias("_n"), F.sum("_m").alias("_m"))
+                  .join(merged, "_k").withColumn("_order", order)
+                  .select("_order", group_col, "_n", "_k", "_m", "_t").collect())
+    folds, rows = _place_large(cells, n_folds, total)
+    placed = spark.createDataFrame(list(folds.items()), f"{group_col} {g_type}, fold int")
+    # the other groups, dealt by their main stratum
+    rest = m.join(F.broadcast(large.select(group_col)), group_col, "left_anti")
+    g = rest.groupBy(group_col).agg(F.sum("_m").alias("_n"), F.min_by("_s", F.struct(-F.col("_m"), "_s")).alias("_s"))
+    room = [max(total / n_folds - r, 0.0) for r in rows]
+    edges = [sum(room[:f + 1]) / (sum(room) or 1.0) for f in range(n_folds - 1)]
+    at = positions_within(g, "_s", [F.col("_n").desc(), seeded_key(seed, group_col), F.col(group_col)], "_at")
+    start = _hex8_to_long(seeded_key(seed, F.coalesce("_s", F.lit("")))) / F.lit(float(1 << 32))
+    turn = F.col("_at") * F.lit((5 ** 0.5 - 1) / 2) + start
+    part = turn - F.floor(turn)
+    fold = F.lit(n_folds - 1)
+    for f in range(n_folds - 2, -1, -1):
+        fold = F.when(part < F.lit(edges[f]), F.lit(f)).otherwise(fold)
+    return placed.unionByName(at.select(group_col, fold.cast("int").alias("fold")))
 
 
 def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
-                            stratum_col: str = "user_id", seed: int = 42,
-                            rounds: int = 8) -> DataFrame:
+                            stratum_col: str = "user_id", seed: int = 42) -> DataFrame:
     """SP3 as the original uses it: fold 0 of 5 is test, fold 0 of 4 over the
     remaining groups is valid, the rest train.  The rows are aggregated once;
     the second fold assignment reads the (group, stratum) counts of the
     remaining groups."""
     counts = _reliable(group_stratum_counts(df, group_col, stratum_col))
-    f1 = stratified_group_folds(df, 5, group_col, stratum_col, seed, rounds, counts=counts)
+    f1 = _reliable(stratified_group_folds(df, 5, group_col, stratum_col, seed, counts=counts))
     test_groups = f1.where(F.col("fold") == 0).select(group_col)
     rest = counts.join(test_groups, group_col, "left_anti")
-    f2 = stratified_group_folds(df, 4, group_col, stratum_col, seed + 1, rounds, counts=rest)
+    f2 = stratified_group_folds(df, 4, group_col, stratum_col, seed + 1, counts=rest)
     valid_groups = f2.where(F.col("fold") == 0).select(group_col)
     # test and valid groups are disjoint: one small (group, split) table, so
     # the rows are joined once
@@ -325,13 +262,14 @@ def active_users(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5)
 
 
 def restrict_to_active(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5) -> DataFrame:
-    """J1: left-semi join on the active-user set."""
+    """J1: left-semi join on the active-user set (rows without a user drop out)."""
     return df.join(active_users(df, user_col, min_reviews), user_col, "left_semi")
 
 
 def restrict_to_casual(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5) -> DataFrame:
-    """J2: left-anti join on the active-user set."""
-    return df.join(active_users(df, user_col, min_reviews), user_col, "left_anti")
+    """J2: left-anti join on the active-user set; rows without a user are
+    nobody's reviews and drop out."""
+    return df.where(F.col(user_col).isNotNull()).join(active_users(df, user_col, min_reviews), user_col, "left_anti")
 
 
 def active_user_dealt_split(df: DataFrame, group_col: str = "book_id",
@@ -344,11 +282,12 @@ def active_user_dealt_split(df: DataFrame, group_col: str = "book_id",
     user) labels all come from that table, and the rows meet it in a single
     join that both keeps active users' rows and attaches their split.
     """
-    counts = _reliable(group_stratum_counts(df, group_col, user_col))
+    counts = _reliable(df.groupBy(group_col, user_col).agg(F.count(F.lit(1)).alias("_m")))
     active = (counts.groupBy(user_col).agg(F.sum("_m").alias("_n"))
                     .where(F.col("_n") >= min_reviews).select(user_col))
     act = counts.join(active, user_col, "left_semi")
-    folds = deal_groups(df, n_folds, group_col, user_col, seed, counts=act).select(group_col, "fold")
+    folds = deal_groups(df, n_folds, group_col, user_col, seed,
+                        counts=act.where(F.col(group_col).isNotNull())).select(group_col, "fold")
     # a row with no group keeps a null fold (train), as in a join on the group
     labels = act.select(group_col, user_col).join(folds, group_col, "left")
     l = labels.select(F.col(group_col).alias("_g"), F.col(user_col).alias("_u"), "fold")
@@ -378,5 +317,5 @@ def split_class_mix(df: DataFrame, label_col: str = "rating") -> DataFrame:
 
 def split_leakage(df: DataFrame, group_col: str = "book_id") -> DataFrame:
     """SO3: groups found in more than one split (empty when leak-free)."""
-    return (df.groupBy(group_col).agg(F.countDistinct("split").alias("n_splits"))
+    return (df.where(F.col(group_col).isNotNull()).groupBy(group_col).agg(F.countDistinct("split").alias("n_splits"))
               .where(F.col("n_splits") > 1))
