@@ -7,7 +7,7 @@ count: a table of at most splits x classes^2 rows, however large the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tomewise.operators.joins import broadcast_if_bounded
@@ -73,8 +73,7 @@ def f1_per_class(scored: DataFrame, classes: list[int]) -> DataFrame:
                  .groupBy(F.col("_s.c").alias("c"))
                  .agg(F.sum("_s.h").alias("tp"), F.sum("_s.t").alias("n_true"), F.sum("_s.p").alias("n_pred")))
     grid = spark.createDataFrame([(int(c),) for c in classes], "c int")  # the class list parameter
-    j = (F.broadcast(grid).join(per, "c", "left")
-         .fillna(0, ["tp", "n_true", "n_pred"]))
+    j = grid.join(per, "c", "left").fillna(0, ["tp", "n_true", "n_pred"])
     den = F.col("n_true") + F.col("n_pred")
     return j.select(F.col("c").alias("label"),
                     F.when(den > 0, 2.0 * F.col("tp") / den).otherwise(0.0).alias("f1"))
@@ -92,18 +91,16 @@ def adjacent_confusion_rate(scored: DataFrame, by: list[str] | None = None) -> D
 
 def worst_confusions(scored: DataFrame, texts: DataFrame, true_label: int = 0, predicted: int = 5,
                      key: str = "review_id") -> DataFrame:
-    """PF5 + J3: rows with the given true and predicted class, with their text."""
+    """PF5 + J3: ``split, key, label, prediction`` and the texts' columns of the
+    rows with the given true and predicted class."""
     # The hits are one cell of the confusion matrix.  They are written once
-    # (scoring is not repeated by the size check), then broadcast after the
-    # check so the text table is scanned, not shuffled.
-    hits = reliable(scored.where((F.col("label") == true_label) & (F.col("prediction") == predicted)))
+    # (scoring is not repeated by the size check), without wide columns, then
+    # broadcast after the check so the text table is scanned, not shuffled.
+    hits = reliable(scored.where((F.col("label") == true_label) & (F.col("prediction") == predicted))
+                          .select("split", key, "label", "prediction"))
     return texts.join(broadcast_if_bounded(hits), key).select(*hits.columns, *[c for c in texts.columns if c != key])
 
 
-def rank_within(df: DataFrame, part: list[str], order: list) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-
-
 # UD3: user metrics over the scored table, registered by name ---------------
 
 METRICS: dict = {

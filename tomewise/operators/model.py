@@ -50,11 +50,11 @@ def classifier(cfg: TrainConfig):
 def train_classifier(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineModel:
     """ML4: fit the text pipeline on the train split.
 
-    The featurised training set is cached once (partitions sized by rows)
+    The featurised training set is cached once, in the input's partitions,
     and the classifier iterates over it; the result is one PipelineModel.
     """
     feat = Pipeline(stages=featurizer_stages(cfg)).fit(train)
-    x = _sized(feat.transform(train).select("features", cfg.label_col)).cache()
+    x = feat.transform(train).select("features", cfg.label_col).cache()
     try:
         clf = classifier(cfg).fit(x)
     finally:
@@ -121,15 +121,6 @@ def accuracy_of(pred: DataFrame, label_col: str) -> float:
     return float(r["a"]) if r["a"] is not None else float("nan")
 
 
-def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
-    """Fewer partitions for a small cached training set: every optimiser
-    iteration is one job over all partitions, so tiny partitions only add
-    scheduling.  Large inputs keep their partitioning."""
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
-
-
 def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
           label_col: str = "rating", text_col: str = "review_text", parallelism: int = 8) -> DataFrame:
     """ML5: one fit per draw; the results table ``trial, params..., valid_accuracy``.
@@ -150,8 +141,8 @@ def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int
     for nf in sorted({t["num_features"] for t in trials}):
         fcfg = TrainConfig(num_features=nf, text_col=text_col, label_col=label_col)
         fm = Pipeline(stages=featurizer_stages(fcfg)).fit(train)
-        tr = _sized(fm.transform(train).select("features", label_col)).cache()
-        va = _sized(fm.transform(valid).select("features", label_col)).cache()
+        tr = fm.transform(train).select("features", label_col).cache()
+        va = fm.transform(valid).select("features", label_col).cache()
 
         def run(t, tr=tr, va=va, nf=nf):
             cfg = TrainConfig(num_features=nf, reg_param=t["reg_param"], max_iter=t["max_iter"],

@@ -14,6 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tomewise.operators.model import predict
 
@@ -48,29 +49,29 @@ def score_models(models: dict[str, PipelineModel], df: DataFrame, key: str = "re
     return longf.select(key, "_m.model_name", "_m.label", "_m.score")
 
 
-_MODEL_CACHE: dict = {}
-
-
-def score_external(df: DataFrame, load: Callable[[], object], text_col: str, key: str,
-                   n_classes: int, cache_key: str | None = None) -> DataFrame:
+def score_external(df: DataFrame, load: Callable[[], object], name: str, text_col: str, key: str,
+                   n_classes: int) -> DataFrame:
     """Score with a Python model ``m.predict_logits(list[str]) -> ndarray``.
 
-    The model is loaded once per Python worker (cached under ``cache_key``,
-    by default the loader's name) and applied per Arrow batch
-    (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows).
+    ``load`` runs once per Python worker; ``name`` tells models apart, so two
+    loaders need two names.  The model gets Arrow batches
+    (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows) and must give
+    ``n_classes`` logits per text; a null text is the empty one.
     """
-    ck = cache_key or f"{getattr(load, '__module__', '')}.{getattr(load, '__qualname__', repr(load))}"
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
-        m = _MODEL_CACHE.get(ck)
-        if m is None:
-            m = _MODEL_CACHE[ck] = load()
+
+        from tomewise.operators.external import loaded
+        m = loaded(name, load)
         for b in batches:
             logits = np.asarray(m.predict_logits(b[text_col].fillna("").tolist()), dtype="float64")
+            if logits.shape != (len(b), n_classes):
+                raise ValueError(f"{name} gave logits of shape {logits.shape} for {len(b)} texts")
             z = np.exp(logits - logits.max(axis=1, keepdims=True))
             pr = z / z.sum(axis=1, keepdims=True)
             yield pd.DataFrame({key: b[key], "prediction": logits.argmax(axis=1).astype("int32"),
                                 "confidence": pr.max(axis=1)})
-    schema = f"{key} long, prediction int, confidence double"
+
+    schema = T.StructType([df.schema[key], T.StructField("prediction", T.IntegerType()),
+                           T.StructField("confidence", T.DoubleType())])
     return df.select(key, text_col).mapInPandas(run, schema)

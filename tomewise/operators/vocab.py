@@ -5,7 +5,8 @@ A re-aim of a pretrained sub-word tokenizer: words of the normalised text
 take ids 0..3 ([PAD], [UNK], [CLS], [SEP]).
 
 Plans: the vocabulary is a top-V aggregate (``TakeOrderedAndProject``); it
-has at most V rows (a parameter), so it is broadcast to the token join.
+is broadcast to the token join after a check of its size, else both sides are
+shuffled.
 Encoding explodes at most ``max_length - 2`` tokens per text (the
 truncation itself), looks them up, and regroups by ``review_id``: one
 shuffle of small (id, position, token id) rows.
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.functions.constants import CLS, PAD, SEP, UNK
+from tomewise.operators.joins import broadcast_if_bounded
 
 N_SPECIAL = 4
 
@@ -46,7 +48,7 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "review_text", key:
     keys = [key, *carry]
     toks = df.select(*keys, F.slice(_words(text_col), 1, body).alias("_t"))
     ex = toks.select(*keys, F.posexplode_outer("_t").alias("pos", "word"))
-    v = F.broadcast(vocab.select("word", "id"))  # at most V rows
+    v = broadcast_if_bounded(vocab.select("word", "id"))
     looked = ex.join(v, "word", "left").select(
         *keys, "pos", F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(UNK))).alias("id"))
     grouped = looked.groupBy(*keys).agg(
@@ -62,10 +64,11 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "review_text", key:
 def decode(encoded: DataFrame, vocab: DataFrame, key: str = "review_id",
            ids_col: str = "input_ids") -> DataFrame:
     """``key, text``: ids back to words, special tokens skipped."""
-    ex = encoded.select(key, F.posexplode_outer(ids_col).alias("pos", "id"))
-    v = F.broadcast(vocab.select("word", "id"))
+    # padding and other special ids go before the explode
+    ex = encoded.select(key, F.posexplode_outer(F.filter(ids_col, lambda i: i >= N_SPECIAL)).alias("pos", "id"))
+    v = broadcast_if_bounded(vocab.select("word", "id"))
     words = (ex.join(v, "id", "left")
-               .select(key, F.when(F.col("id") >= N_SPECIAL, F.struct("pos", "word")).alias("_w")))
+               .select(key, F.when(F.col("id").isNotNull(), F.struct("pos", "word")).alias("_w")))
     g = words.groupBy(key).agg(F.array_sort(F.collect_list("_w")).alias("_s"))
     return g.select(key, F.array_join(F.transform("_s", lambda s: s["word"]), " ").alias("text"))
 

@@ -2,8 +2,9 @@
 
 ``readStream`` over a directory where review files land, the same
 normalisation as the batch path, every fitted model, and an append-only
-Parquet sink.  The scorer is stateless (no aggregation), so it needs no
-watermark; exactly-once comes from the file sink and its checkpoint.
+Parquet sink.  The scorer keeps no state between batches, so it needs no
+watermark; exactly-once comes from the file sink and its checkpoint, or from
+folders named by batch.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tomewise.functions.text import normalise
+from tomewise.operators.bayes import NaiveBayes
 from tomewise.operators.scoring import score_models
 
 ARRIVAL_SCHEMA = T.StructType([
@@ -23,36 +25,70 @@ ARRIVAL_SCHEMA = T.StructType([
 ])
 
 
-def scored_stream(spark: SparkSession, source_dir: str, models: dict[str, PipelineModel],
-                  schema: T.StructType = ARRIVAL_SCHEMA, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The streaming DataFrame ``review_id, model_name, label, score``."""
+def _arriving(spark: SparkSession, source_dir: str, schema: T.StructType,
+              max_files_per_trigger: int | None) -> DataFrame:
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    arriving = r.parquet(source_dir).withColumn("review_text", normalise("review_text"))
-    return score_models(models, arriving, "review_id")
+    return r.parquet(source_dir).withColumn("review_text", normalise("review_text"))
+
+
+def scored_stream(spark: SparkSession, source_dir: str, models: dict[str, PipelineModel],
+                  schema: T.StructType = ARRIVAL_SCHEMA, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The streaming DataFrame ``review_id, model_name, label, score``."""
+    return score_models(models, _arriving(spark, source_dir, schema, max_files_per_trigger), "review_id")
 
 
 def start_scorer(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_location: str,
-                 models: dict[str, PipelineModel], available_now: bool = True,
-                 processing_time: str | None = None) -> StreamingQuery:
-    """Start the scorer; ``available_now`` drains what has landed, then stops."""
-    out = scored_stream(spark, source_dir, models)
-    w = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint_location))
+                 models: dict[str, PipelineModel | NaiveBayes], available_now: bool = True,
+                 processing_time: str | None = None, max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Start the scorer; ``available_now`` drains what has landed, then stops.
+    A batch takes at most ``max_files_per_trigger`` files, so a backlog is
+    worked off in batches of bounded size.
+
+    Fitted pipelines score row by row in the stream itself, into the file
+    sink.  Naive Bayes models join and aggregate, so each micro-batch is scored
+    as a batch and written to a folder named by the batch: a batch that runs
+    again writes the same folder.
+    """
+    if all(isinstance(m, PipelineModel) for m in models.values()):
+        out = scored_stream(spark, source_dir, models, max_files_per_trigger=max_files_per_trigger)
+        w = out.writeStream.format("parquet").outputMode("append")
+        sink = {"path": sink_dir}
+    else:
+        arriving = _arriving(spark, source_dir, ARRIVAL_SCHEMA, max_files_per_trigger)
+
+        def write(batch: DataFrame, number: int) -> None:
+            score_each(models, batch).write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
+        w, sink = arriving.writeStream.foreachBatch(write), {}
+    w = w.option("checkpointLocation", checkpoint_location)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(sink_dir)
+    return w.start(**sink)
+
+
+def score_each(models: dict[str, PipelineModel | NaiveBayes], df: DataFrame, key: str = "review_id") -> DataFrame:
+    """``key, model_name, label, score`` of models of either kind."""
+    parts = [m.score(df, [key]).select(key, F.lit(name).alias("model_name"), F.col("prediction").alias("label"),
+                                       F.col("confidence").alias("score"))
+             for name, m in models.items() if isinstance(m, NaiveBayes)]
+    if fitted := {n: m for n, m in models.items() if isinstance(m, PipelineModel)}:
+        parts.append(score_models(fitted, df, key))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-def batch_equivalent(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+def batch_equivalent(df: DataFrame, models: dict[str, PipelineModel | NaiveBayes]) -> DataFrame:
     """The same scoring as a batch job (stream = batch check)."""
-    return score_models(models, df.withColumn("review_text", normalise("review_text")), "review_id")
+    return score_each(models, df.withColumn("review_text", normalise("review_text")))
 
 
-def land(df: DataFrame, landing_dir: str, n_files: int = 4) -> None:
-    """Drop a batch of arriving reviews as new files in the landing folder."""
-    df.select("review_id", "review_text").repartition(n_files, F.col("review_id")).write.mode(
-        "append").parquet(landing_dir)
+def land(df: DataFrame, landing_dir: str, n_files: int | None = None) -> None:
+    """Drop a batch of arriving reviews as new files in the landing folder: in
+    the input's partitions, or in ``n_files`` files."""
+    d = df.select("review_id", "review_text")
+    (d if n_files is None else d.repartition(n_files, F.col("review_id"))).write.mode("append").parquet(landing_dir)
