@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -48,12 +51,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only create a local
-    one when the setting is absent (tests, single-machine runs).
+    A cluster names it in ``spark.checkpoint.dir``; a session on one machine
+    (``local`` master) gets a folder of its own if the setting is absent, any
+    other master without it is an error, as executors share no local folder.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tomewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -65,3 +71,14 @@ def reliable(df):
     (lineage cut; survives the loss of the executors that computed it)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_dir(spark: SparkSession, what: str) -> str:
+    """The path of a new folder below the shared one."""
+    return f"{checkpoint_dir(spark)}/{what}/{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system the shared one is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

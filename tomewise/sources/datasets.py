@@ -2,7 +2,7 @@
 datasets with a manifest, metric logs, stage skipping (IO1-IO10).
 
 A versioned dataset is a Parquet directory ``<root>/<name>/version=<n>``
-plus one row per version in the append-only manifest ``<root>/_manifest``.
+plus one row per version in the append-only manifest below ``<root>/_manifest``.
 Resolving ``latest`` is a ``max(version)`` over the manifest; nothing is
 downloaded.  Roots live in a shared folder (the cluster's checkpoint folder
 by default), never on one machine's disk.
@@ -11,6 +11,7 @@ by default), never on one machine's disk.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +46,16 @@ METRIC_SCHEMA = T.StructType([
 ])
 
 
+# The strings that a pandas CSV read takes as missing by default.
+NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+              "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
 # IO1, IO2 -------------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              na_values: bool = True) -> DataFrame:
-    """IO1: header, quoted multi-line text, empty and ``NA`` to null.
+    """IO1: header, quoted multi-line text, empty and ``NA_STRINGS`` to null.
 
     A declared schema avoids the inference pass over the whole file.
     Quoted multi-line records make a CSV file unsplittable (each file is
@@ -58,24 +64,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """
     r = (spark.read.option("header", True).option("multiLine", True)
          .option("escape", '"').option("quote", '"'))
-    if na_values:
-        r = r.option("nullValue", "NA")
     if schema is not None:
         r = r.schema(schema)
     else:
         r = r.option("inferSchema", True)
     df = r.csv(path)
-    if na_values:  # empty fields are null too (pandas reads both as missing)
-        df = df.select([F.when(F.col(f.name) == "", None).otherwise(F.col(f.name)).alias(f.name)
+    if na_values:  # a string column keeps what the parser left; other types have null for them already
+        df = df.select([F.when(~F.col(f.name).isin(NA_STRINGS), F.col(f.name)).alias(f.name)
                         if isinstance(f.dataType, T.StringType) else F.col(f.name)
                         for f in df.schema.fields])
     return df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """IO2: header CSV, quoted so multi-line text survives the round trip."""
-    (df.write.mode(mode).option("header", True).option("escape", '"')
-       .option("quoteAll", True).csv(path))
+    """IO2: header CSV, quoted so multi-line text survives the round trip, with
+    its white space."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("quoteAll", True)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 # IO3, IO4 -------------------------------------------------------------------
@@ -107,7 +112,7 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     p = f"{root}/_manifest"
     if not _exists(spark, p):
         return None
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(p)
+    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -117,43 +122,54 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def _entries(spark: SparkSession, name: str, root: str) -> list:
-    """Manifest rows of ``name``: one per published version (a short list)."""
-    m = _manifest(spark, root)
-    if m is None:
-        return []
-    return m.where(F.col("name") == name).collect()
-
-
-def _newest(entries: list, fingerprint: str | None = None):
-    rows = [e for e in entries if fingerprint is None or e["fingerprint"] == fingerprint]
-    return max(rows, key=lambda e: e["version"]) if rows else None
-
-
 def latest_entry(spark: SparkSession, name: str, root: str | None = None,
                  fingerprint: str | None = None):
     """Manifest row of the newest version of ``name`` (optionally of one input
-    fingerprint), or None."""
-    return _newest(_entries(spark, name, root or default_root(spark)), fingerprint)
+    fingerprint), or None; found by Spark, one row reaches the driver."""
+    m = _manifest(spark, root or default_root(spark))
+    if m is None:
+        return None
+    own = m.where(F.col("name") == name)
+    if fingerprint is not None:
+        own = own.where(F.col("fingerprint") == fingerprint)
+    return own.agg(F.max_by(F.struct("*"), F.col("version")).alias("e")).head()["e"]
+
+
+def _claim(spark: SparkSession, root: str, name: str, after: int) -> int:
+    """The next free version number, taken by creating a file that only one
+    writer can create."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{root}/_claims/{name}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    version = after
+    while True:
+        version += 1
+        if fs.createNewFile(hadoop.Path(folder, str(version))):
+            return version
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset",
-            root: str | None = None, fingerprint: str = "", partition_by: str | None = None,
-            _known: list | None = None) -> int:
-    """IO5: write the next version of ``name`` and append its manifest row."""
+            root: str | None = None, fingerprint: str = "", partition_by: str | None = None) -> int:
+    """IO5: write the next version of ``name`` and append its manifest row.
+
+    A version number is claimed before it is written and never written over,
+    so two writers get two versions.
+    """
     root = root or default_root(spark)
-    last = _newest(_entries(spark, name, root) if _known is None else _known)
-    version = 1 if last is None else last["version"] + 1
+    last = latest_entry(spark, name, root)
+    version = _claim(spark, root, name, 0 if last is None else last["version"])
     path = f"{root}/{name}/version={version}"
-    w = df.write.mode("overwrite")
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
     written = spark.read.parquet(path)
     row = (name, type_, version, fingerprint, written.count(), written.schema.json(), path,
            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+    # a folder of its own for each row: concurrent appends to one folder would share temporary files
     (spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
-          .write.mode("append").parquet(f"{root}/_manifest"))
+          .write.mode("errorifexists").parquet(f"{root}/_manifest/{name}/{version}"))
     return version
 
 
@@ -178,10 +194,9 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
     memo = (root, name, fingerprint)
     path = _RESOLVED.get(memo)
     if path is None or not _exists(spark, path):
-        known = _entries(spark, name, root)  # one manifest read per stage
-        e = _newest(known, fingerprint)
+        e = latest_entry(spark, name, root, fingerprint)
         if e is None:
-            v = publish(spark, build(), name, "stage", root, fingerprint, partition_by, _known=known)
+            v = publish(spark, build(), name, "stage", root, fingerprint, partition_by)
             path = f"{root}/{name}/version={v}"
         else:
             path = e["path"]
@@ -207,27 +222,21 @@ def code_fingerprint() -> str:
 
 
 def input_fingerprint(*paths: str) -> str:
-    """Path, total size, file count and modification time of each
-    input (file or dataset folder, any Hadoop file system: local, HDFS,
-    object stores), plus the code fingerprint.  Read through the active
-    session's Hadoop configuration; paths that do not exist keep their name."""
-    from pyspark.sql import SparkSession
-    parts = [code_fingerprint()]
+    """Path, size and modification time of every file of each input (file or
+    dataset folder, any file system that Spark reads), hashed by Spark, plus
+    the code fingerprint.  Files rewritten in place or in nested folders show;
+    paths that do not exist keep their name."""
     spark = SparkSession.getActiveSession()
+    parts = [code_fingerprint()]
     for p in paths:
-        if spark is None:
-            parts.append(p)
-            continue
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(p)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
+        if spark is None or not _exists(spark, p):
             parts.append(p)
             continue
-        # one summary call per input (no per-file round trips from Python)
-        cs = fs.getContentSummary(jpath)
-        mtime = fs.getFileStatus(jpath).getModificationTime()
-        parts.append(f"{fs.makeQualified(jpath).toString()}:{cs.getLength()}:{cs.getFileCount()}:{mtime}")
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+                      .select("path", "length", "modificationTime"))  # contents are not read
+        n, size, mark = files.agg(F.count(F.lit(1)), F.sum("length"),
+                                  F.expr("bit_xor(xxhash64(path, length, modificationTime))")).head()
+        parts.append(f"{p}:{n}:{size}:{mark}")
     return "|".join(parts)
 
 
@@ -243,13 +252,12 @@ def log_metrics(spark: SparkSession, run_id: str, metrics: dict, root: str | Non
     root = root or default_root(spark)
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rows = [(run_id, str(k), float(v), now) for k, v in metrics.items()]
-    spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{root}/_metrics")
+    spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.parquet(f"{root}/_metrics/{uuid.uuid4().hex}")
 
 
 def read_metrics(spark: SparkSession, root: str | None = None) -> DataFrame:
     root = root or default_root(spark)
-    return spark.read.schema(METRIC_SCHEMA).parquet(f"{root}/_metrics")
+    return spark.read.schema(METRIC_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/_metrics")
 
 
 def reload_if_empty(df: DataFrame | None, loader) -> DataFrame:
