@@ -11,37 +11,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a single large file or row group), so per-row text work runs in
-    parallel.  A no-op for inputs that already split into enough tasks."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
-# Tables whose rows carry long text: per-row regex and token work is CPU
-# bound, so a coarse scan is worth spreading.  Numeric tables only feed
-# aggregates that combine map-side; shuffling them for parallelism would cost
-# more than it saves.
-TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def with_row_key(df: DataFrame, cols: list[str], name: str = "review_id") -> DataFrame:
-    """PF8 for keyless input: a stable 64-bit key from the row content.
+    """PF8 for keyless input: a stable 64-bit key from the row content and,
+    for rows with equal content, their number among them.
 
     Unlike a positional index it does not depend on partitioning or order,
-    so it survives re-reads and task retries.  Identical rows share a key:
-    deduplicate first, or add a column that tells them apart.
+    so it survives re-reads and task retries.  Equal rows are numbered by the
+    distributed order of the contents' hash, so a content that many rows share
+    is spread over many tasks; only rows that repeat are ordered.
     """
-    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
+    from tomewise.operators.joins import join_once
+    from tomewise.operators.ranking import positions_within
+    keyed = df.withColumn("_content", F.xxhash64(*cols))
+    again = keyed.groupBy("_content").agg(F.count(F.lit(1)).alias("_same")).where("_same > 1")
+    marked = join_once(keyed, again, "_content", "left")
+    single = marked.where(F.col("_same").isNull()).withColumn("_nth", F.lit(0).cast("long"))
+    several = positions_within(marked.where(F.col("_same").isNotNull()), "_content", [F.col(c) for c in cols], "_nth")
+    return (single.unionByName(several)
+            .withColumn(name, F.when(F.col("_nth") == 0, F.col("_content")).otherwise(F.xxhash64("_content", "_nth")))
+            .drop("_content", "_same", "_nth"))
 
 
 def rating_from_chars(n_chars: Column) -> Column:
@@ -54,13 +46,16 @@ def rating_from_chars(n_chars: Column) -> Column:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``review_id, book_id, user_id, review_text, rating`` from ``documents``.
 
-    ``book_id`` groups grow with the id, so group sizes are skewed.
+    ``book_id`` groups grow with the id, so group sizes are skewed; some
+    reviews have no user, some no book.
     """
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("review_id"),
-        F.floor(F.sqrt(F.col("doc_id") * F.lit(16.0))).cast("bigint").alias("book_id"),
-        F.concat(F.col("source"), F.lit("-"), (F.col("n_chars") % 13).cast("string")).alias("user_id"),
+        F.when(F.col("doc_id") % 53 != 52, F.floor(F.sqrt(F.col("doc_id") * F.lit(16.0))).cast("bigint"))
+         .alias("book_id"),
+        F.when(F.col("n_chars") % 41 != 0, F.concat(
+            F.col("source"), F.lit("-"), (F.col("n_chars") % 13).cast("string"))).alias("user_id"),
         F.col("text").alias("review_text"),
         rating_from_chars(F.col("n_chars")).alias("rating"),
     )
@@ -70,18 +65,29 @@ def split_of(key: Column) -> Column:
     return (F.when(key % 5 == 0, "test").when(key % 5 == 1, "valid").otherwise("train"))
 
 
-def logits(spark: SparkSession, sf_dir: str, model: int = 0) -> DataFrame:
-    """``review_id, split, label, logits`` from ``embeddings``.
+N_CLASSES = 6
 
-    Model 0 reads elements 1..10 of the embedding, model 1 elements 11..20.
-    """
+
+def class_scores(embedding: Column, model: int = 0) -> Column:
+    """Six class scores from the whole vector: class c of model 0 sums the
+    elements c, c + 6, c + 12, ...; model 1 takes them from the far end."""
+    def score(c: int) -> Column:
+        i = F.sequence(F.lit(c), F.greatest(F.size(embedding) - 1, F.lit(c)), F.lit(N_CLASSES))
+        x = F.transform(i, lambda k: F.get(embedding, k if model == 0 else F.size(embedding) - 1 - k))
+        return F.aggregate(x, F.lit(0.0), lambda a, e: a + F.coalesce(e.cast("double"), F.lit(0.0)))
+
+    return F.array(*[score(c) for c in range(N_CLASSES)])
+
+
+def logits(spark: SparkSession, sf_dir: str, model: int = 0) -> DataFrame:
+    """``review_id, split, label, logits`` from ``embeddings``; the label is
+    folded to the six classes."""
     e = table(spark, sf_dir, "embeddings")
-    start = 1 + 10 * model
     return e.select(
         F.col("vec_id").alias("review_id"),
         split_of(F.col("vec_id")).alias("split"),
-        F.col("label").cast("int").alias("label"),
-        F.slice("embedding", start, 10).alias("logits"),
+        (F.col("label") % N_CLASSES).cast("int").alias("label"),
+        class_scores(F.col("embedding"), model).alias("logits"),
     )
 
 

@@ -89,37 +89,45 @@ def clean(c) -> Column:
 
 # TX11 -----------------------------------------------------------------------
 
-def _contraction_map(lower_keys: bool) -> Column:
-    items = []
-    for k, v in CONTRACTIONS.items():
-        items += [F.lit(k.lower() if lower_keys else k), F.lit(v.lower() if lower_keys else v)]
-    return F.create_map(*items)
+def _replacement(found: Column, pairs: list[tuple[str, str]]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), found)
 
 
-def expand_contractions(c, mode: str = "reference") -> Column:
+def _expand_substrings(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    """Every leftmost match of the keys' alternation, the first key that fits
+    at its place, replaced in one pass: the texts between the matches and the
+    matches' replacements are put together in turn."""
+    keys = "|".join(k for k, _ in pairs)  # letters and apostrophes only
+    between = F.split(c, keys, -1)
+    found = F.regexp_extract_all(c, F.lit(keys), 0)
+    put = F.concat(F.transform(found, lambda k: _replacement(k, pairs)), F.array(F.lit("")))
+    return F.when(c.rlike(keys), F.array_join(F.zip_with(between, put, lambda x, y: F.concat(x, y)), "")).otherwise(c)
+
+
+def expand_contractions(c, mode: str = "substrings") -> Column:
     """Expand English contractions.
 
-    ``reference``: substring replacement as the original applies it after
-    cleaning.  By then apostrophes are spaces, so only keys without one can
-    match; with the fixed table that is the single key ``couldna``, for
-    which one ``regexp_replace`` is exact.
+    ``substrings``: wherever a key of the table occurs, as written, also inside
+    a word; the first key of the table that fits at a place wins (``he'd``
+    before ``he'd've``).  Meant for raw texts.
+    ``cleaned``: the same for a cleaned text, which has no apostrophes left, so
+    only keys without one are looked for.
     ``tokens``: whole-token look-up with lower-cased keys (no shadowing by
     shorter keys), meant to run before cleaning.
     """
     c = _col(c)
-    if mode == "reference":
-        live = [(k, v) for k, v in CONTRACTIONS.items() if "'" not in k]
-        for k, v in live:
-            c = F.regexp_replace(c, k, v)
-        return c
+    if mode == "substrings":
+        return _expand_substrings(c, list(CONTRACTIONS.items()))
+    if mode == "cleaned":
+        pairs = [(k, v) for k, v in CONTRACTIONS.items() if "'" not in k]
+        return F.regexp_replace(c, *pairs[0]) if len(pairs) == 1 else _expand_substrings(c, pairs)
     if mode == "tokens":
         # A map look-up scans the map's keys; the hash-set test (``InSet``)
         # in front sends only real contractions to it.
-        m = _contraction_map(lower_keys=True)
-        keys = [k.lower() for k in CONTRACTIONS]
-        toks = F.split(c, " ")
+        pairs = [(k.lower(), v.lower()) for k, v in CONTRACTIONS.items()]
+        keys = [k for k, _ in pairs]
         return F.array_join(F.transform(
-            toks, lambda w: F.when(w.isin(*keys), F.element_at(m, w)).otherwise(w)), " ")
+            F.split(c, " "), lambda w: F.when(w.isin(*keys), _replacement(w, pairs)).otherwise(w)), " ")
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -143,7 +151,7 @@ def tokenize_filtered(c, order: str = "reference", stopwords: list[str] | None =
     """
     x = remove_digits(c)
     if order == "reference":
-        x = expand_contractions(clean(x), mode="reference")
+        x = expand_contractions(clean(x), mode="cleaned")
     elif order == "contractions_first":
         x = clean(expand_contractions(collapse_whitespace(F.lower(x)), mode="tokens"))
     else:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from tomewise.functions.constants import (
     CLEAN_FILTER_CHARS,
+    CONTRACTIONS,
     USELESS_WORDS,
     WHITESPACE_RUN,
 )
@@ -26,8 +27,8 @@ WS = _q(WHITESPACE_RUN)
 C_REVIEWS = f"""
 reviews AS (
   SELECT doc_id AS review_id,
-         CAST(floor(sqrt(doc_id * 16.0)) AS BIGINT) AS book_id,
-         concat(source, '-', CAST(n_chars % 13 AS VARCHAR)) AS user_id,
+         CASE WHEN doc_id % 53 <> 52 THEN CAST(floor(sqrt(doc_id * 16.0)) AS BIGINT) END AS book_id,
+         CASE WHEN n_chars % 41 <> 0 THEN concat(source, '-', CAST(n_chars % 13 AS VARCHAR)) END AS user_id,
          text AS review_text,
          CAST(CASE WHEN n_chars % 36 < 1 THEN 0 WHEN n_chars % 36 < 4 THEN 1
                    WHEN n_chars % 36 < 9 THEN 2 WHEN n_chars % 36 < 16 THEN 3
@@ -76,7 +77,7 @@ gsplit AS (SELECT g1.book_id,
                   CASE WHEN g1.r1 > (SELECT n1 FROM g1n) THEN 'test'
                        WHEN g2.r2 <= (SELECT n2 FROM g2n) THEN 'train' ELSE 'valid' END AS split
            FROM g1 LEFT JOIN g2 USING (book_id)),
-splitted AS (SELECT p.*, s.split FROM processed p JOIN gsplit s USING (book_id)),
+splitted AS (SELECT p.*, coalesce(s.split, 'train') AS split FROM processed p LEFT JOIN gsplit s ON p.book_id = s.book_id),
 train AS (SELECT * FROM splitted WHERE split = 'train')"""
 
 CHAIN = {
@@ -121,9 +122,18 @@ def sql_remove_stopwords(x: str, words=None) -> str:
 
 def sql_tokenize_filtered(x: str) -> str:
     y = f"regexp_replace({x}, '[0-9]+', '', 'g')"
-    y = sql_clean(y)
-    y = f"replace({y}, 'couldna', 'could not have')"
-    return sql_remove_stopwords(y)
+    return sql_remove_stopwords(sql_contractions(sql_clean(y)))
+
+
+def sql_contractions(x: str) -> str:
+    """Replaces every leftmost match of the contractions, the first key that
+    fits at its place: the text is cut at the matches and the replacements are
+    put back in between."""
+    keys = "|".join(CONTRACTIONS)
+    cases = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in CONTRACTIONS.items())
+    return (f"array_to_string(list_transform(list_zip(string_split_regex({x}, {_q(keys)}), "
+            f"list_append(list_transform(regexp_extract_all({x}, {_q(keys)}), lambda k: CASE k {cases} END), '')), "
+            f"lambda z: z[1] || z[2]), '')")
 
 
 def sql_histogram(src: str, expr: str, lo: float, hi: float, bins: int, where: str = "TRUE") -> str:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tomewise import fixtures
 from tomewise import oracle as O
@@ -18,7 +19,7 @@ from tomewise.functions import text as tx
 from tomewise.operators import eda
 from tomewise.operators.sampling import seeded_head, seeded_permutation
 from tomewise.plans import prepare as P
-from tomewise.session import checkpoint_dir, reliable
+from tomewise.session import reliable, remove_dir, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,7 +87,7 @@ def q_normalised_text(spark, sf):
 SELECT review_id, book_id, user_id, review_text, rating FROM deduped"""))
 def q_dedup_reviews(spark, sf):
     """SO1: keep the first row of every normalised text."""
-    return P.deduped(spark, sf).select("review_id", "book_id", "user_id", "review_text", "rating")
+    return P.build_deduped(spark, sf).select("review_id", "book_id", "user_id", "review_text", "rating")
 
 
 @query("text_features", O.with_chain("deduped", body="""
@@ -154,7 +155,8 @@ def q_group_split_exact(spark, sf):
 
 @query("group_split_hash", O.with_chain("processed", body="""
 SELECT review_id, book_id,
-       CASE WHEN substr(md5(concat('42', ':', CAST(book_id AS VARCHAR))), 1, 8) >= 'cccccccc' THEN 'test'
+       CASE WHEN book_id IS NULL THEN 'train'
+            WHEN substr(md5(concat('42', ':', CAST(book_id AS VARCHAR))), 1, 8) >= 'cccccccc' THEN 'test'
             WHEN substr(md5(concat('43', ':', CAST(book_id AS VARCHAR))), 1, 8) >= 'c0000000' THEN 'valid'
             ELSE 'train' END AS split
 FROM processed"""))
@@ -164,7 +166,7 @@ def q_group_split_hash(spark, sf):
 
 
 @query("split_leakage_check", O.with_chain("split", body="""
-SELECT book_id, count(DISTINCT split) AS n_splits FROM splitted GROUP BY book_id
+SELECT book_id, count(DISTINCT split) AS n_splits FROM splitted WHERE book_id IS NOT NULL GROUP BY book_id
 HAVING count(DISTINCT split) > 1"""))
 def q_split_leakage_check(spark, sf):
     """SO3: books in more than one split (none)."""
@@ -211,7 +213,7 @@ def q_active_user_reviews(spark, sf):
 
 @query("casual_user_reviews", O.with_chain("reviews", C_USER_N, body="""
 SELECT review_id, user_id, rating FROM reviews
-WHERE user_id NOT IN (SELECT user_id FROM user_n WHERE n >= 5)"""))
+WHERE user_id IN (SELECT user_id FROM user_n WHERE n < 5)"""))
 def q_casual_user_reviews(spark, sf):
     """J2: reviews of the other users (left-anti)."""
     return S.restrict_to_casual(fixtures.reviews(spark, sf)).select("review_id", "user_id", "rating")
@@ -226,7 +228,7 @@ def q_active_user_rating_counts(spark, sf):
 
 
 @query("reviews_per_book_hist", O.with_chain(
-    "split", "book_n AS (SELECT book_id, count(*) AS n FROM train GROUP BY book_id)",
+    "split", "book_n AS (SELECT book_id, count(*) AS n FROM train WHERE book_id IS NOT NULL GROUP BY book_id)",
     body=O.sql_histogram("book_n", "n", 0.0, 40.0, 20)))
 def q_reviews_per_book_hist(spark, sf):
     """AG5: 20 bins on [0, 40] of reviews per book (train split)."""
@@ -264,11 +266,10 @@ def q_user_activity_describe(spark, sf):
 
 
 @query("length_freq_by_rating", O.with_chain("split", body="""
-SELECT rating, full_length, count(*) AS n FROM train
-WHERE full_length >= 0 AND full_length <= 400 GROUP BY rating, full_length"""))
+SELECT rating, full_length, count(*) AS n FROM train GROUP BY rating, full_length"""))
 def q_length_freq_by_rating(spark, sf):
-    """AG8: per rating, frequency of each review length on 0..400 (train)."""
-    return eda.value_freq_by_group(P.train_rows(spark, sf), "rating", "full_length", 0, 400)
+    """AG8: per rating, frequency of each review length (train)."""
+    return eda.value_freq_by_group(P.train_rows(spark, sf), "rating", "full_length")
 
 
 def _sql_boxplot(src: str, g: str, v: str) -> str:
@@ -292,10 +293,8 @@ ol AS (SELECT vals.g, count(*) FILTER (WHERE v < whisker_lo OR v > whisker_hi) A
 SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
 FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
 def q_length_boxplot_by_rating(spark, sf):
-    """AG9: box-plot figures of review length per rating (train).  Lengths are
-    a bounded integer domain (a text's character count), so the exact
-    percentile buffer is bounded and the distinct-count check pass is skipped."""
-    return eda.boxplot_stats(P.train_rows(spark, sf), "rating", "full_length", exact=True)
+    """AG9: box-plot figures of review length per rating (train)."""
+    return eda.boxplot_stats(P.train_rows(spark, sf), "rating", "full_length")
 
 
 def _sql_spearman(src: str, cols: list[str]) -> str:
@@ -303,25 +302,30 @@ def _sql_spearman(src: str, cols: list[str]) -> str:
     for i, a in enumerate(cols):
         for b in cols[i:]:
             if a == b:
-                parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, CAST(1.0 AS DOUBLE) AS rho")
+                parts.append(f"SELECT '{a}' AS var_a, '{a}' AS var_b, CASE WHEN count(DISTINCT {a}) > 1 "
+                             f"THEN 1.0::DOUBLE ELSE 'NaN'::DOUBLE END AS rho FROM {src}")
                 continue
             ranked = f"""(SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
                         rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
                  FROM (SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM {src}
                        WHERE {a} IS NOT NULL AND {b} IS NOT NULL
                          AND NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))))"""
-            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, corr(rx, ry) AS rho FROM {ranked}")
-            parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, corr(rx, ry) AS rho FROM {ranked}")
+            rho = ("CASE WHEN count(DISTINCT rx) > 1 AND count(DISTINCT ry) > 1 THEN corr(rx, ry) "
+                   "ELSE 'NaN'::DOUBLE END")
+            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, {rho} AS rho FROM {ranked}")
+            parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, {rho} AS rho FROM {ranked}")
     return "\nUNION ALL\n".join(parts)
 
 
-_SPEARMAN_COLS = ["rating", "full_length", "mean_word_length"]
+_SPEARMAN_COLS = ["rating", "full_length", "mean_word_length", "one"]
 
 
-@query("spearman_matrix", O.with_chain("split", body=_sql_spearman("train", _SPEARMAN_COLS)))
+@query("spearman_matrix", O.with_chain("split", "train1 AS (SELECT *, 1 AS one FROM train)",
+                                       body=_sql_spearman("train1", _SPEARMAN_COLS)))
 def q_spearman_matrix(spark, sf):
-    """AG11: Spearman matrix of rating, length and mean word length (train)."""
-    return eda.spearman_matrix(P.train_rows(spark, sf), _SPEARMAN_COLS)
+    """AG11: Spearman matrix of rating, length, mean word length and a column
+    that does not vary (train)."""
+    return eda.spearman_matrix(P.train_rows(spark, sf).withColumn("one", F.lit(1)), _SPEARMAN_COLS)
 
 
 @query("phrase_filter_hist", O.with_chain("split", body=O.sql_histogram(
@@ -333,15 +337,15 @@ def q_phrase_filter_hist(spark, sf):
 
 def _sql_deal(src: str, k: int, seed: int, name: str) -> str:
     return f"""
-{name}_m AS (SELECT book_id, user_id, count(*) AS m FROM {src} GROUP BY book_id, user_id),
+{name}_m AS (SELECT book_id, user_id, count(*) AS m FROM {src} WHERE book_id IS NOT NULL GROUP BY book_id, user_id),
 {name}_s AS (SELECT book_id, user_id AS stratum FROM (
-    SELECT book_id, user_id, row_number() OVER (PARTITION BY book_id ORDER BY m DESC, user_id) AS rn
+    SELECT book_id, user_id, row_number() OVER (PARTITION BY book_id ORDER BY m DESC, user_id NULLS FIRST) AS rn
     FROM {name}_m) WHERE rn = 1),
 {name}_n AS (SELECT book_id, CAST(sum(m) AS BIGINT) AS n_rows FROM {name}_m GROUP BY book_id),
 {name} AS (SELECT book_id, stratum, n_rows,
     CAST((row_number() OVER (PARTITION BY stratum ORDER BY n_rows DESC,
             md5(concat('{seed}', ':', CAST(book_id AS VARCHAR))), book_id) - 1
-          + CAST(('0x' || substr(md5(concat('{seed}', ':', stratum)), 1, 8)) AS BIGINT)) % {k} AS INTEGER) AS fold
+          + CAST(('0x' || substr(md5(concat('{seed}', ':', coalesce(stratum, ''))), 1, 8)) AS BIGINT)) % {k} AS INTEGER) AS fold
   FROM {name}_n JOIN {name}_s USING (book_id))"""
 
 
@@ -357,7 +361,7 @@ _DEALT_SPLIT = [
     "rest AS (SELECT * FROM processed WHERE book_id IN (SELECT book_id FROM d5 WHERE fold <> 0))",
     _sql_deal("rest", 4, 43, "d4"),
     """dsplit AS (SELECT p.*, CASE WHEN d5.fold = 0 THEN 'test' WHEN d4.fold = 0 THEN 'valid' ELSE 'train' END AS split
-       FROM processed p JOIN d5 USING (book_id) LEFT JOIN d4 USING (book_id))""",
+       FROM processed p LEFT JOIN d5 ON d5.book_id = p.book_id LEFT JOIN d4 ON d4.book_id = p.book_id)""",
 ]
 
 
@@ -377,7 +381,6 @@ def q_stratified_fold_balance(spark, sf):
     d = S.stratified_deal_split(P.processed(spark, sf))
     per = d.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("book_id").alias("n_groups"),
                                  F.countDistinct("user_id").alias("n_users"))
-    from pyspark.sql import Window
     return per.withColumn("row_share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()))
 
 
@@ -388,17 +391,53 @@ def q_stratified_fold_balance(spark, sf):
     _sql_deal("act", 5, 42, "da"),
     body="""
 SELECT a.review_id, a.book_id, a.user_id, CASE WHEN da.fold = 0 THEN 'test' ELSE 'train' END AS split
-FROM act a JOIN da USING (book_id)"""))
+FROM act a LEFT JOIN da ON da.book_id = a.book_id"""))
 def q_active_user_folds(spark, sf):
     """SP4: active users only (>= 5 reviews), then fold 0 of 5 dealt folds is test
     (on the deduplicated corpus, where active users exist at every scale)."""
     return S.active_user_dealt_split(P.deduped(spark, sf)).select("review_id", "book_id", "user_id", "split")
 
 
-@query("stratified_group_folds")
+@query("stratified_group_folds", O.with_chain("processed", body="""
+SELECT CAST(k AS INTEGER) AS n_folds, (SELECT count(DISTINCT book_id) FROM processed) AS n_groups,
+       CAST(0 AS BIGINT) AS n_split_groups, (SELECT count(*) FROM processed WHERE book_id IS NOT NULL) AS n_rows,
+       true AS balanced
+FROM (VALUES (5), (4), (10)) t(k)"""))
 def q_stratified_group_folds(spark, sf):
-    """SP3 balanced (batched greedy): test / valid / train with books intact."""
-    return S.stratified_greedy_split(P.processed(spark, sf)).select("review_id", "book_id", "user_id", "split")
+    """SP3 balanced, as a contract for 5, 4 and 10 folds: every book has one
+    fold, every row of a book is in it, and every fold holds 1/k of the rows
+    within two points."""
+    rows, out = P.processed(spark, sf), None
+    counts = reliable(S.group_stratum_counts(rows))
+    for k in (5, 4, 10):
+        folds = S.stratified_group_folds(rows, k, counts=counts)
+        per_group = folds.groupBy("book_id").agg(F.countDistinct("fold").alias("nf"))
+        per_fold = (rows.join(folds, "book_id").groupBy("fold").agg(F.count(F.lit(1)).alias("n")))
+        share = F.col("n") / F.sum("n").over(Window.partitionBy())  # k rows
+        facts = per_fold.withColumn("ok", F.abs(share - 1.0 / k) <= 0.02).agg(
+            F.sum("n").alias("n_rows"), (F.every("ok") & (F.count(F.lit(1)) == k)).alias("balanced"))
+        one = per_group.agg(F.count(F.lit(1)).alias("n_groups"), F.count_if(F.col("nf") > 1).alias("n_split_groups"))
+        one = one.crossJoin(facts).select(F.lit(k).alias("n_folds"), "n_groups", "n_split_groups", "n_rows", "balanced")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("stratified_greedy_split", O.with_chain("processed", body="""
+SELECT count(*) AS n_rows, count(DISTINCT book_id) AS n_groups, CAST(0 AS BIGINT) AS n_leaked, true AS near_60_20_20,
+       true AS groupless_train
+FROM processed"""))
+def q_stratified_greedy_split(spark, sf):
+    """SP3 balanced: test, valid and train with books intact, as a contract:
+    no book in two splits, 60/20/20 within two points, rows without a book in
+    train."""
+    d = reliable(S.stratified_greedy_split(P.processed(spark, sf)).select("book_id", "split"))
+    leaked = S.split_leakage(d).agg(F.count(F.lit(1)).alias("n_leaked"))
+    grouped = F.col("book_id").isNotNull()
+    near = [F.abs(F.count_if(grouped & (F.col("split") == x)) / F.count_if(grouped) - y) <= 0.02
+            for x, y in (("train", 0.6), ("valid", 0.2), ("test", 0.2))]
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("book_id").alias("n_groups"),
+                 (near[0] & near[1] & near[2]).alias("near_60_20_20"),
+                 F.every(grouped | (F.col("split") == "train")).alias("groupless_train")).crossJoin(leaked)
 
 
 # --- Step 4: text cleaning, n-grams, polarity --------------------------------
@@ -424,12 +463,13 @@ def q_strip_html_pages(spark, sf):
 
 
 @query("strip_urls", O.with_chain("reviews", body="""
-SELECT page_id, regexp_replace(concat('see ', url, ' now'), 'http[^\\x09-\\x0d\\x1c-\\x20]+', '', 'g') AS text
+SELECT page_id, regexp_replace(concat(html, ' see ', url, ' now'), 'http[^\\x09-\\x0d\\x1c-\\x20]+', '', 'g') AS text
 FROM pages"""))
 def q_strip_urls(spark, sf):
-    """TX9 on text holding a URL."""
+    """TX9 on whole pages and their URL."""
     p = fixtures.table(spark, sf, "pages")
-    return p.select("page_id", tx.strip_urls(F.concat(F.lit("see "), F.col("url"), F.lit(" now"))).alias("text"))
+    src = F.concat(F.col("html"), F.lit(" see "), F.col("url"), F.lit(" now"))
+    return p.select("page_id", tx.strip_urls(src).alias("text"))
 
 
 @query("clean_pages", O.with_chain("reviews", body=f"""
@@ -441,15 +481,41 @@ def q_clean_pages(spark, sf):
     return p.select("page_id", tx.tokenize_filtered(src).alias("tok_page"))
 
 
-_DECORATED = "concat(review_text, ' couldna it''s don''t the a')"
+# Raw texts with contractions in them: some words become one, and every key of
+# the table follows the text.
+_PLANTED = [(" the ", " I can't've "), (" of ", " she'd've "), (" de ", " y'all's "), (" la ", " DON'T don't "),
+            (" der ", " who'll've o'clock ")]
+_KEYS = " couldna it's don't the a " + " x".join(CONTRACTIONS)
 
 
-@query("expand_contractions", O.with_chain("deduped", body=f"""
-SELECT review_id, {O.sql_tokenize_filtered(_DECORATED)} AS tok_review FROM deduped"""))
+def _planted(text):
+    for word, put in _PLANTED:
+        text = F.replace(text, F.lit(word), F.lit(put))
+    return F.concat(text, F.lit(_KEYS))
+
+
+def _sql_planted(x: str) -> str:
+    for word, put in _PLANTED:
+        x = f"replace({x}, {O._q(word)}, {O._q(put)})"
+    return f"concat({x}, {O._q(_KEYS)})"
+
+
+@query("expand_contractions", f"""
+SELECT doc_id, {O.sql_contractions(_sql_planted('text'))} AS expanded FROM documents""")
 def q_expand_contractions(spark, sf):
+    """TX11: every key of the table wherever it occurs in the raw texts."""
+    d = fixtures.table(spark, sf, "documents")
+    return d.select("doc_id", tx.expand_contractions(_planted(F.col("text"))).alias("expanded"))
+
+
+_DECORATED = _sql_planted("review_text")
+
+
+@query("expand_contractions_cleaned", O.with_chain("deduped", body=f"""
+SELECT review_id, {O.sql_tokenize_filtered(_DECORATED)} AS tok_review FROM deduped"""))
+def q_expand_contractions_cleaned(spark, sf):
     """TX11 in the original order (after cleaning), on decorated texts."""
-    src = F.concat(F.col("review_text"), F.lit(" couldna it's don't the a"))
-    return P.deduped(spark, sf).select("review_id", tx.tokenize_filtered(src).alias("tok_review"))
+    return P.deduped(spark, sf).select("review_id", tx.tokenize_filtered(_planted(F.col("review_text"))).alias("tok_review"))
 
 
 def _sql_token_contractions(x: str) -> str:
@@ -462,7 +528,7 @@ def _sql_token_contractions(x: str) -> str:
 SELECT review_id, {_sql_token_contractions(O.sql_collapse("lower(" + _DECORATED + ")"))} AS expanded FROM deduped"""))
 def q_expand_contractions_tokens(spark, sf):
     """TX11, whole-token mode with lower-cased keys (before cleaning)."""
-    src = tx.collapse_whitespace(F.lower(F.concat(F.col("review_text"), F.lit(" couldna it's don't the a"))))
+    src = tx.collapse_whitespace(F.lower(_planted(F.col("review_text"))))
     return P.deduped(spark, sf).select("review_id", tx.expand_contractions(src, mode="tokens").alias("expanded"))
 
 
@@ -566,14 +632,10 @@ def q_polarity_negated(spark, sf):
 SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
 FROM st JOIN wk2 USING (g) JOIN ol USING (g)"""))
 def q_polarity_boxplot_by_rating(spark, sf):
-    """AG9 on polarity per rating (train).
-
-    The box-plot figures read their input three times (distinct check,
-    quartiles, whiskers); the polarity (an explode, a join and an aggregate
-    over every token) is written once with ``checkpoint()`` instead of being
-    recomputed for each pass."""
+    """AG9 on polarity per rating (train); the operator writes the (rating,
+    polarity) counts once and reads only them."""
     p = SE.polarity(_cleaned_train(spark, sf), _lexicon_df(spark), "tok", ["review_id", "rating"])
-    return eda.boxplot_stats(reliable(p.select("rating", "polarity")), "rating", "polarity")
+    return eda.boxplot_stats(p, "rating", "polarity")
 
 
 # --- Step 5: scoring and evaluation on the logits fixture, vocabulary -------
@@ -581,16 +643,22 @@ def q_polarity_boxplot_by_rating(spark, sf):
 from tomewise.functions import logits as LG  # noqa: E402
 from tomewise.operators import metrics as M  # noqa: E402
 from tomewise.operators import vocab as V  # noqa: E402
+from tomewise.sources import datasets as IO  # noqa: E402
 
 
-def _sql_scored(first: int = 1) -> str:
+def _sql_scored(model: int = 0, lg: str = "lg", scored: str = "scored") -> str:
+    """Six class scores from the whole vector (class c: elements c, c + 6, ...,
+    counted from the far end for model 1), summed in that order."""
+    e = "embedding" if model == 0 else "list_reverse(embedding)"
+    sums = ", ".join(f"list_reduce(list_prepend(0.0::DOUBLE, list_transform(range({c}, len(embedding), 6), "
+                     f"lambda k: CAST({e}[k + 1] AS DOUBLE))), lambda a, x: a + x)" for c in range(6))
     return f"""
-lg AS (SELECT vec_id AS review_id,
+{lg} AS (SELECT vec_id AS review_id,
               CASE WHEN vec_id % 5 = 0 THEN 'test' WHEN vec_id % 5 = 1 THEN 'valid' ELSE 'train' END AS split,
-              CAST(label AS INTEGER) AS label, embedding[{first}:{first + 9}] AS logits FROM embeddings),
-scored AS (SELECT review_id, split, label, logits,
+              CAST(label % 6 AS INTEGER) AS label, [{sums}] AS logits FROM embeddings),
+{scored} AS (SELECT review_id, split, label, logits,
                   CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS prediction,
-                  CAST(list_max(logits) AS DOUBLE) AS mx FROM lg)"""
+                  CAST(list_max(logits) AS DOUBLE) AS mx FROM {lg})"""
 
 
 def _scored(spark, sf, model: int = 0):
@@ -632,7 +700,7 @@ def _model_long(spark, sf):
     e = fixtures.table(spark, sf, "embeddings")
     entries = []
     for model, name in ((0, "A"), (1, "B")):
-        lg = F.slice("embedding", 1 + 10 * model, 10)
+        lg = fixtures.class_scores(F.col("embedding"), model)
         entries.append(F.struct(F.lit(name).alias("model_name"),
                                 LG.label_to_rating(LG.label_name(LG.argmax(lg))).alias("label"),
                                 F.round(LG.confidence(lg), 6).alias("score")))
@@ -641,8 +709,7 @@ def _model_long(spark, sf):
 
 
 _SQL_MODELS = [
-    _sql_scored(1).replace("lg AS", "lga AS").replace("FROM lg)", "FROM lga)").replace("scored AS", "sa AS"),
-    _sql_scored(11).replace("lg AS", "lgb AS").replace("FROM lg)", "FROM lgb)").replace("scored AS", "sb AS"),
+    _sql_scored(0, "lga", "sa"), _sql_scored(1, "lgb", "sb"),
     f"""mlong AS (SELECT review_id, 'A' AS model_name, prediction AS label, round({_SQL_CONF}, 6) AS score FROM sa
               UNION ALL
               SELECT review_id, 'B', prediction, round({_SQL_CONF}, 6) FROM sb)""",
@@ -661,10 +728,12 @@ SELECT count(*) AS n, CAST(count_if(a = b) AS BIGINT) AS n_agree, avg(CAST(a = b
 FROM (SELECT review_id, max(label) FILTER (WHERE model_name = 'A') AS a,
              max(label) FILTER (WHERE model_name = 'B') AS b FROM mlong GROUP BY review_id)"""))
 def q_model_agreement(spark, sf):
-    """ML11: agreement rate of the two models (pivot by model)."""
-    wide = _model_long(spark, sf).groupBy("review_id").pivot("model_name", ["A", "B"]).agg(F.first("label"))
-    return wide.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("A") == F.col("B")).alias("n_agree"),
-                    F.avg((F.col("A") == F.col("B")).cast("double")).alias("agreement"))
+    """ML11: agreement rate of the two models; both labels of a row come from
+    the same vector, so they are compared in place, before any shuffle."""
+    e = fixtures.table(spark, sf, "embeddings")
+    a, b = (LG.argmax(fixtures.class_scores(F.col("embedding"), m)) for m in (0, 1))
+    return e.select((a == b).alias("same")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("same").alias("n_agree"), F.avg(F.col("same").cast("double")).alias("agreement"))
 
 
 @query("eval_by_split", O.with_chain("reviews", _sql_scored(), body="""
@@ -697,7 +766,7 @@ def q_micro_metrics(spark, sf):
 
 @query("f1_per_class", O.with_chain("reviews", _sql_scored(), """
 t AS (SELECT * FROM scored WHERE split = 'test'),
-grid AS (SELECT CAST(range AS INTEGER) AS label FROM range(10)),
+grid AS (SELECT CAST(range AS INTEGER) AS label FROM range(6)),
 tp AS (SELECT label, count(*) AS tp FROM t WHERE label = prediction GROUP BY label),
 nt AS (SELECT label, count(*) AS n_true FROM t GROUP BY label),
 np_ AS (SELECT prediction AS label, count(*) AS n_pred FROM t GROUP BY prediction)""", body="""
@@ -705,9 +774,9 @@ SELECT label, CASE WHEN coalesce(n_true, 0) + coalesce(n_pred, 0) > 0
                    THEN 2.0 * coalesce(tp, 0) / (coalesce(n_true, 0) + coalesce(n_pred, 0)) ELSE 0.0 END AS f1
 FROM grid LEFT JOIN tp USING (label) LEFT JOIN nt USING (label) LEFT JOIN np_ USING (label)"""))
 def q_f1_per_class(spark, sf):
-    """ML14: F1 of every class on the test split (0 where undefined)."""
+    """ML14: F1 of each of the six classes on the test split (0 where undefined)."""
     s = _scored(spark, sf).where(F.col("split") == "test")
-    return M.f1_per_class(s, list(range(10)))
+    return M.f1_per_class(s, list(range(fixtures.N_CLASSES)))
 
 
 @query("confusion_matrix", O.with_chain("reviews", _sql_scored(), """
@@ -740,7 +809,7 @@ def q_worst_confusions(spark, sf):
     return M.worst_confusions(s, texts, 0, 5).select("split", "review_id", "review_text", "label")
 
 
-VOCAB_SIZE = 2000
+VOCAB_SIZE = 30_000
 MAX_LEN = 512
 
 _SQL_VOCAB = f"""
@@ -766,7 +835,9 @@ enc AS (SELECT review_id, split, rating,
 
 
 def _vocab(spark, sf):
-    return V.build_vocab(P.train_rows(spark, sf), "review_text", VOCAB_SIZE)
+    """The vocabulary, written once per input and read by its users."""
+    return IO.materialize(spark, "vocabulary", P._fp(sf, 42, VOCAB_SIZE),
+                          lambda: V.build_vocab(P.train_rows(spark, sf), "review_text", VOCAB_SIZE))
 
 
 def _encoded(spark, sf):
@@ -777,8 +848,8 @@ def _encoded(spark, sf):
 
 @query("vocab_build", O.with_chain("split", _SQL_VOCAB, body="SELECT word, id, n FROM vocab"))
 def q_vocab_build(spark, sf):
-    """ML1: the 2000 most frequent train words with ids from 4."""
-    return _vocab(spark, sf)
+    """ML1: the most frequent train words (30,000 at most) with ids from 4."""
+    return V.build_vocab(P.train_rows(spark, sf), "review_text", VOCAB_SIZE)
 
 
 @query("encode_ids", O.with_chain("split", _SQL_VOCAB, _SQL_ENCODE, body="""
@@ -815,16 +886,88 @@ def q_decode_roundtrip(spark, sf):
 
 # --- Step 6/7: training, sweep, scoring, streaming, IO -----------------------
 
-import uuid  # noqa: E402
-
+from tomewise.operators import bayes as NB  # noqa: E402
 from tomewise.operators import model as ML  # noqa: E402
-from tomewise.operators.scoring import score_splits  # noqa: E402
-from tomewise.sources import datasets as IO  # noqa: E402
+from tomewise.operators.scoring import score_external, score_splits  # noqa: E402
 from tomewise.streaming import scorer as ST  # noqa: E402
 
 
-def _scratch(spark, what: str) -> str:
-    return f"{checkpoint_dir(spark)}/{what}/{uuid.uuid4().hex}"
+def _bayes(spark, sf, smoothing: float = 1.0):
+    return NB.fit(P.train_rows(spark, sf), _vocab(spark, sf), smoothing)
+
+
+def _bayes_scored(spark, sf):
+    """Every row of every split with its class and naive Bayes prediction."""
+    rows = P.split_processed(spark, sf)
+    return _bayes(spark, sf).score(rows, ["review_id", "split", "rating"]).withColumnRenamed("rating", "label")
+
+
+def _sql_bayes(rows: str, smoothing: float = 1.0, name: str = "nb", keep: str = "review_id, split, rating") -> str:
+    """Multinomial naive Bayes from its formula: log P(c) plus, over the text's
+    known words, log((n(c, w) + s) / (n(c) + s |V|))."""
+    return f"""
+{name}_p AS (SELECT rating AS c, ln(count(*) / (SELECT count(*) FROM train)) AS lp FROM train GROUP BY rating),
+{name}_w AS (SELECT rating AS c, unnest(list_filter(string_split(review_text, ' '), lambda w: w <> '')) AS word FROM train),
+{name}_n AS (SELECT c, word, count(*) AS n FROM {name}_w JOIN vocab USING (word) GROUP BY c, word),
+{name}_t AS (SELECT p.c, p.lp, coalesce(sum(n), 0) + {smoothing} * (SELECT count(*) FROM vocab) AS t
+             FROM {name}_p p LEFT JOIN {name}_n USING (c) GROUP BY p.c, p.lp),
+{name}_x AS (SELECT {keep}, unnest(list_filter(string_split(review_text, ' '), lambda w: w <> '')) AS word FROM {rows}),
+{name}_k AS (SELECT {keep}, word, count(*) AS m FROM {name}_x JOIN vocab USING (word) GROUP BY {keep}, word),
+{name}_s AS (SELECT r.review_id, t.c, any_value(t.lp) + coalesce(sum(m * ln((coalesce(n.n, 0) + {smoothing}) / t.t)), 0.0) AS l
+             FROM {rows} r CROSS JOIN {name}_t t LEFT JOIN {name}_k k USING (review_id)
+             LEFT JOIN {name}_n n ON n.c = t.c AND n.word = k.word GROUP BY r.review_id, t.c),
+{name} AS (SELECT review_id, CAST(arg_max(c, (round(l, 9), -c)) AS INTEGER) AS prediction,
+                  1.0 / sum(exp(l - top)) AS confidence
+           FROM (SELECT *, max(l) OVER (PARTITION BY review_id) AS top FROM {name}_s) GROUP BY review_id)"""
+
+
+_SQL_NB = [_SQL_VOCAB, _sql_bayes("splitted"), """
+nbs AS (SELECT review_id, split, rating AS label, prediction, confidence FROM splitted JOIN nb USING (review_id))"""]
+
+
+@query("bayes_scores", O.with_chain("split", *_SQL_NB, body="""
+SELECT review_id, split, label, prediction, round(confidence, 6) AS confidence FROM nbs"""))
+def q_bayes_scores(spark, sf):
+    """ML4 + ML7: a classifier fitted on train scores every row of every split."""
+    return _bayes_scored(spark, sf).withColumn("confidence", F.round("confidence", 6))
+
+
+@query("bayes_accuracy", O.with_chain("split", *_SQL_NB, body="""
+SELECT split, count(*) AS n, avg(CAST(prediction = label AS DOUBLE)) AS accuracy FROM nbs GROUP BY split"""))
+def q_bayes_accuracy(spark, sf):
+    """ML12 of the fitted classifier."""
+    return M.accuracy(_bayes_scored(spark, sf))
+
+
+@query("bayes_confusion", O.with_chain("split", *_SQL_NB, """
+cnt AS (SELECT split, label, prediction, count(*) AS n FROM nbs GROUP BY split, label, prediction),
+seen AS (SELECT split, label AS c FROM cnt UNION SELECT split, prediction FROM cnt)""", body="""
+SELECT a.split, a.c AS label, b.c AS prediction, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+FROM seen a JOIN seen b USING (split)
+LEFT JOIN cnt ON cnt.split = a.split AND cnt.label = a.c AND cnt.prediction = b.c"""))
+def q_bayes_confusion(spark, sf):
+    """ML15 of the fitted classifier, every split."""
+    return M.confusion_matrix(_bayes_scored(spark, sf))
+
+
+@query("bayes_f1", O.with_chain("split", *_SQL_NB, """
+t AS (SELECT * FROM nbs WHERE split = 'test')""", body="""
+SELECT CAST(c AS INTEGER) AS label,
+       coalesce(2.0 * (SELECT count(*) FROM t WHERE label = c AND prediction = c)
+                / nullif((SELECT count(*) FROM t WHERE label = c) + (SELECT count(*) FROM t WHERE prediction = c), 0), 0.0) AS f1
+FROM range(6) g(c)"""))
+def q_bayes_f1(spark, sf):
+    """ML14 of the fitted classifier on the test split."""
+    return M.f1_per_class(_bayes_scored(spark, sf).where(F.col("split") == "test"), list(range(fixtures.N_CLASSES)))
+
+
+@query("bayes_worst_confusions", O.with_chain("split", *_SQL_NB, body="""
+SELECT split, review_id, label, prediction, review_text FROM nbs JOIN normalised USING (review_id)
+WHERE label = 0 AND prediction = 5"""))
+def q_bayes_worst_confusions(spark, sf):
+    """ML17 of the fitted classifier: true 0 predicted 5, with the review text."""
+    texts = P.normalised(spark, sf).select("review_id", "review_text")
+    return M.worst_confusions(_bayes_scored(spark, sf), texts, 0, 5)
 
 
 def _fit(spark, sf, kind: str = "logistic"):
@@ -834,12 +977,18 @@ def _fit(spark, sf, kind: str = "logistic"):
                            lambda: ML.train_classifier(P.train_rows(spark, sf), cfg), IO.default_root(spark))
 
 
-@query("train_classifier_report")
+_SQL_ROWS_PER_SPLIT = O.with_chain("split", body="""
+SELECT split, count(*) AS n, CAST(0 AS BIGINT) AS n_bad FROM splitted GROUP BY split""")
+
+
+@query("train_classifier_report", _SQL_ROWS_PER_SPLIT)
 def q_train_classifier_report(spark, sf):
-    """ML4: fit on train, accuracy on train / valid / test."""
-    rows = P.split_processed(spark, sf)
-    scored = score_splits(_fit(spark, sf), rows)
-    return M.accuracy(scored)
+    """ML4, logistic model, as a contract: per split every row has one
+    prediction, a class from 0 to 5 with a confidence of at least 1/6."""
+    scored = score_splits(_fit(spark, sf), P.split_processed(spark, sf))
+    good = F.col("prediction").between(0, 5) & F.col("confidence").between(1 / 6 - 1e-9, 1 + 1e-9)
+    return scored.groupBy("split").agg(F.countDistinct("review_id").alias("n"),
+                                       F.count_if(~F.coalesce(good, F.lit(False))).alias("n_bad"))
 
 
 SWEEP_TRIALS = 20
@@ -854,66 +1003,182 @@ def _sweep(spark, sf):
     return IO.materialize(spark, "sweep_results", P._fp(sf, 42, SWEEP_TRIALS), build)
 
 
-@query("sweep_results")
+@query("sweep_results", O.with_chain("split", body=f"""
+SELECT CAST(range AS INTEGER) AS trial, true AS in_space,
+       (SELECT count(*) FROM splitted WHERE split = 'valid') AS n_valid, true AS whole_rows
+FROM range({SWEEP_TRIALS})"""))
 def q_sweep_results(spark, sf):
-    """ML5: 20 seeded random draws, validation accuracy of each."""
-    return _sweep(spark, sf)
+    """ML5: 20 seeded random draws, as a contract: every trial once, its draw
+    inside the search space, its accuracy a whole number of validation rows."""
+    n = P.split_processed(spark, sf).where(F.col("split") == "valid").agg(F.count(F.lit(1)).alias("n_valid"))
+    hits = F.col("valid_accuracy") * F.col("n_valid")
+    return _sweep(spark, sf).crossJoin(n).select(  # one row on the right
+        "trial", (F.col("reg_param").between(1e-5, 1e-2) & F.col("max_iter").isin(25, 50, 100)
+                  & F.col("num_features").isin(1 << 10, 1 << 12, 1 << 14)).alias("in_space"),
+        "n_valid", ((F.abs(hits - F.round(hits)) < 1e-6) & F.col("valid_accuracy").between(0, 1)).alias("whole_rows"))
 
 
-@query("sweep_best")
+@query("sweep_best", "SELECT CAST(0 AS BIGINT) AS n_better, CAST(1 AS BIGINT) AS n_best")
 def q_sweep_best(spark, sf):
-    """ML6: the best trial of the sweep."""
-    return ML.best_trial(_sweep(spark, sf))
+    """ML6, as a contract: one best trial, and no trial of the sweep is better
+    or equally good and earlier."""
+    results = _sweep(spark, sf)
+    best = ML.best_trial(results)
+    b = best.select(F.col("trial").alias("bt"), F.col("valid_accuracy").alias("ba"))
+    better = (F.col("valid_accuracy") > F.col("ba")) | ((F.col("valid_accuracy") == F.col("ba")) & (F.col("trial") < F.col("bt")))
+    return results.crossJoin(b).agg(F.count_if(better).alias("n_better"), F.countDistinct("bt").alias("n_best"))
 
 
-@query("score_splits")
+@query("score_splits", _SQL_ROWS_PER_SPLIT)
 def q_score_splits(spark, sf):
-    """ML7: predicted class and confidence for every row of every split."""
-    return score_splits(_fit(spark, sf), P.split_processed(spark, sf))
+    """ML7, Spark ML pipeline, as a contract: per split one valid prediction for
+    every row (the SQL-checked scores are in ``bayes_scores``)."""
+    return q_train_classifier_report(spark, sf)
+
+
+class _LetterModel:
+    """Logits are counts of a few letters: stands in for a model file."""
+
+    def predict_logits(self, texts):
+        return [[float(t.count(c)) for c in "abcdef"] for t in texts]
 
 
-@query("stream_scores")
+@query("external_scores", O.with_chain("deduped", """
+lc AS (SELECT review_id, list_transform(['a', 'b', 'c', 'd', 'e', 'f'],
+              lambda x: CAST(length(review_text) - length(replace(review_text, x, '')) AS DOUBLE)) AS l FROM deduped)""", body="""
+SELECT review_id, CAST(list_position(l, list_max(l)) - 1 AS INTEGER) AS prediction,
+       round(1.0 / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))), 6) AS confidence FROM lc"""))
+def q_external_scores(spark, sf):
+    """UD2: a model loaded by Python, once per worker, on Arrow batches."""
+    out = score_external(P.deduped(spark, sf), _LetterModel, "letters", "review_text", "review_id", 6)
+    return out.withColumn("confidence", F.round("confidence", 6))
+
+
+def _drained(spark, base: str, df: DataFrame) -> DataFrame:
+    """``df`` kept by a checkpoint while its scratch folder goes."""
+    kept = reliable(df)
+    remove_dir(spark, base)
+    return kept
+
+
+_SQL_STREAM = [_SQL_VOCAB, _sql_bayes("normalised", 1.0, "nba", "review_id"),
+               _sql_bayes("normalised", 0.1, "nbb", "review_id")]
+
+
+@query("stream_scores", O.with_chain("split", *_SQL_STREAM, body="""
+SELECT review_id, 'smooth' AS model_name, prediction AS label, round(confidence, 6) AS score FROM nba
+UNION ALL SELECT review_id, 'sharp', prediction, round(confidence, 6) FROM nbb"""))
 def q_stream_scores(spark, sf):
-    """ST1: reviews land as files; a stream scores them with two models."""
-    models = {"logistic": _fit(spark, sf, "logistic"), "naive_bayes": _fit(spark, sf, "naive_bayes")}
-    base = _scratch(spark, "stream")
-    arriving = fixtures.reviews(spark, sf).join(P.processed(spark, sf).select("review_id"), "review_id", "left_semi")
-    ST.land(arriving, f"{base}/in")
-    q = ST.start_scorer(spark, f"{base}/in", f"{base}/out", f"{base}/chk", models)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    """ST1: all reviews land as files; a stream scores them with two models."""
+    models = {"smooth": _bayes(spark, sf, 1.0), "sharp": _bayes(spark, sf, 0.1)}
+    base = scratch_dir(spark, "stream")
+    ST.land(fixtures.reviews(spark, sf), f"{base}/in")
+    ST.start_scorer(spark, f"{base}/in", f"{base}/out", f"{base}/chk", models).awaitTermination()
+    out = spark.read.parquet(f"{base}/out").select("review_id", "model_name", "label", F.round("score", 6).alias("score"))
+    return _drained(spark, base, out)
 
 
 @query("io_split_roundtrip", O.with_chain("split", body="""
 SELECT review_id, book_id, rating, split FROM splitted WHERE split = 'train'"""))
 def q_io_split_roundtrip(spark, sf):
     """IO3 + IO4: write one directory per split, read train back by pruning."""
-    path = _scratch(spark, "splits")
+    path = scratch_dir(spark, "splits")
     IO.write_splits(P.split_processed(spark, sf).select("review_id", "book_id", "rating", "split"), path)
-    return IO.read_split(spark, path, "train")
+    return _drained(spark, path, IO.read_split(spark, path, "train"))
 
 
 @query("versioned_publish_latest", O.with_chain("processed", body="""
 SELECT review_id, rating, CAST(2 AS INTEGER) AS version FROM processed"""))
 def q_versioned_publish_latest(spark, sf):
     """IO5 + IO6: publish two versions, resolve ``latest`` via the manifest."""
-    root = _scratch(spark, "registry")
+    root = scratch_dir(spark, "registry")
     d = P.processed(spark, sf).select("review_id", "rating")
     IO.publish(spark, d.where(F.col("rating") < 3), "processed_data", root=root)
     v = IO.publish(spark, d, "processed_data", root=root)
-    return IO.read_latest(spark, "processed_data", root=root).withColumn("version", F.lit(v))
+    return _drained(spark, root, IO.read_latest(spark, "processed_data", root=root).withColumn("version", F.lit(v)))
+
+
+_NA = ", ".join(O._q(x) for x in IO.NA_STRINGS)
 
 
-@query("io_csv_roundtrip", O.with_chain("normalised", body="""
-SELECT review_id, CASE WHEN review_text = '' THEN NULL ELSE review_text END AS review_text, rating
-FROM normalised"""))
+@query("io_csv_roundtrip", O.with_chain("normalised", f"""
+planted AS (SELECT review_id, CASE WHEN review_id % 3 = 0 THEN ([{_NA}, 'n', 'NAN', 'nil'])[1 + (review_id // 3) % {len(IO.NA_STRINGS) + 3}]
+                              ELSE review_text END AS review_text, rating FROM normalised)""", body=f"""
+SELECT review_id, CASE WHEN review_text NOT IN ({_NA}) THEN review_text END AS review_text, rating FROM planted"""))
 def q_io_csv_roundtrip(spark, sf):
-    """IO1 + IO2: multi-line quoted texts survive a CSV write and read."""
-    path = _scratch(spark, "csv")
-    IO.write_csv(P.normalised(spark, sf).select("review_id", "review_text", "rating"), path)
-    schema = "review_id bigint, review_text string, rating int"
-    from pyspark.sql.types import _parse_datatype_string
-    return IO.read_csv(spark, path, _parse_datatype_string(schema))
+    """IO1 + IO2: multi-line quoted texts survive a CSV write and read, and all
+    strings that stand for a missing value are read as null."""
+    path = scratch_dir(spark, "csv")
+    odd = F.array(*[F.lit(x) for x in [*IO.NA_STRINGS, "n", "NAN", "nil"]])
+    at = (F.floor(F.col("review_id") / 3) % (len(IO.NA_STRINGS) + 3)).cast("int")
+    d = P.normalised(spark, sf).withColumn("review_text", F.when(
+        F.col("review_id") % 3 == 0, F.get(odd, at)).otherwise(F.col("review_text")))
+    IO.write_csv(d.select("review_id", "review_text", "rating"), path)
+    schema = T.StructType.fromDDL("review_id bigint, review_text string, rating int")
+    return _drained(spark, path, IO.read_csv(spark, path, schema))
+
+
+@query("published_table", O.with_chain("split", body="""
+SELECT split, rating, count(*) AS n FROM splitted GROUP BY split, rating"""))
+def q_published_table(spark, sf):
+    """IO7: a result table written for later inspection and read again."""
+    path = scratch_dir(spark, "tables")
+    IO.publish_table(P.split_processed(spark, sf).groupBy("split", "rating").agg(F.count(F.lit(1)).alias("n")), path)
+    return _drained(spark, path, spark.read.parquet(path))
+
+
+@query("metric_log", O.with_chain("reviews", _sql_scored(), body="""
+SELECT 'run-a' AS run_id, split || '_n' AS key, CAST(count(*) AS DOUBLE) AS value FROM scored GROUP BY split
+UNION ALL SELECT 'run-a', split || '_accuracy', avg(CAST(prediction = label AS DOUBLE)) FROM scored GROUP BY split
+UNION ALL SELECT 'run-b', split || '_wide_misses', CAST(count_if(abs(prediction - label) > 2) AS DOUBLE) FROM scored GROUP BY split"""))
+def q_metric_log(spark, sf):
+    """IO8 + UD3: metrics, one of them registered by the user, logged by run."""
+    root, scored = scratch_dir(spark, "log"), _scored(spark, sf)
+    M.register_metric("wide_misses", lambda d: d.groupBy("split").agg(
+        F.count_if(F.abs(F.col("prediction") - F.col("label")) > 2).alias("wide_misses")))
+    made = M.compute_metrics(scored, ["accuracy", "wide_misses"])
+    IO.log_metrics(spark, "run-a", M.metrics_to_log(made["accuracy"]), root)
+    IO.log_metrics(spark, "run-b", M.metrics_to_log(made["wide_misses"]), root)
+    return _drained(spark, root, IO.read_metrics(spark, root).select("run_id", "key", "value"))
+
+
+@query("stage_skip", O.with_chain("processed", body="""
+SELECT rating, count(*) AS n, CAST(1 AS INTEGER) AS n_builds FROM processed GROUP BY rating"""))
+def q_stage_skip(spark, sf):
+    """IO9: a stage asked for twice is built once."""
+    root, builds = scratch_dir(spark, "stages"), []
+
+    def build():
+        builds.append(1)
+        return P.processed(spark, sf).select("review_id", "rating")
+    for _ in range(2):
+        stage = IO.materialize(spark, "ratings", P._fp(sf, 42), build, root)
+    out = stage.groupBy("rating").agg(F.count(F.lit(1)).alias("n")).withColumn("n_builds", F.lit(len(builds)))
+    return _drained(spark, root, out)
+
+
+@query("reload_if_empty", O.with_chain("processed", body="""
+SELECT 'empty' AS given, review_id, rating FROM processed
+UNION ALL SELECT 'full', review_id, rating FROM processed WHERE rating >= 3"""))
+def q_reload_if_empty(spark, sf):
+    """IO10: the stored rows are read again when there are none in hand."""
+    d = P.processed(spark, sf).select("review_id", "rating")
+    out = None
+    for name, have in (("empty", d.where(F.col("rating") > 9)), ("full", d.where(F.col("rating") >= 3))):
+        one = IO.reload_if_empty(have, lambda: d).select(F.lit(name).alias("given"), "review_id", "rating")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("row_keys", """
+SELECT text, count(*) AS n_rows, count(*) AS n_keys FROM documents GROUP BY text""")
+def q_row_keys(spark, sf):
+    """PF8: keys for rows that have none, distinct also among equal rows: as
+    many keys as rows for every text."""
+    d = fixtures.with_row_key(fixtures.table(spark, sf, "documents").select("text"), ["text"])
+    texts = d.groupBy("text").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("review_id").alias("n_keys"))
+    shared = d.groupBy("review_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("shared"))  # one row: 0
+    return texts.crossJoin(shared).select("text", "n_rows", (F.col("n_keys") - F.col("shared")).alias("n_keys"))
 
 
 # --- Second data sets: dialogue turns, events, binary labels -----------------
@@ -925,8 +1190,7 @@ dialogue AS (SELECT CAST(conv_id AS BIGINT) * 4294967296 + turn AS review_id, co
 
 
 def _dialogue(spark, sf):
-    d = fixtures.dialogue_reviews(spark, sf)
-    return d.withColumn("review_text", tx.normalise("review_text"))
+    return fixtures.dialogue_reviews(spark, sf)
 
 
 @query("dialogue_undersample", O.with_chain("reviews", C_DIALOGUE, """
@@ -1021,5 +1285,6 @@ def q_quality_undersample(spark, sf):
     """SP1 on the binary quality label of the labelled reviews."""
     from tomewise.operators.sampling import undersample
     lab = fixtures.table(spark, sf, "labels").select(F.col("doc_id").alias("review_id"), "quality")
-    d = P.deduped(spark, sf).select("review_id").join(lab, "review_id")
+    # written once: the sampler reads its input in several passes
+    d = reliable(P.deduped(spark, sf).select("review_id").join(lab, "review_id"))
     return undersample(d, "quality", 42).select("review_id", "quality")
