@@ -16,6 +16,15 @@ def test_csv_roundtrip_multiline_quotes_na(spark, scratch):
     assert got[2] is None and got[3] is None and got[4] is None
 
 
+def test_csv_missing_value_strings(spark, scratch):
+    rows = [(i, x) for i, x in enumerate([*IO.NA_STRINGS, "n", "NAN", "Null", "none", " NA"])]
+    IO.write_csv(spark.createDataFrame(rows, "i int, t string"), f"{scratch}/csv")
+    back = IO.read_csv(spark, f"{scratch}/csv", T.StructType.fromDDL("i int, t string"))
+    assert {r.i: r.t for r in back.collect()} == {i: None if x in IO.NA_STRINGS else x for i, x in rows}
+    kept = IO.read_csv(spark, f"{scratch}/csv", T.StructType.fromDDL("i int, t string"), na_values=False)
+    assert kept.where("t = 'NaN'").count() == 1
+
+
 def test_versions_manifest_and_latest(spark, scratch):
     df = spark.range(10).withColumn("split", F.when(F.col("id") < 7, "train").otherwise("test"))
     v1 = IO.publish(spark, df.where("id < 5"), "ds", root=scratch)
@@ -29,6 +38,52 @@ def test_versions_manifest_and_latest(spark, scratch):
         "split" in str(train._jdf.queryExecution().executedPlan().toString())
 
 
+def test_two_writers_get_two_versions(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda i: IO.publish(spark, spark.range(i + 1), "shared", root=scratch), range(4)))
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert IO.latest_entry(spark, "shared", root=scratch)["version"] == 4
+    sizes = {spark.read.parquet(f"{scratch}/shared/version={v}").count() for v in versions}
+    assert sizes == {1, 2, 3, 4}
+
+
+def test_fingerprint_sees_nested_rewrites(spark, scratch):
+    import os
+    import time
+    path = scratch.removeprefix("file:")
+    os.makedirs(f"{path}/in/part")
+    with open(f"{path}/in/part/a", "w") as f:
+        f.write("one")
+    before = IO.input_fingerprint(f"{path}/in")
+    assert before == IO.input_fingerprint(f"{path}/in")
+    time.sleep(1.1)
+    with open(f"{path}/in/part/a", "w") as f:
+        f.write("two")
+    assert before != IO.input_fingerprint(f"{path}/in")
+    assert IO.input_fingerprint(f"{path}/nothing").endswith("nothing")
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from tomewise import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
 def test_materialize_skips_existing_stage(spark, scratch):
     calls = []
 
@@ -67,6 +122,23 @@ def test_stream_equals_batch(spark, scratch):
     assert len(stream) == 120 and stream == batch
 
 
+def test_bayes_stream_equals_batch_in_bounded_batches(spark, scratch):
+    from tomewise.operators import bayes
+    from tomewise.streaming import scorer as ST
+    rows = [(i, f"Review {i} {'good great' if i % 2 else 'bad poor'}  text", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    vocab = spark.createDataFrame([(w,) for w in ("good", "great", "bad", "poor", "text")], "word string")
+    models = {f"s{s}": bayes.fit(df, vocab, s) for s in (1.0, 0.1)}
+    ST.land(df, f"{scratch}/in", n_files=5)
+    q = ST.start_scorer(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/chk", models, max_files_per_trigger=2)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.select("batch").distinct().count() >= 2
+    stream = sorted(tuple(r) for r in out.drop("batch").collect())
+    assert stream == sorted(tuple(r) for r in ST.batch_equivalent(df, models).collect()) and len(stream) == 120
+    assert all(r.label == r.review_id % 2 for r in out.collect())
+
+
 def test_score_models_single_pass_equals_each_model(spark):
     from tomewise.operators import model as ML
     from tomewise.operators.scoring import score_models

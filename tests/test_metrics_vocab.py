@@ -95,19 +95,53 @@ def test_metric_registry_and_log(spark):
     assert sum(r["count"] for r in res["n_rows"].collect()) == 300
 
 
-def test_external_model_hook(spark):
+def test_external_model_is_loaded_once_per_worker(spark, tmp_path):
     from tomewise.operators.scoring import score_external
+    loads = str(tmp_path / "loads")
 
     def _load_tiny():
+        import os
+        import uuid
+        os.makedirs(loads, exist_ok=True)
+        open(f"{loads}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
         class TinyModel:
             """Logits = counts of a few letters (stands in for a model file)."""
             def predict_logits(self, texts):
                 return [[t.count(c) for c in "abc"] for t in texts]
         return TinyModel()
-    df = spark.createDataFrame([(1, "aaab"), (2, "bbc"), (3, "ccca"), (4, None)], "review_id long, t string")
-    out = {r.review_id: r for r in score_external(df, _load_tiny, "t", "review_id", 3).collect()}
-    assert [out[i].prediction for i in (1, 2, 3, 4)] == [0, 1, 2, 0]
-    assert abs(out[4].confidence - 1 / 3) < 1e-12
+
+    rows = [("k1", "aaab"), ("k2", "bbc"), ("k3", "ccca"), ("k4", None)]
+    df = spark.createDataFrame(rows, "key string, t string")
+    out = {r.key: r for r in score_external(df, _load_tiny, "tiny-test", "t", "key", 3).collect()}
+    assert [out[f"k{i}"].prediction for i in (1, 2, 3, 4)] == [0, 1, 2, 0]
+    assert abs(out["k4"].confidence - 1 / 3) < 1e-12
+    for _ in range(3):
+        score_external(df.repartition(6), _load_tiny, "tiny-test", "t", "key", 3).count()
+    import os
+    pids = [f.split("-")[0] for f in os.listdir(loads)]
+    assert len(pids) == len(set(pids))  # one load in each worker, however many tasks it ran
+
+
+def test_naive_bayes_matches_the_formula(spark):
+    from tomewise.operators import bayes
+    rows = [(1, "a a b", 0), (2, "b c", 1), (3, "a", 0), (4, "c c d", 2), (5, "", 1), (6, None, 2), (7, "x", None)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    words = ["a", "b", "c"]
+    model = bayes.fit(df, spark.createDataFrame([(w,) for w in words], "word string"), smoothing=0.5)
+    assert model.classes == [0, 1, 2]
+    texts = {c: [w for _, t, k in rows if k == c for w in (t or "").split() if w in words] for c in (0, 1, 2)}
+    prior = {c: math.log(sum(k == c for *_, k in rows) / 6) for c in (0, 1, 2)}
+
+    def scores(text):
+        return [prior[c] + sum(math.log((texts[c].count(w) + 0.5) / (len(texts[c]) + 1.5))
+                               for w in (text or "").split() if w in words) for c in (0, 1, 2)]
+    got = {r.review_id: r for r in model.score(df, ["review_id"]).collect()}
+    assert len(got) == 7
+    for i, t, _ in rows:
+        s = scores(t)
+        assert got[i].prediction == s.index(max(s))
+        assert abs(got[i].confidence - 1 / sum(math.exp(x - max(s)) for x in s)) < 1e-12
 
 
 def test_row_key_is_content_based(spark):
@@ -116,6 +150,10 @@ def test_row_key_is_content_based(spark):
     k1 = {r.t: r.review_id for r in with_row_key(a, ["t", "r"]).collect()}
     k2 = {r.t: r.review_id for r in with_row_key(a.repartition(3), ["t", "r"]).collect()}
     assert k1 == k2 and len(set(k1.values())) == 2
+    same = spark.createDataFrame([("x", 1)] * 50 + [("y", 2), (None, None), (None, None)], "t string, r int")
+    keys = [r.review_id for r in with_row_key(same.repartition(4), ["t", "r"]).collect()]
+    again = [r.review_id for r in with_row_key(same.repartition(2), ["t", "r"]).collect()]
+    assert len(set(keys)) == 53 and set(keys) == set(again)
 
 
 def test_undersample_approx_is_near_balanced(spark):
@@ -126,7 +164,7 @@ def test_undersample_approx_is_near_balanced(spark):
     assert c[0] == 1000 and 850 < c[1] < 1150
 
 
-def test_spearman_average_ranks_both_paths(spark):
+def test_spearman_average_ranks(spark):
     import random as _r
     from tomewise.operators import eda
     rnd = _r.Random(4)
@@ -156,13 +194,17 @@ def test_spearman_average_ranks_both_paths(spark):
     cols = list(zip(*rows))
     exp = py_spearman(cols[0], cols[1])
     assert abs(eda.spearman(df, "a", "b") - exp) < 1e-9
-    old = eda.MAX_RANK_WINDOW
-    try:
-        eda.MAX_RANK_WINDOW = 3  # force the range-sort + offsets path
-        assert abs(eda.spearman(df, "a", "c") - py_spearman(cols[0], cols[2])) < 1e-9
-        assert abs(eda.spearman(df, "b", "c") - py_spearman(cols[1], cols[2])) < 1e-9
-    finally:
-        eda.MAX_RANK_WINDOW = old
+    assert abs(eda.spearman(df, "a", "c") - py_spearman(cols[0], cols[2])) < 1e-9
+    assert abs(eda.spearman(df, "b", "c") - py_spearman(cols[1], cols[2])) < 1e-9
+
+
+def test_spearman_of_constant_and_empty_columns(spark):
+    from tomewise.operators import eda
+    df = spark.createDataFrame([(i, 1, None) for i in range(9)], "a int, b int, c double")
+    got = {(r.var_a, r.var_b): r.rho for r in eda.spearman_matrix(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "a")] == 1.0 and all(math.isnan(got[k]) for k in [("b", "b"), ("a", "b"), ("b", "a"), ("c", "c")])
+    assert got[("a", "c")] is None or math.isnan(got[("a", "c")])
+    assert math.isnan(eda.spearman(df, "a", "b"))
 
 
 def test_spearman_matrix_shared_ranks_equal_pairwise(spark):

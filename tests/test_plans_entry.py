@@ -48,14 +48,24 @@ def test_entry_smoke(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_only_text_tables_are_spread(spark):
+def test_scans_are_not_reshuffled(spark):
     from tomewise import fixtures
-    assert "Exchange" not in _plan(fixtures.table(spark, SF001, "events"))
-    assert "Exchange" not in _plan(fixtures.table(spark, SF001, "embeddings"))
-    docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    spread = _plan(fixtures.table(spark, SF001, "documents"))
-    want = docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    assert ("RoundRobinPartitioning" in spread) == want
+    for name in ("documents", "pages", "conversations", "events", "embeddings"):
+        assert "Exchange" not in _plan(fixtures.table(spark, SF001, name))
+    # a narrow aggregate combines before its only exchange
+    assert _plan(E.queries()["rating_counts"](spark, SF001)).count("Exchange") == 1
+
+
+def test_model_agreement_compares_in_place(spark):
+    plan = _plan(E.queries()["model_agreement"](spark, SF001))
+    assert plan.count("Exchange") == 1 and "Generate" not in plan  # the last sum only
+
+
+def test_statistics_do_not_depend_on_a_switch(spark):
+    import pathlib
+    code = "".join(p.read_text() for p in pathlib.Path(E.__file__).parent.glob("tomewise/operators/*.py"))
+    for name in ("percentile", "EXACT_DISTINCT_LIMIT", "driver_pick_limit", "MAX_RANK_WINDOW", "localCheckpoint"):
+        assert name not in code
 
 
 def test_evaluation_reads_the_scored_table_once(spark):

@@ -109,29 +109,71 @@ def _deviation(rows, n_folds):
     return sum(devs) / len(devs)
 
 
-def test_batched_greedy_folds_contract(spark):
-    df = _groups_df(spark, 1200, 150, 15)
-    folds = S.stratified_group_folds(df, 5, rounds=6, min_batch=10)
-    assert folds.count() == df.select("book_id").distinct().count()
+def _check_folds(df, folds, k, n_rows):
+    assert folds.count() == df.where("book_id is not null").select("book_id").distinct().count()
     assert folds.groupBy("book_id").count().where("count > 1").count() == 0
     j = df.join(folds, "book_id")
-    shares = [r["count"] / 1200 for r in j.groupBy("fold").count().collect()]
-    assert max(shares) - min(shares) < 0.08
+    assert j.count() == n_rows
+    shares = [r["count"] / n_rows for r in j.groupBy("fold").count().collect()]
+    assert len(shares) == k
+    return j, shares
+
+
+def test_greedy_folds_contract(spark):
+    df = _groups_df(spark, 1200, 150, 15)
+    folds = S.stratified_group_folds(df, 5)
+    j, shares = _check_folds(df, folds, 5, 1200)
+    assert all(abs(s - 0.2) <= 0.02 for s in shares)
     dev = _deviation([(r.user_id, r.fold) for r in j.select("user_id", "fold").collect()], 5)
-    # random assignment of the same groups, same seed family
+    # random assignment of the same groups
     rnd = random.Random(0)
-    groups = [r.book_id for r in folds.select("book_id").collect()]
-    rf = {g: rnd.randrange(5) for g in groups}
+    rf = {r.book_id: rnd.randrange(5) for r in folds.select("book_id").collect()}
     rdev = _deviation([(r.user_id, rf[r.book_id]) for r in df.select("user_id", "book_id").collect()], 5)
     assert dev < rdev
-    # the Spark-only pick gives a valid assignment too
-    folds2 = S.stratified_group_folds(df, 5, rounds=6, min_batch=10, driver_pick_limit=0)
-    assert folds2.count() == folds.count()
-    assert folds2.groupBy("book_id").count().where("count > 1").count() == 0
+
+
+def test_greedy_folds_dealt_groups_keep_the_balance(spark):
+    # only groups of at least 1/60 of the rows are placed one by one, the rest are dealt
+    df = _groups_df(spark, 6000, 1500, 8, seed=5)
+    _, shares = _check_folds(df, S.stratified_group_folds(df, 5, head_share=60), 5, 6000)
+    assert all(abs(s - 0.2) <= 0.02 for s in shares)
+    # no large group at all
+    even = spark.range(4000).selectExpr("id as review_id", "id div 2 as book_id", "concat('u', id % 7) as user_id")
+    _, shares = _check_folds(even, S.stratified_group_folds(even, 4, head_share=100), 4, 4000)
+    assert all(abs(s - 0.25) <= 0.02 for s in shares)
+
+
+def test_folds_with_null_groups_and_strata(spark):
+    rows = [(i, i % 30, None if i % 30 < 6 else f"u{i % 4}") for i in range(300)] + [(900 + i, None, "u1") for i in range(20)]
+    df = spark.createDataFrame(rows, "review_id long, book_id long, user_id string")
+    for head in (2000, 20):
+        folds = S.stratified_group_folds(df, 5, head_share=head)
+        _check_folds(df, folds, 5, 300)
+    for split in (S.group_split_exact(df), S.group_split_hash(df), S.stratified_deal_split(df), S.stratified_greedy_split(df)):
+        assert {r.split for r in split.where("book_id is null").select("split").distinct().collect()} == {"train"}
+        assert split.count() == 320 and split.where("split is null").count() == 0
+    deal = S.deal_groups(df, 5)
+    assert deal.where("fold is null").count() == 0 and deal.where("book_id is null").count() == 0
+    assert S.stratified_group_folds(df.limit(0), 5).count() == 0
+
+
+def test_casual_users_drop_rows_without_a_user(spark):
+    rows = [(i, "a") for i in range(6)] + [(10, "b"), (11, None), (12, None)]
+    df = spark.createDataFrame(rows, "review_id long, user_id string")
+    assert [r.review_id for r in S.restrict_to_casual(df).collect()] == [10]
+    assert S.restrict_to_active(df).count() == 6
+
+
+def test_undersample_of_many_classes_keeps_the_same_rows(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(i, rnd.randrange(12)) for i in range(600)], "review_id long, rating int")
+    a = sorted(r.review_id for r in SA.undersample(df).collect())
+    b = sorted(r.review_id for r in SA.undersample(df, max_cut_classes=3).collect())
+    assert a == b and a
 
 
 def test_greedy_split_no_leakage(spark):
-    s = S.stratified_greedy_split(_groups_df(spark), rounds=3)
+    s = S.stratified_greedy_split(_groups_df(spark))
     assert _leak_free(s)
 
 
@@ -143,28 +185,46 @@ def test_active_restriction(spark):
     assert act.groupBy("user_id").count().where("count < 60").count() == 0
 
 
-def test_positions_within_hot_key_matches_window(spark):
+def test_positions_within_a_hot_key(spark):
     from tomewise.operators.ranking import positions_within
     rnd = random.Random(7)
-    rows = [(i, "hot" if i % 3 else f"k{rnd.randrange(20)}", rnd.randrange(50)) for i in range(900)]
+    rows = [(i, "hot" if i % 3 else (f"k{rnd.randrange(20)}" if i % 2 else None), rnd.randrange(50)) for i in range(900)]
     df = spark.createDataFrame(rows, "id long, k string, v int")
-    order = [F.col("v").desc(), F.col("id")]
-    a = {r.id: r._pos for r in positions_within(df, "k", order).collect()}
-    b = {r.id: r._pos for r in positions_within(df, "k", order, max_window=10).collect()}
-    assert a == b and len(a) == 900
+    got = {r.id: r._pos for r in positions_within(df, "k", [F.col("v").desc(), F.col("id")]).collect()}
+    for key in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == key), key=lambda r: (-r[2], r[0]))
+        assert [got[r[0]] for r in own] == list(range(len(own)))
 
 
-def test_dealt_folds_hot_stratum_path(spark):
-    from tomewise.operators import ranking
-    df = _groups_df(spark, 400, 60, 3)
-    a = sorted(tuple(r) for r in S.deal_groups(df, 5).collect())
-    old = ranking.MAX_WINDOW_ROWS
-    try:
-        ranking.MAX_WINDOW_ROWS = 2
-        b = sorted(tuple(r) for r in S.deal_groups(df, 5).collect())
-    finally:
-        ranking.MAX_WINDOW_ROWS = old
-    assert a == b
+def test_order_statistics_are_exact(spark):
+    import numpy as np
+    from tomewise.operators import eda
+    rng = np.random.default_rng(2)
+    rows = [(g, float(x)) for g, n in (("a", 1), ("b", 2), ("c", 500), (None, 7)) for x in rng.integers(0, 90, n)]
+    rows += [("c", None), ("c", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r.g: r for r in eda.boxplot_stats(df, "g", "v").collect()}
+    for g in ("a", "b", "c", None):
+        x = np.array([v for k, v in rows if k == g and v is not None and v == v])
+        q1, q2, q3 = np.percentile(x, [25, 50, 75])
+        r = got[g]
+        assert (r.n, r.q1, r.median, r.q3) == (len(x), q1, q2, q3)
+        hi, lo = q3 + 1.5 * (q3 - q1), q1 - 1.5 * (q3 - q1)
+        assert r.whisker_hi == max(x[x <= hi].max(), q3) and r.whisker_lo == min(x[x >= lo].min(), q1)
+        assert r.n_outliers == ((x > hi) | (x < lo)).sum()
+    d = eda.describe(df, "v").head()
+    x = np.array([v for _, v in rows if v is not None and v == v])
+    assert (d["count"], d["q25"], d["q50"], d["q75"]) == (len(x), *np.percentile(x, [25, 50, 75]))
+    empty = eda.describe(df.where("g = 'none'"), "v").head()
+    assert empty["count"] == 0 and empty["q50"] is None
+    assert eda.boxplot_stats(df.where("g = 'none'"), "g", "v").count() == 0
+
+
+def test_range_histogram_of_nothing(spark):
+    from tomewise.operators import eda
+    df = spark.createDataFrame([], "v double")
+    assert [(r.n, r.lo) for r in eda.histogram_over_range(df, "v", 4).orderBy("bin").collect()] == [
+        (0, 0.0), (0, 0.25), (0, 0.5), (0, 0.75)]
 
 
 def test_global_positions_and_running_sum_match_brute_force(spark):
@@ -184,30 +244,6 @@ def test_global_positions_and_running_sum_match_brute_force(spark):
     assert got == run
 
 
-def test_spearman_distributed_ranks_equal_window_ranks(spark):
-    from tomewise.operators import eda
-    rnd = random.Random(5)
-    rows = [(float(rnd.randrange(30)), float(rnd.randrange(12))) for _ in range(400)]
-    df = spark.createDataFrame(rows, "a double, b double")
-    a = eda.spearman(df, "a", "b")
-    old = eda.MAX_RANK_WINDOW
-    try:
-        eda.MAX_RANK_WINDOW = 3
-        b = eda.spearman(df, "a", "b")
-    finally:
-        eda.MAX_RANK_WINDOW = old
-    assert abs(a - b) < 1e-12
-
-
-def test_batched_greedy_folds_bounded_batches(spark):
-    df = _groups_df(spark, 600, 90, 9)
-    n_groups = df.select("book_id").distinct().count()
-    folds = S.stratified_group_folds(df, 4, rounds=2, min_batch=5, max_batch=25, driver_pick_limit=0)
-    assert folds.count() == n_groups
-    assert folds.groupBy("book_id").count().where("count > 1").count() == 0
-    assert {r.fold for r in folds.select("fold").distinct().collect()} <= set(range(4))
-
-
 def test_bucket_digits_bounds():
     d = [SA.bucket_digits(n) for n in (1, 10**4, 10**6, 10**8, 10**10, 10**14)]
     assert d == sorted(d) and d[0] == 1 and max(d) == 5
