@@ -42,8 +42,10 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 MAX_BUCKET = 4_096
-# Shingles whose bits are counted at once (64 bytes each).
-_SHINGLES = 200_000
+# Characters whose texts are fingerprinted at once, and shingles whose bits are
+# counted at once (64 bytes each).
+_CHARS = 1_000_000
+_SHINGLES = 50_000
 
 
 def _shingles(text: str, n: int) -> list[bytes]:
@@ -76,14 +78,14 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for a, b in slices(texts):
-                each = [_shingles(t, shingle_words) for t in texts[a:b]]
+            for a, b in slices(texts, _CHARS):
+                # the shingles of one text at a time, so that only hashes pile up
+                each = [np.fromiter(map(xxhash.xxh64_intdigest, _shingles(t, shingle_words), repeat(seed)), np.uint64)
+                        for t in texts[a:b]]
                 counts = np.fromiter(map(len, each), np.int64, b - a)
-                hashes = np.fromiter((h for s in each for h in map(xxhash.xxh64_intdigest, s, repeat(seed))),
-                                     np.uint64, int(counts.sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(fingerprint(hashes, counts).view(np.int64))],
-                    names=["id", "fp"])
+                    [batch.column(0).slice(a, b - a),
+                     pa.array(fingerprint(np.concatenate(each), counts).view(np.int64))], names=["id", "fp"])
 
     return df.select(quoted(id_col), quoted(text_col)).mapInArrow(run, schema)
 
