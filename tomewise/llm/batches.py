@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # One Arrow batch is worked on in slices of about this many characters, so
@@ -59,6 +60,12 @@ def schema_of(df: DataFrame, keep: list[str], added: list[T.StructField]) -> T.S
     return T.StructType([df.schema[c] for c in keep] + added)
 
 
+def numbered(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns ``names`` as c0, c1, ...: a function over batches gets its
+    columns by place, whatever characters their names have."""
+    return df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
+
+
 def quoted(name: str) -> str:
     """``name`` as a column reference, also with dots or backticks in it."""
     return "`" + name.replace("`", "``") + "`"

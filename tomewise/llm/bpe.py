@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import clashes, gather, quoted, schema_of, slices, texts_of
+from tomewise.llm.batches import clashes, gather, numbered, quoted, schema_of, slices, texts_of
 
 # The pattern that cuts a text into words before the merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -248,7 +248,7 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text",
                     + _outputs(c, texts[a:b], outputs),
                     names=[*keep, *outputs])
 
-    return df.select(*map(quoted, needed)).mapInArrow(run, schema)
+    return numbered(df, needed).mapInArrow(run, schema)
 
 
 def _outputs(c: Codec, texts: list[str], outputs: tuple[str, ...]) -> list[pa.Array]:
@@ -286,4 +286,4 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", name: str
                 [batch.column(k) for k in kept] + [pa.array(c.decode(flat, ends), pa.string())],
                 names=[*keep, name])
 
-    return df.mapInArrow(run, schema)
+    return numbered(df, df.columns).mapInArrow(run, schema)

@@ -69,14 +69,13 @@ def remove_repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str
               .where(~(F.col("o.id").eqNullSafe(F.col("first.id")) & (F.col("o.t") == F.col("first.t"))
                        & (F.col("o.at") == F.col("first.at"))))
               .select("o.id", "o.t", "o.at"))
-    covered = (later.select(F.col("id").alias("_id"), F.col("t").alias("_t"),
+    lines, mark, gone, of, of_mark = (free_name(df, x) for x in ("_lines", "_mark", "_gone", "_of", "_of_mark"))
+    covered = (later.select(F.col("id").alias(of), F.col("t").alias(of_mark),
                             F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("at"))
-                    .groupBy("_id", "_t").agg(F.collect_set("at").alias("_gone")))
-    lines, mark, gone = (free_name(df, x) for x in ("_lines", "_mark", "_gone_of"))
+                    .groupBy(of, of_mark).agg(F.collect_set("at").alias(gone)))
     lined = df.select(*[F.col(quoted(c)) for c in keep if c != text_col], _lines(body).alias(lines),
                       F.xxhash64(body).alias(mark))
-    joined = lined.join(covered.withColumnRenamed("_gone", gone),
-                        own.eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_t")), "left")
+    joined = lined.join(covered, own.eqNullSafe(F.col(of)) & (F.col(mark) == F.col(of_mark)), "left")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.array_join(lines, "\n")).otherwise(
         F.array_join(F.transform(left, lambda i: F.col(lines)[i]), "\n"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import clashes, quoted, schema_of
+from tomewise.llm.batches import clashes, numbered, quoted, schema_of
 
 WINDOW_LINES = 3
 RISE_CHARS = 80
@@ -321,4 +321,4 @@ def extract(df: DataFrame, html_col: str = "html", text_col: str = "text", windo
                 + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=[*keep, *added])
 
-    return df.select(*map(quoted, needed)).mapInArrow(run, schema)
+    return numbered(df, needed).mapInArrow(run, schema)

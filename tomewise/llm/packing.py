@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import quoted
+from tomewise.llm.batches import numbered, quoted
 from tomewise.llm.ids import id_encoder
 from tomewise.session import reliable
 
@@ -72,7 +72,7 @@ def pieces(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col
                 + ([pa.array(ids, pa.list_(pa.field("element", pa.int64(), False)))] if with_ids else []),
                 names=names)
 
-    return df.select(quoted(id_col), quoted(text_col)).mapInArrow(run, T.StructType(fields))
+    return numbered(df, [id_col, text_col]).mapInArrow(run, T.StructType(fields))
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import clashes, quoted, schema_of, slices, texts_of
+from tomewise.llm.batches import clashes, numbered, quoted, schema_of, slices, texts_of
 
 # A text is rejected by the base rules below MIN_WORDS words or with more than
 # MAX_WINDOW_PERCENT percent of its words in repeated three-word windows.
@@ -187,4 +187,4 @@ def repetition_rules(df: DataFrame, text_col: str = "text", min_words: int = MIN
                     + [pa.array(m[c]) for c in _LONGS] + [pa.array(failed), pa.array(good)],
                     names=[*keep, *added])
 
-    return df.select(*map(quoted, needed)).mapInArrow(run, schema)
+    return numbered(df, needed).mapInArrow(run, schema)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import quoted, slices, texts_of
+from tomewise.llm.batches import numbered, slices, texts_of
 from tomewise.llm.graphs import Forest, components, join_hot
 from tomewise.session import reliable
 
@@ -87,7 +87,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [batch.column(0).slice(a, b - a),
                      pa.array(fingerprint(np.concatenate(each), counts).view(np.int64))], names=["id", "fp"])
 
-    return df.select(quoted(id_col), quoted(text_col)).mapInArrow(run, schema)
+    return numbered(df, [id_col, text_col]).mapInArrow(run, schema)
 
 
 def _byte(position: int):

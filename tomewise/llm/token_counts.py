@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import clashes, quoted, schema_of, slices, texts_of
+from tomewise.llm.batches import clashes, numbered, quoted, schema_of, slices, texts_of
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 1_024
@@ -121,4 +121,4 @@ def token_counts(df: DataFrame, vocabulary_path: str, text_col: str = "text", ma
                    pa.array([x > max_tokens for x in n], pa.bool_())],
                 names=[*keep, *added])
 
-    return df.select(*map(quoted, needed)).mapInArrow(run, schema)
+    return numbered(df, needed).mapInArrow(run, schema)
