@@ -11,7 +11,7 @@ results are merged per query.  Blocks hold a bounded number of rows, so memory
 is bounded; small tables get smaller blocks, so that all cores work.
 
 Sums are kept in doubles while they are exact, else in Python integers, and a
-score beyond a long is set to the nearest long.  Defined results: rows with a
+score beyond a long counts as the nearest long.  Defined results: rows with a
 null id, a null vector or a null weight take no part; an empty vector scores
 0; a candidate with the query's id is its own row and left out; repeated
 candidate rows are each listed; repeated rows of a query count as one query,
@@ -130,6 +130,8 @@ def _search(group: pa.Table, k: int) -> pa.Table:
             scores = postings.scores(q_row[lo:hi] - first[a], q_term[lo:hi], q_weight[lo:hi].astype(kind),
                                      int(last[b - 1] - first[a]))
             scores = np.maximum.reduceat(scores, first[a:b] - first[a], axis=0)
+            if kind is object:
+                scores = np.minimum(np.maximum(scores, int(_LONG.min)), int(_LONG.max))
             for query, line in zip(own[a:b].tolist(), scores):
                 same = slice(*np.searchsorted(ids, [query, query + 1]))
                 line = np.delete(line, same) if same.stop > same.start else line
@@ -137,7 +139,7 @@ def _search(group: pa.Table, k: int) -> pa.Table:
                 best = select(line[None, :], k)[0]
                 out[0].extend([query] * len(best))
                 out[1].extend(left[best].tolist())
-                out[2].extend(min(max(int(s), _LONG.min), _LONG.max) for s in line[best])
+                out[2].extend(int(s) for s in line[best])
             a = b
     return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "id", "score"])
 
