@@ -32,6 +32,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import math
 import re
 import uuid
 from bisect import bisect_left, bisect_right
@@ -51,6 +52,7 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1_000
 GZIP_LEVEL = 4
+REQUESTS_PER_TASK = 10_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _END = b"\r\n\r\n"
@@ -255,7 +257,8 @@ class _Reader:
                     yield tuple(x[1:])
 
 
-def look_up(requests: DataFrame, ranges: DataFrame, root: str, payloads: bool = True) -> DataFrame:
+def look_up(requests: DataFrame, ranges: DataFrame, root: str, payloads: bool = True,
+            requests_per_task: int = REQUESTS_PER_TASK) -> DataFrame:
     """The captures of each different request ``url[, page]``: ``key, page,
     record_type, refers_to, payload_bytes, payload_digest, payload`` as read
     from the archives.  Payloads are checked against their digests; that of a
@@ -290,6 +293,8 @@ def look_up(requests: DataFrame, ranges: DataFrame, root: str, payloads: bool =
                                              schema=pa.schema(_FOUND))
 
     asked = requests.select("url", *["page"] * one).mapInArrow(keyed, "key string, page long").distinct()
-    return (asked.repartitionByRange("key", "page").sortWithinPartitions("key", "page")
+    # a request is a few bytes, but costs a read: tasks are sized by requests
+    tasks = max(1, math.ceil(requests.count() / requests_per_task))
+    return (asked.repartitionByRange(tasks, "key", "page").sortWithinPartitions("key", "page")
                  .mapInArrow(run, "key string, page long, record_type string, refers_to long, payload_bytes long, "
                                   "payload_digest string, payload binary"))
