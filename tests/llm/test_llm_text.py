@@ -125,7 +125,7 @@ PARAGRAPH = "Some long article paragraph text with many words in it. " * 4
     (None, ""), ("", ""), ("Just text &amp; more", "Just text & more"),
     ("<article><h1>T&eacute;</h1><p>a  b\n c<br>d<p>e &lt;p&gt;&nbsp;f</article>", "Té\na b c d\ne <p> f"),
     ("<article><p>x<script>if(a<b){'</p>'}</script>y</p><style>p{}</style><!-- <p>no</p> --></article>", "xy"),
-    ("<article><ul><li>x<li>y</ul><table><tr><td>1<td>2<tr><td>3</table>end", "x\ny\n1 2\n3\nend"),
+    ("<article><ul><li>x<li>y</ul><table><tr><td>1<td>2<tr><td>3</table>end", "x\ny\n1\n2\n3\nend"),
     ("<nav><a href=x>Home</a></nav><article><p>Body.</p><aside>side</aside></article><footer>f</footer>", "Body."),
     ("<main><h1>Head</h1><article><p>Body.</p></article><div class=comments><p>Hi</p></div></main>", "Head\nBody."),
     ("<article><header><h1>T</h1></header><p>P.</p><form><input><button>Go</button></form>"
@@ -135,6 +135,11 @@ PARAGRAPH = "Some long article paragraph text with many words in it. " * 4
      f"<p>Short end.</p></div><div class=footer>(c) 2024</div>",
      f"Title\n{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}\nShort end."),
     (f"<div>Home | About</div><div><p>{PARAGRAPH}</p></div><div>2020 Foo Inc</div>", PARAGRAPH.strip()),
+    (f"<div id=header>Site</div><div class=wrap><div class=menu>Home</div><div class=story><div class=article-header>"
+     f"<div>The headline</div></div><p>{PARAGRAPH}</p><ul><li>one</li><li>two</li></ul></div><div>Related links here</div>"
+     f"</div>", f"The headline\n{PARAGRAPH.strip()}\none\ntwo"),
+    (f"<table><tr><td><a href=a>Menu</a><td><p>{PARAGRAPH}<p>{PARAGRAPH}<p>End</table>",
+     f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}\nEnd"),
     ("<div class=ad><p>All is an advert, by name.</p></div>", "All is an advert, by name."),
     ("<p style='display: none'>hidden</p><p hidden>gone</p><p>shown</p>", "shown"),
     ("<article><b>bold<p>one</b> two</p><p>three", "bold\none two\nthree"),
@@ -151,7 +156,7 @@ def test_surge_and_dive_points():
 
 def test_main_text_takes_hostile_markup():
     for page in ["<a " * 30_000, '<a "' * 30_000, "<div>" * 50_000, "<!--" * 9_000, "a<" * 50_000, "<p x='" * 20_000,
-                 "<b>" * 9_000 + "</b>" * 9_000, "<p>word word</p>" * 60_000]:
+                 "<b>" * 9_000 + "</b>" * 9_000, "<div>" * 3_000 + f"<p>{PARAGRAPH}</p>" * 300, "<p>word word</p>" * 60_000]:
         assert isinstance(main_text.main_text(page), str)
 
 

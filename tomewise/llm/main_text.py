@@ -6,10 +6,12 @@ role, class or id names as menu, header, footer, sidebar, notice, advert or
 comments.  What is left is laid out as lines, one per block element, and a
 dropped element leaves a blank line.  Text lengths (link text does not count)
 are summed over a sliding window of lines; a surge point is where the sum
-first reaches ``rise``, a dive point where it falls to nothing, and the lines
-between a surge and its dive are kept.  In a page that marks its article the
-lines of the article alone are looked at, and the first and the last of them
-are surge and dive, as short headings and paragraphs belong to it, too.
+first reaches ``rise``, a dive point where it falls to nothing.  The lines
+between a surge and its dive show where the article is: if one container holds
+nearly all of their text, it is kept whole, with its short lines, else the
+lines themselves without the rests of menus at their ends.  In a page that marks
+its article the lines of the article alone are looked at, and the first and the
+last of them are surge and dive.
 
 Blocks are joined by one newline in page order; white space in a block becomes
 one space; character references are decoded.  Defined results: a null page is
@@ -39,6 +41,7 @@ LINK_SHARE = 0.5
 # In a page without an article mark, shorter lines that do not end like a
 # sentence are cut off a kept range's ends.
 EDGE_CHARS = 40
+CONTAINER_SHARE = 0.9  # of the kept ranges' text, for a container to be the article
 SENTENCE_ENDS = tuple(".!?…:;\"'”’»)。！？")
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>?""", re.S)
@@ -50,7 +53,7 @@ DROPPED = frozenset("script style noscript template svg math iframe object embed
                     "select textarea input head title nav footer aside dialog menu noembed noframes xmp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search "
-                  "section summary table caption tbody tfoot thead tr ul".split())
+                  "section summary table caption tbody td tfoot th thead tr ul".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 SECTION = frozenset("article aside body div footer header html main nav section table td th tr ul ol dl blockquote "
                     "form figure".split())
@@ -67,8 +70,10 @@ NAMED = frozenset("""ad ads adv advert adverts advertisement advertisements adve
     footnav colophon copyright legal masthead comment comments commentlist commentary disqus replies reply responses
     respond feedback discussion share sharing shares social follow related recommended recommendations
     popular trending more-stories popup modal overlay lightbox pagination pager widget widgets search searchbar
-    skip skiplink""".split())
-HEADERS = frozenset(("header", "masthead", "topbar", "hero-nav"))
+    promoted outbrain taboola adsbygoogle adbox adslot adunit adbanner skip skiplink""".split())
+HEADERS = frozenset(("header", "masthead"))
+OF_ARTICLE = frozenset(("article", "post", "entry", "content", "story", "title"))
+CONTAINERS = frozenset(("div", "section", "td", "center"))
 ARTICLES = frozenset(("article", "articlebody", "maincontent", "postcontent", "entrycontent", "storybody"))
 
 
@@ -111,7 +116,7 @@ def _beside(tag: str, attributes: dict[str, str], in_article: bool, by_name: boo
         words = _words(names)
         if words & NAMED and not (tag == "article" and not words & {"comment", "comments", "related", "ad", "promo"}):
             return True
-        return not in_article and bool(words & HEADERS) and tag not in HEADING
+        return not in_article and bool(words & HEADERS) and not words & OF_ARTICLE and tag not in HEADING
     return False
 
 
@@ -125,26 +130,29 @@ def _marks_article(tag: str, attributes: dict[str, str]) -> bool:
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "depth", "link")
+    __slots__ = ("tag", "dropped", "depth", "link", "path")
 
-    def __init__(self, tag: str, dropped: bool, depth: int, link: bool):
-        self.tag, self.dropped, self.depth, self.link = tag, dropped, depth, link
+    def __init__(self, tag: str, dropped: bool, depth: int, link: bool, path: tuple):
+        self.tag, self.dropped, self.depth, self.link, self.path = tag, dropped, depth, link, path
 
 
 class Lines:
     """The lines of a page: text, characters outside links, the rank of the
-    article mark they stand under (0: none, 1: main, 2: article) and the level
-    of a heading (0: none).  Classes and ids count only ``by_name``."""
+    article mark they stand under (0: none, 1: main, 2: article), the level of
+    a heading (0: none) and the innermost container, as a chain (number,
+    chain of the outer ones).  Classes and ids count only ``by_name``."""
 
     def __init__(self, page: str, by_name: bool = True):
         self.text: list[str] = []
         self.plain: list[int] = []
         self.rank: list[int] = []
         self.heading: list[int] = []
+        self.path: list[tuple] = []
+        self._containers = 0
         self._by_name = by_name
         self._buffer: list[str] = []
         self._linked = 0
-        self._stack: list[_Element] = [_Element("", False, 0, False)]
+        self._stack: list[_Element] = [_Element("", False, 0, False, ())]
         self._scan(page)
         self._flush()
 
@@ -156,6 +164,7 @@ class Lines:
             linked = min(self._linked, len(text))
             self.plain.append(len(text) - linked if linked < LINK_SHARE * len(text) else 0)
             self.rank.append(self._stack[-1].depth)
+            self.path.append(self._stack[-1].path)
             self.heading.append(next((int(e.tag[1]) for e in self._stack[-3:] if e.tag in HEADING), 0))
         self._linked = 0
 
@@ -180,7 +189,7 @@ class Lines:
         for index in range(len(self._stack) - 1, 0, -1):
             own = self._stack[index].tag
             if own == tag:
-                if tag in BLOCK or tag in ("td", "th"):
+                if tag in BLOCK:
                     self._close(index)
                 elif self._stack[index].dropped or not any(e.tag in BLOCK for e in self._stack[index:]):
                     self._close(index)
@@ -207,7 +216,7 @@ class Lines:
                         break
                 elif own in SECTION:
                     break
-        if tag == "br" or tag in ("td", "th"):
+        if tag == "br":
             self._text(" ")
         if tag in BLOCK:
             self._flush()
@@ -219,7 +228,11 @@ class Lines:
         depth = top.depth
         if not dropped and _marks_article(tag, attributes):
             depth = max(depth, 1 if tag == "main" or attributes.get("role") == "main" else 2)
-        self._stack.append(_Element(tag, dropped, depth, top.link or tag == "a"))
+        path = top.path
+        if tag in CONTAINERS:
+            self._containers += 1
+            path = (self._containers, path)
+        self._stack.append(_Element(tag, dropped, depth, top.link or tag == "a", path))
 
     def _scan(self, page: str) -> None:
         at = 0
@@ -282,8 +295,12 @@ def _kept(lines: Lines, window: int, rise: int) -> list[int]:
         if inside and sum(lines.plain[i] for i in inside):
             # the title may stand before the mark
             return [i for i in range(inside[0]) if lines.heading[i] == 1 and lines.plain[i]] + inside
+    ranges = spans(lines.plain, window, rise)
+    container = _container(lines, [i for a, b in ranges for i in range(a, b)])
+    if container is not None:
+        return [i for i, path in enumerate(lines.path) if container in _chain(path)]
     keep: list[int] = []
-    for a, b in spans(lines.plain, window, rise):
+    for a, b in ranges:
         while a < b - 1 and _edge(lines, a):
             a += 1
         while a < b - 1 and _edge(lines, b - 1):
@@ -292,6 +309,31 @@ def _kept(lines: Lines, window: int, rise: int) -> list[int]:
     return keep or [i for i, n in enumerate(lines.plain) if n]
 
 
+def _chain(path: tuple) -> list[int]:
+    out = []
+    while path:
+        out.append(path[0])
+        path = path[1]
+    return out
+
+
+def _container(lines: Lines, kept: list[int]) -> int | None:
+    """The innermost container of several lines that holds nearly all the text
+    of the kept lines, if there is one."""
+    size: dict[int, int] = {}
+    count: dict[int, int] = {}
+    depth: dict[int, int] = {}
+    for i in kept:
+        chain = _chain(lines.path[i])
+        for k, c in enumerate(reversed(chain)):
+            size[c] = size.get(c, 0) + lines.plain[i]
+            count[c] = count.get(c, 0) + bool(lines.text[i])
+            depth[c] = k
+    total = sum(lines.plain[i] for i in kept)
+    fit = [c for c, n in size.items() if n >= CONTAINER_SHARE * total and count[c] > 1]
+    return max(fit, key=depth.__getitem__, default=None)
+
+
 def main_text(page: str | None, window: int = WINDOW_LINES, rise: int = RISE_CHARS) -> str:
     """The article of a page, a line per block."""
     for by_name in (True, False) if page else ():
