@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tomewise.llm import line_windows, packing, repetition, simhash
 from tomewise.llm.batches import quoted
-from tomewise.llm.folders import discard, scratch
 from tomewise.llm.queries import vocabulary_path
+from tomewise.session import remove_dir, scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +52,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared folder, read again by the next, and dropped when that is written."""
     docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
-        path = scratch(spark, f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         if before:
-            discard(spark, before)
+            remove_dir(spark, before)
         docs, before = spark.read.parquet(path), path
     return docs

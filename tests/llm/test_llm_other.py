@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from scripts.check_oracle import compare, duck_con
-from tomewise.llm import chat, folders, queries, topk, warc
+from tomewise.llm import chat, queries, topk, warc
+from tomewise.session import scratch_dir
 
 SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -88,7 +89,7 @@ PAGES = ([(i, f"http://www.h{i % 7}.example.com:80/p/{i}?q=A b#f", f"<p>page {i}
 
 @pytest.fixture(scope="module")
 def archives(spark):
-    root = folders.scratch(spark, "warc-test")
+    root = scratch_dir(spark, "warc-test")
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(4).selectExpr(
         "*", "1 as page", "2 as digest", "3 as `k.k`")
     captures = warc.write_archives(df, root, archive_bytes=5_000)
@@ -145,7 +146,7 @@ def test_url_keys():
 
 
 def test_warc_empty_table(spark):
-    root = folders.scratch(spark, "warc-empty")
+    root = scratch_dir(spark, "warc-empty")
     df = spark.createDataFrame([], "page_id long, url string, html string")
     ranges = warc.write_index(warc.write_archives(df, root), root)
     assert warc.look_up(df.select("url"), ranges, root).count() == 0

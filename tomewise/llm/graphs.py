@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tomewise.operators.joins import join_once
 from tomewise.session import reliable
 
 
@@ -33,18 +34,6 @@ class Forest:
             np.minimum.at(self.parent, high[apart], low[apart])
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join on a long ``key`` that ``right`` holds once, for a ``left``
-    in which one key may be in a large share of the rows.
-
-    The condition compares an expression of the key, so Spark deals out both
-    sides for this join alone, however they are dealt already, and adaptive
-    execution may split a hot key's partition."""
-    mixed = F.col(key).bitwiseXOR(F.lit(0x5DEECE66D))
-    return (left.withColumn("_mixed", mixed)
-                .join(right.withColumn("_mixed", mixed).drop(key), "_mixed").drop("_mixed"))
-
-
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, root`` of every node but the roots of a table of links between
     longs ``a, b``; the root is the component's smallest node.
@@ -65,10 +54,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         before = mark
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("n")).select("a", F.least("a", "n").alias("least"))
-        large = (join_hot(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        large = (join_once(both, least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
                  .distinct())
         least = large.groupBy("a").agg(F.min("b").alias("least"))
-        tied = join_hot(large, least, "a")
+        tied = join_once(large, least, "a")
         small = (tied.select(F.explode(F.array(
                     F.struct(F.greatest("b", "least").alias("a"), F.least("b", "least").alias("b")),
                     F.struct(F.col("a"), F.col("least").alias("b")))).alias("x"))

@@ -62,7 +62,7 @@ def remove_repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("t"), F.col("at"))
     first = (found.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                   .where("n > 1").select("h", "g", "first"))
-    # a comparison of expressions deals out both sides for this join alone (see graphs.join_hot)
+    # a comparison of expressions deals out both sides for this join alone (see joins.join_once)
     f, o = first.alias("f"), found.alias("o")
     later = (o.join(f, (F.col("o.h").bitwiseXOR(F.lit(1)) == F.col("f.h").bitwiseXOR(F.lit(1)))
                     & (F.col("o.g") == F.col("f.g")))

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomewise.llm import bpe, chat, line_windows, main_text, packing, repetition, simhash, token_counts, topk, warc
-from tomewise.llm.folders import discard, scratch
-from tomewise.session import reliable
+from tomewise.session import reliable, remove_dir, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -64,13 +63,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives and index are written, every page is looked up in them and read
     back, and then they go; the rows read are kept by a checkpoint."""
-    pages, root = _table(spark, sf_dir, "pages"), scratch(spark, "warc")
+    pages, root = _table(spark, sf_dir, "pages"), scratch_dir(spark, "warc")
     captures = warc.write_archives(pages, root)
     ranges = warc.write_index(captures, root)
     asked = pages.select(F.col("url").cast("string").alias("url"), F.col("page_id").cast("long").alias("page"))
     read = reliable(warc.look_up(asked, ranges, root, payloads=False).select(
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"))
-    discard(spark, root)
+    remove_dir(spark, root)
     return read
 
 

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomewise.llm.batches import numbered, slices, texts_of
-from tomewise.llm.graphs import Forest, components, join_hot
+from tomewise.llm.graphs import Forest, components
+from tomewise.operators.joins import join_once
 from tomewise.session import reliable
 
 SHINGLE_WORDS = 3
@@ -206,11 +207,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = least.join(tied, least["fp"] == tied["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = reliable(join_hot(rooted, named, "root").select(_hex("fp").alias("fingerprint"), "component_id"))
-    # the fingerprint as text is a key of its own, so both sides are dealt out for
-    # this join alone and adaptive execution can split a fingerprint with many rows
-    return (prints.select(F.col("id").alias("_id"), _hex("fp").alias("fingerprint")).join(named, "fingerprint")
-                  .select(F.col("_id").alias(id_col), "fingerprint", "component_id"))
+    named = reliable(join_once(rooted, named, "root").select(_hex("fp").alias("fingerprint"), "component_id"))
+    # a fingerprint may be that of a large share of the rows
+    return (join_once(prints.select(F.col("id").alias("_id"), _hex("fp").alias("fingerprint")), named, "fingerprint")
+            .select(F.col("_id").alias(id_col), "fingerprint", "component_id"))
 
 
 def _hex(name: str):

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tomewise.llm.batches import quoted
-from tomewise.llm.graphs import join_hot
+from tomewise.operators.joins import join_once
 from tomewise.session import reliable
 
 REVISIT_BYTES = 100
@@ -147,7 +147,7 @@ def write_archives(df: DataFrame, root: str, id_col: str = "page_id", url_col: s
     first = (large.groupBy("d", "digest").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))
                   .where("n > 1").select("d", F.struct("digest", "first").alias("x"))
                   .groupBy("d").agg(F.collect_list("x").alias("xs")))  # more than one only if 60 bits clash
-    revisits = (join_hot(large, first, "d").select("page", "digest", F.explode("xs").alias("x"))
+    revisits = (join_once(large, first, "d").select("page", "digest", F.explode("xs").alias("x"))
                 .where("digest = x.digest and page > x.first")
                 .select(F.col("page").alias("of"), F.col("digest").alias("of_digest"), F.col("x.first").alias("refers_to"))
                 .distinct())
