@@ -86,11 +86,13 @@ def test_vocab_encode_decode(spark):
     assert dec[0] == "the cat the" and dec[2] == "" and dec[3] == " ".join(["zebra"] * 14)
 
 
-def test_metric_registry_and_log(spark):
+def test_metric_registry_and_log(spark, scratch):
+    from tomewise.sources import datasets as IO
     scored, _ = _scored(spark)
     M.register_metric("n_rows", lambda d: d.groupBy("split").count())
     res = M.compute_metrics(scored, ["accuracy", "n_rows"])
-    flat = M.metrics_to_log(res["accuracy"])
+    IO.log_metric_table(res["accuracy"], "r1", ["split"], scratch)
+    flat = {r.key: r.value for r in IO.read_metrics(spark, scratch).where("run_id = 'r1'").collect()}
     assert set(flat) == {f"{s}_{c}" for s in ("train", "valid", "test") for c in ("n", "accuracy")}
     assert sum(r["count"] for r in res["n_rows"].collect()) == 300
 

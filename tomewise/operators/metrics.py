@@ -118,19 +118,3 @@ def register_metric(name: str, fn) -> None:
 def compute_metrics(scored: DataFrame, names: list[str] | None = None) -> dict:
     """Run the named metrics; each returns a DataFrame keyed like its input."""
     return {n: METRICS[n](scored) for n in (names or list(METRICS))}
-
-
-def metrics_to_log(df: DataFrame, prefix: str = "", max_rows: int = 1000) -> dict:
-    """Flatten a small per-split metric table to ``{'<split>_<col>': value}``
-    for the metric log (bounded: at most ``max_rows`` rows)."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError("metric table too large to log")
-    out = {}
-    for r in rows:
-        d = r.asDict()
-        key = "_".join(str(d.pop(k)) for k in [c for c in ("split", "label") if c in d])
-        for c, v in d.items():
-            if isinstance(v, (int, float)):
-                out[f"{prefix}{key + '_' if key else ''}{c}"] = float(v)
-    return out

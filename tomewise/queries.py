@@ -1137,8 +1137,8 @@ def q_metric_log(spark, sf):
     M.register_metric("wide_misses", lambda d: d.groupBy("split").agg(
         F.count_if(F.abs(F.col("prediction") - F.col("label")) > 2).alias("wide_misses")))
     made = M.compute_metrics(scored, ["accuracy", "wide_misses"])
-    IO.log_metrics(spark, "run-a", M.metrics_to_log(made["accuracy"]), root)
-    IO.log_metrics(spark, "run-b", M.metrics_to_log(made["wide_misses"]), root)
+    IO.log_metric_table(made["accuracy"], "run-a", ["split"], root)
+    IO.log_metric_table(made["wide_misses"], "run-b", ["split"], root)
     return _drained(spark, root, IO.read_metrics(spark, root).select("run_id", "key", "value"))
 
 

@@ -255,6 +255,18 @@ def log_metrics(spark: SparkSession, run_id: str, metrics: dict, root: str | Non
     spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.parquet(f"{root}/_metrics/{uuid.uuid4().hex}")
 
 
+def log_metric_table(df: DataFrame, run_id: str, keys: list[str], root: str | None = None) -> None:
+    """IO8 for a metric table of any size, in Spark: every number outside the
+    ``keys`` columns becomes a row whose key is the keys' values and the
+    column's name, joined by ``_``."""
+    numbers = [f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, T.NumericType)]
+    entries = F.array(*[F.struct(F.concat_ws("_", *[F.col(k).cast("string") for k in keys], F.lit(c)).alias("key"),
+                                 F.col(c).cast("double").alias("value")) for c in numbers])
+    rows = df.select(F.explode(entries).alias("e")).select(
+        F.lit(run_id).alias("run_id"), "e.key", "e.value", F.current_timestamp().alias("logged"))
+    rows.write.parquet(f"{root or default_root(df.sparkSession)}/_metrics/{uuid.uuid4().hex}")
+
+
 def read_metrics(spark: SparkSession, root: str | None = None) -> DataFrame:
     root = root or default_root(spark)
     return spark.read.schema(METRIC_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/_metrics")
