@@ -14,23 +14,41 @@ from tomewise.llm.queries import vocabulary_path
 from tomewise.session import remove_dir, scratch_dir
 
 
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with further columns under names that no operator uses."""
+    return docs.select(*[F.col(quoted(c)).alias(c if c in OWN else f"_further{i}") for i, c in enumerate(docs.columns)])
+
+
+def _named(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with their names."""
+    return out.select(*[F.col(c if c in OWN else f"_further{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the repetition limits."""
-    return repetition.repetition_rules(docs).where("kept").select(*map(quoted, docs.columns))
+    """Documents that pass the base rules and the repetition limits; a null
+    text has no words and goes."""
+    return _named(repetition.repetition_rules(_apart(docs)).where("kept"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of passages that came earlier; ``n_chars``
-    follows the text."""
-    left = line_windows.remove_repeated_windows(docs)
-    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*map(quoted, docs.columns))
+    follows the text; no document goes."""
+    left = line_windows.remove_repeated_windows(_apart(docs))
+    return _named(left.withColumn("n_chars", F.char_length("text").cast("long")), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group, once."""
-    groups = simhash.near_duplicates(docs)
+    """The document of the smallest id of each near-duplicate group.  Rows that
+    share an id are one document and leave one row; rows without an id are
+    not compared and stay."""
+    named = docs.where(F.col("doc_id").isNotNull())
+    groups = simhash.near_duplicates(named.select("doc_id", "text"))
     first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first"))
-    return docs.join(first, docs["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id"])
+    kept = named.join(first, named["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -255,3 +255,19 @@ def test_pipeline_stages_keep_the_columns(spark, scratch):
             docs = spark.read.parquet(path)
         rows = []
     assert docs.count() == 0
+
+
+def test_pipeline_stages_with_odd_rows_and_columns(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, words, None, None, None, "x"), (1, words, None, None, None, "x"), (2, words, "en", "s", 9, "y"),
+            (None, words, "en", "s", 9, "z"), (3, None, None, "s", 1, "u"), (4, words + " more and more", "en", None, 2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    docs = docs.selectExpr("*", "kept as n_lines", "kept as `a.b`", "kept as _first", "kept as fingerprint")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs_out = stage(spark, docs, SF001)
+        assert docs_out.columns == docs.columns
+        docs = docs_out
+    got = sorted(((r.doc_id, r.kept, r.n_lines, r["a.b"], r._first, r.fingerprint) for r in docs.collect()), key=str)
+    assert [g[0] for g in got] == [1, 4, None] and all(len(set(g[1:])) == 1 for g in got)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF001).collect()
+    assert sorted((r.doc_id for r in packed), key=str) == [1, 4, None]
