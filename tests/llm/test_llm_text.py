@@ -140,7 +140,8 @@ PARAGRAPH = "Some long article paragraph text with many words in it. " * 4
      f"</div>", f"The headline\n{PARAGRAPH.strip()}\none\ntwo"),
     (f"<table><tr><td><a href=a>Menu</a><td><p>{PARAGRAPH}<p>{PARAGRAPH}<p>End</table>",
      f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}\nEnd"),
-    ("<div class=ad><p>All is an advert, by name.</p></div>", "All is an advert, by name."),
+    ("<nav>x</nav><div class=ad><p>All is an advert, by name.</p></div><footer>f</footer>", ""),
+    (f"<div class=comments><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}"),
     ("<p style='display: none'>hidden</p><p hidden>gone</p><p>shown</p>", "shown"),
     ("<article><b>bold<p>one</b> two</p><p>three", "bold\none two\nthree"),
     ("<script>only()</script>", ""),

@@ -16,8 +16,8 @@ last of them are surge and dive.
 Blocks are joined by one newline in page order; white space in a block becomes
 one space; character references are decoded.  Defined results: a null page is
 empty, a page without a surge gives all lines that are not mere links, a page
-that would lose everything by the names of its elements is cut by tags alone, a
-page without text gives the empty text; an element left open ends with its parent;
+that would lose a whole article's length by the names of its elements is cut by
+tags alone, a page without text gives the empty text; an element left open ends with its parent;
 repeated rows give repeated results; added columns replace columns of the same
 name, all others are kept.
 """
@@ -41,6 +41,7 @@ LINK_SHARE = 0.5
 # In a page without an article mark, shorter lines that do not end like a
 # sentence are cut off a kept range's ends.
 EDGE_CHARS = 40
+MISNAMED_CHARS = 250  # text that all fell to names, from which on the names are not believed
 CONTAINER_SHARE = 0.9  # of the kept ranges' text, for a container to be the article
 SENTENCE_ENDS = tuple(".!?…:;\"'”’»)。！？")
 
@@ -339,7 +340,7 @@ def main_text(page: str | None, window: int = WINDOW_LINES, rise: int = RISE_CHA
     for by_name in (True, False) if page else ():
         lines = Lines(page, by_name)
         text = "\n".join(lines.text[i] for i in _kept(lines, window, rise) if lines.text[i])
-        if text:
+        if text and (by_name or len(text) >= MISNAMED_CHARS):
             return text
     return ""
 
