@@ -96,12 +96,26 @@ def _replacement(found: Column, pairs: list[tuple[str, str]]) -> Column:
 def _expand_substrings(c: Column, pairs: list[tuple[str, str]]) -> Column:
     """Every leftmost match of the keys' alternation, the first key that fits
     at its place, replaced in one pass: the texts between the matches and the
-    matches' replacements are put together in turn."""
-    keys = "|".join(k for k, _ in pairs)  # letters and apostrophes only
-    between = F.split(c, keys, -1)
-    found = F.regexp_extract_all(c, F.lit(keys), 0)
-    put = F.concat(F.transform(found, lambda k: _replacement(k, pairs)), F.array(F.lit("")))
-    return F.when(c.rlike(keys), F.array_join(F.zip_with(between, put, lambda x, y: F.concat(x, y)), "")).otherwise(c)
+    matches' replacements are put together in turn.
+
+    Keys are letters and apostrophes.  A look at the letters up to the next
+    apostrophe spares most places the alternation, and a text without a key's
+    apostrophe or a key that has none is not searched at all."""
+    plain = [k for k, _ in pairs if "'" not in k]
+    reach = max((k.index("'") for k, _ in pairs if "'" in k), default=0)
+    ahead = "|".join([f"[A-Za-z]{{0,{reach}}}'", *plain])
+    keys = f"(?={ahead})(?:{'|'.join(k for k, _ in pairs)})"
+
+    def one(text: Column) -> Column:
+        between = F.split(text, keys, -1)
+        found = F.regexp_extract_all(text, F.lit(keys), 0)
+        put = F.concat(F.transform(found, lambda k: _replacement(k, pairs)), F.array(F.lit("")))
+        some = F.contains(text, F.lit("'"))
+        for k in plain:
+            some = some | F.contains(text, F.lit(k))
+        return F.when(some, F.array_join(F.zip_with(between, put, lambda x, y: F.concat(x, y)), "")).otherwise(text)
+
+    return F.transform(F.array(c), one)[0]  # the text is computed once, not once per use
 
 
 def expand_contractions(c, mode: str = "substrings") -> Column:
