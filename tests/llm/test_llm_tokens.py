@@ -110,6 +110,15 @@ def test_quick_ids_equal_the_librarys():
         public_tokenizers.path("word_bpe_49k.json")).encode("Some words", add_special_tokens=False).ids
 
 
+def test_quick_ids_on_every_code_point():
+    encode = ids.IdEncoder(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)}b1{chr(c)}1{chr(c)} !{chr(c)}" for c in points[k:k + 20_000]]
+        for text, e in zip(texts, LIBRARY.encode_batch_fast(texts, add_special_tokens=False)):
+            assert encode(text).tolist() == e.ids, text
+
+
 def check_packing(rows, texts, size, end_id=2):
     by_doc, by_sequence = {}, {}
     for r in rows:
