@@ -1,6 +1,7 @@
 """Token counts of whole texts, huge ones by overlapping chunks.
 
-An ordinary text is encoded as it is.  A text longer than ``chunk_chars`` is
+An ordinary text is encoded as it is, by the quick encoder of ``ids``, which
+gives the ids of the file's own library.  A text longer than ``chunk_chars`` is
 encoded in chunks that overlap, and neighbouring chunks are spliced where both
 begin a word at the same place.  Such a place is stable: the pattern that cuts
 words reads from left to right, never looks behind, and looks at most at the
@@ -26,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tomewise.llm.batches import clashes, numbered, quoted, schema_of, slices, texts_of
+from tomewise.llm.batches import clashes, numbered, quoted, schema_of, texts_of
+from tomewise.llm.ids import id_encoder
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 1_024
@@ -43,7 +45,7 @@ class Chunked:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         cutter = spec.get("pre_tokenizer") or {}
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # the splicing proof holds for this way of cutting words
@@ -53,10 +55,9 @@ class Chunked:
         self.chunk, self.overlap = chunk_chars, overlap_chars
 
     def counts(self, texts: list[str]) -> list[int]:
-        long = [self.stable and len(t) > self.chunk + self.overlap for t in texts]
-        short = iter(self.tokenizer.encode_batch_fast(
-            [t for t, huge in zip(texts, long) if not huge], add_special_tokens=False))
-        return [sum(map(len, self.pieces(t))) if huge else len(next(short)) for t, huge in zip(texts, long)]
+        whole = id_encoder(self.path)
+        return [sum(map(len, self.pieces(t))) if self.stable and len(t) > self.chunk + self.overlap else len(whole(t))
+                for t in texts]
 
     def _encode(self, text: str, start: int, end: int):
         """Ids of ``text[start:end]``, where each token begins, where words begin."""
@@ -114,7 +115,7 @@ def token_counts(df: DataFrame, vocabulary_path: str, text_col: str = "text", ma
         c = _chunked(vocabulary_path, chunk_chars, overlap_chars)
         for batch in batches:
             texts = texts_of(batch.column(at))
-            n = [x for a, b in slices(texts) for x in c.counts(texts[a:b])]
+            n = c.counts(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in kept]
                 + [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()),
