@@ -5,7 +5,7 @@ import __spark_entry__ as E
 from tomewise.operators import dedup, ngrams, splits
 from tomewise.plans import prepare as P
 
-from conftest import SF001, SF01
+from conftest import SF001
 
 
 def _plan(df):

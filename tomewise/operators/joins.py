@@ -28,6 +28,7 @@ def join_once(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -
     The condition compares a hash of the key as well, so Spark deals out both
     sides for this join alone, however they are dealt already, and adaptive
     execution may split a hot key's partition."""
-    l, r = left.withColumn("__join_h", F.xxhash64(key)), right.withColumnRenamed(key, "__join_key").withColumn("__join_g", F.xxhash64("__join_key"))
+    l = left.withColumn("__join_h", F.xxhash64(key))
+    r = right.withColumnRenamed(key, "__join_key").withColumn("__join_g", F.xxhash64("__join_key"))
     on = (F.col("__join_h") == F.col("__join_g")) & F.col(key).eqNullSafe(F.col("__join_key"))
     return l.join(r, on, how).drop("__join_h", "__join_g", "__join_key")
