@@ -83,7 +83,8 @@ def _record_id(page: int | None) -> str:
     return f"<urn:capture:{'none' if page is None else page}>"
 
 
-def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
+def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
+           date: str) -> bytes:
     """One WARC record; a revisit has the HTTP head as its whole block."""
     head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _record_id(page)),
             ("WARC-Date", date)]
