@@ -90,7 +90,8 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, refer
             ("WARC-Date", date)]
     if url is not None:
         head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
-    head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("Payload-Length", str(len(payload))), ("Content-Type", "application/http;msgtype=response")]
+    head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("Payload-Length", str(len(payload))),
+             ("Content-Type", "application/http;msgtype=response")]
     if refers_to is not None:
         head += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", _record_id(refers_to))]
     block = _HTTP + (payload if refers_to is None else b"")
