@@ -155,6 +155,15 @@ def test_surge_and_dive_points():
     assert main_text.spans([], 3, 80) == [] and main_text.spans([500], 3, 80) == [(0, 1)]
 
 
+def test_marked_pages_are_cut_by_their_surges():
+    teaser, end = "<article><p>Read on</p></article>", "Short end."
+    for body, want in [(f"<div><p>{PARAGRAPH}</p><p>{end}</p></div>" + "<p></p>" * 3 + "<div class=ad></div>" * 3 + teaser,
+                        f"{PARAGRAPH.strip()}\n{end}"),
+                       (f"<div>Home</div><main><p>Head</p><p>{PARAGRAPH}</p><p>{end}</p></main><div>Foot</div>",
+                        f"Head\n{PARAGRAPH.strip()}\n{end}")]:
+        assert main_text.main_text(body) == want
+
+
 def test_main_text_takes_hostile_markup():
     for page in ["<a " * 30_000, '<a "' * 30_000, "<div>" * 50_000, "<!--" * 9_000, "a<" * 50_000, "<p x='" * 20_000,
                  "<b>" * 9_000 + "</b>" * 9_000, "<div>" * 3_000 + f"<p>{PARAGRAPH}</p>" * 300, "<p>word word</p>" * 60_000]:
