@@ -164,6 +164,24 @@ def test_marked_pages_are_cut_by_their_surges():
         assert main_text.main_text(body) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    *((f"<h1>Title</h1><div {name}><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>End.</p></div><p>Home</p>", ["End."])
+      for name in ("class=elementor-widget", "id=discussion-article", "class='popular rail'", "class=legal")),
+    ("<h1>Title</h1>" + f"<div class=elementor-widget><p>{PARAGRAPH}</p></div>" * 4, []),
+    (f"<p>{PARAGRAPH[:120]}</p><div class=widget><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><div class=ad>Buy</div></div>", []),
+])
+def test_an_article_is_not_lost_to_names(page, want):
+    lines = main_text.main_text(page).split("\n")
+    assert lines.count(PARAGRAPH.strip()) == page.count(f">{PARAGRAPH}<") and set(want) <= set(lines) and "Buy" not in lines
+
+
+def test_long_comments_and_small_boxes_still_go_by_name():
+    comments = f"<div class=comments><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>"
+    assert main_text.main_text(f"<p>{PARAGRAPH}</p>{comments}") == PARAGRAPH.strip()
+    box = "<div class=widget><p>Some text in a box beside the article, of no use at all.</p></div>"
+    assert main_text.main_text(f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>{box}") == "\n".join([PARAGRAPH.strip()] * 2)
+
+
 def test_main_text_takes_hostile_markup():
     for page in ["<a " * 30_000, '<a "' * 30_000, "<div>" * 50_000, "<!--" * 9_000, "a<" * 50_000, "<p x='" * 20_000,
                  "<b>" * 9_000 + "</b>" * 9_000, "<div>" * 3_000 + f"<p>{PARAGRAPH}</p>" * 300, "<p>word word</p>" * 60_000]:

@@ -17,8 +17,10 @@ and last line.
 Blocks are joined by one newline in page order; white space in a block becomes
 one space; character references are decoded.  Defined results: a null page is
 empty, a page without a surge gives all lines that are not mere links, a page
-that would lose a whole article's length by the names of its elements is cut by
-tags alone, a page without text gives the empty text; an element left open ends with its parent;
+that would lose an article's length and most of its text by the names of its
+elements keeps what these elements hold (comments longer than an article are
+no such case), one that would lose all its text by names is cut by tags alone, a page
+without text gives the empty text; an element left open ends with its parent;
 repeated rows give repeated results; added columns replace columns of the same
 name, all others are kept.
 """
@@ -42,7 +44,7 @@ LINK_SHARE = 0.5
 # In a page without an article mark, shorter lines that do not end like a
 # sentence are cut off a kept range's ends.
 EDGE_CHARS = 40
-MISNAMED_CHARS = 250  # text that all fell to names, from which on the names are not believed
+MISNAMED_CHARS = 250  # text that fell to names, from which on the names are not believed if it is most of the page's
 CONTAINER_SHARE = 0.9  # of the kept ranges' text, for a container to be the article
 SENTENCE_ENDS = tuple(".!?…:;\"'”’»)。！？")
 
@@ -73,6 +75,8 @@ NAMED = frozenset("""ad ads adv advert adverts advertisement advertisements adve
     respond feedback discussion share sharing shares social follow related recommended recommendations
     popular trending more-stories popup modal overlay lightbox pagination pager widget widgets search searchbar
     promoted outbrain taboola adsbygoogle adbox adslot adunit adbanner skip skiplink""".split())
+# Words of comments, which may well be longer than their article.
+COMMENTS = frozenset("comment comments commentlist commentary disqus replies reply responses respond".split())
 HEADERS = frozenset(("header", "masthead"))
 OF_ARTICLE = frozenset(("article", "post", "entry", "content", "story", "title"))
 CONTAINERS = frozenset(("div", "section", "td", "center"))
@@ -97,8 +101,8 @@ def _words(names: str) -> set[str]:
     return out
 
 
-def _beside(tag: str, attributes: dict[str, str], in_article: bool, by_name: bool) -> bool:
-    """Whether an element is something beside the article."""
+def _beside(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is something beside the article by its tag, role or style."""
     if tag in DROPPED:
         return True
     if tag in ("html", "body", "main"):
@@ -111,15 +115,20 @@ def _beside(tag: str, attributes: dict[str, str], in_article: bool, by_name: boo
             or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""))):
         return True
     role = attributes.get("role", "").lower()
-    if role and role in ROLES and not (role == "banner" and in_article):
-        return True
+    return bool(role) and role in ROLES and not (role == "banner" and in_article)
+
+
+def _beside_by_name(tag: str, attributes: dict[str, str], in_article: bool) -> set[str]:
+    """The words of an element's class and id if they name something beside
+    the article, else nothing."""
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    if by_name and names.strip():
-        words = _words(names)
-        if words & NAMED and not (tag == "article" and not words & {"comment", "comments", "related", "ad", "promo"}):
-            return True
-        return not in_article and bool(words & HEADERS) and not words & OF_ARTICLE and tag not in HEADING
-    return False
+    if tag in ("html", "body", "main") or not names.strip():
+        return set()
+    words = _words(names)
+    if words & NAMED and not (tag == "article" and not words & {"comment", "comments", "related", "ad", "promo"}):
+        return words
+    named = not in_article and words & HEADERS and not words & OF_ARTICLE and tag not in HEADING
+    return words if named else set()
 
 
 def _marks_article(tag: str, attributes: dict[str, str]) -> bool:
@@ -132,19 +141,30 @@ def _marks_article(tag: str, attributes: dict[str, str]) -> bool:
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "depth", "link", "path")
+    __slots__ = ("tag", "dropped", "depth", "link", "path", "beside", "name")
 
-    def __init__(self, tag: str, dropped: bool, depth: int, link: bool, path: tuple):
+    def __init__(self, tag: str, dropped: bool, depth: int, link: bool, path: tuple, beside: bool = False, name=None):
         self.tag, self.dropped, self.depth, self.link, self.path = tag, dropped, depth, link, path
+        self.beside, self.name = beside, name
+
+
+class _Named:
+    """An element that its names put beside the article, with its unlinked text."""
+
+    __slots__ = ("number", "comments", "outermost", "chars")
+
+    def __init__(self, number: int, comments: bool, outermost: bool, chars: int):
+        self.number, self.comments, self.outermost, self.chars = number, comments, outermost, chars
 
 
 class Lines:
     """The lines of a page: text, characters outside links, the rank of the
     article mark they stand under (0: none, 1: main, 2: article), the level of
     a heading (0: none) and the innermost container, as a chain (number,
-    chain of the outer ones).  Classes and ids count only ``by_name``."""
+    chain of the outer ones).  Classes and ids count only ``by_name`` and not
+    for the elements with the numbers ``believed_not``."""
 
-    def __init__(self, page: str, by_name: bool = True):
+    def __init__(self, page: str, by_name: bool = True, believed_not: frozenset[int] = frozenset()):
         self.text: list[str] = []
         self.plain: list[int] = []
         self.rank: list[int] = []
@@ -152,10 +172,15 @@ class Lines:
         self.path: list[tuple] = []
         self._containers = 0
         self._by_name = by_name
+        self._believed_not = believed_not
+        self._elements = 0
+        self.chars = 0  # unlinked text, with that of the named elements
+        self.named: list[_Named] = []
         self._buffer: list[str] = []
         self._linked = 0
         self._stack: list[_Element] = [_Element("", False, 0, False, ())]
         self._scan(page)
+        self._count(self._stack)
         self._flush()
 
     def _flush(self, blank: bool = False) -> None:
@@ -172,15 +197,24 @@ class Lines:
 
     def _text(self, raw: str) -> None:
         top = self._stack[-1]
+        if not (top.beside or top.link):
+            self.chars += len(raw.strip())
         if raw and not top.dropped:
             text = html.unescape(raw) if "&" in raw else raw
             self._buffer.append(text)
             if top.link:
                 self._linked += len(text)
 
+    def _count(self, gone: list[_Element]) -> None:
+        """The text of named elements that end."""
+        for e in gone:
+            if e.name is not None:
+                e.name.chars += self.chars
+
     def _close(self, index: int) -> None:
         """Ends the element at ``index`` and all that stand in it."""
         gone = self._stack[index:]
+        self._count(gone)
         if any(e.tag in BLOCK for e in gone):
             self._flush()
         del self._stack[index:]
@@ -196,6 +230,7 @@ class Lines:
                 elif self._stack[index].dropped or not any(e.tag in BLOCK for e in self._stack[index:]):
                     self._close(index)
                 else:  # a formatting element ends, blocks opened in it go on
+                    self._count(self._stack[index:index + 1])
                     del self._stack[index]
                 return
             if own in SECTION and tag not in SECTION:
@@ -226,15 +261,22 @@ class Lines:
             return
         top = self._stack[-1]
         attributes = _attributes(raw)
-        dropped = top.dropped or _beside(tag, attributes, top.depth > 0, self._by_name)
+        self._elements += 1
+        beside, name = top.beside or _beside(tag, attributes, top.depth > 0), None
+        if self._by_name and attributes and not beside and self._elements not in self._believed_not:
+            words = _beside_by_name(tag, attributes, top.depth > 0)
+            if words:
+                name = _Named(self._elements, bool(words & COMMENTS), not top.dropped, -self.chars)
+                self.named.append(name)
+        dropped = top.dropped or beside or name is not None
         depth = top.depth
-        if not dropped and _marks_article(tag, attributes):
+        if not beside and name is None and _marks_article(tag, attributes):
             depth = max(depth, 1 if tag == "main" or attributes.get("role") == "main" else 2)
         path = top.path
         if tag in CONTAINERS:
             self._containers += 1
             path = (self._containers, path)
-        self._stack.append(_Element(tag, dropped, depth, top.link or tag == "a", path))
+        self._stack.append(_Element(tag, dropped, depth, top.link or tag == "a", path, beside, name))
 
     def _scan(self, page: str) -> None:
         at = 0
@@ -337,10 +379,32 @@ def _container(lines: Lines, kept: list[int]) -> int | None:
     return max(fit, key=depth.__getitem__, default=None)
 
 
+def _misnamed(lines: Lines, window: int, rise: int) -> frozenset[int]:
+    """The numbers of the elements whose names are not believed: one that holds
+    an article's length and most of the page's text, comments only if no surge
+    is left without them; or else all but comments, if together they do and
+    less than an article's length is left."""
+    def most(chars: int) -> bool:
+        return chars >= MISNAMED_CHARS and 2 * chars > lines.chars
+
+    if not most(sum(e.chars for e in lines.named if e.outermost)):
+        return frozenset()
+    left = bool(spans(lines.plain, window, rise))
+    one = frozenset(e.number for e in lines.named if most(e.chars) and not (e.comments and left))
+    if one or sum(lines.plain) >= MISNAMED_CHARS:
+        return one
+    if most(sum(e.chars for e in lines.named if e.outermost and not e.comments)):
+        return frozenset(e.number for e in lines.named if not e.comments)
+    return frozenset()
+
+
 def main_text(page: str | None, window: int = WINDOW_LINES, rise: int = RISE_CHARS) -> str:
     """The article of a page, a line per block."""
     for by_name in (True, False) if page else ():
         lines = Lines(page, by_name)
+        misnamed = _misnamed(lines, window, rise)
+        if misnamed:
+            lines = Lines(page, by_name, misnamed)
         text = "\n".join(lines.text[i] for i in _kept(lines, window, rise) if lines.text[i])
         if text and (by_name or len(text) >= MISNAMED_CHARS):
             return text
