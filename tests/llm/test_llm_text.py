@@ -182,6 +182,16 @@ def test_long_comments_and_small_boxes_still_go_by_name():
     assert main_text.main_text(f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>{box}") == "\n".join([PARAGRAPH.strip()] * 2)
 
 
+def test_a_mark_must_hold_most_of_the_text():
+    own, card = PARAGRAPH.strip(), "<article class=card><p>A teaser of a few words only.</p></article>"
+    body = f"<p>{PARAGRAPH}</p>" * 3
+    for page in (f"<main>{body}{card}</main>", f"<div class=content>{body}</div>" + card * 2,
+                 f"<div class=content>{body}</div><article><p>{PARAGRAPH}</p></article>"):
+        assert main_text.main_text(page).split("\n").count(own) == page.count(PARAGRAPH)
+    assert main_text.main_text(f"<main><p>{PARAGRAPH}</p><article>{body}</article></main>") == "\n".join([own] * 3)
+    assert main_text.main_text("<p>Menu</p><article><p>Short but most.</p></article>") == "Short but most."
+
+
 def test_main_text_takes_hostile_markup():
     for page in ["<a " * 30_000, '<a "' * 30_000, "<div>" * 50_000, "<!--" * 9_000, "a<" * 50_000, "<p x='" * 20_000,
                  "<b>" * 9_000 + "</b>" * 9_000, "<div>" * 3_000 + f"<p>{PARAGRAPH}</p>" * 300, "<p>word word</p>" * 60_000]:

@@ -11,7 +11,7 @@ between a surge and its dive show where the article is: if one container holds
 nearly all of their text, it is kept whole, with its short lines, else the
 lines themselves without the rests of menus at their ends.  In a page that marks
 its article the ranges are found over all its lines in the same way; a mark that
-holds text of theirs trims them to its own lines and extends them to its first
+holds most of their text (of the page's, if there are none) trims them to its own lines and extends them to its first
 and last line.
 
 Blocks are joined by one newline in page order; white space in a block becomes
@@ -336,9 +336,10 @@ def _edge(lines: Lines, i: int) -> bool:
 def _kept(lines: Lines, window: int, rise: int) -> list[int]:
     ranges = spans(lines.plain, window, rise)
     found = [i for a, b in ranges for i in range(a, b)] or range(len(lines.plain))
+    total = sum(lines.plain[i] for i in found)
     for rank in (2, 1):
         inside = [i for i, r in enumerate(lines.rank) if r >= rank and lines.text[i]]
-        if any(lines.plain[i] for i in found if lines.rank[i] >= rank):
+        if 2 * sum(lines.plain[i] for i in found if lines.rank[i] >= rank) > total:
             # the title may stand before the mark
             return [i for i in range(inside[0]) if lines.heading[i] == 1 and lines.plain[i]] + inside
     container = _container(lines, [i for a, b in ranges for i in range(a, b)])
