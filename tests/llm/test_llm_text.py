@@ -62,6 +62,19 @@ def test_repetition_rules(spark):
     assert repetition.repetition_rules(spark.createDataFrame([], "text string")).count() == 0
 
 
+def test_the_longest_repeat_decides_by_itself(spark):
+    def pasted(block, others):
+        words = [f"b{i}" for i in range(block)]
+        return " ".join(words + [f"v{i}" for i in range(others)] + words)
+
+    texts = [pasted(1500, 7000), pasted(50, 200), pasted(41, 300), pasted(40, 300), pasted(50, 2000), pasted(13, 60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = sorted(repetition.repetition_rules(df).collect())
+    assert [r.longest_repeat for r in out] == [1500, 50, 41, 40, 50, 13]
+    assert not any(r.base_failed or 100 * r.n_covered_words > repetition.MAX_COVERED_PERCENT * r.n_words for r in out)
+    assert [r.kept for r in out] == [False, False, False, True, True, True]
+
+
 def test_repetition_of_a_very_long_text():
     text = ("alpha beta gamma delta epsilon " * 40_000).strip()
     m = repetition.measure([text, "short one"])

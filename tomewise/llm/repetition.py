@@ -37,8 +37,8 @@ MAX_WINDOW_PERCENT = 50
 # many words, or than so many percent of the words where that is more.
 MIN_REPEAT_WORDS = 5
 MAX_COVERED_PERCENT = 40
-MAX_REPEAT_WORDS = 100
-MAX_REPEAT_PERCENT = 25
+MAX_REPEAT_WORDS = 40
+MAX_REPEAT_PERCENT = 5
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
