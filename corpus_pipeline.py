@@ -41,14 +41,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group.  Rows that
-    share an id are one document and leave one row; rows without an id are
-    not compared and stay."""
-    named = docs.where(F.col("doc_id").isNotNull())
-    groups = simhash.near_duplicates(named.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first"))
-    kept = named.join(first, named["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each near-duplicate group: that of the smallest id, then of
+    the smallest hash of the text.  Rows are one document if id and text are
+    equal.  Rows without an id are copies of each other, never of a row with an
+    id: of them, too, each group keeps one."""
+    rows = _apart(docs).withColumn("_row", F.concat_ws(
+        ":", F.coalesce(F.sha2("text", 256), F.lit("")), F.col("doc_id").cast("string")))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("_row").alias("row"))
+    groups = simhash.near_duplicates(rows.select(key.alias("doc_id"), "text"))
+    first = groups.groupBy("component_id", "doc_id.no_id").agg(F.min("doc_id").alias("first")).select(
+        F.col("first.row").alias("_row"))
+    return _named(rows.join(first, "_row", "left_semi").dropDuplicates(["_row"]), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

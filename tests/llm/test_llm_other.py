@@ -257,6 +257,19 @@ def test_pipeline_stages_keep_the_columns(spark, scratch):
     assert docs.count() == 0
 
 
+def test_near_dedup_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a, "first"), (2, a, "copy"), (1, b, "same id, other text"), (3, b, "copy"), (None, c, "no id"),
+            (None, c, "no id"), (None, a, "no id, text of 1"), (None, a, "no id, text of 1"), (4, None, "null"),
+            (5, "", "no words"), (None, None, "null, no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    for parts in (1, 4):
+        out = corpus_pipeline.near_dedup(spark, docs.repartition(parts), SF001)
+        assert out.columns == docs.columns
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(
+            [rows[0], rows[2], rows[4], rows[6], rows[8], rows[10]], key=str)
+
+
 def test_pipeline_stages_with_odd_rows_and_columns(spark):
     words = " ".join(f"w{i}" for i in range(80))
     rows = [(1, words, None, None, None, "x"), (1, words, None, None, None, "x"), (2, words, "en", "s", 9, "y"),
