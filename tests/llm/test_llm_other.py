@@ -191,6 +191,39 @@ def test_top_k_with_terms_and_repeated_candidates(spark):
     assert got == [(50, 1, 1, 25), (50, 2, 3, 20), (50, 3, 2, 7), (50, 4, 2, 7)]
 
 
+def test_top_k_of_an_id_in_many_rows(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([7, 7, 7, 8, i]), [rng.randint(-3, 3) for _ in range(6)]) for i in range(20, 420)]
+    rows += [(9, [1, 2, 3, 3, 2, 1])] * 300
+    df = spark.createDataFrame(rows, "id long, weights array<bigint>").repartition(3)
+    asked = df.where("id < 60")
+    dealt = topk._dealt(asked, df, 5, "id", "weights", None, 50, 50, 50).groupBy("q", "c", "asks").count()
+    assert max(r["count"] for r in dealt.collect()) < 100
+    for size in (50, 10_000):
+        got = {}
+        for r in sorted(topk.top_k(asked, df, 5, candidate_block=size, small_block=size, query_block=size).collect(),
+                        key=lambda r: r["rank"]):
+            got.setdefault(r.query_id, []).append((r.id, r.score))
+        want = {}
+        for q in {i for i, _ in rows if i < 60}:
+            own = {tuple(w) for i, w in rows if i == q}
+            best = sorted((-max(sum(a * b for a, b in zip(o, w)) for o in own), i) for i, w in rows if i != q)
+            want[q] = [(i, -s) for s, i in best[:5]]
+        assert got == want
+
+
+def test_the_rows_of_one_query_are_scored_in_parts(monkeypatch):
+    import pyarrow as pa
+    rows = [(True, 1, [i, -i], 0, 0) for i in range(30)] + [(False, 2 + i, [i, 5 - i], i, 0) for i in range(10)]
+    group = pa.table([*map(list, zip(*[(a, i, None, w, key, copy) for a, i, w, key, copy in rows]))],
+                     schema=pa.schema([("asks", pa.bool_()), ("id", pa.int64()), ("terms", pa.list_(pa.int64())),
+                                       ("weights", pa.list_(pa.int64())), ("key", pa.int64()), ("copy", pa.int64())]))
+    whole, sizes, scores = topk._search(group, 4), [], topk.Postings.scores
+    monkeypatch.setattr(topk, "_SCORES", 70)
+    monkeypatch.setattr(topk.Postings, "scores", lambda *a: sizes.append(a[-1]) or scores(*a))
+    assert topk._search(group, 4).equals(whole) and sizes == [7, 7, 7, 7, 2]
+
+
 def test_quantised(spark):
     df = spark.createDataFrame([([0.5, -0.001],), ([None],), ([float("nan")],), ([float("inf")],), (None,), ([],)],
                                "e array<float>")

@@ -1,8 +1,9 @@
 """Exact top-k search by exhaustive term-at-a-time accumulation.
 
 A vector is a sparse row of integer weights; its terms are its positions, or a
-column of their own.  Candidates and queries are dealt into blocks, and every
-query block meets every candidate block in one group (a stated query set
+column of their own.  Candidates and queries are dealt into blocks by a hash of
+id and vector, equal rows only as often as they can be listed, and every query
+block meets every candidate block in one group (a stated query set
 against all rows, block by block).  In a group the candidates become posting
 lists, one per term; a batch of queries goes through its terms one after the
 other and adds weight times posting to a dense score per query and candidate.
@@ -39,6 +40,9 @@ QUERY_BLOCK = 16_384
 _SCORES = 1_000_000
 _DENSE = 0.25
 _LONG = np.iinfo(np.int64)
+# A candidate row is told apart by its id, the hash of its id and vector and,
+# among equal rows, its number.
+_FOUND = ["query_id", "id", "score", "key", "copy"]
 
 
 class Postings:
@@ -111,9 +115,11 @@ def _sparse(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 def _search(group: pa.Table, k: int) -> pa.Table:
     asks = group.column("asks").to_numpy(zero_copy_only=False)
-    ids, row, term, weight = _sparse(group.filter(pa.array(~asks)).sort_by("id"))
+    stored = group.filter(pa.array(~asks)).sort_by([("id", "ascending"), ("key", "ascending"), ("copy", "ascending")])
+    ids, row, term, weight = _sparse(stored)
+    keys, copies = stored.column("key").to_numpy(), stored.column("copy").to_numpy()
     q_ids, q_row, q_term, q_weight = _sparse(group.filter(pa.array(asks)).sort_by("id"))
-    out = ([], [], [])
+    out = ([], [], [], [], [])
     if len(ids) and len(q_ids):
         # an exact bound on every partial sum decides in what numbers to add
         terms = max(np.bincount(q_row).max(initial=0), 1)
@@ -126,30 +132,31 @@ def _search(group: pa.Table, k: int) -> pa.Table:
         a = 0
         while a < len(own):
             b = max(a + 1, int(np.searchsorted(last, first[a] + step, "right")))
-            lo, hi = np.searchsorted(q_row, [first[a], last[b - 1]])
-            scores = postings.scores(q_row[lo:hi] - first[a], q_term[lo:hi], q_weight[lo:hi].astype(kind),
-                                     int(last[b - 1] - first[a]))
-            scores = np.maximum.reduceat(scores, first[a:b] - first[a], axis=0)
+            scores = None
+            for begin in range(int(first[a]), int(last[b - 1]), step):  # several turns only for the rows of one id
+                end = min(begin + step, int(last[b - 1]))
+                lo, hi = np.searchsorted(q_row, [begin, end])
+                part = postings.scores(q_row[lo:hi] - begin, q_term[lo:hi], q_weight[lo:hi].astype(kind), end - begin)
+                part = np.maximum.reduceat(part, first[a:b] - first[a], axis=0)
+                scores = part if scores is None else np.maximum(scores, part)
             if kind is object:
                 scores = np.minimum(np.maximum(scores, int(_LONG.min)), int(_LONG.max))
             for query, line in zip(own[a:b].tolist(), scores):
                 same = slice(*np.searchsorted(ids, [query, query + 1]))
-                line = np.delete(line, same) if same.stop > same.start else line
-                left = np.delete(ids, same) if same.stop > same.start else ids
-                best = select(line[None, :], k)[0]
+                left = np.delete(np.arange(len(ids)), same) if same.stop > same.start else np.arange(len(ids))
+                best = left[select(line[None, left], k)[0]]
                 out[0].extend([query] * len(best))
-                out[1].extend(left[best].tolist())
+                out[1].extend(ids[best].tolist())
                 out[2].extend(int(s) for s in line[best])
+                out[3].extend(keys[best].tolist())
+                out[4].extend(copies[best].tolist())
             a = b
-    return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "id", "score"])
+    return pa.table([pa.array(x, pa.int64()) for x in out], names=_FOUND)
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, id_col: str = "id", weights_col: str = "weights",
-          terms_col: str | None = None, candidate_block: int = CANDIDATE_BLOCK, small_block: int = SMALL_BLOCK,
-          query_block: int = QUERY_BLOCK) -> DataFrame:
-    """``query_id, rank`` (from 1)``, id, score`` of each query's ``k`` best
-    candidates by inner product, ties to the smaller id.  Weights are arrays of
-    longs; ids are longs."""
+def _dealt(queries: DataFrame, candidates: DataFrame, k: int, id_col: str, weights_col: str, terms_col: str | None,
+           candidate_block: int, small_block: int, query_block: int) -> DataFrame:
+    """The rows of both sides, once for each block ``q, c`` that they are in."""
     def rows(df: DataFrame) -> DataFrame:
         weights = F.col(quoted(weights_col))
         terms = F.col(quoted(terms_col)).cast("array<bigint>") if terms_col else F.lit(None).cast("array<bigint>")
@@ -166,17 +173,32 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, id_col: str = "
     n_c = blocks(candidates.count(), candidate_block, min(small_block, candidate_block))
     n_q = blocks(queries.count(), query_block)
     # each side's rows go once to every block of the other side
-    asked = rows(queries).select(F.lit(True).alias("asks"), "*", F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("q"),
-                                 every(n_c).alias("c"))
-    stored = rows(candidates).select(F.lit(False).alias("asks"), "*",
-                                     F.pmod(F.xxhash64("id", F.lit(n_c)), F.lit(n_c)).alias("c"),
-                                     every(n_q).alias("q"))
-    schema = T.StructType([T.StructField(c, T.LongType(), False) for c in ("query_id", "id", "score")])
-    near = (asked.unionByName(stored).groupBy("q", "c")
-                 .applyInArrow(lambda group: _search(group, k), schema))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
-    return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-                .select("query_id", "rank", "id", "score"))
+    vector = ["id", "terms", "weights"]
+    key = F.xxhash64(*vector).alias("key")
+    asked = rows(queries).distinct().select(
+        F.lit(True).alias("asks"), *vector, key, F.lit(0).cast("long").alias("copy")).select(
+        "*", F.pmod(F.xxhash64("key"), F.lit(n_q)).cast("long").alias("q"), every(n_c).alias("c"))
+    stored = rows(candidates).groupBy(*vector).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(False).alias("asks"), *vector, key,
+        F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", F.lit(k).cast("long")) - 1)).alias("copy")).select(
+        "*", every(n_q).alias("q"), F.pmod(F.xxhash64("key", F.lit(n_c)), F.lit(n_c)).cast("long").alias("c"))
+    return asked.unionByName(stored)
+
+
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, id_col: str = "id", weights_col: str = "weights",
+          terms_col: str | None = None, candidate_block: int = CANDIDATE_BLOCK, small_block: int = SMALL_BLOCK,
+          query_block: int = QUERY_BLOCK) -> DataFrame:
+    """``query_id, rank`` (from 1)``, id, score`` of each query's ``k`` best
+    candidates by inner product, ties to the smaller id.  Weights are arrays of
+    longs; ids are longs."""
+    schema = T.StructType([T.StructField(c, T.LongType(), False) for c in _FOUND])
+    rows = _dealt(queries, candidates, k, id_col, weights_col, terms_col, candidate_block, small_block, query_block)
+    near = rows.groupBy("q", "c").applyInArrow(lambda group: _search(group, k), schema)
+    # the rows of a query's id may be in several blocks and find a candidate each
+    found = near.repartition("query_id").groupBy("query_id", "id", "key", "copy").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id", "key", "copy")
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                 .select("query_id", "rank", "id", "score"))
 
 
 def quantised(column: str, scale: int = 256):
