@@ -143,6 +143,21 @@ def test_greedy_folds_dealt_groups_keep_the_balance(spark):
     assert all(abs(s - 0.25) <= 0.02 for s in shares)
 
 
+def test_large_groups_are_not_collected(spark, monkeypatch):
+    df = _groups_df(spark, 1200, 150, 15)
+    collected, collect = [0], type(df).collect
+
+    def counting(self):
+        rows = collect(self)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(df), "collect", counting)
+    folds = S.stratified_group_folds(df, 5)
+    assert max(collected) < 100
+    assert folds.count() == 150
+
+
 def test_folds_with_null_groups_and_strata(spark):
     rows = [(i, i % 30, None if i % 30 < 6 else f"u{i % 4}") for i in range(300)] + [(900 + i, None, "u1") for i in range(20)]
     df = spark.createDataFrame(rows, "review_id long, book_id long, user_id string")

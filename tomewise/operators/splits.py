@@ -150,10 +150,11 @@ HEAD_SHARE = 2_000
 MAX_OVER = 1.02
 
 
-def _place_large(cells, n_folds: int, total: int) -> tuple[dict, list[int]]:
-    """Fold of each large group, one after another (largest first).
+def _place_large(groups, n_folds: int, total: int) -> tuple[dict, list[int]]:
+    """Fold of each large group, one after another.
 
-    ``cells``: (order, group, n rows, stratum, m, stratum total).  Each group
+    ``groups``: (group, n rows, its (stratum, m, stratum total)), largest first,
+    read once and not held.  Each group
     takes the fold whose squared stratum shares grow least, ties to the fold
     with the fewest rows, among the folds that stay within their share of the
     rows; if none does, the fold with the fewest rows.
@@ -161,10 +162,8 @@ def _place_large(cells, n_folds: int, total: int) -> tuple[dict, list[int]]:
     from collections import defaultdict
     shares: dict = defaultdict(lambda: [0.0] * n_folds)
     rows, folds = [0] * n_folds, {}
-    groups = defaultdict(list)
-    for order, group, n, stratum, m, t in cells:
-        groups[(order, group, n)].append((stratum, m / t))
-    for (_, group, n), own in sorted(groups.items(), key=lambda x: x[0][0]):
+    for group, n, cells in groups:
+        own = [(stratum, m / t) for stratum, m, t in cells]
         cost = [sum(shares[s][f] * x for s, x in own) for f in range(n_folds)]
         room = [f for f in range(n_folds) if rows[f] + n <= MAX_OVER * total / n_folds]
         fold = (min(room, key=lambda f: (round(cost[f], 12), rows[f], f)) if room
@@ -187,7 +186,8 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     groups decide the balance and are placed one after another by the greedy
     rule, with strata of less than 1/``head_share`` of the rows merged into
     ``head_share`` hashed ones: a table of at most ``head_share`` groups times
-    2 ``head_share`` strata, whatever the input.  All other groups are dealt in
+    2 ``head_share`` strata, whatever the input, of which the driver reads one
+    partition at a time and keeps the folds and the strata's sums.  All other groups are dealt in
     Spark: within its main stratum, a group at place i takes the fold at the
     fraction ``frac(i * golden ratio + offset)`` of the room that the large
     groups left in the folds, which fills the folds in proportion to their
@@ -213,9 +213,11 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "bo
     order = F.struct(-F.col("_n"), seeded_key(seed, group_col), F.col(group_col))
     cells = (named.join(F.broadcast(large), group_col).groupBy(group_col, "_k")
                   .agg(F.max("_n").alias("_n"), F.sum("_m").alias("_m"))
-                  .join(merged, "_k").withColumn("_order", order)
-                  .select("_order", group_col, "_n", "_k", "_m", "_t").collect())
-    folds, rows = _place_large(cells, n_folds, total)
+                  .join(merged, "_k").groupBy(group_col, "_n")
+                  .agg(F.sort_array(F.collect_list(F.struct("_k", "_m", "_t"))).alias("_own"))
+                  .orderBy(order).select(group_col, "_n", "_own"))
+    # a partition at a time: the driver never holds the table
+    folds, rows = _place_large(cells.toLocalIterator(), n_folds, total)
     placed = spark.createDataFrame(list(folds.items()), f"{group_col} {g_type}, fold int")
     # the other groups, dealt by their main stratum
     rest = m.join(F.broadcast(large.select(group_col)), group_col, "left_anti")
