@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewise.llm import bpe, chat, line_windows, main_text, packing, repetition, simhash, token_counts, topk, warc
+from tomewise.llm import (bpe, chat, line_windows, main_text, packing, periodic, repetition, simhash, token_counts, topk,
+                          warc)
 from tomewise.session import reliable, remove_dir, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -93,9 +94,31 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def with_loops(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in the documents whose id has a checksum divisible by
+    ten, the words from a place on are the first few of them over and over."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return (docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+            .withColumn("w", F.when(F.col("h") % 10 == 0, words))
+            .selectExpr("doc_id", "text", "w", "h div 10 as g", "size(w) as n")
+            .selectExpr("*", "if(n > 0, int(g % n), 0) as a")
+            .selectExpr("*", "int(1 + (n - a) div (3 + g % 8)) as p")
+            .selectExpr("doc_id", """if(n > 0, array_join(concat(slice(w, 1, a), slice(flatten(
+                array_repeat(slice(w, a + 1, p), int((n - a) div p) + 1)), 1, n - a)), ' '), text) as text"""))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_loops(_table(spark, sf_dir, "documents")), keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_preference_format, op2_main_text, op3_bpe_roundtrip, op4_repetition_rules, op5_token_counts, op6_warc_index,
-    op7_line_windows, op8_sum_of_squares_packing, op9_exact_top_k, op10_simhash_components)}
+    op7_line_windows, op8_sum_of_squares_packing, op9_exact_top_k, op10_simhash_components, op12_periodic_runs)}
 
 # Stated from the definitions, not from the Spark code: replies are numbered
 # and paired with the reply numbered from the other end; the prefix ends before
