@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewise.llm import (bpe, chat, line_windows, main_text, packing, periodic, repetition, simhash, token_counts, topk,
-                          warc)
+from tomewise.llm import (bond, bpe, chat, line_windows, main_text, packing, periodic, repetition, simhash, token_counts,
+                          topk, warc)
 from tomewise.session import reliable, remove_dir, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -94,6 +94,14 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector as an anchor; every seventh has another label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"),
+                                                         topk.quantised("embedding").alias("weights"))
+    return bond.hard_negatives(vectors.where(F.col("vec_id") % 100 == 0), vectors, id_col="vec_id")
+
+
 def with_loops(docs: DataFrame) -> DataFrame:
     """``doc_id, text``: in the documents whose id has a checksum divisible by
     ten, the words from a place on are the first few of them over and over."""
@@ -118,7 +126,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_preference_format, op2_main_text, op3_bpe_roundtrip, op4_repetition_rules, op5_token_counts, op6_warc_index,
-    op7_line_windows, op8_sum_of_squares_packing, op9_exact_top_k, op10_simhash_components, op12_periodic_runs)}
+    op7_line_windows, op8_sum_of_squares_packing, op9_exact_top_k, op10_simhash_components, op11_bond_negatives,
+    op12_periodic_runs)}
 
 # Stated from the definitions, not from the Spark code: replies are numbered
 # and paired with the reply numbered from the other end; the prefix ends before
@@ -231,6 +240,25 @@ s AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
+_OP11 = """
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM e a JOIN e c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10"""
+
 ORACLE: dict[str, str] = {
     "op1_preference_format": _OP1, "op4_repetition_rules": _OP4, "op6_warc_index": _OP6, "op7_line_windows": _OP7,
-    "op9_exact_top_k": _OP9}
+    "op9_exact_top_k": _OP9, "op11_bond_negatives": _OP11}
