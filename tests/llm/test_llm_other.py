@@ -253,7 +253,7 @@ def test_query_matches_duckdb(spark, con, name):
 
 def test_queries_are_registered():
     names = E.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names) and set(queries.ORACLE) <= set(E.oracle_sql())
 
 

@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewise.llm import (bond, bpe, chat, line_windows, main_text, packing, periodic, repetition, simhash, token_counts,
-                          topk, warc)
+from tomewise.llm import (bond, bpe, chat, line_windows, main_text, packing, periodic, projections, repetition, simhash,
+                          token_counts, topk, warc)
 from tomewise.session import reliable, remove_dir, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -124,10 +124,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
 
 
+def op13_collision_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_duplicates(_table(spark, sf_dir, "embeddings"), id_col="vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_preference_format, op2_main_text, op3_bpe_roundtrip, op4_repetition_rules, op5_token_counts, op6_warc_index,
     op7_line_windows, op8_sum_of_squares_packing, op9_exact_top_k, op10_simhash_components, op11_bond_negatives,
-    op12_periodic_runs)}
+    op12_periodic_runs, op13_collision_projections)}
 
 # Stated from the definitions, not from the Spark code: replies are numbered
 # and paired with the reply numbered from the other end; the prefix ends before
@@ -259,6 +263,26 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10"""
 
+# All pairs of a label; the search finds a stated share of those at the bound.
+_OP13 = f"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings),
+e AS (
+  SELECT r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM rows
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b, b.vec_id FROM e a JOIN e b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= {projections.MIN_COSINE}),
+reach AS (
+  SELECT r AS a, r AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY a),
+degree AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id IS NOT DISTINCT FROM coalesce(component_id, vec_id) AS kept
+FROM rows LEFT JOIN least USING (r) LEFT JOIN degree USING (r)"""
+
 ORACLE: dict[str, str] = {
     "op1_preference_format": _OP1, "op4_repetition_rules": _OP4, "op6_warc_index": _OP6, "op7_line_windows": _OP7,
-    "op9_exact_top_k": _OP9, "op11_bond_negatives": _OP11}
+    "op9_exact_top_k": _OP9, "op11_bond_negatives": _OP11,
+    "op13_collision_projections": _OP13}
