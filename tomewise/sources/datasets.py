@@ -1,23 +1,29 @@
 """Sources and sinks: CSV and Parquet scans, split datasets, versioned
 datasets with a manifest, metric logs, stage skipping (IO1-IO10).
 
-A versioned dataset is a Parquet directory ``<root>/<name>/version=<n>``
-plus one row per version in the append-only manifest below ``<root>/_manifest``.
-Resolving ``latest`` is a ``max(version)`` over the manifest; nothing is
-downloaded.  Roots live in a shared folder (the cluster's checkpoint folder
-by default), never on one machine's disk.
+A versioned dataset is a Parquet directory ``<root>/<name>/version=<n>`` with
+its manifest row beside the data.  A version is written under a name of its own
+and takes the next free number by one atomic move (``commits``), so its rows,
+its number and its manifest row appear together, and no two writers share any
+of them.  Numbers have no gaps; every ``SNAPSHOT_EVERY`` versions the manifest
+rows so far are gathered in one snapshot table, and resolving ``latest`` probes
+the few numbers after it.  Roots live in a shared folder (the cluster's
+checkpoint folder by default), never on one machine's disk.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomewise.session import checkpoint_dir
+from tomewise.sources import commits
 
 REVIEW_CSV_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -108,68 +114,113 @@ def default_root(spark: SparkSession) -> str:
     return root.rstrip("/") if root else f"{checkpoint_dir(spark)}/datasets"
 
 
-def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    p = f"{root}/_manifest"
-    if not _exists(spark, p):
-        return None
-    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(p)
+# A snapshot gathers the manifest rows of all versions every so many versions.
+SNAPSHOT_EVERY = 16
+_ROW = "_row.json"
+
+
+def _row_of(spark: SparkSession, root: str, name: str, version: int) -> Row:
+    d = json.loads(commits.read_text(spark, f"{root}/{name}/version={version}/{_ROW}"))
+    d["created"] = _dt.datetime.fromisoformat(d["created"])
+    return Row(**d)
+
+
+def _snapshots(spark: SparkSession, root: str, name: str) -> list[int]:
+    at, fs = commits.file_system(spark, f"{root}/{name}/_snapshots")
+    if not fs.exists(at):
+        return []
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(at) if s.getPath().getName().isdigit())
+
+
+def _read_snapshot(spark: SparkSession, root: str, name: str, upto: int) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/{name}/_snapshots/{upto}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _versions_after(spark: SparkSession, root: str, name: str, known: int) -> int:
+    """The newest version; every number up to it is taken."""
+    while commits.exists(spark, f"{root}/{name}/version={known + 1}"):
+        known += 1
+    return known
+
+
+def _rows(spark: SparkSession, rows: list[Row]) -> DataFrame:
+    return spark.createDataFrame([tuple(r[c] for c in MANIFEST_SCHEMA.names) for r in rows], MANIFEST_SCHEMA)
+
+
+def manifest(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    """The manifest rows of all versions of ``name``."""
+    root = root or default_root(spark)
+    taken = _snapshots(spark, root, name)
+    upto = taken[-1] if taken else 0
+    last = _versions_after(spark, root, name, upto)
+    tail = _rows(spark, [_row_of(spark, root, name, v) for v in range(upto + 1, last + 1)])
+    return _read_snapshot(spark, root, name, upto).unionByName(tail) if upto else tail
 
 
 def latest_entry(spark: SparkSession, name: str, root: str | None = None,
                  fingerprint: str | None = None):
     """Manifest row of the newest version of ``name`` (optionally of one input
-    fingerprint), or None; found by Spark, one row reaches the driver."""
-    m = _manifest(spark, root or default_root(spark))
-    if m is None:
+    fingerprint), or None.  The few versions after the last snapshot are looked
+    at one by one, the snapshot by Spark; one row reaches the driver."""
+    root = root or default_root(spark)
+    taken = _snapshots(spark, root, name)
+    upto = taken[-1] if taken else 0
+    last = _versions_after(spark, root, name, upto)
+    if fingerprint is None:
+        return _row_of(spark, root, name, last) if last else None
+    for version in range(last, upto, -1):
+        if (row := _row_of(spark, root, name, version)).fingerprint == fingerprint:
+            return row
+    if not upto:
         return None
-    own = m.where(F.col("name") == name)
-    if fingerprint is not None:
-        own = own.where(F.col("fingerprint") == fingerprint)
+    own = _read_snapshot(spark, root, name, upto).where(F.col("fingerprint") == fingerprint)
     return own.agg(F.max_by(F.struct("*"), F.col("version")).alias("e")).head()["e"]
 
 
-def _claim(spark: SparkSession, root: str, name: str, after: int) -> int:
-    """The next free version number, taken by creating a file that only one
-    writer can create."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(f"{root}/_claims/{name}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(folder)
-    version = after
-    while True:
-        version += 1
-        if fs.createNewFile(hadoop.Path(folder, str(version))):
-            return version
+def _take_snapshot(spark: SparkSession, root: str, name: str, upto: int) -> None:
+    """All rows up to a version as one table; the one before stays for those
+    who are reading it, older ones go."""
+    target = f"{root}/{name}/_snapshots/{upto}"
+    staged = commits.stage(spark, f"{root}/{name}/_snapshots")
+    manifest(spark, name, root).where(F.col("version") <= upto).coalesce(1).write.parquet(staged)
+    if not commits.commit(spark, staged, target):
+        commits.remove(spark, staged)
+    for old in _snapshots(spark, root, name)[:-2]:
+        commits.remove(spark, f"{root}/{name}/_snapshots/{old}")
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset",
             root: str | None = None, fingerprint: str = "", partition_by: str | None = None) -> int:
-    """IO5: write the next version of ``name`` and append its manifest row.
+    """IO5: write the next version of ``name`` with its manifest row.
 
-    A version number is claimed before it is written and never written over,
-    so two writers get two versions.
+    The data goes to a folder of its own; the version is the first free number,
+    taken by moving that folder there.  A writer that loses a number to another
+    tries the next one; one that dies before the move leaves no version.
     """
     root = root or default_root(spark)
-    last = latest_entry(spark, name, root)
-    version = _claim(spark, root, name, 0 if last is None else last["version"])
-    path = f"{root}/{name}/version={version}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    written = spark.read.parquet(path)
-    row = (name, type_, version, fingerprint, written.count(), written.schema.json(), path,
-           _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    # a folder of its own for each row: concurrent appends to one folder would share temporary files
-    (spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
-          .write.mode("errorifexists").parquet(f"{root}/_manifest/{name}/{version}"))
+    staged = commits.stage(spark, f"{root}/{name}")
+    try:
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(staged)
+        written = spark.read.schema(df.schema).parquet(staged)
+        row = {"name": name, "type": type_, "fingerprint": fingerprint, "rows": written.count(),
+               "schema": written.schema.json(),
+               "created": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()}
+        last = latest_entry(spark, name, root)
+        version = 0 if last is None else last["version"]
+        while True:
+            version += 1
+            path = f"{root}/{name}/version={version}"
+            commits.write_text(spark, f"{staged}/{_ROW}", json.dumps(row | {"version": version, "path": path}))
+            if commits.commit(spark, staged, path):
+                break
+    except BaseException:
+        commits.remove(spark, staged)
+        raise
+    if version % SNAPSHOT_EVERY == 0:
+        _take_snapshot(spark, root, name, version)
     return version
 
 
@@ -193,7 +244,7 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
     root = root or default_root(spark)
     memo = (root, name, fingerprint)
     path = _RESOLVED.get(memo)
-    if path is None or not _exists(spark, path):
+    if path is None or not commits.exists(spark, path):
         e = latest_entry(spark, name, root, fingerprint)
         if e is None:
             v = publish(spark, build(), name, "stage", root, fingerprint, partition_by)
@@ -210,8 +261,10 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build,
 _RESOLVED: dict = {}
 
 
+@lru_cache(maxsize=1)
 def code_fingerprint() -> str:
-    """Hash of this package's source: a stage written by other code is never reused."""
+    """Hash of this package's source as it was first asked for: a stage written
+    by other code is never reused."""
     import hashlib
     import pathlib
     h = hashlib.md5()
@@ -229,7 +282,7 @@ def input_fingerprint(*paths: str) -> str:
     spark = SparkSession.getActiveSession()
     parts = [code_fingerprint()]
     for p in paths:
-        if spark is None or not _exists(spark, p):
+        if spark is None or not commits.exists(spark, p):
             parts.append(p)
             continue
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
