@@ -35,7 +35,8 @@ def brute_rules(text):
     return {"n_words": n, "word_chars": len(b"".join(words).decode()), "n_symbols": sum(c in "#*$%&|<>" for c in text),
             "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": window, "n_covered_words": cover,
             "longest_repeat": longest, "base_failed": failed,
-            "kept": not failed and 100 * cover <= 40 * n and (longest <= 100 or 100 * longest <= 25 * n)}
+            "kept": not failed and 100 * cover <= repetition.MAX_COVERED_PERCENT * n and (
+                longest <= repetition.MAX_REPEAT_WORDS or 100 * longest <= repetition.MAX_REPEAT_PERCENT * n)}
 
 
 def test_longest_repeats_match_brute_force():
@@ -67,12 +68,29 @@ def test_the_longest_repeat_decides_by_itself(spark):
         words = [f"b{i}" for i in range(block)]
         return " ".join(words + [f"v{i}" for i in range(others)] + words)
 
-    texts = [pasted(1500, 7000), pasted(50, 200), pasted(41, 300), pasted(40, 300), pasted(50, 2000), pasted(13, 60)]
+    texts = [pasted(1500, 7000), pasted(25, 200), pasted(21, 300), pasted(20, 300), pasted(40, 2000), pasted(13, 70),
+             pasted(50, 2000)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = sorted(repetition.repetition_rules(df).collect())
-    assert [r.longest_repeat for r in out] == [1500, 50, 41, 40, 50, 13]
+    assert [r.longest_repeat for r in out] == [1500, 25, 21, 20, 40, 13, 50]
     assert not any(r.base_failed or 100 * r.n_covered_words > repetition.MAX_COVERED_PERCENT * r.n_words for r in out)
-    assert [r.kept for r in out] == [False, False, False, True, True, True]
+    assert [r.kept for r in out] == [False, False, False, True, True, True, False]
+
+
+def test_the_covered_share_decides_by_itself(spark):
+    def phrases(n, others):
+        each = [[f"p{k}_{i}" for i in range(6)] for k in range(n)]
+        fill = [f"v{i}" for i in range(others)]
+        return " ".join(w for k in range(2) for j, p in enumerate(each) for w in [*p, fill[2 * j + k]]) + " " + " ".join(
+            fill[2 * n:])
+
+    texts = [phrases(3, 64), phrases(3, 84), phrases(3, 85), phrases(20, 400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = sorted(repetition.repetition_rules(df).collect())
+    assert [(r.n_covered_words, r.n_words, r.longest_repeat) for r in out] == [
+        (36, 100, 6), (36, 120, 6), (36, 121, 6), (240, 640, 6)]
+    assert not any(r.base_failed for r in out)
+    assert [r.kept for r in out] == [False, True, True, False]
 
 
 def test_repetition_of_a_very_long_text():
