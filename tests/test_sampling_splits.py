@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -158,6 +160,64 @@ def test_large_groups_are_not_collected(spark, monkeypatch):
     assert folds.count() == 150
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_greedy_folds_in_rounds_of_blocks(spark, block):
+    """150 groups in blocks of 16: rounds of 1, 1, 2, 4 and 2 blocks, priced
+    against the running table, stay close to one block that sees everything."""
+    df = _groups_df(spark, 1200, 150, 15)
+    folds = S.stratified_group_folds(df, 5, block_groups=block)
+    j, shares = _check_folds(df, folds, 5, 1200)
+    assert all(abs(s - 0.2) <= 0.02 for s in shares)
+    dev = _deviation([(r.user_id, r.fold) for r in j.select("user_id", "fold").collect()], 5)
+    rnd = random.Random(0)
+    ids = [r.book_id for r in folds.select("book_id").collect()]
+    rows = df.select("user_id", "book_id").collect()
+    devs = []
+    for _ in range(20):
+        rf = {b: rnd.randrange(5) for b in ids}
+        devs.append(_deviation([(r.user_id, rf[r.book_id]) for r in rows], 5))
+    assert dev < 0.75 * min(devs)
+    assert sorted(map(tuple, folds.collect())) == sorted(map(tuple, S.stratified_group_folds(df, 5, block_groups=block).collect()))
+
+
+@pytest.mark.parametrize("column, most", [("user_id", 0.093), ("rating", 0.023)])
+def test_greedy_folds_reach_the_surveyed_deviation(spark, column, most):
+    from tomewise import fixtures
+    df = fixtures.reviews(spark, "/root/testdata/sf0.01").where("book_id is not null and user_id is not null")
+    df = df.select("book_id", F.col(column).cast("string").alias("user_id"))
+    rows = df.join(S.stratified_group_folds(df, 5), "book_id").select("user_id", "fold").collect()
+    from collections import Counter
+    n = Counter(r.user_id for r in rows)
+    assert _deviation([(r.user_id, r.fold) for r in rows if n[r.user_id] >= 5], 5) <= most
+    assert all(abs(c / len(rows) - 0.2) <= 0.02 for c in Counter(r.fold for r in rows).values())
+
+
+def test_one_group_and_a_hot_group(spark):
+    one = spark.range(50).selectExpr("id as review_id", "7L as book_id", "concat('u', id % 3) as user_id")
+    assert [r.book_id for r in S.stratified_group_folds(one, 5).collect()] == [7]
+    hot = spark.range(3000).selectExpr("id as review_id", "if(id < 1000, 0, id div 10) as book_id", "concat('u', id) as user_id")
+    for block in (1024, 32):
+        folds = S.stratified_group_folds(hot, 4, head_share=50, block_groups=block)
+        _, shares = _check_folds(hot, folds, 4, 3000)
+        # the hot group fills one fold by itself, the others share the rest evenly
+        assert sorted(round(x, 1) for x in shares) == [0.2, 0.2, 0.2, 0.3] and folds.count() == 201
+
+
+def test_hot_users_and_books_can_be_split(spark):
+    """Both sides of these joins are dealt for the join alone, so adaptive
+    execution may split a partition that one user or book fills."""
+    df = _groups_df(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (S.restrict_to_active(df), S.restrict_to_casual(df), S.stratified_deal_split(df),
+                    S.stratified_greedy_split(df)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            join = plan[plan.index("SortMergeJoin"):]
+            assert "__join_h" in join and join.count("Exchange hashpartitioning(__join_") >= 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_folds_with_null_groups_and_strata(spark):
     rows = [(i, i % 30, None if i % 30 < 6 else f"u{i % 4}") for i in range(300)] + [(900 + i, None, "u1") for i in range(20)]
     df = spark.createDataFrame(rows, "review_id long, book_id long, user_id string")

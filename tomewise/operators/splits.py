@@ -14,10 +14,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tomewise.operators.ranking import positions_within
+from tomewise.operators.joins import join_once
+from tomewise.operators.ranking import global_positions, positions_within
 from tomewise.operators.sampling import kth_smallest, seeded_key, threshold_filter
 from tomewise.session import reliable as _reliable
 
@@ -134,8 +138,8 @@ def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
     f2 = deal_groups(df, n_valid, group_col, stratum_col, seed + 1, counts=rest).select(
         group_col, (F.col("fold") == 0).alias("_valid"))
     decided = f1.join(f2, group_col, "left")
-    # The group table has one row per group; AQE broadcasts it when small.
-    return (df.join(decided, group_col, "left")
+    # one row per group; a book may hold a large share of the rows
+    return (join_once(df, decided, group_col, "left")
               .withColumn("split", F.when(F.col("_test"), "test")
                                     .when(F.col("_valid"), "valid").otherwise("train"))
               .drop("_test", "_valid"))
@@ -143,95 +147,126 @@ def stratified_deal_split(df: DataFrame, group_col: str = "book_id",
 
 # SP3, greedy ------------------------------------------------------------------
 
-# A group or stratum with at least 1/HEAD_SHARE of all rows counts as large, so
-# there are at most HEAD_SHARE of either, whatever the size of the data.
+# A stratum with at least 1/HEAD_SHARE of all rows stands for itself, smaller ones
+# are merged into HEAD_SHARE hashed ones: a group meets at most twice as many.
 HEAD_SHARE = 2_000
+# Groups that are priced one after another, in one task.
+BLOCK_GROUPS = 1_024
+# How often a block's groups are priced again, each against all others.
+PRICED_AGAIN = 3
 # A fold may exceed its even share of the rows by this factor.
 MAX_OVER = 1.02
 
 
-def _place_large(groups, n_folds: int, total: int) -> tuple[dict, list[int]]:
-    """Fold of each large group, one after another.
+def _place_block(block: pa.Table, n_folds: int, rows: list[float], n_blocks: int) -> tuple[list[int], list[int]]:
+    """Places (first rows) and folds of a block's groups, priced one after another.
 
-    ``groups``: (group, n rows, its (stratum, m, stratum total)), largest first,
-    read once and not held.  Each group
-    takes the fold whose squared stratum shares grow least, ties to the fold
-    with the fewest rows, among the folds that stay within their share of the
-    rows; if none does, the fold with the fewest rows.
+    ``block`` has a row per group and stratum, the groups in order (``_idx``):
+    the group's rows ``_n``, the share ``_x`` of the stratum's rows that it
+    holds and the shares ``_f`` of the stratum in each fold before this round.
+    A group takes the fold whose squared stratum shares grow least, ties to the
+    fold with the fewest rows, among the folds within their share of the rows;
+    if none is, the fold with the fewest rows.  The blocks of a round work side
+    by side and alike, so each counts its own picks ``n_blocks`` times.
     """
-    from collections import defaultdict
-    shares: dict = defaultdict(lambda: [0.0] * n_folds)
-    rows, folds = [0] * n_folds, {}
-    for group, n, cells in groups:
-        own = [(stratum, m / t) for stratum, m, t in cells]
-        cost = [sum(shares[s][f] * x for s, x in own) for f in range(n_folds)]
-        room = [f for f in range(n_folds) if rows[f] + n <= MAX_OVER * total / n_folds]
-        fold = (min(room, key=lambda f: (round(cost[f], 12), rows[f], f)) if room
-                else min(range(n_folds), key=lambda f: (rows[f], f)))
-        folds[group] = fold
-        rows[fold] += n
-        for s, x in own:
-            shares[s][fold] += x
-    return folds, rows
+    index, n, x = (block.column(c).to_numpy() for c in ("_idx", "_n", "_x"))
+    _, first, stratum = np.unique(block.column("_k").to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+    known = block.column("_f").take(pa.array(first)).to_pylist()
+    shares = np.array([f or [0.0] * n_folds for f in known])
+    begin = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
+    held = np.array(rows, np.float64)
+    room = MAX_OVER * (held.sum() + n_blocks * n[begin].sum()) / n_folds
+    folds = np.full(len(begin), -1)
+    ends = [*begin[1:].tolist(), len(index)]
+    for _ in range(1 + PRICED_AGAIN):
+        for g, (a, b) in enumerate(zip(begin.tolist(), ends)):
+            at, own, more = stratum[a:b], n_blocks * x[a:b], n_blocks * float(n[a])
+            if (fold := folds[g]) >= 0:  # out of its fold, as if it came last
+                shares[at, fold] -= own
+                held[fold] -= more
+            cost = np.round(own @ shares[at], 9)
+            open_ = held + more <= room
+            fold = int(np.lexsort((held, cost, ~open_))[0]) if open_.any() else int(np.argmin(held))
+            shares[at, fold] += own
+            held[fold] += more
+            folds[g] = fold
+    return begin.tolist(), folds.tolist()
+
+
+def _placing(n_folds: int, rows: tuple[float, ...], n_blocks: int, group_col: str):
+    def place(block):
+        block = block.sort_by([("_idx", "ascending"), ("_k", "ascending")])
+        at, folds = _place_block(block, n_folds, rows, n_blocks)
+        return pa.table([block.column(group_col).take(pa.array(at)), pa.array(folds, pa.int32())],
+                        names=[group_col, "fold"])
+
+    return place
 
 
 def stratified_group_folds(df: DataFrame, n_folds: int = 5, group_col: str = "book_id",
                            stratum_col: str = "user_id", seed: int = 42, head_share: int = HEAD_SHARE,
-                           counts: DataFrame | None = None) -> DataFrame:
+                           counts: DataFrame | None = None, block_groups: int = BLOCK_GROUPS) -> DataFrame:
     """SP3 (balanced): ``group_col, fold`` with groups intact, the folds of
     nearly equal size and every stratum spread as evenly as possible.
 
-    One algorithm at every size.  A group with at least 1/``head_share`` of
-    all rows is large; there are at most ``head_share`` such groups.  Large
-    groups decide the balance and are placed one after another by the greedy
-    rule, with strata of less than 1/``head_share`` of the rows merged into
-    ``head_share`` hashed ones: a table of at most ``head_share`` groups times
-    2 ``head_share`` strata, whatever the input, of which the driver reads one
-    partition at a time and keeps the folds and the strata's sums.  All other groups are dealt in
-    Spark: within its main stratum, a group at place i takes the fold at the
-    fraction ``frac(i * golden ratio + offset)`` of the room that the large
-    groups left in the folds, which fills the folds in proportion to their
-    room and spreads every stratum, with no window over a fold or a stratum.
+    Batched greedy, by one algorithm at every size.  Groups are ordered by
+    (rows desc, seeded key) and cut into rounds of doubling size: the first
+    ``block_groups``, then as many as all rounds before.  A round is dealt into
+    blocks of at most ``block_groups`` groups, each a cross-section of it.
+    Every block is priced in Spark against the running (fold, stratum) table
+    of the rounds before and picks by price under a cap on the fold's rows
+    (``_place_block``); then the picks enter the table, which is written with
+    ``checkpoint()``.  The largest groups, which decide the balance, come first
+    and see each other; later groups are small against the table.  The rounds
+    grow with the logarithm of the groups.  Strata of less than
+    1/``head_share`` of the rows are merged into ``head_share`` hashed ones, so
+    the running table and a group's strata are bounded; only group-level tables
+    are touched, and the driver sees one number per fold and round.
     """
-    spark = df.sparkSession
     if counts is None:
         counts = group_stratum_counts(df, group_col, stratum_col)
     m = _reliable(counts.where(F.col(group_col).isNotNull()).select(
         F.col(group_col), F.col(stratum_col).cast("string").alias("_s"), F.col("_m")))
     total = m.agg(F.sum("_m")).head()[0] or 0
-    g_type = m.schema[group_col].dataType.simpleString()
     if not total:
         return m.select(group_col, F.lit(0).alias("fold"))
-    large = (m.groupBy(group_col).agg(F.sum("_m").alias("_n")).where(F.col("_n") * head_share >= total))
     strata = (m.where(F.col("_s").isNotNull()).groupBy("_s").agg(F.sum("_m").alias("_t"))
                .where(F.col("_t") * head_share >= total).select(F.col("_s").alias("_large_s")))
-    # both sides have at most head_share rows by their definition
-    named = m.join(F.broadcast(strata), F.col("_s") == F.col("_large_s"), "left").withColumn(
-        "_k", F.when(F.col("_s").isNull(), "null").when(F.col("_large_s").isNotNull(), F.concat(F.lit("s"), "_s"))
-               .otherwise(F.concat(F.lit("h"), F.pmod(F.xxhash64("_s"), F.lit(head_share)))))
-    merged = named.groupBy("_k").agg(F.sum("_m").alias("_t"))
-    order = F.struct(-F.col("_n"), seeded_key(seed, group_col), F.col(group_col))
-    cells = (named.join(F.broadcast(large), group_col).groupBy(group_col, "_k")
-                  .agg(F.max("_n").alias("_n"), F.sum("_m").alias("_m"))
-                  .join(merged, "_k").groupBy(group_col, "_n")
-                  .agg(F.sort_array(F.collect_list(F.struct("_k", "_m", "_t"))).alias("_own"))
-                  .orderBy(order).select(group_col, "_n", "_own"))
-    # a partition at a time: the driver never holds the table
-    folds, rows = _place_large(cells.toLocalIterator(), n_folds, total)
-    placed = spark.createDataFrame(list(folds.items()), f"{group_col} {g_type}, fold int")
-    # the other groups, dealt by their main stratum
-    rest = m.join(F.broadcast(large.select(group_col)), group_col, "left_anti")
-    g = rest.groupBy(group_col).agg(F.sum("_m").alias("_n"), F.min_by("_s", F.struct(-F.col("_m"), "_s")).alias("_s"))
-    room = [max(total / n_folds - r, 0.0) for r in rows]
-    edges = [sum(room[:f + 1]) / (sum(room) or 1.0) for f in range(n_folds - 1)]
-    at = positions_within(g, "_s", [F.col("_n").desc(), seeded_key(seed, group_col), F.col(group_col)], "_at")
-    start = _hex8_to_long(seeded_key(seed, F.coalesce("_s", F.lit("")))) / F.lit(float(1 << 32))
-    turn = F.col("_at") * F.lit((5 ** 0.5 - 1) / 2) + start
-    part = turn - F.floor(turn)
-    fold = F.lit(n_folds - 1)
-    for f in range(n_folds - 2, -1, -1):
-        fold = F.when(part < F.lit(edges[f]), F.lit(f)).otherwise(fold)
-    return placed.unionByName(at.select(group_col, fold.cast("int").alias("fold")))
+    # at most head_share rows by its definition
+    named = m.join(F.broadcast(strata), F.col("_s") == F.col("_large_s"), "left").select(
+        group_col, "_m", F.when(F.col("_s").isNull(), "null").when(F.col("_large_s").isNotNull(), F.concat(F.lit("s"), "_s"))
+        .otherwise(F.concat(F.lit("h"), F.pmod(F.xxhash64("_s"), F.lit(head_share)))).alias("_k"))
+    merged = named.groupBy("_k").agg(F.sum("_m").alias("_t"))  # at most 2 head_share + 1 rows
+    groups = m.groupBy(group_col).agg(F.sum("_m").alias("_n"))
+    placed = global_positions(groups, [F.col("_n").desc(), seeded_key(seed, group_col), F.col(group_col)], "_idx")
+    cells = _reliable(named.groupBy(group_col, "_k").agg(F.sum("_m").alias("_m")).join(F.broadcast(merged), "_k")
+                           .join(placed, group_col)
+                           .select(group_col, "_k", "_n", "_idx", (F.col("_m") / F.col("_t")).alias("_x")))
+    n_groups = cells.agg(F.max("_idx")).head()[0] + 1
+    out = T.StructType([df.schema[group_col], T.StructField("fold", T.IntegerType(), False)])
+    rows, state, done, begin = [0.0] * n_folds, None, None, 0
+    while begin < n_groups:
+        size = max(begin, block_groups)
+        n_blocks = math.ceil(min(size, n_groups - begin) / block_groups)
+        part = cells.where(F.col("_idx").between(begin, begin + size - 1)).withColumn(
+            "_b", (F.col("_idx") % n_blocks).cast("int"))
+        part = (part.withColumn("_f", F.lit(None).cast("array<double>")) if state is None
+                else part.join(F.broadcast(state), "_k", "left"))  # as many rows as strata
+        picks = _reliable(part.groupBy("_b").applyInArrow(_placing(n_folds, tuple(rows), n_blocks, group_col), out))
+        done = picks if done is None else done.unionByName(picks)
+        begin += size
+        if begin < n_groups:
+            chosen = part.drop("_f", "_b").join(picks, group_col)
+            grown = chosen.groupBy("_k").agg(F.array(*[
+                F.sum(F.when(F.col("fold") == f, F.col("_x")).otherwise(0.0)) for f in range(n_folds)]).alias("_f"))
+            if state is not None:
+                grown = state.unionByName(grown).groupBy("_k").agg(F.array(*[
+                    F.sum(F.col("_f")[f]) for f in range(n_folds)]).alias("_f"))
+            state = _reliable(grown)
+            held = picks.join(groups, group_col).groupBy("fold").agg(F.sum("_n").alias("n")).collect()  # a row per fold
+            for r in held:
+                rows[r["fold"]] += r["n"]
+    return done
 
 
 def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
@@ -250,7 +285,7 @@ def stratified_greedy_split(df: DataFrame, group_col: str = "book_id",
     # the rows are joined once
     decided = (test_groups.withColumn("_s", F.lit("test"))
                .unionByName(valid_groups.withColumn("_s", F.lit("valid"))))
-    return (df.join(decided, group_col, "left")
+    return (join_once(df, decided, group_col, "left")
               .withColumn("split", F.coalesce(F.col("_s"), F.lit("train")))
               .drop("_s"))
 
@@ -265,13 +300,15 @@ def active_users(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5)
 
 def restrict_to_active(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5) -> DataFrame:
     """J1: left-semi join on the active-user set (rows without a user drop out)."""
-    return df.join(active_users(df, user_col, min_reviews), user_col, "left_semi")
+    known = df.where(F.col(user_col).isNotNull())
+    return join_once(known, active_users(known, user_col, min_reviews), user_col, "left_semi")
 
 
 def restrict_to_casual(df: DataFrame, user_col: str = "user_id", min_reviews: int = 5) -> DataFrame:
     """J2: left-anti join on the active-user set; rows without a user are
     nobody's reviews and drop out."""
-    return df.where(F.col(user_col).isNotNull()).join(active_users(df, user_col, min_reviews), user_col, "left_anti")
+    known = df.where(F.col(user_col).isNotNull())
+    return join_once(known, active_users(known, user_col, min_reviews), user_col, "left_anti")
 
 
 def active_user_dealt_split(df: DataFrame, group_col: str = "book_id",
