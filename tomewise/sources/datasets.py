@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomewise.session import checkpoint_dir
-from tomewise.sources import commits
+from tomewise.sources import commits, quoted_csv
 
 REVIEW_CSV_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -63,18 +63,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              na_values: bool = True) -> DataFrame:
     """IO1: header, quoted multi-line text, empty and ``NA_STRINGS`` to null.
 
-    A declared schema avoids the inference pass over the whole file.
-    Quoted multi-line records make a CSV file unsplittable (each file is
-    read by one task), so a large corpus should arrive as many files, or be
-    converted to Parquet once with this reader.
+    Quoted multi-line records are read splittably (``quoted_csv``), so one large
+    file keeps many tasks busy.  Without a schema the types are inferred first,
+    by Spark's own reader, which reads each file in one task.
     """
-    r = (spark.read.option("header", True).option("multiLine", True)
-         .option("escape", '"').option("quote", '"'))
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    df = r.csv(path)
+    if schema is None:
+        schema = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                  .option("inferSchema", True).csv(path).schema)
+    df = quoted_csv.read(spark, path, schema)
     if na_values:  # a string column keeps what the parser left; other types have null for them already
         df = df.select([F.when(~F.col(f.name).isin(NA_STRINGS), F.col(f.name)).alias(f.name)
                         if isinstance(f.dataType, T.StringType) else F.col(f.name)
