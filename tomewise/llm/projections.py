@@ -55,13 +55,13 @@ MIN_COSINE = 0.93
 SEED = 13
 # Counted directions, half a window in standard deviations of a pair at the
 # least cosine, and the share of such pairs that the count must keep.
-N_COUNTED = 32
+N_COUNTED = 16
 WINDOW = 1.5
 COUNT_RECALL = 0.999
 # Width of a slab on the unit sphere, rows of a cell, and the share of pairs at
 # the least cosine that some table must bring together.
 SLAB = 2.0
-CELL_ROWS = 256
+CELL_ROWS = 128
 MIN_SLABS = 4
 TABLE_RECALL = 0.995
 # Rows of a group at most (two parts of a crowded cell have half of it each).
@@ -141,19 +141,30 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def collisions(ours: np.ndarray, theirs: np.ndarray, window: float, needed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of ``ours``, row of ``theirs``) that share at least
-    ``needed`` windows; both are projections, a column per direction."""
-    counts = np.zeros((len(ours), len(theirs)), np.uint8)
-    for h, g in zip(ours.T, theirs.T):
-        order = np.argsort(g, kind="stable")
-        line = g[order]
-        first = np.searchsorted(line, h - window, "left")
-        n = np.searchsorted(line, h + window, "right") - first
-        row = np.repeat(np.arange(len(h)), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-        counts[row, order[at]] += 1  # a pair meets at most once in a direction
-    return np.nonzero(counts >= needed)
+def collisions(group: np.ndarray, asks: np.ndarray, answers: np.ndarray, counted: np.ndarray, window: float,
+               needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a row that asks, a row that answers) of one group that share at
+    least ``needed`` windows.  ``group`` numbers the rows' groups, ascending
+    from 0; ``counted`` has a column per direction."""
+    n = np.bincount(group[answers], minlength=group[-1] + 1)
+    place = np.arange(len(group))
+    place[answers] = np.arange(len(answers)) - (np.cumsum(n) - n)[group[answers]]
+    room = n[group[asks]]
+    at = np.cumsum(room) - room  # where the counts of a row that asks begin
+    counts = np.zeros(int(room.sum()), np.uint8)
+    apart = 4 * np.abs(counted).max() + 4 * window + 1  # groups lie apart on the line
+    for h in counted.T:
+        line = group * apart + h
+        order = answers[np.argsort(line[answers], kind="stable")]
+        sorted_line = line[order]
+        first = np.searchsorted(sorted_line, line[asks] - window, "left")
+        met = np.searchsorted(sorted_line, line[asks] + window, "right") - first
+        j = np.arange(met.sum()) - np.repeat(np.cumsum(met) - met - first, met)
+        counts[np.repeat(at, met) + place[order[j]]] += 1  # a pair meets at most once in a direction
+    hit = np.flatnonzero(counts >= needed)
+    row = np.searchsorted(at, hit, "right") - 1
+    begin = (np.cumsum(n) - n)[group[asks[row]]]
+    return asks[row], answers[begin + hit - at[row]]
 
 
 def _by_length(lists: pa.Array):
@@ -208,35 +219,50 @@ def _grouped(reps: DataFrame, plan: Plan, max_cell: int) -> DataFrame:
                     "node", "label", "copies", "vector"))
 
 
-def _group_links(group: pa.Table, plan: Plan) -> pa.Table:
-    """Per linked row of a group the copies of its partners, and a forest."""
-    node, copies, part = (group.column(c).to_numpy() for c in ("node", "copies", "part"))
-    cell, low, high = (group.column(c)[0].as_py() for c in _GROUP)
-    texts = group.column("label").combine_chunks()
-    labels, code = _numbers(texts), texts.dictionary_encode().indices.to_numpy()
-    degree, forest = np.zeros(len(node), np.int64), Forest(len(node))
-    for at, rows in _by_length(group.column("vector").combine_chunks()):
-        unit = unit_rows(rows)
-        cells = plan.cells(unit, labels[at])
-        table = (cells == cell).argmax(axis=1)
+# Pairs that are counted at a time.
+_COUNTS = 4_000_000
+
+
+def _links(rows: pa.Table, plan: Plan) -> pa.Table:
+    """Per linked row of whole groups, sorted, the copies of its partners and a
+    node of its group that it is tied to."""
+    node, copies, part, cell, low, high = (rows.column(c).to_numpy() for c in (
+        "node", "copies", "part", "cell", "low", "high"))
+    labels = rows.column("label").combine_chunks()
+    numbers, code = _numbers(labels), labels.dictionary_encode().indices.to_numpy()
+    fresh = np.r_[True, (cell[1:] != cell[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+    degree, pairs = np.zeros(len(node), np.int64), [np.zeros((2, 0), np.int64)]
+    for at, vectors in _by_length(rows.column("vector").combine_chunks()):
+        unit = unit_rows(vectors)
+        cells = plan.cells(unit, numbers[at])
+        table = (cells == cell[at][:, None]).argmax(axis=1)
         counted = unit @ plan.directions(unit.shape[1])[2]
-        left, right = np.flatnonzero(part[at] == low), np.flatnonzero(part[at] == high)
-        i, j = collisions(counted[left], counted[right], plan.window, plan.needed)
-        i, j = left[i], right[j]
-        wanted = (code[at[i]] == code[at[j]]) & ((i < j) if low == high else True)
-        i, j = i[wanted], j[wanted]
-        for a in range(0, len(i), 65_536):
-            x, y = i[a:a + 65_536], j[a:a + 65_536]
-            # of all tables in which the two meet, the first one counts
-            x, y = (z[(cells[x] == cells[y]).argmax(axis=1) == table[x]] for z in (x, y))
-            near = np.einsum("ij,ij->i", unit[x], unit[y]) >= plan.min_cosine
-            x, y = at[x[near]], at[y[near]]
-            np.add.at(degree, x, copies[y])
-            np.add.at(degree, y, copies[x])
-            forest.link(x, y)
-    root = forest.roots()
+        of = np.unique(np.cumsum(fresh)[at], return_inverse=True)[1]
+        cost = np.cumsum(np.bincount(of).astype(np.int64) ** 2)
+        for turn in np.unique(cost // _COUNTS).tolist():  # whole groups; one alone is bounded
+            some = np.flatnonzero((cost // _COUNTS == turn)[of])
+            group = of[some] - of[some[0]]
+            asks, answers = (np.flatnonzero(part[at[some]] == side[at[some]]) for side in (low, high))
+            i, j = collisions(group, asks, answers, counted[some], plan.window, plan.needed)
+            i, j = some[i], some[j]
+            x, y = at[i], at[j]
+            wanted = (code[x] == code[y]) & ((i < j) | (low[x] != high[x]))
+            i, j = i[wanted], j[wanted]
+            for a in range(0, len(i), 65_536):
+                x, y = i[a:a + 65_536], j[a:a + 65_536]
+                # of all tables in which the two meet, the first one counts
+                once = (cells[x] == cells[y]).argmax(axis=1) == table[x]
+                x, y = x[once], y[once]
+                near = np.einsum("ij,ij->i", unit[x], unit[y]) >= plan.min_cosine
+                x, y = at[x[near]], at[y[near]]
+                np.add.at(degree, x, copies[y])
+                np.add.at(degree, y, copies[x])
+                pairs.append(np.stack([x, y]))
+    forest = Forest(len(node))
+    forest.link(*np.concatenate(pairs, axis=1))
     tied = np.flatnonzero(degree)
-    return pa.table([pa.array(node[tied]), pa.array(node[root[tied]]), pa.array(degree[tied])], names=["a", "b", "n"])
+    return pa.table([pa.array(node[tied]), pa.array(node[forest.roots()[tied]]), pa.array(degree[tied])],
+                    names=["a", "b", "n"])
 
 
 def _found(grouped: DataFrame, plan: Plan) -> DataFrame:
@@ -247,15 +273,15 @@ def _found(grouped: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+            if not rows.num_rows:
+                continue
             keys = [rows.column(c).to_numpy() for c in _GROUP]
-            fresh = np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)] if rows.num_rows else np.zeros(0, bool)
-            begin = np.flatnonzero(fresh).tolist()
-            for a, b in zip(begin, begin[1:]):
-                if b - a > 1:
-                    yield from _group_links(rows.slice(a, b - a), plan).to_batches()
-            rest = rows.slice(begin[-1]) if begin else None
-        if rest is not None and rest.num_rows > 1:
-            yield from _group_links(rest, plan).to_batches()
+            last = int(np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])[-1])
+            whole, rest = rows.slice(0, last), rows.slice(last)  # the last group may go on
+            if last:
+                yield from _links(whole, plan).to_batches()
+        if rest is not None and rest.num_rows:
+            yield from _links(rest, plan).to_batches()
 
     return grouped.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(run, "a long, b long, n long")
 
