@@ -139,6 +139,51 @@ def test_bayes_stream_equals_batch_in_bounded_batches(spark, scratch):
     assert all(r.label == r.review_id % 2 for r in out.collect())
 
 
+def test_batch_killed_before_its_commit(spark, scratch, monkeypatch):
+    """A reader in between sees no part of the batch; the rerun commits it once."""
+    import pytest
+
+    from tomewise.operators import bayes
+    from tomewise.sources import commits
+    from tomewise.streaming import scorer as ST
+    rows = [(i, f"Review {i} {'good great' if i % 2 else 'bad poor'}  text", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    vocab = spark.createDataFrame([(w,) for w in ("good", "great", "bad", "poor", "text")], "word string")
+    models = {"nb": bayes.fit(df, vocab)}
+    ST.land(df, f"{scratch}/in", n_files=4)
+
+    def start():
+        return ST.start_scorer(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/chk", models, max_files_per_trigger=2)
+
+    calls, commit = [], commits.commit
+
+    def dies_at_the_second(spark_, staged, target):
+        calls.append(target)
+        if len(calls) == 2:
+            assert 0 < spark_.read.parquet(staged).count() < 40  # written, not committed
+            raise RuntimeError("killed")
+        return commit(spark_, staged, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", dies_at_the_second)
+        m.setattr(commits, "remove", lambda *_: None)
+        with pytest.raises(Exception, match="killed"):
+            start().awaitTermination()
+    seen = ST.read_scores(spark, f"{scratch}/out")
+    assert 0 < seen.count() < 40 and {r.batch for r in seen.select("batch").distinct().collect()} == {0}
+    start().awaitTermination()
+    seen = ST.read_scores(spark, f"{scratch}/out")
+    assert sorted(r.review_id for r in seen.collect()) == list(range(40))
+    assert commits.remove_abandoned(spark, f"{scratch}/out", -1) == 1
+    # a batch that runs again computes and writes nothing; another query's number is refused
+    import json
+    own = json.loads(commits.read_text(spark, f"{scratch}/chk/metadata"))["id"]
+    again = ST.commit_batch(lambda: 1 / 0, spark, f"{scratch}/out", own, 1)
+    assert again is False and ST.read_scores(spark, f"{scratch}/out").count() == 40
+    with pytest.raises(ST.ForeignBatch):
+        ST.commit_batch(lambda: 1 / 0, spark, f"{scratch}/out", "another", 1)
+
+
 def test_score_models_single_pass_equals_each_model(spark):
     from tomewise.operators import model as ML
     from tomewise.operators.scoring import score_models
@@ -155,6 +200,38 @@ def test_score_models_single_pass_equals_each_model(spark):
     assert "Union" not in plan
 
 
+def test_halving_sweep_keeps_the_trials_a_plain_version_keeps(spark):
+    from tomewise.operators import model as ML
+    words = ["good", "great", "bad", "poor", "odd", "text"]
+    rows = [(i, " ".join(words[(i * k + k) % 6] for k in range(1, 6)), (i + i // 7) % 3) for i in range(150)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, rating int")
+    train, valid = df.where("review_id % 3 != 0"), df.where("review_id % 3 = 0")
+    res = ML.halving_sweep(spark, train, valid, n_trials=7, seed=3, parallelism=4, rungs=(1, 3)).collect()
+    draws = {d["trial"]: d for d in ML.draw_trials(7, 3)}
+
+    def accuracy(t, iterations):
+        cfg = ML.TrainConfig(num_features=draws[t]["num_features"], reg_param=draws[t]["reg_param"], max_iter=iterations)
+        return ML.accuracy_of(ML.predict(ML.train_classifier(train, cfg), valid, ["rating"]), "rating")
+
+    got = {}
+    for r in res:
+        got.setdefault((r.bracket, r.rung), []).append((r.trial, r.iterations, r.valid_accuracy, r.survives))
+    for b in range(ML.BRACKETS):
+        alive = [t for t in range(7) if t % ML.BRACKETS == b]
+        for rung in range(b, 3):
+            its = {t: min((1, 3)[rung], draws[t]["max_iter"]) if rung < 2 else draws[t]["max_iter"] for t in alive}
+            scored = sorted((-accuracy(t, its[t]), t) for t in alive)
+            on = sorted(t for _, t in scored[:-(-len(scored) // ML.ETA)]) if rung < 2 else []
+            assert sorted(got.pop((b, rung))) == sorted((t, its[t], -a, t in on) for a, t in scored)
+            alive = on
+    assert not got
+    last = {r.trial: r for r in ML.last_rungs(spark.createDataFrame(res, ML.RUNG_SCHEMA)).collect()}
+    assert sorted(last) == list(range(7)) and all(last[r.trial].valid_accuracy == r.valid_accuracy
+                                                  for r in res if not r.survives)
+    assert ML.survivors([(3, 0.5), (1, 0.5), (2, float("nan")), (0, 0.1)], 2) == [1, 3]
+    assert ML.survivors([(5, float("nan"))]) == [5] and ML.survivors([]) == []
+
+
 def test_sweep_one_width_at_a_time_results(spark):
     from tomewise.operators import model as ML
     rows = [(i, f"review {i} {'good great' if i % 2 else 'bad poor'} text", i % 2) for i in range(60)]

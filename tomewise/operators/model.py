@@ -5,7 +5,8 @@ ratings, accuracy on held-out books) with a Spark ML pipeline
 ``Tokenizer -> HashingTF -> IDF -> LogisticRegression(multinomial)``.
 Hashing needs no vocabulary pass; IDF is one aggregate; the optimiser
 aggregates gradients over partitions.  The sweep fits one model per draw on
-the fixed train/valid splits (re-splitting rows would leak books).
+the fixed train/valid splits (re-splitting rows would leak books), all to the end
+(``sweep``) or by successive halving (``halving_sweep``).
 """
 
 from __future__ import annotations
@@ -67,9 +68,9 @@ def fitted_model(spark: SparkSession, name: str, fingerprint: str, train_fn, roo
     under ``root``, loaded afterwards."""
     import hashlib
 
-    from tomewise.sources.datasets import _exists
+    from tomewise.sources.commits import exists
     path = f"{root}/models/{name}/{hashlib.md5(fingerprint.encode()).hexdigest()[:16]}"
-    if _exists(spark, f"{path}/metadata"):
+    if exists(spark, f"{path}/metadata"):
         return PipelineModel.load(path)
     model = train_fn()
     model.write().overwrite().save(path)
@@ -161,6 +162,92 @@ def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+# Early termination: trials are fitted for a few iterations first, and only the
+# best share of each rung is fitted for more.  The last rung is a trial's own
+# number of iterations.
+RUNG_ITERATIONS = (5, 15)
+ETA = 3
+BRACKETS = 2
+
+RUNG_SCHEMA = T.StructType([
+    T.StructField("bracket", T.IntegerType()), T.StructField("rung", T.IntegerType()),
+    T.StructField("iterations", T.IntegerType()), *RESULT_SCHEMA.fields,
+    T.StructField("survives", T.BooleanType()),
+])
+
+
+def survivors(scored: list[tuple[int, float]], eta: int = ETA) -> list[int]:
+    """The trials of a rung that go on: the best ``1/eta``, rounded up, of
+    ``(trial, accuracy)``; ties go to the smaller trial, no accuracy is last."""
+    ranked = sorted(scored, key=lambda x: (-x[1] if x[1] == x[1] else math.inf, x[0]))
+    return sorted(t for t, _ in ranked[:-(-len(ranked) // eta)])
+
+
+def halving_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
+                  label_col: str = "rating", text_col: str = "review_text", parallelism: int = 8,
+                  n_brackets: int = BRACKETS, eta: int = ETA, rungs: tuple[int, ...] = RUNG_ITERATIONS) -> DataFrame:
+    """ML5 with early termination: one row per (trial, rung) reached, ``bracket,
+    rung, iterations, trial, params..., valid_accuracy, survives``.
+
+    The draws are those of ``sweep``.  Trials are dealt to brackets in turn;
+    bracket b starts at rung b, so later brackets give every trial more
+    iterations before the first cut.  In a rung every trial still in its
+    bracket is fitted for the rung's iterations (its own number at most, and
+    exactly that in the last rung) and scored on ``valid``; the best ``1/eta`` go on.
+    All fits of a rung run as concurrent Spark jobs on features that are
+    cached once per hash width, until no trial of that width is left.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    trials = draw_trials(n_trials, seed)
+    n_brackets = max(1, min(n_brackets, len(rungs) + 1))
+    alive = {b: [t for t in trials if t["trial"] % n_brackets == b] for b in range(n_brackets)}
+    cached: dict[int, tuple[DataFrame, DataFrame]] = {}
+    rows = []
+
+    def features(width: int) -> tuple[DataFrame, DataFrame]:
+        fm = Pipeline(stages=featurizer_stages(TrainConfig(num_features=width, text_col=text_col,
+                                                           label_col=label_col))).fit(train)
+        return tuple(fm.transform(d).select("features", label_col).cache() for d in (train, valid))
+
+    def run(job) -> float:
+        t, iterations = job
+        tr, va = cached[t["num_features"]]
+        cfg = TrainConfig(num_features=t["num_features"], reg_param=t["reg_param"], max_iter=iterations,
+                          text_col=text_col, label_col=label_col)
+        return accuracy_of(classifier(cfg).fit(tr).transform(va), label_col)
+
+    try:
+        for rung in range(len(rungs) + 1):
+            jobs = [(b, t, min(rungs[rung], t["max_iter"]) if rung < len(rungs) else t["max_iter"])
+                    for b, ts in alive.items() if rung >= b for t in ts]
+            for width in sorted({t["num_features"] for _, t, _ in jobs} - cached.keys()):
+                cached[width] = features(width)
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                scores = list(pool.map(run, [(t, i) for _, t, i in jobs]))
+            for b in alive:
+                own = [(t, i, a) for (of, t, i), a in zip(jobs, scores) if of == b]
+                if own:
+                    stays = survivors([(t["trial"], a) for t, _, a in own], eta) if rung < len(rungs) else []
+                    alive[b] = [t for t, _, _ in own if t["trial"] in stays]
+                    rows += [(b, rung, int(i), t["trial"], float(t["reg_param"]), int(t["max_iter"]),
+                              int(t["num_features"]), a, t["trial"] in stays) for t, i, a in own]
+            for width in cached.keys() - {t["num_features"] for ts in alive.values() for t in ts}:
+                for d in cached.pop(width):
+                    d.unpersist()
+    finally:
+        for pair in cached.values():
+            for d in pair:
+                d.unpersist()
+    return spark.createDataFrame(sorted(rows), RUNG_SCHEMA)
+
+
+def last_rungs(results: DataFrame) -> DataFrame:
+    """The columns of ``sweep``'s results: each trial's last rung."""
+    last = results.groupBy("trial").agg(F.max_by(F.struct(*RESULT_SCHEMA.names), "rung").alias("r"))
+    return last.select("r.*")
+
+
 def best_trial(results: DataFrame) -> DataFrame:
     """ML6: the trial with the highest validation accuracy (ties: first trial)."""
     best = F.max_by(F.struct(*[F.col(c) for c in results.columns]),

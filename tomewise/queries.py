@@ -893,7 +893,11 @@ from tomewise.streaming import scorer as ST  # noqa: E402
 
 
 def _bayes(spark, sf, smoothing: float = 1.0):
-    return NB.fit(P.train_rows(spark, sf), _vocab(spark, sf), smoothing)
+    """A model of any smoothing from the (word, class) counts, which are
+    written once per input (IO9)."""
+    def written(counts):
+        return IO.materialize(spark, "bayes_counts", P._fp(sf, 42), lambda: counts)
+    return NB.count_words(P.train_rows(spark, sf), _vocab(spark, sf), write=written).smoothed(smoothing)
 
 
 def _bayes_scored(spark, sf):
@@ -994,13 +998,50 @@ def q_train_classifier_report(spark, sf):
 SWEEP_TRIALS = 20
 
 
-def _sweep(spark, sf):
-    """The sweep's results table, written once per input (IO9)."""
+def _rungs(spark, sf):
+    """The sweep's table of (trial, rung), written once per input (IO9)."""
     def build():
         rows = P.split_processed(spark, sf)
-        return ML.sweep(spark, rows.where(F.col("split") == "train"), rows.where(F.col("split") == "valid"),
-                        n_trials=SWEEP_TRIALS, seed=42)
-    return IO.materialize(spark, "sweep_results", P._fp(sf, 42, SWEEP_TRIALS), build)
+        return ML.halving_sweep(spark, rows.where(F.col("split") == "train"), rows.where(F.col("split") == "valid"),
+                                n_trials=SWEEP_TRIALS, seed=42)
+    return IO.materialize(spark, "sweep_rungs", P._fp(sf, 42, SWEEP_TRIALS), build)
+
+
+def _sweep(spark, sf):
+    return ML.last_rungs(_rungs(spark, sf))
+
+
+def _sql_rungs() -> str:
+    """Expected size of every rung: trials are dealt to brackets in turn, and of
+    each rung the best part, rounded up, goes on."""
+    rows = []
+    for b in range(ML.BRACKETS):
+        n = len(range(b, SWEEP_TRIALS, ML.BRACKETS))
+        for rung in range(b, len(ML.RUNG_ITERATIONS) + 1):
+            on = -(-n // ML.ETA) if rung < len(ML.RUNG_ITERATIONS) else 0
+            rows.append(f"({b}, {rung}, {n}, {on}, 0, 0)")
+            n = on
+    return ("SELECT CAST(b AS INTEGER) AS bracket, CAST(r AS INTEGER) AS rung, CAST(n AS BIGINT) AS n_trials, "
+            "CAST(s AS BIGINT) AS n_survivors, CAST(w AS BIGINT) AS n_wrong, CAST(i AS BIGINT) AS n_wrong_iterations "
+            f"FROM (VALUES {', '.join(rows)}) t(b, r, n, s, w, i)")
+
+
+@query("sweep_rungs", _sql_rungs())
+def q_sweep_rungs(spark, sf):
+    """ML5, early termination, as a contract: the size of every rung, no trial
+    that goes on or stops against the order of accuracy and trial, no fit of
+    another number of iterations than the rung's."""
+    r = _rungs(spark, sf)
+    rung = Window.partitionBy("bracket", "rung")
+    place = F.row_number().over(rung.orderBy(F.col("valid_accuracy").desc(), "trial"))
+    goes_on = (place <= F.ceil(F.count(F.lit(1)).over(rung) / ML.ETA)) & (F.col("rung") < len(ML.RUNG_ITERATIONS))
+    wanted = F.least(F.coalesce(F.get(F.array(*map(F.lit, ML.RUNG_ITERATIONS)), F.col("rung")), "max_iter"), "max_iter")
+    stays = r.where("survives").select("trial", (F.col("rung") + 1).alias("rung"), F.lit(True).alias("came_on"))
+    checked = r.join(stays, ["trial", "rung"], "left").withColumn("_wrong", (F.col("survives") != goes_on) | (
+        F.col("came_on").isNull() & (F.col("rung") > F.col("bracket"))))
+    return checked.groupBy("bracket", "rung").agg(
+        F.count(F.lit(1)).alias("n_trials"), F.count_if("survives").alias("n_survivors"),
+        F.count_if("_wrong").alias("n_wrong"), F.count_if(F.col("iterations") != wanted).alias("n_wrong_iterations"))
 
 
 @query("sweep_results", O.with_chain("split", body=f"""
@@ -1009,7 +1050,8 @@ SELECT CAST(range AS INTEGER) AS trial, true AS in_space,
 FROM range({SWEEP_TRIALS})"""))
 def q_sweep_results(spark, sf):
     """ML5: 20 seeded random draws, as a contract: every trial once, its draw
-    inside the search space, its accuracy a whole number of validation rows."""
+    inside the search space, its accuracy (of its last rung) a whole number of
+    validation rows."""
     n = P.split_processed(spark, sf).where(F.col("split") == "valid").agg(F.count(F.lit(1)).alias("n_valid"))
     hits = F.col("valid_accuracy") * F.col("n_valid")
     return _sweep(spark, sf).crossJoin(n).select(  # one row on the right

@@ -4,11 +4,14 @@
 normalisation as the batch path, every fitted model, and an append-only
 Parquet sink.  The scorer keeps no state between batches, so it needs no
 watermark; exactly-once comes from the file sink and its checkpoint, or from
-folders named by batch.
+batches that are committed by one atomic move (``sources.commits``).
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tomewise.functions.text import normalise
 from tomewise.operators.bayes import NaiveBayes
 from tomewise.operators.scoring import score_models
+from tomewise.sources import commits
 
 ARRIVAL_SCHEMA = T.StructType([
     T.StructField("review_id", T.LongType()),
@@ -25,6 +29,13 @@ ARRIVAL_SCHEMA = T.StructType([
 ])
 
 
+SCORE_SCHEMA = T.StructType([
+    T.StructField("review_id", T.LongType()), T.StructField("model_name", T.StringType()),
+    T.StructField("label", T.IntegerType()), T.StructField("score", T.DoubleType()),
+    T.StructField("batch", T.IntegerType()),
+])
+
+
 def _arriving(spark: SparkSession, source_dir: str, schema: T.StructType,
               max_files_per_trigger: int | None) -> DataFrame:
     r = spark.readStream.schema(schema)
@@ -48,8 +59,7 @@ def start_scorer(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
 
     Fitted pipelines score row by row in the stream itself, into the file
     sink.  Naive Bayes models join and aggregate, so each micro-batch is scored
-    as a batch and written to a folder named by the batch: a batch that runs
-    again writes the same folder.
+    as a batch and committed under its number (``commit_batch``).
     """
     if all(isinstance(m, PipelineModel) for m in models.values()):
         out = scored_stream(spark, source_dir, models, max_files_per_trigger=max_files_per_trigger)
@@ -59,7 +69,9 @@ def start_scorer(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
         arriving = _arriving(spark, source_dir, ARRIVAL_SCHEMA, max_files_per_trigger)
 
         def write(batch: DataFrame, number: int) -> None:
-            score_each(models, batch).write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
+            # the query's id outlives its runs: it is kept in the checkpoint
+            query = json.loads(commits.read_text(spark, f"{checkpoint_location}/metadata"))["id"]
+            commit_batch(lambda: score_each(models, batch), spark, sink_dir, query, number)
         w, sink = arriving.writeStream.foreachBatch(write), {}
     w = w.option("checkpointLocation", checkpoint_location)
     if available_now:
@@ -69,6 +81,45 @@ def start_scorer(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
     return w.start(**sink)
 
 
+_QUERY = "_query.json"
+
+
+class ForeignBatch(RuntimeError):
+    pass
+
+
+def commit_batch(scored: Callable[[], DataFrame], spark: SparkSession, sink_dir: str, query: str, number: int) -> bool:
+    """Write a batch so that it appears whole or not at all, and once.
+
+    The rows go to a hidden folder that one atomic move turns into
+    ``batch=<number>``; a reader lists committed batches only, however far the
+    others are.  A batch that runs again finds its commit, computes nothing and
+    returns False; a batch of that number by another query is an error.
+    """
+    target = f"{sink_dir}/batch={number}"
+    done = commits.exists(spark, target)
+    if not done:
+        staged = commits.stage(spark, sink_dir)
+        try:
+            scored().write.parquet(staged)
+            commits.write_text(spark, f"{staged}/{_QUERY}", json.dumps({"query": query, "batch": number}))
+            if commits.commit(spark, staged, target):
+                return True
+        except BaseException:
+            commits.remove(spark, staged)
+            raise
+        commits.remove(spark, staged)
+    owner = json.loads(commits.read_text(spark, f"{target}/{_QUERY}"))["query"]
+    if owner != query:
+        raise ForeignBatch(f"batch {number} in {sink_dir} was committed by query {owner}; give each query a sink of its own")
+    return False
+
+
+def read_scores(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """``review_id, model_name, label, score, batch`` of the committed batches."""
+    return spark.read.schema(SCORE_SCHEMA).parquet(sink_dir)
+
+
 def score_each(models: dict[str, PipelineModel | NaiveBayes], df: DataFrame, key: str = "review_id") -> DataFrame:
     """``key, model_name, label, score`` of models of either kind."""
     parts = [m.score(df, [key]).select(key, F.lit(name).alias("model_name"), F.col("prediction").alias("label"),
