@@ -93,10 +93,15 @@ def _replacement(found: Column, pairs: list[tuple[str, str]]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), found)
 
 
+# Marks the keys found in a text while they are replaced.
+_MARK = "\x01"
+
+
 def _expand_substrings(c: Column, pairs: list[tuple[str, str]]) -> Column:
     """Every leftmost match of the keys' alternation, the first key that fits
-    at its place, replaced in one pass: the texts between the matches and the
-    matches' replacements are put together in turn.
+    at its place, replaced: one pass of the alternation puts marks around the
+    matches, and of the parts between marks every second one is a key.  A text
+    that holds the mark itself is cut at the matches and its keys are extracted.
 
     Keys are letters and apostrophes.  A look at the letters up to the next
     apostrophe spares most places the alternation, and a text without a key's
@@ -106,14 +111,21 @@ def _expand_substrings(c: Column, pairs: list[tuple[str, str]]) -> Column:
     ahead = "|".join([f"[A-Za-z]{{0,{reach}}}'", *plain])
     keys = f"(?={ahead})(?:{'|'.join(k for k, _ in pairs)})"
 
+    def put(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, _replacement(x, pairs)).otherwise(x)), "")
+
+    def cut(text: Column) -> Column:
+        between, found = F.split(text, keys, -1), F.regexp_extract_all(text, F.lit(keys), 0)
+        both = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda x, y: F.array(x, y))
+        return F.flatten(both)
+
     def one(text: Column) -> Column:
-        between = F.split(text, keys, -1)
-        found = F.regexp_extract_all(text, F.lit(keys), 0)
-        put = F.concat(F.transform(found, lambda k: _replacement(k, pairs)), F.array(F.lit("")))
         some = F.contains(text, F.lit("'"))
         for k in plain:
             some = some | F.contains(text, F.lit(k))
-        return F.when(some, F.array_join(F.zip_with(between, put, lambda x, y: F.concat(x, y)), "")).otherwise(text)
+        marked = F.split(F.regexp_replace(text, keys, f"{_MARK}$0{_MARK}"), _MARK, -1)
+        parts = F.when(F.contains(text, F.lit(_MARK)), F.slice(cut(text), 1, F.size(cut(text)) - 1)).otherwise(marked)
+        return F.when(some, put(parts)).otherwise(text)
 
     return F.transform(F.array(c), one)[0]  # the text is computed once, not once per use
 

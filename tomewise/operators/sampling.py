@@ -18,6 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomewise.operators.joins import broadcast_if_bounded, join_once
+from tomewise.session import reliable
+
 KEEP_ALL = "all"
 KEEP_NONE = "none"
 
@@ -141,12 +144,30 @@ def keep_smallest(df: DataFrame, k: dict | int, key: str, tiebreak: str,
     return df.where(threshold_filter(thr, key, tiebreak, strata))
 
 
-MAX_CUT_CLASSES = 10_000
+# So many classes are cut by conditions on the rows, more by a joined table.
+MAX_CUT_CLASSES = 32
+
+
+def cut_table(keyed: DataFrame, k: int, key: str, tiebreak: str, label_col: str, largest: int) -> DataFrame:
+    """``label_col, _cut`` for any number of classes: the ``k``-th smallest
+    ``(key, tiebreak)`` of each class that has more than ``k`` rows.  A class's
+    histogram of key beginnings names the bucket that holds the place, and only
+    that bucket is ranked; nothing reaches the driver."""
+    bucket = F.substring(F.col(key), 1, bucket_digits(largest))
+    w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    hist = keyed.groupBy(label_col, bucket.alias("_b")).count().withColumn("_cum", F.sum("count").over(w))
+    bounds = hist.where(F.col("_cum") >= k).groupBy(label_col).agg(
+        F.min_by(F.struct("_b", (k - F.col("_cum") + F.col("count")).alias("need")), "_b").alias("_at")).select(
+        F.col(label_col).alias("_of"), "_at._b", "_at.need")
+    place = Window.partitionBy("_of").orderBy(key, tiebreak)
+    held = keyed.select(F.col(label_col), key, tiebreak, bucket.alias("_in"))
+    edge = held.join(broadcast_if_bounded(reliable(bounds)), (F.col(label_col) == F.col("_of")) & (F.col("_in") == F.col("_b")))
+    return (edge.withColumn("_rank", F.row_number().over(place)).where(F.col("_rank") == F.col("need"))
+                .select(F.col("_of").alias(label_col), F.struct(F.col(key), F.col(tiebreak)).alias("_cut")))
 
 
 def class_counts(df: DataFrame, label_col: str) -> DataFrame:
     """``label_col, count`` of every class, written once."""
-    from tomewise.session import reliable
     return reliable(df.where(F.col(label_col).isNotNull()).groupBy(label_col).count())
 
 
@@ -157,9 +178,9 @@ def undersample(df: DataFrame, label_col: str = "rating", seed: int = 42,
 
     Rows are chosen by the seeded key, so the sample is a deterministic
     function of (seed, ids).  ``target`` overrides the minority size.  Up to
-    ``max_cut_classes`` classes are cut by one key threshold each (no shuffle
-    of rows); more classes are cut by the rows' places in the distributed
-    order of (class, key), which keeps the same rows.
+    ``max_cut_classes`` classes are cut by one condition each; beyond, the rows
+    meet the thresholds in a join, broadcast when they are proven small.  Both
+    keep the same rows, and neither shuffles them when the classes are few.
     """
     classes = class_counts(df, label_col)
     n, least, most = classes.agg(F.count(F.lit(1)), F.min("count"), F.max("count")).head()
@@ -168,9 +189,10 @@ def undersample(df: DataFrame, label_col: str = "rating", seed: int = 42,
     m = int(least if target is None else target)
     keyed = df.where(F.col(label_col).isNotNull()).withColumn("_key", seeded_key(seed, id_col))
     if n > max_cut_classes:
-        from tomewise.operators.ranking import positions_within
-        placed = positions_within(keyed, label_col, [F.col("_key"), F.col(id_col)], "_at")
-        return placed.where(F.col("_at") < m).drop("_key", "_at")
+        cuts = broadcast_if_bounded(reliable(cut_table(keyed, m, "_key", id_col, label_col, most)))
+        at = F.struct(F.col("_key"), F.col(id_col))
+        kept = join_once(keyed, cuts, label_col, "left").where(F.col("_cut").isNull() | (at <= F.col("_cut")))
+        return kept.drop("_key", "_cut") if m > 0 else df.where(F.lit(False))
     counts = {r[label_col]: r["count"] for r in classes.collect()}  # at most max_cut_classes rows
     kept = keep_smallest(keyed, {(c,): m for c in counts}, "_key", id_col, [label_col], largest_stratum=most)
     return kept.drop("_key")
