@@ -84,6 +84,30 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
                       F.array_max(vector_to_array("probability")).alias("confidence"))
 
 
+def recomputed(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+    """``key, own_class, own_confidence, margin`` of the logistic model from its
+    weights, in plain expressions: every class's score is its intercept plus
+    the sum of weight times feature over the entries of a row's sparse features.
+    ``margin`` is how far the best score is ahead."""
+    *features, lr = model.stages
+    weights, k = lr.coefficientMatrix.toArray(), lr.numClasses
+    table = df.sparkSession.createDataFrame(
+        [(i, *map(float, w)) for i, w in enumerate(weights.T)],
+        "slot int, " + ", ".join(f"w{c} double" for c in range(k)))  # a row per hash slot, a parameter
+    sparse = "features struct<type: int, size: int, indices: array<int>, values: array<double>>"
+    x = F.from_json(F.to_json(F.struct("features")), sparse)["features"]
+    rows = PipelineModel(stages=list(features)).transform(df).select(key, x.alias("x"))
+    entries = rows.select(key, F.explode_outer(F.arrays_zip(F.col("x.indices").alias("slot"), F.col("x.values").alias("v"))).alias("e"))
+    put = entries.select(key, "e.slot", "e.v").join(F.broadcast(table), "slot", "left")
+    sums = put.groupBy(key).agg(*[F.coalesce(F.sum(F.col(f"w{c}") * F.col("v")), F.lit(0.0)).alias(f"s{c}") for c in range(k)])
+    scores = F.array(*[F.col(f"s{c}") + F.lit(float(lr.interceptVector[c])) for c in range(k)])
+    ranked = F.reverse(F.array_sort("s"))
+    total = F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("s")))
+    return sums.select(key, scores.alias("s")).select(
+        key, (F.array_position("s", F.array_max("s")) - 1).cast("int").alias("own_class"),
+        (1 / total).alias("own_confidence"), (ranked[0] - ranked[1]).alias("margin"))
+
+
 # ML5, ML6 ------------------------------------------------------------------
 
 SWEEP_SPACE = {

@@ -443,8 +443,10 @@ def q_stratified_greedy_split(spark, sf):
 # --- Step 4: text cleaning, n-grams, polarity --------------------------------
 
 from tomewise.functions.constants import CONTRACTIONS  # noqa: E402
+from tomewise.operators import lexicon as LX  # noqa: E402
 from tomewise.operators import ngrams as NG  # noqa: E402
 from tomewise.operators import sentiment as SE  # noqa: E402
+from tomewise.sources import datasets as IO  # noqa: E402
 
 
 @query("clean_text", O.with_chain("deduped", body=f"""
@@ -627,6 +629,41 @@ def q_polarity_negated(spark, sf):
     return p.select("review_id", "rating", F.round("polarity", 6).alias("polarity"))
 
 
+HIGH_RATING, LOW_RATING = 4, 1  # ratings from here on, and down from here, teach the lexicon
+
+_SQL_LEARNED = f"""
+lw AS (SELECT rating, unnest(list_filter(string_split(tok, ' '), lambda w: w <> '')) AS word FROM cleaned),
+lc AS (SELECT word, count(*) AS n, count_if(coalesce(rating >= {HIGH_RATING}, false)) AS h,
+              count_if(coalesce(rating <= {LOW_RATING}, false)) AS l FROM lw GROUP BY word),
+lt AS (SELECT word, h, l, sum(h) OVER () AS th, sum(l) OVER () AS tl,
+              {float(LX.PRIOR_WORDS)!r} * n / sum(n) OVER () AS a FROM lc),
+lz AS (SELECT word, (ln((h + a) / (th + {LX.PRIOR_WORDS} - h - a)) - ln((l + a) / (tl + {LX.PRIOR_WORDS} - l - a)))
+              / sqrt(1 / (h + a) + 1 / (l + a)) AS z FROM lt),
+lex AS (SELECT word, z, z / max(abs(z)) OVER () AS pol FROM lz WHERE abs(z) >= {LX.MIN_Z})"""
+
+
+def _learned_lexicon(spark, sf):
+    """Learned from the cleaned train rows, written once per input (IO9)."""
+    return IO.materialize(spark, "lexicon", P._fp(sf, 42, LX.PRIOR_WORDS, LX.MIN_Z), lambda: LX.learn_lexicon(
+        _cleaned_train(spark, sf), F.col("rating") >= HIGH_RATING, F.col("rating") <= LOW_RATING, "tok"))
+
+
+@query("learned_lexicon", O.with_chain("split", _CLEANED, _SQL_LEARNED, body="""
+SELECT word, round(pol, 6) AS polarity, round(z, 6) AS z FROM lex"""))
+def q_learned_lexicon(spark, sf):
+    """TX16: the words that tell high from low ratings, with their polarity."""
+    return _learned_lexicon(spark, sf).select("word", F.round("polarity", 6).alias("polarity"), F.round("z", 6).alias("z"))
+
+
+@query("learned_polarity", O.with_chain("split", _CLEANED, _SQL_LEARNED, _sql_polarity(True), body="""
+SELECT review_id, rating, round(polarity, 6) AS polarity FROM pol"""))
+def q_learned_polarity(spark, sf):
+    """TX16, TX17: polarity of the cleaned texts by the learned lexicon (train)."""
+    p = SE.polarity(_cleaned_train(spark, sf), _learned_lexicon(spark, sf), "tok", ["review_id", "rating"],
+                    negators=NEGATORS, intensifiers=INTENSIFIERS)
+    return p.select("review_id", "rating", F.round("polarity", 6).alias("polarity"))
+
+
 @query("polarity_boxplot_by_rating", O.with_chain(
     "split", _CLEANED, _sql_lexicon(), _sql_polarity(False), _sql_boxplot("pol", "rating", "polarity"), body="""
 SELECT st.g AS rating, st.n, st.q1, st.median, st.q3, wk2.whisker_lo, wk2.whisker_hi, ol.n_outliers
@@ -642,8 +679,8 @@ def q_polarity_boxplot_by_rating(spark, sf):
 
 from tomewise.functions import logits as LG  # noqa: E402
 from tomewise.operators import metrics as M  # noqa: E402
+from tomewise.operators import subwords as SW  # noqa: E402
 from tomewise.operators import vocab as V  # noqa: E402
-from tomewise.sources import datasets as IO  # noqa: E402
 
 
 def _sql_scored(model: int = 0, lg: str = "lg", scored: str = "scored") -> str:
@@ -884,6 +921,40 @@ def q_decode_roundtrip(spark, sf):
     return V.decode(e, _vocab(spark, sf), "review_id", "input_ids")
 
 
+N_MERGES = 500
+
+
+def _merges(spark, sf):
+    """The sub-word merges of the train rows, written once per input (IO9)."""
+    return IO.materialize(spark, "subword_merges", P._fp(sf, 42, N_MERGES),
+                          lambda: SW.learn_merges(P.train_rows(spark, sf), n_merges=N_MERGES))
+
+
+@query("subword_vocab", f"SELECT CAST({N_MERGES} AS BIGINT) AS n_merges, CAST(0 AS BIGINT) AS n_orphans, CAST(0 AS BIGINT) AS n_twice")
+def q_subword_vocab(spark, sf):
+    """ML1, learned sub-words, as a contract: so many merges, each of symbols
+    that are bytes or come from an earlier round, none twice."""
+    m = _merges(spark, sf)
+    made = m.select(F.concat("left", "right").alias("side"), F.col("round").alias("made"))
+    sides = m.select("id", "round", F.explode(F.array("left", "right")).alias("side"))
+    orphans = sides.where(F.length("side") > 2).join(made, "side", "left").where(
+        F.coalesce(F.col("made") >= F.col("round"), F.lit(True))).agg(F.count(F.lit(1)).alias("n_orphans"))
+    sizes = m.agg(F.count(F.lit(1)).alias("n_merges"), (F.count(F.lit(1)) - F.countDistinct(F.concat("left", "right"))).alias("n_twice"))
+    return sizes.crossJoin(orphans).select("n_merges", "n_orphans", "n_twice")  # one row each
+
+
+@query("subword_roundtrip", O.with_chain("split", body="""
+SELECT review_id, review_text AS text, CAST(0 AS BIGINT) AS n_unknown, true AS no_longer FROM splitted"""))
+def q_subword_roundtrip(spark, sf):
+    """ML2, ML3: every processed review as sub-word ids and back, whole texts."""
+    rows = P.split_processed(spark, sf)
+    ids = reliable(SW.encode(rows, _merges(spark, sf)))
+    sizes = ids.select("review_id", F.size(F.filter("input_ids", lambda i: i.isNull())).cast("long").alias("n_unknown"),
+                       F.size("input_ids").alias("n_ids"))
+    back = SW.decode(ids, _merges(spark, sf)).join(sizes, "review_id")
+    return back.select("review_id", "text", "n_unknown", (F.col("n_ids") <= F.octet_length("text")).alias("no_longer"))
+
+
 # --- Step 6/7: training, sweep, scoring, streaming, IO -----------------------
 
 from tomewise.operators import bayes as NB  # noqa: E402
@@ -1071,11 +1142,19 @@ def q_sweep_best(spark, sf):
     return results.crossJoin(b).agg(F.count_if(better).alias("n_better"), F.countDistinct("bt").alias("n_best"))
 
 
-@query("score_splits", _SQL_ROWS_PER_SPLIT)
+@query("score_splits", O.with_chain("split", body="""
+SELECT split, count(*) AS n, CAST(0 AS BIGINT) AS n_other_class, CAST(0 AS BIGINT) AS n_other_confidence
+FROM splitted GROUP BY split"""))
 def q_score_splits(spark, sf):
-    """ML7, Spark ML pipeline, as a contract: per split one valid prediction for
-    every row (the SQL-checked scores are in ``bayes_scores``)."""
-    return q_train_classifier_report(spark, sf)
+    """ML7, Spark ML pipeline, as a contract: every row's class and confidence
+    are those that the model's own weights give, computed apart from it: scores
+    are intercepts plus weights times term counts times inverse frequencies."""
+    model, rows = _fit(spark, sf), P.split_processed(spark, sf)
+    scored = score_splits(model, rows).select("split", "review_id", "prediction", "confidence")
+    return ML.recomputed(model, rows, "review_id").join(scored, "review_id").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("prediction") != F.col("own_class")) & (F.col("margin") > 1e-9)).alias("n_other_class"),
+        F.count_if(F.abs(F.col("confidence") - F.col("own_confidence")) > 1e-6).alias("n_other_confidence"))
 
 
 class _LetterModel:
