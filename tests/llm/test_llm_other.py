@@ -75,6 +75,11 @@ def test_conversations_and_mirrored_replies(spark):
     assert [t for _, t in got[1][0]] == ["q", "a", "r", "b"] and [t for _, t in got[1][1]] == ["q", "b", "r", "a"]
     assert [t for _, t in got[2][1]] == ["ask", "ask"] and got[3][1] == [("assistant", "")]
     assert got[4] == ([("", "")],) * 2 and got[None][0] == [("user", "lost")]
+    lost = chat.conversations_as_turns(spark.createDataFrame(
+        [(None, 0, "user", "a"), (None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, None, None, None)],
+        "conv_id long, turn long, role string, text string"))
+    assert sorted(plain(r.turns) for r in lost.collect()) == [[("", "")], [("assistant", "b")], [("user", "a")]]
+    assert lost.columns == ["conv_id", "turns"]
     assert [t for _, t in got[5][1]] == ["3", "1", "1"]
 
 

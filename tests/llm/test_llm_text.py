@@ -1,6 +1,7 @@
 """Repetition rules, line windows and main text against plain versions."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -186,6 +187,40 @@ def test_surge_and_dive_points():
     assert main_text.spans([], 3, 80) == [] and main_text.spans([500], 3, 80) == [(0, 1)]
 
 
+def brute_spans(lengths, window, rise):
+    """Each line's window is summed by itself and written as a letter: S where
+    it surges, p where it holds any text, z where it holds none; a range is a
+    surge and what follows up to the dive, without its empty ends."""
+    sums = [sum(lengths[i:i + window]) for i in range(len(lengths))]
+    letters = "".join("S" if s >= rise else "p" if s else "z" for s in sums)
+    out = []
+    for m in re.finditer("S[Sp]*", letters):
+        full = [i for i in range(m.start(), m.end()) if lengths[i]]
+        out.append((full[0], full[-1] + 1))
+    return out
+
+
+def test_spans_match_brute_force():
+    rng = random.Random(11)
+    for _ in range(2000):
+        lengths = [rng.choice([0, 0, 0, 3, 20, 60, 200]) for _ in range(rng.randint(0, 40))]
+        window, rise = rng.randint(1, 6), rng.randint(1, 150)
+        assert main_text.spans(lengths, window, rise) == brute_spans(lengths, window, rise)
+
+
+def test_spans_of_all_pages_match_brute_force():
+    import duckdb
+    pages = duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    some = 0
+    for (page,) in pages:
+        for by_name in (True, False):
+            lengths = main_text.Lines(page, by_name).plain
+            found = main_text.spans(lengths, main_text.WINDOW_LINES, main_text.RISE_CHARS)
+            assert found == brute_spans(lengths, main_text.WINDOW_LINES, main_text.RISE_CHARS)
+            some += bool(found)
+    assert len(pages) == 250 and some > 400
+
+
 def test_marked_pages_are_cut_by_their_surges():
     teaser, end = "<article><p>Read on</p></article>", "Short end."
     for body, want in [(f"<div><p>{PARAGRAPH}</p><p>{end}</p></div>" + "<p></p>" * 3 + "<div class=ad></div>" * 3 + teaser,

@@ -93,11 +93,15 @@ def format_preferences(pairs: DataFrame, chosen_col: str = "chosen", rejected_co
 def conversations_as_turns(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                            text_col: str = "text") -> DataFrame:
     """One row per conversation, ``id_col, turns``, in the order of turn, role
-    and text; repeated rows count once."""
+    and text; repeated rows count once.  A row without an id belongs to no
+    conversation that is known: it is one of its own, of a single turn, so
+    however many there are, nothing gathers them."""
     row = F.struct(F.col(quoted(turn_col)).alias("turn"),
                    F.coalesce(F.col(quoted(role_col)), F.lit("")).alias("role"),
                    F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"))
-    return (df.groupBy(F.col(quoted(id_col)).alias(id_col)).agg(F.sort_array(F.collect_set(row)).alias("_rows"))
+    conversation = F.col(quoted(id_col))
+    return (df.groupBy(conversation.alias(id_col), F.when(conversation.isNull(), row).alias("_own"))
+              .agg(F.sort_array(F.collect_set(row)).alias("_rows"))
               .select(quoted(id_col), F.transform("_rows", lambda t: F.struct(
                   t["role"].alias("role"), t["text"].alias("text"))).alias("turns")))
 

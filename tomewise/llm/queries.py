@@ -138,22 +138,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 # the first turn whose two texts differ; the longer side's rest is rendered.
 _OP1 = r"""
 WITH turns AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+  SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE 0 END AS own FROM (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)),
 placed AS (
   SELECT *, row_number() OVER w AS i, lag(text) OVER w AS before,
-         row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn NULLS FIRST, role, text) AS k,
-         count(*) OVER (PARTITION BY conv_id, role = 'assistant') AS m
-  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+         row_number() OVER (PARTITION BY conv_id, own, role = 'assistant' ORDER BY turn NULLS FIRST, role, text) AS k,
+         count(*) OVER (PARTITION BY conv_id, own, role = 'assistant') AS m
+  FROM turns WINDOW w AS (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, role, text)),
 sides AS (
-  SELECT a.conv_id, a.i, a.role, a.text AS chosen,
+  SELECT a.conv_id, a.own, a.i, a.role, a.text AS chosen,
          CASE WHEN a.role <> 'assistant' THEN a.text
               WHEN 2 * a.k = a.m + 1 THEN coalesce(a.before, '')
               ELSE b.text END AS rejected
   FROM placed a LEFT JOIN placed b
-    ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.role = 'assistant' AND a.role = 'assistant' AND b.k = a.m + 1 - a.k),
+    ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.own = a.own AND b.role = 'assistant' AND a.role = 'assistant' AND b.k = a.m + 1 - a.k),
 cut AS (
-  SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN i END) OVER (PARTITION BY conv_id),
-                     max(i) OVER (PARTITION BY conv_id) + 1) AS d
+  SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN i END) OVER (PARTITION BY conv_id, own),
+                     max(i) OVER (PARTITION BY conv_id, own) + 1) AS d
   FROM sides),
 shown AS (
   SELECT *, '<|' || role || '|>' || chr(10) || chosen || '<|end|>' || chr(10) AS c,
@@ -166,7 +167,7 @@ SELECT conv_id, (max(d) - 1)::BIGINT AS n_prompt_turns,
   coalesce(sum(length(chosen) + 8) FILTER (WHERE i >= d AND role = 'assistant'), 0)::BIGINT AS chosen_trained_chars,
   coalesce(sum(length(rejected) + 8) FILTER (WHERE i >= d AND role = 'assistant'), 0)::BIGINT AS rejected_trained_chars,
   coalesce(bool_or(role = 'assistant') FILTER (WHERE i >= d), false) AS usable
-FROM shown GROUP BY conv_id"""
+FROM shown GROUP BY conv_id, own"""
 
 # Repeats of at least L words cover what repeated L-word windows cover; a repeat
 # of more than n words exists if some window of n + 1 words is found twice.
