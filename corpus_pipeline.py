@@ -43,7 +43,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest id, then of
     the smallest hash of the text.  Rows are one document if id and text are
-    equal.  Rows without an id are copies of each other, never of a row with an
+    equal; of several such rows the one whose columns have the smallest hash
+    stays.  Rows without an id are copies of each other, never of a row with an
     id: of them, too, each group keeps one."""
     rows = _apart(docs).withColumn("_row", F.concat_ws(
         ":", F.coalesce(F.sha2("text", 256), F.lit("")), F.col("doc_id").cast("string")))
@@ -51,7 +52,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(rows.select(key.alias("doc_id"), "text"))
     first = groups.groupBy("component_id", "doc_id.no_id").agg(F.min("doc_id").alias("first")).select(
         F.col("first.row").alias("_row"))
-    return _named(rows.join(first, "_row", "left_semi").dropDuplicates(["_row"]), docs)
+    columns = [c for c in rows.columns if c != "_row"]
+    mark = F.xxhash64(F.to_json(F.struct(*[c for c in columns if c not in ("doc_id", "text")])))
+    left = rows.join(first, "_row", "left_semi").groupBy("_row").agg(F.min_by(F.struct(*columns), mark).alias("r"))
+    return _named(left.select("r.*"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
