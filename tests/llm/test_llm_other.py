@@ -308,6 +308,21 @@ def test_near_dedup_decides_by_row(spark):
             [rows[0], rows[2], rows[4], rows[6], rows[8], rows[10]], key=str)
 
 
+def test_near_dedup_of_rows_that_differ_in_other_columns(spark):
+    """Which of several rows of one id and text stays does not depend on their order."""
+    rows = [(1, "one two three four", "en", f"src{i}", 10 + i) for i in range(20)] + [(2, "else", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .withColumn("more", F.create_map(F.lit("k"), F.col("source")))
+    stays = set()
+    for parts, desc in ((1, False), (7, True), (3, False)):
+        d = docs.repartition(parts, F.col("source")).sortWithinPartitions(F.col("source").desc() if desc else "source")
+        out = corpus_pipeline.near_dedup(spark, d, SF001)
+        assert out.columns == docs.columns
+        stays.add(tuple(sorted((r.doc_id, r.source, r.n_chars, r.more["k"]) for r in out.collect())))
+    (kept,) = stays
+    assert [r[0] for r in kept] == [1, 2] and kept[0][1] == kept[0][3]
+
+
 def test_pipeline_stages_with_odd_rows_and_columns(spark):
     words = " ".join(f"w{i}" for i in range(80))
     rows = [(1, words, None, None, None, "x"), (1, words, None, None, None, "x"), (2, words, "en", "s", 9, "y"),
