@@ -104,6 +104,24 @@ def test_empty_and_partitioned_tables(spark, scratch):
     assert IO.latest_entry(spark, "ds", scratch)["rows"] == 0
 
 
+def test_sketches_of_versions_and_their_union(spark, scratch):
+    a = spark.range(0, 20_000).selectExpr("id", "concat('u', id % 700) as u", "cast(null as string) as none")
+    b = spark.range(15_000, 50_000).selectExpr("id", "concat('u', id % 900) as u", "cast(null as string) as none")
+    assert IO.publish(spark, a, "ds", root=scratch, sketch=["id", "u", "none"]) == 1
+    assert IO.publish(spark, b, "ds", root=scratch, sketch=["id", "u", "none"]) == 2
+    for versions, exact in (([1], (20_000, 700)), ([2], (35_000, 900)), (None, (50_000, 900)), ([2, 1], (50_000, 900))):
+        got = {r["column"]: r.estimate for r in IO.distinct_values(spark, "ds", versions, scratch).collect()}
+        for c, n in zip(("id", "u"), exact):
+            assert abs(got[c] - n) <= 4 * IO.SKETCH_ERROR * n
+        assert got["none"] == 0
+    # rows are not read: the data may even be gone
+    commits.remove(spark, spark.read.parquet(f"{scratch}/ds/version=1").inputFiles()[0])
+    assert IO.distinct_values(spark, "ds", [1], scratch).count() == 3
+    IO.publish(spark, a, "ds", root=scratch, sketch=["id"])
+    assert [r["column"] for r in IO.distinct_values(spark, "ds", None, scratch).collect()] == ["id"]
+    assert IO.distinct_values(spark, "none", None, scratch).count() == 0
+
+
 def test_moves_through_the_file_system_do_not_overwrite(spark, scratch):
     """The way used on HDFS, on a local folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -174,6 +174,24 @@ def _with_rank(df: DataFrame, col: str, out: str) -> DataFrame:
     return join_once(df, average_ranks(df, col).withColumnRenamed("rank", out), col)
 
 
+def _ranked_together(df: DataFrame, values: list[Column]) -> DataFrame:
+    """``_r0, _r1, ...``: the average ranks of every row's values, each in its
+    own column; no value may be null."""
+    # written once: a row's number must not change between its melted parts
+    wide = reliable(df.select(F.array(*[v + 0.0 for v in values]).alias("_v"))).select(
+        F.monotonically_increasing_id().alias("_row"), "_v")
+    melted = wide.select("_row", F.posexplode("_v").alias("_c", "_x")).select("_row", F.struct("_c", "_x").alias("_cell"))
+    counts = melted.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).select("_cell._c", "_cell._x", "_n")
+    cum = reliable(global_running_sum(counts, [F.col("_c"), F.col("_x")], "_n", "_cum"))
+    before = cum.groupBy("_c").agg(F.min(F.col("_cum") - F.col("_n")).alias("_before"))  # a row per column
+    ranks = cum.join(F.broadcast(before), "_c").select(F.struct("_c", "_x").alias("_cell"), (
+        F.col("_cum") - F.col("_before") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias("_rank"))
+    # a value that many rows share stays splittable
+    found = join_once(melted, ranks, "_cell")
+    return found.groupBy("_row").agg(*[F.max(F.when(F.col("_cell._c") == i, F.col("_rank"))).alias(f"_r{i}")
+                                       for i in range(len(values))])
+
+
 def _rho(a: str, b: str) -> Column:
     """Pearson's correlation; NaN where a side does not vary."""
     flat = (F.stddev_pop(a) == 0) | (F.stddev_pop(b) == 0)
@@ -197,11 +215,13 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     no correlation: NaN, on the diagonal, too.
 
     One aggregate counts the null/NaN values of every column.  Columns with
-    none rank the same rows in every pair, so each of them is ranked once
-    (one join of the rows with its rank table) and all their pairs come from
-    a single aggregate: k joins and one pass instead of two joins
-    per pair.  A pair touching a column with missing values is ranked on its
-    own rows.  The k x k result is the only thing that reaches the driver.
+    none rank the same rows in every pair, so all of them are ranked together:
+    their values are melted to (column, value), one distributed order of the
+    value counts gives every value its average rank, one join brings the ranks
+    to the melted rows, one regroup puts a row's ranks side by side, and all
+    pairs come from a single aggregate.  A pair touching a column with missing
+    values is ranked on its own rows.  The k x k result is the only thing that
+    reaches the driver.
     """
     spark = df.sparkSession
     vals = {c: F.col(c).cast("double") for c in cols}
@@ -211,9 +231,7 @@ def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     clean = [c for i, c in enumerate(cols) if facts[f"_bad{i}"] == 0]
     rho: dict = {}
     if len(clean) >= 2:
-        ranked = df.select(*[vals[c].alias(f"_v{i}") for i, c in enumerate(clean)])
-        for i in range(len(clean)):
-            ranked = _with_rank(ranked, f"_v{i}", f"_r{i}")
+        ranked = _ranked_together(df, [vals[c] for c in clean])
         pairs = [(i, j) for i in range(len(clean)) for j in range(i + 1, len(clean))]
         got = ranked.agg(*[_rho(f"_r{i}", f"_r{j}").alias(f"_c{i}_{j}") for i, j in pairs]).head()
         for i, j in pairs:

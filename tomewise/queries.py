@@ -1219,6 +1219,28 @@ def q_versioned_publish_latest(spark, sf):
     return _drained(spark, root, IO.read_latest(spark, "processed_data", root=root).withColumn("version", F.lit(v)))
 
 
+@query("distinct_sketches", O.with_chain("processed", body="""
+SELECT CAST(v AS VARCHAR) AS versions, c AS "column", true AS within_error
+FROM (VALUES ('low'), ('all')) t(v), (VALUES ('user_id'), ('book_id'), ('review_id')) u(c)"""))
+def q_distinct_sketches(spark, sf):
+    """AG3, approximate: distinct users, books and reviews of one published
+    version and of the union of two that overlap, from the sketches written
+    with them, each within four standard errors of the exact count."""
+    root, cols = scratch_dir(spark, "registry"), ["user_id", "book_id", "review_id"]
+    d = P.processed(spark, sf).select(*cols, "rating")
+    low, high = d.where(F.col("rating") <= 3), d.where(F.col("rating") >= 2)
+    first = IO.publish(spark, low, "reviews", root=root, sketch=cols)
+    IO.publish(spark, high, "reviews", root=root, sketch=cols)
+
+    def close(rows, versions, label):
+        exact = rows.agg(*[F.countDistinct(c).alias(c) for c in cols]).unpivot([], cols, "column", "exact")
+        estimate = IO.distinct_values(spark, "reviews", versions, root)
+        near = F.abs(F.col("estimate") - F.col("exact")) <= F.ceil(4 * IO.SKETCH_ERROR * F.col("exact"))
+        return exact.join(estimate, "column").select(F.lit(label).alias("versions"), "column", near.alias("within_error"))
+
+    return _drained(spark, root, close(low, [first], "low").unionByName(close(d, None, "all")))
+
+
 _NA = ", ".join(O._q(x) for x in IO.NA_STRINGS)
 
 

@@ -186,8 +186,10 @@ def _take_snapshot(spark: SparkSession, root: str, name: str, upto: int) -> None
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset",
-            root: str | None = None, fingerprint: str = "", partition_by: str | None = None) -> int:
-    """IO5: write the next version of ``name`` with its manifest row.
+            root: str | None = None, fingerprint: str = "", partition_by: str | None = None,
+            sketch: list[str] | tuple = ()) -> int:
+    """IO5: write the next version of ``name`` with its manifest row, and with
+    a sketch of the distinct values of each column in ``sketch``.
 
     The data goes to a folder of its own; the version is the first free number,
     taken by moving that folder there.  A writer that loses a number to another
@@ -204,6 +206,8 @@ def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset
         row = {"name": name, "type": type_, "fingerprint": fingerprint, "rows": written.count(),
                "schema": written.schema.json(),
                "created": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()}
+        if sketch:
+            commits.write_text(spark, f"{staged}/{_SKETCHES}", json.dumps(_sketches(written, list(sketch))))
         last = latest_entry(spark, name, root)
         version = 0 if last is None else last["version"]
         while True:
@@ -220,6 +224,39 @@ def publish(spark: SparkSession, df: DataFrame, name: str, type_: str = "dataset
     return version
 
 
+# AG3 by sketches: beside a version's data lies one HyperLogLog sketch per column,
+# of 2**SKETCH_BITS registers; the estimate's relative standard error is
+# at most 1.04 / sqrt(2**SKETCH_BITS), for one version and for any union.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+_SKETCHES = "_sketches.json"
+
+
+def _sketches(df: DataFrame, cols: list[str]) -> dict[str, str]:
+    """A sketch per column in one aggregate, as text; null is no value."""
+    row = df.agg(*[F.base64(F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS)).alias(f"c{i}")
+                   for i, c in enumerate(cols)]).head()
+    return dict(zip(cols, row))
+
+
+def distinct_values(spark: SparkSession, name: str, versions: list[int] | None = None,
+                    root: str | None = None) -> DataFrame:
+    """AG3, approximate: ``column, estimate`` of the distinct values in the union
+    of some versions of ``name`` (default: all) from their sketches alone; no
+    row of the data is read.  Columns that a version has no sketch of are left
+    out, as their union is unknown."""
+    root = root or default_root(spark)
+    if versions is None:
+        taken = _snapshots(spark, root, name)
+        versions = list(range(1, _versions_after(spark, root, name, taken[-1] if taken else 0) + 1))
+    files = [f"{root}/{name}/version={v}/{_SKETCHES}" for v in versions]
+    found = [json.loads(commits.read_text(spark, f)) for f in files if commits.exists(spark, f)]
+    rows = [(c, s) for d in found for c, s in d.items()]
+    merged = spark.createDataFrame(rows, "column string, sketch string").groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_estimate(F.hll_union_agg(F.unbase64("sketch"))).alias("estimate"))
+    return merged.where(F.col("n") == len(versions)).select("column", "estimate")
+
+
 def read_latest(spark: SparkSession, name: str, root: str | None = None,
                 fingerprint: str | None = None) -> DataFrame:
     """IO6: resolve ``name:latest`` through the manifest and scan it."""
