@@ -137,3 +137,25 @@ def test_lexicon_finds_the_words_that_ratings_turn_on(spark):
     mean = lambda rs: sum(scored[i] for i in rs) / len(rs)
     assert mean([i for i, _, r in rows if r is not None and r >= 4]) > 0 > mean([i for i, _, r in rows if r is not None and r <= 1])
     assert LX.learn_lexicon(df.limit(0), high, low).count() == 0
+
+
+# top n-grams behind a sketch -----------------------------------------------------
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16, None])
+def test_top_behind_a_sketch_is_exact(spark, buckets):
+    from tomewise.operators import ngrams as NG
+    rng = random.Random(3)
+    rows = [(rng.choice([0, 1, 1, 1, None]), f"w{int(rng.paretovariate(0.7))}") for _ in range(3000)]
+    rows += [(2, "only"), (3, "tie b"), (3, "tie a"), (3, "tie c"), (2, None)]
+    df = spark.createDataFrame(rows, "c int, item string")
+    for k in (1, 2, 10, 5000):
+        want = []
+        for c in {r[0] for r in rows}:
+            ranked = sorted(Counter(w for of, w in rows if of == c).items(), key=lambda x: (-x[1], x[0] is not None, x[0]))
+            want += [(c, w, n, i) for i, (w, n) in enumerate(ranked[:k], 1)]
+        got = [tuple(r) for r in NG.exact_top(df, "item", k, "c", buckets=buckets).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    got = [tuple(r) for r in NG.exact_top(df, "item", 3, buckets=buckets).collect()]
+    ranked = sorted(Counter(w for _, w in rows).items(), key=lambda x: (-x[1], x[0] is not None, x[0]))
+    assert sorted(got, key=lambda r: r[2]) == [(w, n, i) for i, (w, n) in enumerate(ranked[:3], 1)]
+    assert NG.exact_top(df.limit(0), "item", 3, "c", buckets=buckets).count() == 0
