@@ -42,11 +42,10 @@ def learn(texts, n_merges, top=SW.PAIRS_PER_ROUND, least=2):
             for pair in zip(split[p], split[p][1:]):
                 count[pair] += n
         ranked = sorted(((-n, a, b) for (a, b), n in count.items() if n >= least))[:top]
-        used, chosen = set(), []
+        chosen = []
         for n, a, b in ranked:
-            if a not in used and b not in used:
+            if a != b and all(a != y and b != x for x, y, _ in chosen) or a == b and all(a not in c[:2] for c in chosen):
                 chosen.append((a, b, -n))
-                used |= {a, b}
         chosen = chosen[:n_merges - len(merges)]
         if not chosen:
             break
@@ -96,9 +95,10 @@ def test_merges_of_the_corpus_match_a_plain_learner(spark):
     assert [tuple(r) for r in merges.orderBy("id").collect()] == learn(texts, 120)
 
 
-def test_pairs_taken_together_share_no_symbol():
-    assert SW.apart([("a", "b", 9), ("b", "c", 8), ("c", "d", 7), ("e", "e", 6), ("e", "f", 5)]) == [
-        ("a", "b", 9), ("c", "d", 7), ("e", "e", 6)]
+def test_pairs_taken_together_do_not_overlap():
+    assert SW.apart([("a", "b", 9), ("b", "c", 8), ("c", "d", 7), ("e", "e", 6), ("e", "f", 5), ("a", "d", 4),
+                     ("d", "a", 3), ("a", "a", 2), ("x", "b", 1)]) == [
+        ("a", "b", 9), ("c", "d", 7), ("e", "e", 6), ("a", "d", 4), ("x", "b", 1)]
 
 
 # lexicon ---------------------------------------------------------------------

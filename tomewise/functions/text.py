@@ -108,7 +108,7 @@ def _expand_substrings(c: Column, pairs: list[tuple[str, str]]) -> Column:
     apostrophe or a key that has none is not searched at all."""
     plain = [k for k, _ in pairs if "'" not in k]
     reach = max((k.index("'") for k, _ in pairs if "'" in k), default=0)
-    ahead = "|".join([f"[A-Za-z]{{0,{reach}}}'", *plain])
+    ahead = "|".join([f"[A-Za-z]{{0,{reach}}}+'", *plain])  # possessive: letters read once are not given back
     keys = f"(?={ahead})(?:{'|'.join(k for k, _ in pairs)})"
 
     def put(parts: Column) -> Column:

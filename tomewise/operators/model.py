@@ -207,15 +207,22 @@ def survivors(scored: list[tuple[int, float]], eta: int = ETA) -> list[int]:
     return sorted(t for t, _ in ranked[:-(-len(ranked) // eta)])
 
 
+def bracket_of(trial: int, n_brackets: int = BRACKETS, eta: int = ETA) -> int:
+    """Trials in turn: of ``eta`` times as many as the next, a bracket gets its share."""
+    sizes = [eta ** (n_brackets - 1 - b) for b in range(n_brackets)]
+    at = trial % sum(sizes)
+    return next(b for b in range(n_brackets) if at < sum(sizes[:b + 1]))
+
+
 def halving_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_trials: int = 20, seed: int = 42,
                   label_col: str = "rating", text_col: str = "review_text", parallelism: int = 8,
                   n_brackets: int = BRACKETS, eta: int = ETA, rungs: tuple[int, ...] = RUNG_ITERATIONS) -> DataFrame:
     """ML5 with early termination: one row per (trial, rung) reached, ``bracket,
     rung, iterations, trial, params..., valid_accuracy, survives``.
 
-    The draws are those of ``sweep``.  Trials are dealt to brackets in turn;
-    bracket b starts at rung b, so later brackets give every trial more
-    iterations before the first cut.  In a rung every trial still in its
+    The draws are those of ``sweep``.  Trials are dealt to brackets, ``eta`` times
+    as many to each as to the next; bracket b starts at rung b, so later, smaller
+    brackets give every trial more iterations before the first cut.  In a rung every trial still in its
     bracket is fitted for the rung's iterations (its own number at most, and
     exactly that in the last rung) and scored on ``valid``; the best ``1/eta`` go on.
     All fits of a rung run as concurrent Spark jobs on features that are
@@ -225,7 +232,7 @@ def halving_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame, n_tri
 
     trials = draw_trials(n_trials, seed)
     n_brackets = max(1, min(n_brackets, len(rungs) + 1))
-    alive = {b: [t for t in trials if t["trial"] % n_brackets == b] for b in range(n_brackets)}
+    alive = {b: [t for t in trials if bracket_of(t["trial"], n_brackets, eta) == b] for b in range(n_brackets)}
     cached: dict[int, tuple[DataFrame, DataFrame]] = {}
     rows = []
 

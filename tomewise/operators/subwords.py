@@ -4,16 +4,17 @@ A text is cut at its spaces into pieces, each but the first with the space
 before it, and a piece is its UTF-8 bytes, written as hexadecimal pairs.
 Learning joins neighbouring symbols of the distinct pieces: each round counts
 all pairs by one aggregate, weighted by the pieces' counts, and takes pairs in
-order of count (ties by the symbols) that share no symbol with one taken
-before in the round, so all of them can be applied together.  Ids: 0..3 special, then the 256 bytes, then
-the merges in order.  Encoding applies the rounds to the distinct pieces of a
-corpus, by a fold over each piece's symbols, and joins the texts' pieces with
+order of count (ties by the symbols) that cannot overlap one taken before in the
+round, so all of them are applied together and in any order.  Ids: 0..3 special,
+then the 256 bytes, then the merges in order.  Encoding applies the rounds to the
+distinct pieces of a corpus, in Arrow batches, and joins the texts' pieces with
 them; decoding joins ids with the symbols and reads the bytes back, so it gives
 every text exactly.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,36 +44,54 @@ def _bytes_of(piece: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.hex(F.encode(piece, "UTF-8")), "(..)", "$1 "), " "), lambda s: s != "")
 
 
-def _merged(symbols: Column, pairs: list[tuple[str, str]]) -> Column:
-    """``symbols`` with every occurrence of the pairs joined, from left to right."""
-    wanted = [f"{a} {b}" for a, b in pairs]
-    last = lambda done: F.element_at(done, -1)
+def _join(symbols: list[str], rounds: list[set[tuple[str, str]]]) -> list[str]:
+    """The rounds' pairs joined wherever they occur, from left to right."""
+    for pairs in rounds:
+        out: list[str] = []
+        for s in symbols:
+            if out and (out[-1], s) in pairs:
+                out[-1] += s
+            else:
+                out.append(s)
+        symbols = out
+    return symbols
 
-    def step(done: Column, symbol: Column) -> Column:
-        joins = (F.size(done) > 0) & F.concat_ws(" ", F.try_element_at(done, F.lit(-1)), symbol).isin(wanted)
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(last(done), symbol)))).otherwise(
-            F.concat(done, F.array(symbol)))
 
-    return F.aggregate(symbols, F.array().cast("array<string>"), step)
+def _merged(df: DataFrame, rounds: list[set[tuple[str, str]]]) -> DataFrame:
+    """``df`` (a column, then ``symbols``) with the rounds applied, in Arrow batches."""
+    def run(batches):
+        for batch in batches:
+            joined = pa.array([_join(s, rounds) for s in batch.column(1).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), joined], names=batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)
 
 
 def apart(pairs: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
-    """Of pairs in order, those that share no symbol with one taken before."""
-    taken, out = set(), []
+    """Of pairs in order, those that overlap none taken before, whatever the
+    text: no symbol is the right side of one and the left side of another."""
+    lefts, rights, out = set(), set(), []
     for a, b, n in pairs:
-        if a not in taken and b not in taken:
+        if a not in rights and b not in lefts and (a != b or a not in lefts | rights):
             out.append((a, b, n))
-            taken |= {a, b}
+            lefts.add(a)
+            rights.add(b)
     return out
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Distinct pieces are few bytes but long work: all tasks get a share."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def learn_merges(df: DataFrame, text_col: str = "review_text", n_merges: int = 1_000,
                  pairs_per_round: int = PAIRS_PER_ROUND, min_count: int = MIN_COUNT) -> DataFrame:
     """``id, round, left, right, n``: at most ``n_merges`` merges in order.  The
     driver sees the most frequent pairs of a round, ``pairs_per_round`` at most."""
     spark = df.sparkSession
     words = reliable(df.select(F.explode(pieces(F.col(text_col))).alias("piece")).groupBy("piece").agg(
-        F.count(F.lit(1)).alias("n")).select("n", _bytes_of(F.col("piece")).alias("symbols")).where(F.size("symbols") > 1))
+        F.count(F.lit(1)).alias("n")).select("n", _bytes_of(F.col("piece")).alias("symbols")).where(F.size("symbols") > 1)
+        .transform(_spread))
     merges: list[tuple] = []
     rounds = 0
     while len(merges) < n_merges:
@@ -86,8 +105,7 @@ def learn_merges(df: DataFrame, text_col: str = "review_text", n_merges: int = 1
         merges += [(FIRST_MERGE + len(merges) + k, rounds, a, b, n) for k, (a, b, n) in enumerate(chosen)]
         rounds += 1
         if len(merges) < n_merges:
-            words = reliable(words.select("n", _merged(s, [(a, b) for a, b, _ in chosen]).alias("symbols"))
-                             .where(F.size("symbols") > 1))
+            words = reliable(_merged(words, [{(a, b) for a, b, _ in chosen}]).where(F.size("symbols") > 1))
     return spark.createDataFrame(merges, MERGE_SCHEMA)
 
 
@@ -101,13 +119,13 @@ def symbols(spark: SparkSession, merges: DataFrame) -> DataFrame:
 def encode(df: DataFrame, merges: DataFrame, text_col: str = "review_text", key: str = "review_id") -> DataFrame:
     """``key, input_ids`` of every text; ``key`` must name the rows.  A null
     text has null ids."""
-    rounds: dict[int, list] = {}
-    for r in merges.orderBy("id").collect():  # as many rows as merges were asked for
-        rounds.setdefault(r["round"], []).append((r["left"], r["right"]))
+    rounds: dict[int, set] = {}
+    for r in merges.collect():  # as many rows as merges were asked for
+        rounds.setdefault(r["round"], set()).add((r["left"], r["right"]))
     placed = df.select(key, F.posexplode_outer(pieces(F.col(text_col))).alias("at", "piece"))
-    split = placed.where("piece is not null").select("piece").distinct().select("piece", _bytes_of(F.col("piece")).alias("_s"))
-    for r in sorted(rounds):
-        split = split.withColumn("_s", _merged(F.col("_s"), rounds[r]))
+    split = _spread(placed.where("piece is not null").select("piece").distinct()).select(
+        "piece", _bytes_of(F.col("piece")).alias("_s"))
+    split = _merged(split, [rounds[r] for r in sorted(rounds)])
     known = broadcast_if_bounded(symbols(df.sparkSession, merges))
     coded = split.select("piece", F.posexplode_outer("_s").alias("k", "symbol")).join(known, "symbol", "left").groupBy("piece").agg(
         F.transform(F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "id")))), lambda x: x.id).alias("ids"))

@@ -1083,11 +1083,11 @@ def _sweep(spark, sf):
 
 
 def _sql_rungs() -> str:
-    """Expected size of every rung: trials are dealt to brackets in turn, and of
-    each rung the best part, rounded up, goes on."""
+    """Expected size of every rung: of every four trials three start in the first
+    bracket, and of each rung the best third, rounded up, goes on."""
     rows = []
     for b in range(ML.BRACKETS):
-        n = len(range(b, SWEEP_TRIALS, ML.BRACKETS))
+        n = sum((t % 4 == 3) == (b == 1) for t in range(SWEEP_TRIALS))
         for rung in range(b, len(ML.RUNG_ITERATIONS) + 1):
             on = -(-n // ML.ETA) if rung < len(ML.RUNG_ITERATIONS) else 0
             rows.append(f"({b}, {rung}, {n}, {on}, 0, 0)")
