@@ -34,8 +34,8 @@ WINDOW_WORDS = 3
 MAX_WINDOW_PERCENT = 50
 # The method's own limits: spans of maximal repeats of at least so many words
 # may cover so many percent of the words, and no repeat may be longer than so
-# many words, or than so many percent of the words where that is more.  Good
-# documents of 100 words and more stay below 28 % and have 13 words at most.
+# many words, or than so many percent of the words where that is more.  The
+# good documents of the given 10,000 have 28 % and 13 words at most.
 MIN_REPEAT_WORDS = 5
 MAX_COVERED_PERCENT = 30
 MAX_REPEAT_WORDS = 20
