@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -133,3 +134,39 @@ def test_without_a_schema(spark, scratch):
     got = IO.read_csv(spark, path)
     assert got.dtypes == [("id", "int"), ("the text", "string"), ("x", "double")]
     assert rows(got) == [(1, "a\nb", 0.5), (2, None, None)]
+
+
+def test_what_a_worker_holds_depends_on_neither_block_nor_batch(monkeypatch):
+    rng = random.Random(5)
+
+    def batches(n, lines):
+        for b in range(n):
+            texts = [f'{b * lines + i},"{"words, and " * 300}",{i % 7}' for i in range(lines)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["f"] * lines), pa.array([0] * lines, pa.int64()), pa.array([1] * lines, pa.int64()),
+                 pa.array([0] * lines, pa.int32()), pa.array([False] * lines), pa.array(texts)],
+                names=["_file", "_start", "_size", "_open", "_crlf", "value"])
+
+    def most(n, lines):
+        before, held, rows = pa.total_allocated_bytes(), 0, 0
+        for out in quoted_csv._records(False, False)(batches(n, lines)):
+            held, rows = max(held, pa.total_allocated_bytes() - before), rows + out.num_rows
+        assert rows == n * lines
+        return held
+
+    assert most(80, 400) < 16 << 20  # 100 MB of lines, in small batches
+    assert most(3, 10_000) < 3 * (33 << 20)  # 33 MB each: this batch and the one before it, hardly more
+
+    # any size of portion gives the same records, also where a record is longer
+    lines = [x for i in range(400) for x in f'{i},"{field(rng)}",{rng.randint(0, 9)}'.split("\n")]
+    one = pa.RecordBatch.from_arrays(
+        [pa.array(["f"] * len(lines)), pa.array([0] * len(lines), pa.int64()), pa.array([1] * len(lines), pa.int64()),
+         pa.array([0] * len(lines), pa.int32()), pa.array([False] * len(lines)), pa.array(lines)],
+        names=["_file", "_start", "_size", "_open", "_crlf", "value"])
+
+    def texts(flush):
+        monkeypatch.setattr(quoted_csv, "_FLUSH", flush)
+        return [x for out in quoted_csv._records(False, True)([one.slice(0, 100), one.slice(100)])
+                for x in out.column("_text").to_pylist()]
+
+    assert texts(1) == texts(100) == texts(3000) == texts(32 << 20) and len(texts(100)) == 399

@@ -58,8 +58,15 @@ def _blocks(lines: DataFrame) -> DataFrame:
                                crlf.alias("_crlf")))
 
 
-# Lines are joined as soon as about so many bytes of a block have been read.
-_FLUSH = 32 << 20
+# Lines are joined as soon as about so many bytes of a block have been read, so
+# what a worker holds depends on neither its block's size nor Arrow's batches.
+_FLUSH = 2 << 20
+
+
+def _portions(lines: pa.Array):
+    """``lines`` in slices of about ``_FLUSH`` bytes."""
+    step = max(1, len(lines) * _FLUSH // max(1, lines.nbytes))
+    return (lines.slice(at, step) for at in range(0, len(lines), step))
 
 
 class _Block:
@@ -69,10 +76,12 @@ class _Block:
     def __init__(self, file: str, start: int, opened: int, crlf: bool, header: bool):
         self.file, self.start, self.crlf, self.header = file, start, crlf, header and start == 0
         self.lines, self.open, self.continues = [], opened, opened == 1
+        self.size, self.limit = 0, _FLUSH
 
     def add(self, lines: pa.Array) -> bool:
         self.lines.append(lines)
-        return sum(x.nbytes for x in self.lines) >= _FLUSH
+        self.size += lines.nbytes
+        return self.size >= self.limit
 
     def texts(self, pieces: bool, end: bool):
         """Batches of whole records, or of pieces; the last record waits for
@@ -85,6 +94,8 @@ class _Block:
             last = int(begins[-1])
             lines, self.lines, self.open = lines[:last], [lines[last:]], int(before[last])
             begins = begins[:-1]
+            self.size = self.lines[0].nbytes
+            self.limit = max(_FLUSH, 2 * self.size)  # a long record is not joined anew with every portion
             if not last:
                 return
         texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[begins, len(lines)], pa.int32()), lines), "\n")
@@ -131,8 +142,9 @@ def _records(pieces: bool, header: bool):
                     if block is not None:
                         yield from block.texts(pieces, True)
                     block = _Block(file, at, batch.column(3)[a].as_py(), batch.column(4)[a].as_py(), header)
-                if block.add(batch.column(5).slice(a, b - a)):
-                    yield from block.texts(pieces, False)
+                for lines in _portions(batch.column(5).slice(a, b - a)):
+                    if block.add(lines):
+                        yield from block.texts(pieces, False)
         if block is not None:
             yield from block.texts(pieces, True)
 
